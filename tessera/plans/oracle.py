@@ -142,3 +142,97 @@ SELECT s.file_name, max(n_rows) AS row_count, count(*) AS column_count,
   string_agg(s."column" || ':' || type, ',' ORDER BY ordinal) AS schema_text
 FROM col_stats s LEFT JOIN col_invalid i ON s.file_name = i.file_name AND s."column" = i."column"
 GROUP BY s.file_name""", ("col_stats", "col_invalid"))
+
+# --------------------------------------------------------------------------
+# Runs and two-arm comparison
+# --------------------------------------------------------------------------
+cte("runs", """
+SELECT CASE WHEN event_id % 2 = 0 THEN 'a' ELSE 'b' END AS arm,
+  CAST(user_id % 6 + 1 AS BIGINT) AS level, event_id AS run_id, ts, value AS seconds,
+  value + ((event_id % 7) - 2) / 10.0::DOUBLE AS total_seconds,
+  event_type <> 'error' AS ok,
+  CASE WHEN event_type <> 'error' THEN 'success' ELSE 'error' END AS status,
+  CAST(CASE WHEN event_type <> 'error' THEN (user_id % 6 + 1) * 100 ELSE 0 END AS BIGINT) AS n_rows
+FROM events""")
+
+
+def timing_stats_sql(src: str, value: str, ok: str | None) -> str:
+    measured = f"CASE WHEN {ok} THEN {value} END" if ok else value
+    where = f"WHERE {ok}" if ok else ""
+    return f"""
+SELECT b.arm, b.level, b.count, round(b.min, 3) AS min, round(b.max, 3) AS max, round(b.mean, 3) AS mean,
+  round(p.median, 3) AS median, round(p.p90, 3) AS p90, round(p.p95, 3) AS p95,
+  CASE WHEN b.count > 0 THEN round(coalesce(b.sd, 0), 3) END AS stdev
+FROM (SELECT arm, level, count({measured}) AS count, min({measured}) AS min, max({measured}) AS max,
+             avg({measured}) AS mean, stddev_samp({measured}) AS sd FROM {src} GROUP BY arm, level) b
+LEFT JOIN (
+  SELECT arm, level,
+    (max(CASE WHEN rk = floor((n + 1) / 2) THEN v END) + max(CASE WHEN rk = floor(n / 2) + 1 THEN v END)) / 2 AS median,
+    max(CASE WHEN rk = floor(n * 0.9) + 1 THEN v END) AS p90,
+    max(CASE WHEN rk = floor(n * 0.95) + 1 THEN v END) AS p95
+  FROM (SELECT arm, level, {value} AS v, row_number() OVER (PARTITION BY arm, level ORDER BY {value}) AS rk,
+               count(*) OVER (PARTITION BY arm, level) AS n FROM {src} {where})
+  GROUP BY arm, level) p USING (arm, level)"""
+
+
+cte("run_stats", timing_stats_sql("runs", "seconds", "ok"), ("runs",))
+
+cte("run_latency", """
+SELECT arm, level, run_id, round(greatest(0.0::DOUBLE, total_seconds - seconds), 3) AS latency
+FROM runs WHERE ok""", ("runs",))
+
+cte("latency_stats", timing_stats_sql("run_latency", "latency", None), ("run_latency",))
+
+cte("levels", """
+SELECT arm, level, n_runs, n_ok, n_ok >= n_runs * 0.8 AS success, round(mean_s, 3) AS proc_seconds, rows,
+  round(CASE WHEN coalesce(sec, 0) > 0 THEN rows / coalesce(sec, 0) ELSE 0 END, 1) AS rows_per_sec,
+  round(CASE WHEN coalesce(sec, 0) > 0 THEN n_ok / coalesce(sec, 0) ELSE 0 END, 4) AS files_per_sec,
+  round(n_ok / n_runs * 100, 2) AS success_rate
+FROM (SELECT arm, level, count(*) AS n_runs, CAST(count_if(ok) AS BIGINT) AS n_ok,
+             sum(CASE WHEN ok THEN seconds END) AS sec, avg(CASE WHEN ok THEN seconds END) AS mean_s,
+             CAST(sum(n_rows) AS BIGINT) AS rows
+      FROM runs GROUP BY arm, level)""", ("runs",))
+
+cte("cases", """
+SELECT arm, test, pos, status, outcome, expected_status FROM (
+  SELECT CASE WHEN event_id % 2 = 0 THEN 'a' ELSE 'b' END AS arm,
+    'case_' || CAST(user_id % 40 AS VARCHAR) AS test, event_id AS pos, event_type AS status,
+    CASE WHEN event_type = 'error' THEN 'error' WHEN event_type = 'view' THEN 'timeout' ELSE 'success' END AS outcome,
+    CASE WHEN user_id % 3 = 0 THEN 'error' ELSE 'success' END AS expected_status, user_id
+  FROM events)
+WHERE NOT (arm = 'b' AND user_id % 40 >= 35)""")
+
+cte("first_cases", """
+SELECT arm, test, min(pos) AS pos, arg_min(status, pos) AS status, arg_min(outcome, pos) AS outcome,
+  arg_min(expected_status, pos) AS expected_status
+FROM cases GROUP BY arm, test""", ("cases",))
+
+cte("status_match", """
+SELECT arm, test, expected_status, outcome AS actual_status, outcome = expected_status AS match_strict,
+  (outcome = expected_status) OR (outcome IN ('success', 'error') AND expected_status IN ('success', 'error'))
+    AS match_lenient
+FROM first_cases""", ("first_cases",))
+
+
+def speedup_sql(a: str, b: str) -> tuple[str, str]:
+    ratio = f"(CASE WHEN {a} = 0 OR {b} = 0 THEN NULL ELSE {b} / {a} END)"
+    factor = f"round(CASE WHEN {ratio} > 1 THEN {ratio} ELSE 1 / {ratio} END, 1)"
+    direction = f"(CASE WHEN {ratio} IS NULL THEN 'n/a' WHEN {ratio} > 1 THEN 'faster' ELSE 'slower' END)"
+    return factor, direction
+
+
+def metric_cmp_sql(src: str, metrics: list[str], higher: list[str]) -> str:
+    long = "\nUNION ALL\n".join(
+        f"SELECT arm, level, '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM {src}" for m in metrics)
+    lower = "metric NOT IN (" + ", ".join(f"'{h}'" for h in higher) + ")"
+    d = "(CASE WHEN b_value <> 0 THEN (a_value - b_value) / b_value * 100 END)"
+    return f"""
+SELECT level, metric, a_value, b_value, round({d}, 1) AS pct_diff,
+  CASE WHEN {d} IS NULL THEN 'n/a' WHEN {d} > 10 THEN 'high' WHEN {d} < -10 THEN 'low' ELSE 'near' END AS band,
+  {lower} AS lower_is_better,
+  CASE WHEN a_value IS NULL OR b_value IS NULL THEN 'n/a'
+       WHEN (CASE WHEN {lower} THEN a_value < b_value ELSE a_value > b_value END) THEN 'better'
+       WHEN (CASE WHEN {lower} THEN a_value > b_value ELSE a_value < b_value END) THEN 'worse'
+       ELSE 'same' END AS verdict
+FROM (SELECT level, metric, value AS a_value FROM ({long}) WHERE arm = 'a') a
+LEFT JOIN (SELECT level, metric, value AS b_value FROM ({long}) WHERE arm = 'b') b USING (level, metric)"""

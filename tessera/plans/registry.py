@@ -128,3 +128,240 @@ QUERIES["pred_is_date"] = (q_pred_is_date, O.with_ctes(
     'SELECT file_name, "column", CAST(count_if(NOT is_missing AND ('
     + " OR ".join(O._date_ok("value", r, f) for _, r, f in O.DATE_CHECKS)
     + ')) AS BIGINT) AS n_date FROM cell_flags GROUP BY ALL', "cell_flags"))
+
+
+# --------------------------------------------------------------------------
+# Runs (A8-A14, N2, P8, P9, P14, P17)
+# --------------------------------------------------------------------------
+from tessera.operators import compare as cmp_ops  # noqa: E402
+from tessera.operators import runs as run_ops  # noqa: E402
+from tessera.sources.tables import read_table  # noqa: E402
+
+
+def _runs(spark, sf_dir):
+    return B.runs(spark, sf_dir)
+
+
+def _levels(spark, sf_dir):
+    return run_ops.level_results(B.runs(spark, sf_dir))
+
+
+@query("run_stats", O.with_ctes("SELECT * FROM run_stats", "run_stats"))
+def q_run_stats(spark, sf_dir):
+    return run_ops.timing_stats(_runs(spark, sf_dir))
+
+
+@query("run_percentiles", O.with_ctes("""
+SELECT arm, level, n, CAST(p AS DOUBLE) AS pct, max(CASE WHEN rk = floor(n * p) + 1 THEN seconds END) AS value
+FROM (SELECT arm, level, seconds, row_number() OVER (PARTITION BY arm, level ORDER BY seconds) AS rk,
+             count(*) OVER (PARTITION BY arm, level) AS n FROM runs WHERE ok)
+CROSS JOIN (VALUES (0.5), (0.9), (0.95), (0.99)) t(p)
+GROUP BY arm, level, n, p""", "runs"))
+def q_run_percentiles(spark, sf_dir):
+    return run_ops.percentile_table(_runs(spark, sf_dir).where("ok"))
+
+
+@query("run_latency", O.with_ctes("SELECT * FROM run_latency", "run_latency"))
+def q_run_latency(spark, sf_dir):
+    return run_ops.event_latency(_runs(spark, sf_dir))
+
+
+@query("run_throughput", O.with_ctes(
+    "SELECT arm, level, run_id, round(CASE WHEN seconds > 0 THEN n_rows / seconds ELSE 0 END, 1) AS rows_per_sec "
+    "FROM runs", "runs"))
+def q_run_throughput(spark, sf_dir):
+    return run_ops.run_throughput(_runs(spark, sf_dir))
+
+
+@query("run_success_rate", O.with_ctes(
+    "SELECT arm, level, n_runs, n_ok, success_rate FROM levels", "levels"))
+def q_run_success_rate(spark, sf_dir):
+    return _levels(spark, sf_dir).select("arm", "level", "n_runs", "n_ok", "success_rate")
+
+
+@query("run_tally", O.with_ctes("""
+SELECT * FROM (SELECT arm, count(*) AS n_runs, CAST(count_if(NOT ok) AS BIGINT) AS failures FROM runs GROUP BY arm)
+FULL JOIN (SELECT arm, count(*) AS total_tests, CAST(count_if(match_strict) AS BIGINT) AS matches_strict,
+                  CAST(count_if(match_lenient) AS BIGINT) AS matches_lenient FROM status_match GROUP BY arm)
+USING (arm)""", "runs", "status_match"))
+def q_run_tally(spark, sf_dir):
+    return run_ops.tally(_runs(spark, sf_dir), cmp_ops.status_match(B.cases(spark, sf_dir)))
+
+
+@query("run_avg_throughput", O.with_ctes("""
+SELECT arm, CAST(count_if(success) AS BIGINT) AS n_success,
+  CASE WHEN count_if(success) >= 2 THEN round(avg(CASE WHEN success THEN rows_per_sec END), 1) END AS avg_rows_per_sec
+FROM levels GROUP BY arm""", "levels"))
+def q_run_avg_throughput(spark, sf_dir):
+    return run_ops.avg_throughput(_levels(spark, sf_dir))
+
+
+@query("run_scaling_efficiency", O.with_ctes("""
+SELECT arm, n_levels, first_level, last_level, first_tput, last_tput,
+  CASE WHEN n_levels >= 2 AND first_tput > 0 AND first_level > 0
+       THEN round((last_tput / first_tput) / (last_level / first_level) * 100, 1) END AS efficiency,
+  (CASE WHEN n_levels >= 2 AND first_tput > 0 AND first_level > 0
+       THEN round((last_tput / first_tput) / (last_level / first_level) * 100, 1) END) < 50 AS sublinear
+FROM (SELECT arm, count(*) AS n_levels, min(level) AS first_level, max(level) AS last_level,
+             arg_min(files_per_sec, level) AS first_tput, arg_max(files_per_sec, level) AS last_tput
+      FROM levels GROUP BY arm)""", "levels"))
+def q_run_scaling_efficiency(spark, sf_dir):
+    return run_ops.scaling_efficiency(_levels(spark, sf_dir))
+
+
+@query("run_nonlinear", O.with_ctes("""
+SELECT arm, n_success, round(first_time * (last_rows / first_rows), 3) AS expected_time, last_time AS actual_time,
+  n_success >= 3 AND last_time > first_time * (last_rows / first_rows) * 1.5 AS nonlinear
+FROM (SELECT arm, count(*) AS n_success, arg_min(proc_seconds, level) AS first_time,
+             arg_max(proc_seconds, level) AS last_time, arg_min(rows, level) AS first_rows,
+             arg_max(rows, level) AS last_rows
+      FROM levels WHERE success GROUP BY arm)""", "levels"))
+def q_run_nonlinear(spark, sf_dir):
+    return run_ops.nonlinear_scaling(_levels(spark, sf_dir))
+
+
+@query("run_elapsed", O.with_ctes("""
+SELECT arm, count(*) AS n_runs, round(date_diff('microsecond', min(ts), max(ts)) / 1e6, 3) AS elapsed_seconds,
+  round(sum(seconds), 3) AS busy_seconds FROM runs GROUP BY arm""", "runs"))
+def q_run_elapsed(spark, sf_dir):
+    return run_ops.elapsed(_runs(spark, sf_dir))
+
+
+COST_SQL = """
+SELECT month, num_files, round(total, 6) AS cost_per_batch, round(monthly, 2) AS monthly_cost,
+  round(monthly * 12, 2) AS annual_cost
+FROM (SELECT month, num_files, total,
+        total * (CASE WHEN num_files > 0 THEN 10000 / num_files ELSE 0 END) AS monthly
+      FROM (SELECT month, num_files,
+              (num_files * 2) / 1000 * 0.005::DOUBLE + num_files / 1000000 * 0.20::DOUBLE
+              + num_files * 0.5::DOUBLE * 5 * 0.0000166667::DOUBLE + num_files / 1000000 * 1.25::DOUBLE AS total
+            FROM (SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS num_files FROM orders GROUP BY 1)))"""
+
+
+@query("cost_estimate", COST_SQL)
+def q_cost_estimate(spark, sf_dir):
+    o = read_table(spark, sf_dir, "orders")
+    batches = o.groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("month")).agg(
+        F.count(F.lit(1)).alias("num_files"))
+    return run_ops.cost_estimate(batches)
+
+
+# --------------------------------------------------------------------------
+# Two-arm comparison
+# --------------------------------------------------------------------------
+_f, _d = O.speedup_sql("a.mean", "b.mean")
+
+
+@query("cmp_speedup", O.with_ctes(f"""
+SELECT level, a.mean AS a_mean, b.mean AS b_mean, {_f} AS speedup, {_d} AS direction
+FROM (SELECT * FROM run_stats WHERE arm = 'a') a FULL JOIN (SELECT * FROM run_stats WHERE arm = 'b') b
+USING (level)""", "run_stats"))
+def q_cmp_speedup(spark, sf_dir):
+    st = run_ops.timing_stats(_runs(spark, sf_dir))
+    a = st.where("arm = 'a'").select("level", F.col("mean").alias("a_mean"))
+    b = st.where("arm = 'b'").select("level", F.col("mean").alias("b_mean"))
+    factor, direction = cmp_ops.speedup(F.col("a_mean"), F.col("b_mean"))
+    return a.join(b, "level", "full").select("level", "a_mean", "b_mean", factor.alias("speedup"),
+                                             direction.alias("direction"))
+
+
+@query("cmp_metrics", O.with_ctes(O.metric_cmp_sql(
+    "run_stats", ["count", "min", "max", "mean", "median", "p90", "p95", "stdev"], ["count"]), "run_stats"))
+def q_cmp_metrics(spark, sf_dir):
+    return cmp_ops.metric_comparison(run_ops.timing_stats(_runs(spark, sf_dir)))
+
+
+@query("cmp_pct_diff", O.with_ctes(O.metric_cmp_sql(
+    "levels", ["files_per_sec", "rows_per_sec", "proc_seconds", "success_rate"],
+    ["files_per_sec", "rows_per_sec", "success_rate"]), "levels"))
+def q_cmp_pct_diff(spark, sf_dir):
+    return cmp_ops.throughput_pct_diff(_levels(spark, sf_dir))
+
+
+@query("cmp_flags", O.with_ctes("""
+SELECT level, a.mean AS a_mean, b.mean AS b_mean, a.mean < 5 AS fast_iteration, a.mean > b.mean AS a_slower,
+  lb.mean > la.mean * 2 AS latency_gap
+FROM (SELECT * FROM run_stats WHERE arm = 'a') a
+FULL JOIN (SELECT * FROM run_stats WHERE arm = 'b') b USING (level)
+FULL JOIN (SELECT * FROM latency_stats WHERE arm = 'a') la USING (level)
+FULL JOIN (SELECT * FROM latency_stats WHERE arm = 'b') lb USING (level)""", "run_stats", "latency_stats"))
+def q_cmp_flags(spark, sf_dir):
+    runs = _runs(spark, sf_dir)
+    lat = run_ops.timing_stats(run_ops.event_latency(runs), value_col="latency", ok_col=None)
+    return cmp_ops.insight_flags(run_ops.timing_stats(runs), lat)
+
+
+_fs, _ds = O.speedup_sql("a.proc_seconds", "b.proc_seconds")
+
+
+@query("cmp_sizes", O.with_ctes(f"""
+SELECT level, a.success AS a_success, b.success AS b_success,
+  CASE WHEN a.success AND b.success THEN a.proc_seconds END AS a_seconds,
+  CASE WHEN a.success AND b.success THEN b.proc_seconds END AS b_seconds,
+  CASE WHEN a.success AND b.success THEN {_fs} END AS speedup,
+  CASE WHEN a.success AND b.success THEN {_ds} ELSE 'n/a' END AS direction
+FROM (SELECT * FROM levels WHERE arm = 'a') a FULL JOIN (SELECT * FROM levels WHERE arm = 'b') b USING (level)
+WHERE a.success IS NOT NULL AND b.success IS NOT NULL""", "levels"))
+def q_cmp_sizes(spark, sf_dir):
+    return cmp_ops.size_comparison(_levels(spark, sf_dir))
+
+
+@query("cmp_levels", O.with_ctes("""
+SELECT level, a.files_per_sec AS a_files_per_sec, a.rows_per_sec AS a_rows_per_sec, a.success_rate AS a_success_rate,
+  b.files_per_sec AS b_files_per_sec, b.rows_per_sec AS b_rows_per_sec, b.success_rate AS b_success_rate
+FROM (SELECT * FROM levels WHERE arm = 'a') a FULL JOIN (SELECT * FROM levels WHERE arm = 'b') b USING (level)""",
+    "levels"))
+def q_cmp_levels(spark, sf_dir):
+    return cmp_ops.level_comparison(_levels(spark, sf_dir))
+
+
+@query("cmp_scalability", O.with_ctes("""
+SELECT level, a.proc_seconds AS a_proc_seconds, a.rows_per_sec AS a_rows_per_sec,
+  b.proc_seconds AS b_proc_seconds, b.rows_per_sec AS b_rows_per_sec
+FROM (SELECT * FROM levels WHERE arm = 'a' AND success) a
+LEFT JOIN (SELECT * FROM levels WHERE arm = 'b' AND success) b USING (level)""", "levels"))
+def q_cmp_scalability(spark, sf_dir):
+    return cmp_ops.scalability(_levels(spark, sf_dir))
+
+
+@query("cmp_key_union", O.with_ctes("""
+SELECT level FROM levels WHERE arm = 'a' UNION SELECT level FROM levels WHERE arm = 'b'""", "levels"))
+def q_cmp_key_union(spark, sf_dir):
+    return cmp_ops.key_union(_levels(spark, sf_dir))
+
+
+@query("dedupe_first", O.with_ctes("SELECT * FROM first_cases", "first_cases"))
+def q_dedupe_first(spark, sf_dir):
+    return cmp_ops.first_cases(B.cases(spark, sf_dir))
+
+
+@query("cmp_cases", O.with_ctes("""
+SELECT test, a.status AS a_status, coalesce(b.status, 'N/A') AS b_status, a.status = coalesce(b.status, 'N/A') AS same
+FROM (SELECT * FROM first_cases WHERE arm = 'a') a LEFT JOIN (SELECT * FROM first_cases WHERE arm = 'b') b
+USING (test)""", "first_cases"))
+def q_cmp_cases(spark, sf_dir):
+    return cmp_ops.case_comparison(B.cases(spark, sf_dir))
+
+
+@query("cmp_divergences", O.with_ctes("""
+SELECT test, a.status AS a_status, b.status AS b_status
+FROM (SELECT * FROM first_cases WHERE arm = 'a') a JOIN (SELECT * FROM first_cases WHERE arm = 'b') b USING (test)
+WHERE a.status <> b.status""", "first_cases"))
+def q_cmp_divergences(spark, sf_dir):
+    return cmp_ops.divergences(B.cases(spark, sf_dir))
+
+
+@query("cmp_status_match", O.with_ctes("SELECT * FROM status_match", "status_match"))
+def q_cmp_status_match(spark, sf_dir):
+    return cmp_ops.status_match(B.cases(spark, sf_dir))
+
+
+_ft, _dt = O.speedup_sql("a_mean_raw", "b_mean_raw")
+
+
+@query("cmp_total_speedup", O.with_ctes(f"""
+SELECT round(a_mean_raw, 3) AS a_mean, round(b_mean_raw, 3) AS b_mean, {_ft} AS speedup, {_dt} AS direction
+FROM (SELECT avg(CASE WHEN arm = 'a' THEN total_seconds END) AS a_mean_raw,
+             avg(CASE WHEN arm = 'b' THEN total_seconds END) AS b_mean_raw FROM runs WHERE ok)""", "runs"))
+def q_cmp_total_speedup(spark, sf_dir):
+    return cmp_ops.total_speedup(_runs(spark, sf_dir))

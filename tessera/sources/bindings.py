@@ -58,7 +58,7 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     level = (F.col("user_id") % 6 + 1).cast("bigint")
     ok = F.col("event_type") != "error"
     return ev.select(
-        F.when(F.col("user_id") % 2 == 0, F.lit("a")).otherwise(F.lit("b")).alias("arm"),
+        F.when(F.col("event_id") % 2 == 0, F.lit("a")).otherwise(F.lit("b")).alias("arm"),
         level.alias("level"),
         F.col("event_id").alias("run_id"),
         F.col("ts"),
