@@ -38,10 +38,8 @@ DATE_FLAG_NAMES = ["fmt_ymd_dash", "fmt_mdy_slash", "fmt_dmy_slash", "fmt_ymd_sl
 
 def cell_flags(cells: DataFrame, keys: Sequence[str] = ("file_name",)) -> DataFrame:
     """Per-cell predicate flags and parsed numeric values."""
-    keys = list(keys)
     v = F.col("value")
-    flagged = cells.select(*keys, "row_no", "ordinal", "column", "value",
-                           is_missing(v).alias("is_missing"))
+    flagged = cells.select("*", is_missing(v).alias("is_missing"))
     present = ~F.col("is_missing")
     flagged = flagged.select(
         "*",
@@ -81,12 +79,14 @@ def date_probe(cells: DataFrame, keys: Sequence[str] = ("file_name",)) -> DataFr
     return probe.withColumn("date_ok", any_fmt)
 
 
-def column_profile(cells: DataFrame, keys: Sequence[str] = ("file_name",)) -> DataFrame:
+def column_profile(cells: DataFrame, keys: Sequence[str] = ("file_name",),
+                   extra_aggs: Sequence[F.Column] = ()) -> DataFrame:
     """One row per (file, column): counts, inferred type and statistics.
 
     Output columns: keys, ordinal, column, n_rows, n_missing, n_present, n_int,
     n_float, n_nan, type, stat_min, stat_max, stat_avg, stat_count, int_min,
-    int_max (exact DECIMAL(38,0)), probe flags.
+    int_max (exact DECIMAL(38,0)), probe flags, then ``extra_aggs`` (further
+    aggregates over the same cells, computed in the same pass).
     """
     keys = list(keys)
     flags = cell_flags(cells, keys)
@@ -106,7 +106,9 @@ def column_profile(cells: DataFrame, keys: Sequence[str] = ("file_name",)) -> Da
         F.min(fv_num).alias("float_min"),
         F.max(fv_num).alias("float_max"),
         F.sum(fv_num).alias("float_sum"),
+        *extra_aggs,
     )
+    extra_names = agg.columns[len(keys) + 13:]
     probe = date_probe(cells, keys)
     prof = agg.join(probe, on=[*keys, "ordinal"], how="left")
     n_present = F.col("n_rows") - F.col("n_missing")
@@ -133,7 +135,7 @@ def column_profile(cells: DataFrame, keys: Sequence[str] = ("file_name",)) -> Da
         F.when(is_int_t, F.col("n_int")).when(is_flt_t, F.col("n_float")).alias("stat_count"),
         F.when(is_int_t, F.col("int_min")).alias("int_min"),
         F.when(is_int_t, F.col("int_max")).alias("int_max"),
-        "probe_n", *DATE_FLAG_NAMES, "date_ok",
+        "probe_n", *DATE_FLAG_NAMES, "date_ok", *extra_names,
     )
 
 
