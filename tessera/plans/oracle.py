@@ -236,3 +236,71 @@ SELECT level, metric, a_value, b_value, round({d}, 1) AS pct_diff,
        ELSE 'same' END AS verdict
 FROM (SELECT level, metric, value AS a_value FROM ({long}) WHERE arm = 'a') a
 LEFT JOIN (SELECT level, metric, value AS b_value FROM ({long}) WHERE arm = 'b') b USING (level, metric)"""
+
+
+# --------------------------------------------------------------------------
+# CSV files written from events
+# --------------------------------------------------------------------------
+cte("events_files", """
+SELECT event_type || '_' || CAST(user_id % 8 AS VARCHAR) AS file, event_type, event_id, user_id, value, ts,
+  min(event_id) OVER (PARTITION BY event_type || '_' || CAST(user_id % 8 AS VARCHAR)) AS first_id
+FROM events""")
+
+cte("events_file_status", """
+SELECT file || '.csv' AS file_name,
+  CASE WHEN bad_utf8 OR n_short > 0 OR long_first THEN 'error' ELSE 'success' END AS status,
+  CASE WHEN bad_utf8 THEN 'file is not valid UTF-8'
+       WHEN n_short > 0 THEN 'a row has fewer fields than the header'
+       WHEN long_first THEN 'the first row has more fields than the header' END AS error_message,
+  CAST(CASE WHEN bad_utf8 OR n_short > 0 OR long_first THEN 0 ELSE n END AS BIGINT) AS row_count,
+  n_short AS n_short_rows, n_long AS n_long_rows, long_first AS long_first_row, NOT bad_utf8 AS utf8_ok
+FROM (SELECT file, count(*) AS n,
+        CAST(count_if(event_type = 'error' AND event_id % 37 = 0) AS BIGINT) AS n_short,
+        CAST(count_if((event_type = 'click' AND event_id % 41 = 0)
+                      OR (event_type = 'purchase' AND event_id = first_id)) AS BIGINT) AS n_long,
+        bool_or(event_id = first_id AND ((event_type = 'click' AND event_id % 41 = 0) OR event_type = 'purchase'))
+          AS long_first,
+        bool_or(event_type = 'signup' AND event_id % 53 = 0) AS bad_utf8
+      FROM events_files GROUP BY file)""", ("events_files",))
+
+
+def _csv_col(name: str, ordinal: int, typ: str, expr: str | None) -> str:
+    if expr is None:
+        stats = "CAST(NULL AS DOUBLE) AS stat_min, CAST(NULL AS DOUBLE) AS stat_max, " \
+                "CAST(NULL AS DOUBLE) AS stat_avg, CAST(NULL AS BIGINT) AS stat_count"
+    else:
+        stats = (f"CAST(min({expr}) AS DOUBLE) AS stat_min, CAST(max({expr}) AS DOUBLE) AS stat_max, "
+                 f"round(avg({expr}), 6) AS stat_avg, count(*) AS stat_count")
+    return (f"SELECT file || '.csv' AS file_name, '{name}' AS \"column\", {ordinal} AS ordinal, '{typ}' AS type, "
+            f"{stats}, CAST(0 AS BIGINT) AS n_missing FROM events_files GROUP BY file")
+
+
+cte("events_csv_profile", "\nUNION ALL\n".join([
+    _csv_col("event_id", 1, "int", "event_id"),
+    _csv_col("user_id", 2, "int", "user_id"),
+    _csv_col("value", 3, "float", "CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE)"),
+    _csv_col("day", 4, "date", None),
+    _csv_col("note", 5, "string", None),
+]), ("events_files",))
+
+# --------------------------------------------------------------------------
+# Metadata and reconciliation (orders / lineitem)
+# --------------------------------------------------------------------------
+cte("metadata_records", """
+SELECT 'file_' || CAST(o_custkey AS VARCHAR) || '.csv' AS file_name, o_orderdate AS processed_ts, o_orderkey AS seq,
+  CASE WHEN o_orderstatus = 'P' THEN 'error' ELSE 'success' END AS status,
+  CASE WHEN o_orderstatus = 'P' THEN 'order ' || CAST(o_orderkey AS VARCHAR) || ' failed' END AS error_message,
+  o_orderkey % 1000 AS row_count
+FROM orders""")
+
+cte("meta_latest", """
+SELECT file_name, strftime(processed_ts, '%Y-%m-%d %H:%M:%S') AS processed_ts, seq, status, error_message, row_count
+FROM (SELECT *, row_number() OVER (PARTITION BY file_name ORDER BY processed_ts DESC, seq DESC) AS rn
+      FROM metadata_records) WHERE rn = 1""", ("metadata_records",))
+
+cte("arrivals", "SELECT o_orderkey AS object_id, o_orderdate AS arrive_ts, o_orderpriority AS priority FROM orders")
+
+cte("completions", """
+SELECT l_orderkey AS object_id, min(l_shipdate) AS done_ts,
+  CASE WHEN bool_or(l_returnflag = 'R') THEN 'error' ELSE 'success' END AS status
+FROM lineitem GROUP BY l_orderkey""")

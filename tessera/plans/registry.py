@@ -365,3 +365,260 @@ FROM (SELECT avg(CASE WHEN arm = 'a' THEN total_seconds END) AS a_mean_raw,
              avg(CASE WHEN arm = 'b' THEN total_seconds END) AS b_mean_raw FROM runs WHERE ok)""", "runs"))
 def q_cmp_total_speedup(spark, sf_dir):
     return cmp_ops.total_speedup(_runs(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------
+# CSV files written from events
+# --------------------------------------------------------------------------
+from tessera.functions.derived import last_segment  # noqa: E402
+from tessera.operators import metadata as meta_ops  # noqa: E402
+from tessera.session import shared_dir  # noqa: E402
+from tessera.sinks import writers as sink_ops  # noqa: E402
+from tessera.sources import csv_files as csv_ops  # noqa: E402
+from tessera.sources import events as ev_ops  # noqa: E402
+from tessera.sources import generator as gen_ops  # noqa: E402
+
+
+def events_csv_profile(spark, sf_dir):
+    root = B.write_events_csv(spark, sf_dir, shared_dir(spark, "bindings", "events_csv"))
+    manifest = csv_ops.list_files(spark, root, suffix=None)
+    return csv_ops.profile_files(spark, manifest)
+
+
+@query("file_status", O.with_ctes(
+    "SELECT file_name, status, error_message, row_count FROM events_file_status", "events_file_status"))
+def q_file_status(spark, sf_dir):
+    _, files = events_csv_profile(spark, sf_dir)
+    return files.select(B.logical_file_name(F.col("file_path")).alias("file_name"), "status", "error_message",
+                        "row_count")
+
+
+@query("check_ragged", O.with_ctes(
+    "SELECT file_name, n_short_rows, n_long_rows, long_first_row FROM events_file_status", "events_file_status"))
+def q_check_ragged(spark, sf_dir):
+    _, files = events_csv_profile(spark, sf_dir)
+    return files.select(B.logical_file_name(F.col("file_path")).alias("file_name"), "n_short_rows",
+                        "n_long_rows", "long_first_row")
+
+
+@query("csv_profile", O.with_ctes(
+    "SELECT p.* FROM events_csv_profile p JOIN events_file_status s USING (file_name) WHERE s.status = 'success'",
+    "events_csv_profile", "events_file_status"))
+def q_csv_profile(spark, sf_dir):
+    columns, files = events_csv_profile(spark, sf_dir)
+    ok = csv_ops.successful_columns(columns, files)
+    return ok.select(B.logical_file_name(F.col("file_path")).alias("file_name"), "column", "ordinal", "type",
+                     "stat_min", "stat_max", F.round("stat_avg", 6).alias("stat_avg"), "stat_count", "n_missing")
+
+
+@query("src_utf8_check", O.with_ctes(
+    "SELECT file_name, utf8_ok FROM events_file_status", "events_file_status"))
+def q_src_utf8_check(spark, sf_dir):
+    root = B.write_events_csv(spark, sf_dir, shared_dir(spark, "bindings", "events_csv"))
+    manifest = csv_ops.list_files(spark, root, suffix=None)
+    return csv_ops.utf8_check(spark, manifest).select(
+        B.logical_file_name(F.col("file_path")).alias("file_name"), "utf8_ok")
+
+
+# --------------------------------------------------------------------------
+# Summary sink (K1 + S4 round trip)
+# --------------------------------------------------------------------------
+
+@query("sink_summary", O.with_ctes("""
+SELECT file_name, 'processed/' || replace(file_name, '.csv', '') || '_summary.json' AS summary_key, row_count,
+  column_count, (n_missing_columns + n_invalid_columns) > 0 AS has_issues, n_numeric AS n_statistics,
+  n_missing_columns AS n_missing_entries
+FROM file_prof""", "file_prof"))
+def q_sink_summary(spark, sf_dir):
+    files = prof_ops.file_profile(dirty_profile(spark, sf_dir), B.declared_schema(spark))
+    out = shared_dir(spark, "sinks", "summaries")
+    sink_ops.write_summaries(prof_ops.summary_document(files), out)
+    back = sink_ops.read_summaries(spark, out)
+    return back.select(
+        "file_name", "summary_key", "row_count", "column_count",
+        F.col("quality_issues.has_issues").alias("has_issues"),
+        F.size(F.map_keys(F.from_json(F.to_json("statistics"), "map<string,string>"))).cast("bigint")
+        .alias("n_statistics"),
+        F.size(F.map_keys(F.from_json(F.to_json("quality_issues.missing_values"), "map<string,string>")))
+        .cast("bigint").alias("n_missing_entries"))
+
+
+# --------------------------------------------------------------------------
+# Metadata log, lookups, reconciliation
+# --------------------------------------------------------------------------
+
+def _meta_out(latest_df):
+    return latest_df.select("file_name", F.date_format("processed_ts", "yyyy-MM-dd HH:mm:ss").alias("processed_ts"),
+                            "seq", "status", "error_message", "row_count")
+
+
+@query("meta_latest", O.with_ctes("SELECT * FROM meta_latest", "meta_latest"))
+def q_meta_latest(spark, sf_dir):
+    return _meta_out(meta_ops.latest(B.metadata_records(spark, sf_dir), order=("processed_ts", "seq")))
+
+
+@query("sink_metadata_latest", O.with_ctes("SELECT * FROM meta_latest", "meta_latest"))
+def q_sink_metadata_latest(spark, sf_dir):
+    recs = B.metadata_records(spark, sf_dir)
+    path = shared_dir(spark, "sinks", "metadata_log")
+    # Two deliveries of the same log: duplicates must not change the view.
+    meta_ops.append_log(recs, path, batch_id=0)
+    meta_ops.append_log(recs, path, batch_id=1)
+    log = meta_ops.read_log(spark, path)
+    return _meta_out(meta_ops.latest(log, order=("processed_ts", "seq")))
+
+
+@query("meta_lookup", O.with_ctes("""
+SELECT c_custkey, m.status IS NOT NULL AS found, coalesce(m.status, 'missing') AS status, m.row_count
+FROM customer c LEFT JOIN meta_latest m ON m.file_name = 'file_' || CAST(c.c_custkey AS VARCHAR) || '.csv'""",
+    "meta_latest"))
+def q_meta_lookup(spark, sf_dir):
+    latest = meta_ops.latest(B.metadata_records(spark, sf_dir), order=("processed_ts", "seq"))
+    probes = read_table(spark, sf_dir, "customer").select(
+        "c_custkey", F.concat(F.lit("file_"), F.col("c_custkey").cast("string"), F.lit(".csv")).alias("file_name"))
+    return meta_ops.lookup(latest, probes).drop("file_name")
+
+
+@query("reconcile_processed", O.with_ctes("""
+SELECT priority, count(*) AS n_uploaded,
+  CAST(count_if(object_id IN (SELECT object_id FROM completions WHERE status = 'success')) AS BIGINT) AS n_processed
+FROM arrivals GROUP BY priority""", "arrivals", "completions"))
+def q_reconcile_processed(spark, sf_dir):
+    return meta_ops.reconcile_processed(B.arrivals(spark, sf_dir), B.completions(spark, sf_dir))
+
+
+@query("reconcile_missing", O.with_ctes("""
+SELECT object_id, strftime(arrive_ts, '%Y-%m-%d %H:%M:%S') AS arrive_ts, priority FROM arrivals
+WHERE object_id NOT IN (SELECT object_id FROM completions)""", "arrivals", "completions"))
+def q_reconcile_missing(spark, sf_dir):
+    m = meta_ops.reconcile_missing(B.arrivals(spark, sf_dir), B.completions(spark, sf_dir))
+    return m.select("object_id", F.date_format("arrive_ts", "yyyy-MM-dd HH:mm:ss").alias("arrive_ts"), "priority")
+
+
+@query("reconcile_deadline", O.with_ctes("""
+SELECT a.object_id, coalesce(c.status, 'timeout') AS status, date_diff('second', a.arrive_ts, c.done_ts) AS wait_seconds
+FROM arrivals a LEFT JOIN completions c
+  ON a.object_id = c.object_id AND c.done_ts >= a.arrive_ts AND c.done_ts <= a.arrive_ts + INTERVAL 30 DAY""",
+    "arrivals", "completions"))
+def q_reconcile_deadline(spark, sf_dir):
+    return meta_ops.reconcile_deadline(B.arrivals(spark, sf_dir), B.completions(spark, sf_dir), "30 days")
+
+
+# --------------------------------------------------------------------------
+# Sources (S5, S6, S7, F5-F7)
+# --------------------------------------------------------------------------
+
+def arrival_notifications(spark, sf_dir):
+    """Object-created notifications built from events (two records when event_id % 4 = 0)."""
+    ev = read_table(spark, sf_dir, "events")
+    eid = F.col("event_id").cast("string")
+    prefix = F.when(F.col("event_id") % 10 == 0, F.lit("other/")).otherwise(F.lit("uploads/"))
+    suffix = F.when(F.col("event_id") % 15 == 0, F.lit(".txt")).otherwise(F.lit(".csv"))
+    rec = F.concat(
+        F.lit('{"eventName":"ObjectCreated:Put","eventTime":"'),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"),
+        F.lit('","s3":{"bucket":{"name":"bucket-'), F.col("event_type"),
+        F.lit('"},"object":{"key":"'), prefix, F.col("event_type"), F.lit("/file+"), eid, suffix,
+        F.lit('","size":'), F.col("user_id").cast("string"), F.lit("}}}"))
+    rec2 = F.concat(F.lit('{"eventName":"ObjectRemoved:Delete","eventTime":"'),
+                    F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"),
+                    F.lit('","s3":{"bucket":{"name":"bucket-'), F.col("event_type"),
+                    F.lit('"},"object":{"key":"uploads/old-'), eid, F.lit('.csv","size":0}}}'))
+    body = F.concat(F.lit('{"Records":['), rec,
+                    F.when(F.col("event_id") % 4 == 0, F.concat(F.lit(","), rec2)).otherwise(F.lit("")),
+                    F.lit("]}"))
+    return ev.select("event_id", body.alias("body"))
+
+
+_DECODE_SQL = """
+SELECT event_id, 0 AS record_no, 'ObjectCreated:Put' AS event_name,
+  strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') AS event_time,
+  'bucket-' || event_type AS bucket,
+  CASE WHEN event_id % 10 = 0 THEN 'other/' ELSE 'uploads/' END || event_type || '/file ' || CAST(event_id AS VARCHAR)
+    || CASE WHEN event_id % 15 = 0 THEN '.txt' ELSE '.csv' END AS key,
+  user_id AS size
+FROM events
+UNION ALL
+SELECT event_id, 1 AS record_no, 'ObjectRemoved:Delete' AS event_name,
+  strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') AS event_time,
+  'bucket-' || event_type AS bucket, 'uploads/old-' || CAST(event_id AS VARCHAR) || '.csv' AS key, 0 AS size
+FROM events WHERE event_id % 4 = 0"""
+
+
+@query("src_event_decode", f"""
+SELECT *, regexp_extract(key, '[^/]*$', 0) AS file_name,
+  CASE WHEN event_name NOT LIKE 'ObjectCreated:%' THEN 'ignored' WHEN NOT ends_with(key, '.csv') THEN 'ignored'
+       WHEN NOT starts_with(key, 'uploads/') THEN 'skipped' ELSE 'process' END AS action
+FROM ({_DECODE_SQL})""")
+def q_src_event_decode(spark, sf_dir):
+    dec = ev_ops.decode_events(arrival_notifications(spark, sf_dir), keep=("event_id",))
+    return ev_ops.route(dec)
+
+
+@query("src_prefix_filter", """
+SELECT page_id, regexp_extract(url, '^[a-z]+://[^/]+/([^?#]*)', 1) AS key,
+  regexp_extract(regexp_extract(url, '^[a-z]+://[^/]+/([^?#]*)', 1), '[^/]*$', 0) AS file_name,
+  CASE WHEN starts_with(regexp_extract(url, '^[a-z]+://[^/]+/([^?#]*)', 1), 'en/') THEN 'process' ELSE 'skipped' END
+    AS action
+FROM pages""")
+def q_src_prefix_filter(spark, sf_dir):
+    pages = read_table(spark, sf_dir, "pages")
+    key = F.regexp_extract("url", r"^[a-z]+://[^/]+/([^?#]*)", 1)
+    return pages.select("page_id", key.alias("key"), last_segment(key).alias("file_name"),
+                        F.when(key.startswith("en/"), F.lit("process")).otherwise(F.lit("skipped")).alias("action"))
+
+
+@query("src_latest_per_env", """
+SELECT event_type AS environment, event_id AS run_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts
+FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+WHERE rn = 1""")
+def q_src_latest_per_env(spark, sf_dir):
+    from tessera.operators.ranking import latest_per_key
+    ev = read_table(spark, sf_dir, "events").select(F.col("event_type").alias("environment"),
+                                                     F.col("event_id").alias("run_id"), "ts")
+    latest = latest_per_key(ev, ["environment"], ["ts", "run_id"])
+    return latest.select("environment", "run_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"))
+
+
+_EMP_SQL = """
+SELECT CAST(c_nationkey AS BIGINT) AS file_id, c_custkey AS i,
+  printf('Employee_%d_%d', c_nationkey, c_custkey) AS name,
+  CAST(25 + c_custkey % 40 AS VARCHAR) AS age,
+  CAST(50000 + (c_custkey * 1000) % 100000 AS VARCHAR) AS salary,
+  printf('202%d-%02d-%02d', c_custkey % 5, c_custkey % 12 + 1, c_custkey % 28 + 1) AS join_date,
+  ['Engineering', 'Sales', 'Marketing', 'HR', 'Finance'][c_custkey % 5 + 1] AS department,
+  ['New York', 'San Francisco', 'London', 'Tokyo', 'Berlin'][c_custkey % 5 + 1] AS city,
+  printf('EMP%04d%04d', c_nationkey, c_custkey) AS employee_id
+FROM customer"""
+
+
+def _employees(spark, sf_dir):
+    ids = read_table(spark, sf_dir, "customer").select(F.col("c_nationkey").cast("bigint").alias("file_id"),
+                                                        F.col("c_custkey").alias("i"))
+    return gen_ops.employees(ids)
+
+
+@query("gen_employees", _EMP_SQL)
+def q_gen_employees(spark, sf_dir):
+    return _employees(spark, sf_dir)
+
+
+@query("gen_employees_profile", f"""
+SELECT file_id, "column", type, stat_min, stat_max, round(stat_avg, 6) AS stat_avg, stat_count FROM (
+  SELECT file_id, 'age' AS "column", 'int' AS type, CAST(min(CAST(age AS BIGINT)) AS DOUBLE) AS stat_min,
+    CAST(max(CAST(age AS BIGINT)) AS DOUBLE) AS stat_max, avg(CAST(age AS BIGINT)) AS stat_avg, count(*) AS stat_count
+  FROM ({_EMP_SQL}) GROUP BY file_id
+  UNION ALL
+  SELECT file_id, 'salary', 'int', CAST(min(CAST(salary AS BIGINT)) AS DOUBLE), CAST(max(CAST(salary AS BIGINT)) AS DOUBLE),
+    avg(CAST(salary AS BIGINT)), count(*)
+  FROM ({_EMP_SQL}) GROUP BY file_id
+  UNION ALL
+  SELECT DISTINCT file_id, unnest(['name', 'join_date', 'department', 'city', 'employee_id']),
+    unnest(['string', 'date', 'string', 'string', 'string']), NULL, NULL, NULL, NULL
+  FROM ({_EMP_SQL}))""")
+def q_gen_employees_profile(spark, sf_dir):
+    emps = _employees(spark, sf_dir)
+    cells = to_cells(emps.withColumnRenamed("i", "row_no"), ("file_id", "row_no"), gen_ops.HEADER)
+    prof = prof_ops.column_profile(cells, ["file_id"])
+    return prof.select("file_id", "column", "type", "stat_min", "stat_max", F.round("stat_avg", 6).alias("stat_avg"),
+                       "stat_count")

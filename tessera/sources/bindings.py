@@ -138,3 +138,55 @@ def completion_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select(F.col("l_orderkey").alias("object_id"), F.col("l_shipdate").alias("done_ts"),
                      F.when(F.col("l_returnflag") == "R", F.lit("error"))
                      .otherwise(F.lit("success")).alias("status"))
+
+
+# --------------------------------------------------------------------------
+# Files written from the tables (CSV profiling end to end)
+# --------------------------------------------------------------------------
+EVENTS_CSV_HEADER = "event_id,user_id,value,day,note"
+EVENTS_CSV_FILES_PER_TYPE = 8
+
+
+def events_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV lines of events, one logical file per (event_type, user_id % 8).
+
+    Defects by construction: 'error' files have short rows (event_id % 37 = 0),
+    'click' files long rows (event_id % 41 = 0), every 'purchase' file an
+    over-long first row, 'signup' files an invalid UTF-8 byte
+    (event_id % 53 = 0), 'view' files a quoted field with a comma.
+    """
+    ev = read_table(spark, sf_dir, "events")
+    t, eid = F.col("event_type"), F.col("event_id")
+    f = ev.select(
+        F.concat(t, F.lit("_"), (F.col("user_id") % EVENTS_CSV_FILES_PER_TYPE).cast("string")).alias("file"),
+        t, eid, F.col("user_id"), F.col("value"), F.col("ts"))
+    first = f.groupBy("file").agg(F.min("event_id").alias("first_id"))
+    f = f.join(first, "file")
+    note = (F.when(t == "view", F.lit('"seen, twice"'))
+            .when((t == "signup") & (eid % 53 == 0),
+                  F.concat(F.lit("sign"), F.unhex(F.lit("FF")).cast("string")))
+            .otherwise(t))
+    base4 = F.concat_ws(",", eid.cast("string"), F.col("user_id").cast("string"),
+                        F.col("value").cast("decimal(18,2)").cast("string"), F.date_format("ts", "yyyy-MM-dd"))
+    line = (F.when((t == "error") & (eid % 37 == 0), base4)
+            .when(((t == "click") & (eid % 41 == 0)) | ((t == "purchase") & (eid == F.col("first_id"))),
+                  F.concat_ws(",", base4, note, F.lit("x")))
+            .otherwise(F.concat_ws(",", base4, note)))
+    rows = f.select("file", (eid + 1).alias("k"), line.alias("line"))
+    headers = f.select("file").distinct().select("file", F.lit(0).cast("bigint").alias("k"),
+                                                 F.lit(EVENTS_CSV_HEADER).alias("line"))
+    return rows.unionByName(headers)
+
+
+def write_events_csv(spark: SparkSession, sf_dir: str, root: str) -> str:
+    """Write the lines of ``events_csv_lines`` as one text file per logical
+    file (header first) under ``root/file=<name>/``; returns ``root``."""
+    lines = events_csv_lines(spark, sf_dir)
+    (lines.repartition("file").sortWithinPartitions("file", "k").select("file", "line")
+     .write.mode("overwrite").partitionBy("file").text(root))
+    return root
+
+
+def logical_file_name(path_col) -> F.Column:
+    """'.../file=click_3/part-...' -> 'click_3.csv'."""
+    return F.concat(F.regexp_extract(path_col, r"file=([^/]+)/", 1), F.lit(".csv"))
