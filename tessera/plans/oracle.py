@@ -304,3 +304,11 @@ cte("completions", """
 SELECT l_orderkey AS object_id, min(l_shipdate) AS done_ts,
   CASE WHEN bool_or(l_returnflag = 'R') THEN 'error' ELSE 'success' END AS status
 FROM lineitem GROUP BY l_orderkey""")
+
+cte("deadline_matches", """
+SELECT a.object_id, CASE WHEN count(c.done_ts) > 0 THEN 'done' ELSE 'timeout' END AS status,
+  count(c.done_ts) AS n_matches, strftime(min(c.done_ts), '%Y-%m-%d %H:%M:%S') AS first_done
+FROM arrivals a
+LEFT JOIN (SELECT l_orderkey AS object_id, l_shipdate AS done_ts FROM lineitem) c
+  ON a.object_id = c.object_id AND c.done_ts >= a.arrive_ts AND c.done_ts <= a.arrive_ts + INTERVAL 30 DAY
+GROUP BY a.object_id""", ("arrivals",))

@@ -622,3 +622,72 @@ def q_gen_employees_profile(spark, sf_dir):
     prof = prof_ops.column_profile(cells, ["file_id"])
     return prof.select("file_id", "column", "type", "stat_min", "stat_max", F.round("stat_avg", 6).alias("stat_avg"),
                        "stat_count")
+
+
+# --------------------------------------------------------------------------
+# Streaming
+# --------------------------------------------------------------------------
+from tessera.session import qualify  # noqa: E402
+from tessera.streaming import deadline as dl_ops  # noqa: E402
+from tessera.streaming import profile_stream as ps_ops  # noqa: E402
+
+
+def write_notifications(spark, root: str, out_dir: str, n_files: int = 3) -> None:
+    """One object-created notification per file under ``root`` (keys relative to it)."""
+    listing = csv_ops.list_files(spark, root, suffix=None)
+    base = qualify(spark, root).rstrip("/") + "/"
+    key = F.substring(F.col("file_path"), len(base) + 1, 100000)
+    rec = F.struct(
+        F.lit("ObjectCreated:Put").alias("eventName"),
+        F.date_format("modification_ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("eventTime"),
+        F.struct(F.struct(F.lit("local").alias("name")).alias("bucket"),
+                 F.struct(F.url_encode(key).alias("key"), F.col("length").alias("size")).alias("object"))
+        .alias("s3"))
+    body = F.to_json(F.struct(F.array(rec).alias("Records")))
+    listing.select(body.alias("value")).repartition(n_files).write.mode("overwrite").text(out_dir)
+
+
+@query("stream_profile", O.with_ctes(
+    "SELECT file_name, status, error_message, row_count FROM events_file_status", "events_file_status"))
+def q_stream_profile(spark, sf_dir):
+    base = shared_dir(spark, "bindings", "stream_profile")
+    root = B.write_events_csv(spark, sf_dir, base + "/data")
+    write_notifications(spark, root, base + "/notifications")
+    q = ps_ops.start_profile_stream(spark, base + "/notifications", qualify(spark, root).rstrip("/") + "/",
+                                    base + "/log", base + "/checkpoint", prefix="file=", suffix=".txt",
+                                    max_files_per_trigger=1)
+    q.awaitTermination()
+    cur = ps_ops.current_status(spark, base + "/log")
+    return cur.select(B.logical_file_name(F.col("file_path")).alias("file_name"), "status", "error_message",
+                      "row_count")
+
+
+SENTINEL_DAYS = "36500 days"  # watermark delay wider than the data's time span
+
+
+@query("stream_deadline", O.with_ctes("SELECT * FROM deadline_matches", "deadline_matches"))
+def q_stream_deadline(spark, sf_dir):
+    base = shared_dir(spark, "bindings", "stream_deadline")
+    arr = B.arrivals(spark, sf_dir).select("object_id", F.col("arrive_ts").cast("timestamp").alias("arrive_ts"))
+    comp = B.completion_events(spark, sf_dir).select("object_id", F.col("done_ts").cast("timestamp").alias("done_ts"),
+                                                     "status")
+    arr.repartition(4).write.mode("overwrite").parquet(base + "/arrivals")
+    comp.repartition(4).write.mode("overwrite").parquet(base + "/completions")
+    # Trailing sentinel events (two separate later files) move the watermark
+    # past every real arrival so that all timeouts are emitted.
+    for i, day in ((1, "2300-01-01"), (2, "2300-06-01")):
+        spark.createDataFrame([(-i, day)], "object_id bigint, d string").select(
+            "object_id", F.to_timestamp("d").alias("arrive_ts")).write.mode("append").parquet(base + "/arrivals")
+        spark.createDataFrame([(-i, day)], "object_id bigint, d string").select(
+            "object_id", (F.to_timestamp("d") + F.expr("INTERVAL 1 day")).alias("done_ts"),
+            F.lit("success").alias("status")).write.mode("append").parquet(base + "/completions")
+    a_s = spark.readStream.schema(arr.schema).option("maxFilesPerTrigger", 1).parquet(base + "/arrivals")
+    c_s = spark.readStream.schema(comp.schema).option("maxFilesPerTrigger", 1).parquet(base + "/completions")
+    matches = dl_ops.deadline_join(a_s, c_s, "30 days", SENTINEL_DAYS, SENTINEL_DAYS)
+    q = (matches.writeStream.format("parquet").option("path", base + "/out")
+         .option("checkpointLocation", base + "/checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    out = spark.read.parquet(base + "/out").where(F.col("object_id") >= 0)
+    s = dl_ops.summarize(out)
+    return s.select("object_id", "status", "n_matches",
+                    F.date_format("first_done", "yyyy-MM-dd HH:mm:ss").alias("first_done"))

@@ -74,3 +74,11 @@ def local_path(path: str) -> str:
     if path.startswith("file:"):
         return path[len("file:"):]
     return os.fspath(path)
+
+
+def qualify(spark: SparkSession, path: str) -> str:
+    """Fully qualified Hadoop form of a path (e.g. ``file:/tmp/x``)."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.makeQualified(p).toString()
