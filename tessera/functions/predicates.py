@@ -36,6 +36,13 @@ FLOAT_RE = (
     rf"|^{WS_CLASS}*[+-]?(?:nan|inf|infinity){WS_CLASS}*$"
 )
 BLANK_RE = rf"^{WS_CLASS}*$"
+# Same grammars with the literal (whitespace stripped) as group 1, so one
+# regexp_extract both validates and strips.
+INT_CAPTURE = rf"^{WS_CLASS}*([+-]?{DIGITS}){WS_CLASS}*$"
+FLOAT_CAPTURE = (
+    rf"(?i)^{WS_CLASS}*([+-]?(?:(?:{DIGITS})(?:\.(?:{DIGITS})?)?|\.{DIGITS})(?:e[+-]?{DIGITS})?"
+    rf"|[+-]?(?:nan|inf|infinity)){WS_CLASS}*$"
+)
 STRIP_RE = rf"^{WS_CLASS}+|{WS_CLASS}+$"
 
 # (name, Spark datetime pattern, exact shape) in the order they are tried.

@@ -12,15 +12,22 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.plans.partitioning import ensure_parallelism
+
 
 def to_cells(df: DataFrame, id_cols: Sequence[str] = ("file_name", "row_no"),
-             value_cols: Sequence[str] | None = None, start_ordinal: int = 1) -> DataFrame:
+             value_cols: Sequence[str] | None = None, start_ordinal: int = 1,
+             spread: bool = True) -> DataFrame:
     """Unpivot ``value_cols`` (default: all non-id columns) into text cells.
 
     ``ordinal`` is the 1-based position of the column in ``value_cols`` (the
-    header order), ``column`` its name and ``value`` the cell as text.
+    header order), ``column`` its name and ``value`` the cell as text.  With
+    ``spread`` an input with too few partitions is first spread over the
+    cluster (see ``ensure_parallelism``).
     """
     id_cols = list(id_cols)
+    if spread:
+        df = ensure_parallelism(df)
     if value_cols is None:
         value_cols = [c for c in df.columns if c not in id_cols]
     cells = [

@@ -23,34 +23,36 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.predicates import (
-    DATE_FORMATS,
-    is_date_format,
-    is_float_literal,
-    is_int_literal,
-    is_missing,
-    strip_ws,
-)
+from tessera.functions.predicates import FLOAT_CAPTURE, INT_CAPTURE, is_date_format, is_missing
 
 DATE_PROBE_SIZE = 10  # fixed value: the reference looks at the first 10 values
 DATE_FLAG_NAMES = ["fmt_ymd_dash", "fmt_mdy_slash", "fmt_dmy_slash", "fmt_ymd_slash"]
 
 
 def cell_flags(cells: DataFrame, keys: Sequence[str] = ("file_name",)) -> DataFrame:
-    """Per-cell predicate flags and parsed numeric values."""
+    """Per-cell predicate flags and parsed numeric values.
+
+    One capturing regex per numeric type validates the literal and strips its
+    whitespace at once; the float regex is skipped for int literals, and the
+    casts only ever see validated text (no parse failures on the hot path).
+    """
     v = F.col("value")
     flagged = cells.select("*", is_missing(v).alias("is_missing"))
     present = ~F.col("is_missing")
+    flagged = flagged.select("*", F.when(present, F.regexp_extract(v, INT_CAPTURE, 1)).alias("_int_txt"))
+    is_int = F.coalesce(F.col("_int_txt") != "", F.lit(False))
     flagged = flagged.select(
-        "*",
-        (present & is_int_literal(v)).alias("is_int"),
-        (present & is_float_literal(v)).alias("is_float"),
-    )
-    digits = F.regexp_replace(strip_ws(v), "_", "")
+        "*", F.when(is_int, F.col("_int_txt"))
+        .when(present, F.regexp_extract(v, FLOAT_CAPTURE, 1)).alias("_flt_txt"))
+    is_float = F.coalesce(F.col("_flt_txt") != "", F.lit(False))
     return flagged.select(
-        "*",
-        F.when(F.col("is_int"), digits.try_cast("decimal(38,0)")).alias("int_value"),
-        F.when(F.col("is_float"), digits.try_cast("double")).alias("float_value"),
+        *[c for c in flagged.columns if c not in ("_int_txt", "_flt_txt")],
+        is_int.alias("is_int"),
+        is_float.alias("is_float"),
+        F.when(is_int, F.replace(F.col("_int_txt"), F.lit("_"), F.lit("")).try_cast("decimal(38,0)"))
+        .alias("int_value"),
+        F.when(is_float, F.replace(F.col("_flt_txt"), F.lit("_"), F.lit("")).try_cast("double"))
+        .alias("float_value"),
     )
 
 
@@ -171,34 +173,33 @@ def profile_missing(prof: DataFrame, keys: Sequence[str] = ("file_name",)) -> Da
     )
 
 
-def profile_invalid(prof: DataFrame, declared: DataFrame | None = None,
-                    keys: Sequence[str] = ("file_name",)) -> DataFrame:
-    """A4: invalid count of typed (int/float) columns.
+def with_expected(prof: DataFrame, declared: DataFrame | None = None,
+                  keys: Sequence[str] = ("file_name",)) -> DataFrame:
+    """Attach ``expected_type`` and ``invalid_count`` to every column profile.
 
-    Against the inferred schema this is always empty (a column is int/float
-    only if every value parses).  ``declared`` = DataFrame(column,
-    expected_type[, file keys]) tests values against a declared schema instead;
-    it is joined at (file, column) grain after aggregation, so no extra pass.
+    Without ``declared`` the expected type is the inferred one (the reference's
+    rule, under which the count is always 0).  ``declared`` = DataFrame(column,
+    expected_type[, file keys]) is a per-column table; it is joined at (file,
+    column) grain after aggregation, so there is no extra pass over cells.
     """
     if declared is None:
-        expected = prof.select(*keys, "column", F.col("type").alias("expected_type"), "n_rows",
-                               "n_present", "n_int", "n_float")
+        p = prof.withColumn("expected_type", F.col("type"))
     else:
         on = [c for c in declared.columns if c in (*keys, "column")]
-        expected = prof.join(declared, on=on, how="inner").select(
-            *keys, "column", "expected_type", "n_rows", "n_present", "n_int", "n_float")
+        p = prof.join(declared.select(*on, "expected_type"), on=on, how="left")
     invalid = (
         F.when(F.col("expected_type") == "int", F.col("n_present") - F.col("n_int"))
         .when(F.col("expected_type") == "float", F.col("n_present") - F.col("n_float"))
-        .otherwise(F.lit(0).cast("bigint"))
-    )
-    return (
-        expected.where(F.col("expected_type").isin("int", "float"))
-        .withColumn("invalid_count", invalid)
-        .where(F.col("invalid_count") > 0)
-        .select(*keys, "column", "expected_type", "invalid_count",
-                pct(F.col("invalid_count"), F.col("n_rows")).alias("invalid_pct"))
     )
+    return p.withColumn("invalid_count", invalid)
+
+
+def profile_invalid(prof: DataFrame, declared: DataFrame | None = None,
+                    keys: Sequence[str] = ("file_name",)) -> DataFrame:
+    """A4: invalid count of int/float-typed columns, only those with any."""
+    return (with_expected(prof, declared, keys).where(F.col("invalid_count") > 0)
+            .select(*keys, "column", "expected_type", "invalid_count",
+                    pct(F.col("invalid_count"), F.col("n_rows")).alias("invalid_pct")))
 
 
 def file_profile(prof: DataFrame, declared: DataFrame | None = None,
@@ -209,9 +210,8 @@ def file_profile(prof: DataFrame, declared: DataFrame | None = None,
     maps in header order; each file's entries are bounded by its column count.
     """
     keys = list(keys)
-    inv = profile_invalid(prof, declared, keys).select(
-        *keys, "column", F.struct("invalid_count", "invalid_pct", "expected_type").alias("_inv"))
-    p = prof.join(inv, on=[*keys, "column"], how="left")
+    p = with_expected(prof, declared, keys)
+    has_inv = F.coalesce(F.col("invalid_count") > 0, F.lit(False))
     entry = F.struct(
         F.col("ordinal"), F.col("column"), F.col("type"),
         F.when(F.col("type").isin("int", "float") & (F.col("stat_count") > 0),
@@ -222,10 +222,10 @@ def file_profile(prof: DataFrame, declared: DataFrame | None = None,
                F.struct(F.col("n_missing").alias("count"),
                         pct(F.col("n_missing"), F.col("n_rows")).alias("percentage"))
                ).alias("missing"),
-        F.when(F.col("_inv").isNotNull(),
-               F.struct(F.col("_inv.invalid_count").alias("count"),
-                        F.col("_inv.invalid_pct").alias("percentage"),
-                        F.col("_inv.expected_type").alias("expected_type"))
+        F.when(has_inv,
+               F.struct(F.col("invalid_count").alias("count"),
+                        pct(F.col("invalid_count"), F.col("n_rows")).alias("percentage"),
+                        F.col("expected_type").alias("expected_type"))
                ).alias("invalid"),
     )
     per_file = p.groupBy(*keys).agg(
@@ -234,7 +234,7 @@ def file_profile(prof: DataFrame, declared: DataFrame | None = None,
         F.array_sort(F.collect_list(entry)).alias("_cols"),
         F.count_if(F.col("type").isin("int", "float") & (F.col("stat_count") > 0)).alias("n_numeric"),
         F.count_if(F.col("n_missing") > 0).alias("n_missing_columns"),
-        F.count_if(F.col("_inv").isNotNull()).alias("n_invalid_columns"),
+        F.count_if(has_inv).alias("n_invalid_columns"),
     )
     cols = F.col("_cols")
     return per_file.select(

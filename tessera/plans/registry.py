@@ -668,21 +668,24 @@ SENTINEL_DAYS = "36500 days"  # watermark delay wider than the data's time span
 @query("stream_deadline", O.with_ctes("SELECT * FROM deadline_matches", "deadline_matches"))
 def q_stream_deadline(spark, sf_dir):
     base = shared_dir(spark, "bindings", "stream_deadline")
-    arr = B.arrivals(spark, sf_dir).select("object_id", F.col("arrive_ts").cast("timestamp").alias("arrive_ts"))
-    comp = B.completion_events(spark, sf_dir).select("object_id", F.col("done_ts").cast("timestamp").alias("done_ts"),
-                                                     "status")
-    arr.repartition(4).write.mode("overwrite").parquet(base + "/arrivals")
-    comp.repartition(4).write.mode("overwrite").parquet(base + "/completions")
-    # Trailing sentinel events (two separate later files) move the watermark
-    # past every real arrival so that all timeouts are emitted.
-    for i, day in ((1, "2300-01-01"), (2, "2300-06-01")):
-        spark.createDataFrame([(-i, day)], "object_id bigint, d string").select(
-            "object_id", F.to_timestamp("d").alias("arrive_ts")).write.mode("append").parquet(base + "/arrivals")
-        spark.createDataFrame([(-i, day)], "object_id bigint, d string").select(
-            "object_id", (F.to_timestamp("d") + F.expr("INTERVAL 1 day")).alias("done_ts"),
-            F.lit("success").alias("status")).write.mode("append").parquet(base + "/completions")
-    a_s = spark.readStream.schema(arr.schema).option("maxFilesPerTrigger", 1).parquet(base + "/arrivals")
-    c_s = spark.readStream.schema(comp.schema).option("maxFilesPerTrigger", 1).parquet(base + "/completions")
+    # A trailing sentinel event moves the watermark past every real arrival;
+    # the no-data batch that follows emits all timeouts.
+    spark.createDataFrame([(-1, "2300-01-01")], "object_id bigint, d string").select(
+        "object_id", F.to_timestamp("d").alias("arrive_ts")).write.parquet(base + "/arrival_sentinel")
+    spark.createDataFrame([(-1, "2300-01-01")], "object_id bigint, d string").select(
+        "object_id", (F.to_timestamp("d") + F.expr("INTERVAL 1 day")).alias("done_ts"),
+        F.lit("success").alias("status")).write.parquet(base + "/completion_sentinel")
+    orders = read_table(spark, sf_dir, "orders")
+    lineitem = read_table(spark, sf_dir, "lineitem")
+    o_s = spark.readStream.schema(orders.schema).option("pathGlobFilter", "orders.parquet").parquet(sf_dir)
+    l_s = spark.readStream.schema(lineitem.schema).option("pathGlobFilter", "lineitem.parquet").parquet(sf_dir)
+    a_s = o_s.select(F.col("o_orderkey").alias("object_id"), F.col("o_orderdate").cast("timestamp").alias("arrive_ts"))
+    a_s = a_s.unionByName(spark.readStream.schema("object_id bigint, arrive_ts timestamp")
+                          .parquet(base + "/arrival_sentinel"))
+    c_s = l_s.select(F.col("l_orderkey").alias("object_id"), F.col("l_shipdate").cast("timestamp").alias("done_ts"),
+                     F.when(F.col("l_returnflag") == "R", F.lit("error")).otherwise(F.lit("success")).alias("status"))
+    c_s = c_s.unionByName(spark.readStream.schema("object_id bigint, done_ts timestamp, status string")
+                          .parquet(base + "/completion_sentinel"))
     matches = dl_ops.deadline_join(a_s, c_s, "30 days", SENTINEL_DAYS, SENTINEL_DAYS)
     q = (matches.writeStream.format("parquet").option("path", base + "/out")
          .option("checkpointLocation", base + "/checkpoint").trigger(availableNow=True).start())
