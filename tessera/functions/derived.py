@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tessera.functions.rounding import py_round
+
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
@@ -39,4 +41,4 @@ def truncate(col, n: int) -> Column:
 
 def size_kb(length) -> Column:
     """P10: size in KB, 1 decimal."""
-    return F.round(_c(length) / 1024, 1)
+    return py_round(_c(length) / 1024, 1)

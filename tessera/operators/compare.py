@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.rounding import py_round
 from tessera.operators.ranking import dedupe_first
 
 BAND_PCT = 10.0  # fixed value: +-10 % separates "high" / "low" from "near"
@@ -29,7 +30,7 @@ def speedup(a, b) -> tuple[F.Column, F.Column]:
     factor = F.when(ratio > 1, ratio).otherwise(1 / ratio)
     direction = (F.when(ratio.isNull(), F.lit("n/a"))
                  .when(ratio > 1, F.lit("faster")).otherwise(F.lit("slower")))
-    return F.round(factor, 1), direction
+    return py_round(factor, 1), direction
 
 
 def pct_diff(a, b) -> tuple[F.Column, F.Column]:
@@ -106,7 +107,7 @@ def metric_comparison(stats: DataFrame, keys: Sequence[str] = ("level",),
     j = a.join(b, [*keys, "metric"], "left")
     d, band = pct_diff(F.col("a_value"), F.col("b_value"))
     lower = ~F.col("metric").isin(*higher_is_better)
-    return j.select(*keys, "metric", "a_value", "b_value", F.round(d, 1).alias("pct_diff"),
+    return j.select(*keys, "metric", "a_value", "b_value", py_round(d, 1).alias("pct_diff"),
                     band.alias("band"), lower.alias("lower_is_better"),
                     verdict(F.col("a_value"), F.col("b_value"), lower).alias("verdict"))
 
@@ -172,5 +173,5 @@ def total_speedup(runs: DataFrame, value_col: str = "total_seconds", arm_a: str
         F.avg(F.when(F.col("arm") == arm_a, F.col(value_col))).alias("a_mean"),
         F.avg(F.when(F.col("arm") == arm_b, F.col(value_col))).alias("b_mean"))
     factor, direction = speedup(F.col("a_mean"), F.col("b_mean"))
-    return m.select(F.round("a_mean", 3).alias("a_mean"), F.round("b_mean", 3).alias("b_mean"),
+    return m.select(py_round("a_mean", 3).alias("a_mean"), py_round("b_mean", 3).alias("b_mean"),
                     factor.alias("speedup"), direction.alias("direction"))

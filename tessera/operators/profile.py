@@ -23,6 +23,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions.rounding import py_round
+
 from tessera.functions.predicates import FLOAT_CAPTURE, INT_CAPTURE, is_date_format, is_missing
 
 DATE_PROBE_SIZE = 10  # fixed value: the reference looks at the first 10 values
@@ -143,7 +145,7 @@ def column_profile(cells: DataFrame, keys: Sequence[str] = ("file_name",),
 
 def pct(n, total) -> F.Column:
     """Percentage of total, 2 decimals (Spark rounds half-up)."""
-    return F.round(F.col(n) / F.col(total) * 100, 2) if isinstance(n, str) else F.round(n / total * 100, 2)
+    return py_round(F.col(n) / F.col(total) * 100, 2) if isinstance(n, str) else py_round(n / total * 100, 2)
 
 
 # ---------------------------------------------------------------------------

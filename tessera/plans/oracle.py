@@ -8,6 +8,8 @@ ASCII whitespace (the test data holds no other whitespace).
 
 from __future__ import annotations
 
+from tessera.functions.rounding import py_round_sql as R
+
 INT_RE = r"^\s*[+-]?[0-9]+(_[0-9]+)*\s*$"
 FLOAT_RE = (r"(?i)^\s*[+-]?(([0-9]+(_[0-9]+)*)(\.([0-9]+(_[0-9]+)*)?)?|\.[0-9]+(_[0-9]+)*)"
             r"(e[+-]?[0-9]+(_[0-9]+)*)?\s*$|^\s*[+-]?(nan|inf|infinity)\s*$")
@@ -128,8 +130,8 @@ SELECT * FROM (VALUES ('c_user', 'int'), ('c_value', 'float'), ('c_mixed', 'int'
 cte("col_invalid", """
 SELECT s.file_name, s."column", d.expected_type,
   CASE WHEN d.expected_type = 'int' THEN s.n_present - s.n_int ELSE s.n_present - s.n_float END AS invalid_count,
-  round((CASE WHEN d.expected_type = 'int' THEN s.n_present - s.n_int ELSE s.n_present - s.n_float END)
-        / s.n_rows * 100, 2) AS invalid_pct
+  """ + R("(CASE WHEN d.expected_type = 'int' THEN s.n_present - s.n_int ELSE s.n_present - s.n_float END)"
+              " / s.n_rows * 100", 2) + """ AS invalid_pct
 FROM col_stats s JOIN declared d USING ("column")
 WHERE (CASE WHEN d.expected_type = 'int' THEN s.n_present - s.n_int ELSE s.n_present - s.n_float END) > 0""",
     ("col_stats", "declared"))
@@ -160,9 +162,9 @@ def timing_stats_sql(src: str, value: str, ok: str | None) -> str:
     measured = f"CASE WHEN {ok} THEN {value} END" if ok else value
     where = f"WHERE {ok}" if ok else ""
     return f"""
-SELECT b.arm, b.level, b.count, round(b.min, 3) AS min, round(b.max, 3) AS max, round(b.mean, 3) AS mean,
-  round(p.median, 3) AS median, round(p.p90, 3) AS p90, round(p.p95, 3) AS p95,
-  CASE WHEN b.count > 0 THEN round(coalesce(b.sd, 0), 3) END AS stdev
+SELECT b.arm, b.level, b.count, {R("b.min", 3)} AS min, {R("b.max", 3)} AS max, {R("b.mean", 3)} AS mean,
+  {R("p.median", 3)} AS median, {R("p.p90", 3)} AS p90, {R("p.p95", 3)} AS p95,
+  CASE WHEN b.count > 0 THEN {R("coalesce(b.sd, 0)", 3)} END AS stdev
 FROM (SELECT arm, level, count({measured}) AS count, min({measured}) AS min, max({measured}) AS max,
              avg({measured}) AS mean, stddev_samp({measured}) AS sd FROM {src} GROUP BY arm, level) b
 LEFT JOIN (
@@ -178,16 +180,16 @@ LEFT JOIN (
 cte("run_stats", timing_stats_sql("runs", "seconds", "ok"), ("runs",))
 
 cte("run_latency", """
-SELECT arm, level, run_id, round(greatest(0.0::DOUBLE, total_seconds - seconds), 3) AS latency
+SELECT arm, level, run_id, """ + R("greatest(0.0::DOUBLE, total_seconds - seconds)", 3) + """ AS latency
 FROM runs WHERE ok""", ("runs",))
 
 cte("latency_stats", timing_stats_sql("run_latency", "latency", None), ("run_latency",))
 
 cte("levels", """
-SELECT arm, level, n_runs, n_ok, n_ok >= n_runs * 0.8 AS success, round(mean_s, 3) AS proc_seconds, rows,
-  round(CASE WHEN coalesce(sec, 0) > 0 THEN rows / coalesce(sec, 0) ELSE 0 END, 1) AS rows_per_sec,
-  round(CASE WHEN coalesce(sec, 0) > 0 THEN n_ok / coalesce(sec, 0) ELSE 0 END, 4) AS files_per_sec,
-  round(n_ok / n_runs * 100, 2) AS success_rate
+SELECT arm, level, n_runs, n_ok, n_ok >= n_runs * 0.8 AS success, """ + R("mean_s", 3) + """ AS proc_seconds, rows,
+  """ + R("CASE WHEN coalesce(sec, 0) > 0 THEN rows / coalesce(sec, 0) ELSE 0 END", 1) + """ AS rows_per_sec,
+  """ + R("CASE WHEN coalesce(sec, 0) > 0 THEN n_ok / coalesce(sec, 0) ELSE 0 END", 4) + """ AS files_per_sec,
+  """ + R("n_ok / n_runs * 100", 2) + """ AS success_rate
 FROM (SELECT arm, level, count(*) AS n_runs, CAST(count_if(ok) AS BIGINT) AS n_ok,
              sum(CASE WHEN ok THEN seconds END) AS sec, avg(CASE WHEN ok THEN seconds END) AS mean_s,
              CAST(sum(n_rows) AS BIGINT) AS rows
@@ -216,7 +218,7 @@ FROM first_cases""", ("first_cases",))
 
 def speedup_sql(a: str, b: str) -> tuple[str, str]:
     ratio = f"(CASE WHEN {a} = 0 OR {b} = 0 THEN NULL ELSE {b} / {a} END)"
-    factor = f"round(CASE WHEN {ratio} > 1 THEN {ratio} ELSE 1 / {ratio} END, 1)"
+    factor = R(f"CASE WHEN {ratio} > 1 THEN {ratio} ELSE 1 / {ratio} END", 1)
     direction = f"(CASE WHEN {ratio} IS NULL THEN 'n/a' WHEN {ratio} > 1 THEN 'faster' ELSE 'slower' END)"
     return factor, direction
 
@@ -227,7 +229,7 @@ def metric_cmp_sql(src: str, metrics: list[str], higher: list[str]) -> str:
     lower = "metric NOT IN (" + ", ".join(f"'{h}'" for h in higher) + ")"
     d = "(CASE WHEN b_value <> 0 THEN (a_value - b_value) / b_value * 100 END)"
     return f"""
-SELECT level, metric, a_value, b_value, round({d}, 1) AS pct_diff,
+SELECT level, metric, a_value, b_value, {R(d, 1)} AS pct_diff,
   CASE WHEN {d} IS NULL THEN 'n/a' WHEN {d} > 10 THEN 'high' WHEN {d} < -10 THEN 'low' ELSE 'near' END AS band,
   {lower} AS lower_is_better,
   CASE WHEN a_value IS NULL OR b_value IS NULL THEN 'n/a'
@@ -270,7 +272,7 @@ def _csv_col(name: str, ordinal: int, typ: str, expr: str | None) -> str:
                 "CAST(NULL AS DOUBLE) AS stat_avg, CAST(NULL AS BIGINT) AS stat_count"
     else:
         stats = (f"CAST(min({expr}) AS DOUBLE) AS stat_min, CAST(max({expr}) AS DOUBLE) AS stat_max, "
-                 f"round(avg({expr}), 6) AS stat_avg, count(*) AS stat_count")
+                 f"{R(f'avg({expr})', 6)} AS stat_avg, count(*) AS stat_count")
     return (f"SELECT file || '.csv' AS file_name, '{name}' AS \"column\", {ordinal} AS ordinal, '{typ}' AS type, "
             f"{stats}, CAST(0 AS BIGINT) AS n_missing FROM events_files GROUP BY file")
 

@@ -12,6 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.rounding import py_round
+from tessera.functions.rounding import py_round_sql as R
 from tessera.operators import profile as prof_ops
 from tessera.operators.cells import to_cells
 from tessera.plans import oracle as O
@@ -47,16 +49,16 @@ def q_profile_schema(spark, sf_dir):
 
 
 @query("profile_stats", O.with_ctes(
-    'SELECT file_name, "column", type, stat_min AS min, stat_max AS max, round(stat_avg, 6) AS avg, '
+    'SELECT file_name, "column", type, stat_min AS min, stat_max AS max, ' + R("stat_avg", 6) + ' AS avg, '
     'stat_count AS count, n_nan AS nan_count FROM col_stats '
     "WHERE type IN ('int', 'float') AND stat_count > 0", "col_stats"))
 def q_profile_stats(spark, sf_dir):
     s = prof_ops.profile_stats(dirty_profile(spark, sf_dir))
-    return s.withColumn("avg", F.round("avg", 6))
+    return s.withColumn("avg", py_round("avg", 6))
 
 
 @query("profile_missing", O.with_ctes(
-    'SELECT file_name, "column", n_missing AS missing_count, round(n_missing / n_rows * 100, 2) AS missing_pct '
+    'SELECT file_name, "column", n_missing AS missing_count, ' + R("n_missing / n_rows * 100", 2) + ' AS missing_pct '
     "FROM col_stats WHERE n_missing > 0", "col_stats"))
 def q_profile_missing(spark, sf_dir):
     return prof_ops.profile_missing(dirty_profile(spark, sf_dir))
@@ -167,7 +169,7 @@ def q_run_latency(spark, sf_dir):
 
 
 @query("run_throughput", O.with_ctes(
-    "SELECT arm, level, run_id, round(CASE WHEN seconds > 0 THEN n_rows / seconds ELSE 0 END, 1) AS rows_per_sec "
+    "SELECT arm, level, run_id, " + R("CASE WHEN seconds > 0 THEN n_rows / seconds ELSE 0 END", 1) + " AS rows_per_sec "
     "FROM runs", "runs"))
 def q_run_throughput(spark, sf_dir):
     return run_ops.run_throughput(_runs(spark, sf_dir))
@@ -190,7 +192,7 @@ def q_run_tally(spark, sf_dir):
 
 @query("run_avg_throughput", O.with_ctes("""
 SELECT arm, CAST(count_if(success) AS BIGINT) AS n_success,
-  CASE WHEN count_if(success) >= 2 THEN round(avg(CASE WHEN success THEN rows_per_sec END), 1) END AS avg_rows_per_sec
+  CASE WHEN count_if(success) >= 2 THEN """ + R("avg(CASE WHEN success THEN rows_per_sec END)", 1) + """ END AS avg_rows_per_sec
 FROM levels GROUP BY arm""", "levels"))
 def q_run_avg_throughput(spark, sf_dir):
     return run_ops.avg_throughput(_levels(spark, sf_dir))
@@ -199,9 +201,9 @@ def q_run_avg_throughput(spark, sf_dir):
 @query("run_scaling_efficiency", O.with_ctes("""
 SELECT arm, n_levels, first_level, last_level, first_tput, last_tput,
   CASE WHEN n_levels >= 2 AND first_tput > 0 AND first_level > 0
-       THEN round((last_tput / first_tput) / (last_level / first_level) * 100, 1) END AS efficiency,
+       THEN """ + R("(last_tput / first_tput) / (last_level / first_level) * 100", 1) + """ END AS efficiency,
   (CASE WHEN n_levels >= 2 AND first_tput > 0 AND first_level > 0
-       THEN round((last_tput / first_tput) / (last_level / first_level) * 100, 1) END) < 50 AS sublinear
+       THEN """ + R("(last_tput / first_tput) / (last_level / first_level) * 100", 1) + """ END) < 50 AS sublinear
 FROM (SELECT arm, count(*) AS n_levels, min(level) AS first_level, max(level) AS last_level,
              arg_min(files_per_sec, level) AS first_tput, arg_max(files_per_sec, level) AS last_tput
       FROM levels GROUP BY arm)""", "levels"))
@@ -210,7 +212,7 @@ def q_run_scaling_efficiency(spark, sf_dir):
 
 
 @query("run_nonlinear", O.with_ctes("""
-SELECT arm, n_success, round(first_time * (last_rows / first_rows), 3) AS expected_time, last_time AS actual_time,
+SELECT arm, n_success, """ + R("first_time * (last_rows / first_rows)", 3) + """ AS expected_time, last_time AS actual_time,
   n_success >= 3 AND last_time > first_time * (last_rows / first_rows) * 1.5 AS nonlinear
 FROM (SELECT arm, count(*) AS n_success, arg_min(proc_seconds, level) AS first_time,
              arg_max(proc_seconds, level) AS last_time, arg_min(rows, level) AS first_rows,
@@ -221,15 +223,15 @@ def q_run_nonlinear(spark, sf_dir):
 
 
 @query("run_elapsed", O.with_ctes("""
-SELECT arm, count(*) AS n_runs, round(date_diff('microsecond', min(ts), max(ts)) / 1e6, 3) AS elapsed_seconds,
-  round(sum(seconds), 3) AS busy_seconds FROM runs GROUP BY arm""", "runs"))
+SELECT arm, count(*) AS n_runs, """ + R("date_diff('microsecond', min(ts), max(ts)) / 1e6", 3) + """ AS elapsed_seconds,
+  """ + R("sum(seconds)", 3) + """ AS busy_seconds FROM runs GROUP BY arm""", "runs"))
 def q_run_elapsed(spark, sf_dir):
     return run_ops.elapsed(_runs(spark, sf_dir))
 
 
 COST_SQL = """
-SELECT month, num_files, round(total, 6) AS cost_per_batch, round(monthly, 2) AS monthly_cost,
-  round(monthly * 12, 2) AS annual_cost
+SELECT month, num_files, """ + R("total", 6) + """ AS cost_per_batch, """ + R("monthly", 2) + """ AS monthly_cost,
+  """ + R("monthly * 12", 2) + """ AS annual_cost
 FROM (SELECT month, num_files, total,
         total * (CASE WHEN num_files > 0 THEN 10000 / num_files ELSE 0 END) AS monthly
       FROM (SELECT month, num_files,
@@ -360,7 +362,7 @@ _ft, _dt = O.speedup_sql("a_mean_raw", "b_mean_raw")
 
 
 @query("cmp_total_speedup", O.with_ctes(f"""
-SELECT round(a_mean_raw, 3) AS a_mean, round(b_mean_raw, 3) AS b_mean, {_ft} AS speedup, {_dt} AS direction
+SELECT {R("a_mean_raw", 3)} AS a_mean, {R("b_mean_raw", 3)} AS b_mean, {_ft} AS speedup, {_dt} AS direction
 FROM (SELECT avg(CASE WHEN arm = 'a' THEN total_seconds END) AS a_mean_raw,
              avg(CASE WHEN arm = 'b' THEN total_seconds END) AS b_mean_raw FROM runs WHERE ok)""", "runs"))
 def q_cmp_total_speedup(spark, sf_dir):
@@ -408,7 +410,7 @@ def q_csv_profile(spark, sf_dir):
     columns, files = events_csv_profile(spark, sf_dir)
     ok = csv_ops.successful_columns(columns, files)
     return ok.select(B.logical_file_name(F.col("file_path")).alias("file_name"), "column", "ordinal", "type",
-                     "stat_min", "stat_max", F.round("stat_avg", 6).alias("stat_avg"), "stat_count", "n_missing")
+                     "stat_min", "stat_max", py_round("stat_avg", 6).alias("stat_avg"), "stat_count", "n_missing")
 
 
 @query("src_utf8_check", O.with_ctes(
@@ -604,7 +606,7 @@ def q_gen_employees(spark, sf_dir):
 
 
 @query("gen_employees_profile", f"""
-SELECT file_id, "column", type, stat_min, stat_max, round(stat_avg, 6) AS stat_avg, stat_count FROM (
+SELECT file_id, "column", type, stat_min, stat_max, {R("stat_avg", 6)} AS stat_avg, stat_count FROM (
   SELECT file_id, 'age' AS "column", 'int' AS type, CAST(min(CAST(age AS BIGINT)) AS DOUBLE) AS stat_min,
     CAST(max(CAST(age AS BIGINT)) AS DOUBLE) AS stat_max, avg(CAST(age AS BIGINT)) AS stat_avg, count(*) AS stat_count
   FROM ({_EMP_SQL}) GROUP BY file_id
@@ -620,7 +622,7 @@ def q_gen_employees_profile(spark, sf_dir):
     emps = _employees(spark, sf_dir)
     cells = to_cells(emps.withColumnRenamed("i", "row_no"), ("file_id", "row_no"), gen_ops.HEADER)
     prof = prof_ops.column_profile(cells, ["file_id"])
-    return prof.select("file_id", "column", "type", "stat_min", "stat_max", F.round("stat_avg", 6).alias("stat_avg"),
+    return prof.select("file_id", "column", "type", "stat_min", "stat_max", py_round("stat_avg", 6).alias("stat_avg"),
                        "stat_count")
 
 
