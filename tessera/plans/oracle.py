@@ -158,23 +158,24 @@ SELECT CASE WHEN event_id % 2 = 0 THEN 'a' ELSE 'b' END AS arm,
 FROM events""")
 
 
-def timing_stats_sql(src: str, value: str, ok: str | None) -> str:
+def timing_stats_sql(src: str, value: str, ok: str | None, keys: str = "arm, level") -> str:
     measured = f"CASE WHEN {ok} THEN {value} END" if ok else value
     where = f"WHERE {ok}" if ok else ""
+    bkeys = ", ".join(f"b.{k.strip()}" for k in keys.split(","))
     return f"""
-SELECT b.arm, b.level, b.count, {R("b.min", 3)} AS min, {R("b.max", 3)} AS max, {R("b.mean", 3)} AS mean,
+SELECT {bkeys}, b.count, {R("b.min", 3)} AS min, {R("b.max", 3)} AS max, {R("b.mean", 3)} AS mean,
   {R("p.median", 3)} AS median, {R("p.p90", 3)} AS p90, {R("p.p95", 3)} AS p95,
   CASE WHEN b.count > 0 THEN {R("coalesce(b.sd, 0)", 3)} END AS stdev
-FROM (SELECT arm, level, count({measured}) AS count, min({measured}) AS min, max({measured}) AS max,
-             avg({measured}) AS mean, stddev_samp({measured}) AS sd FROM {src} GROUP BY arm, level) b
+FROM (SELECT {keys}, count({measured}) AS count, min({measured}) AS min, max({measured}) AS max,
+             avg({measured}) AS mean, stddev_samp({measured}) AS sd FROM {src} GROUP BY {keys}) b
 LEFT JOIN (
-  SELECT arm, level,
+  SELECT {keys},
     (max(CASE WHEN rk = floor((n + 1) / 2) THEN v END) + max(CASE WHEN rk = floor(n / 2) + 1 THEN v END)) / 2 AS median,
     max(CASE WHEN rk = floor(n * 0.9) + 1 THEN v END) AS p90,
     max(CASE WHEN rk = floor(n * 0.95) + 1 THEN v END) AS p95
-  FROM (SELECT arm, level, {value} AS v, row_number() OVER (PARTITION BY arm, level ORDER BY {value}) AS rk,
-               count(*) OVER (PARTITION BY arm, level) AS n FROM {src} {where})
-  GROUP BY arm, level) p USING (arm, level)"""
+  FROM (SELECT {keys}, {value} AS v, row_number() OVER (PARTITION BY {keys} ORDER BY {value}) AS rk,
+               count(*) OVER (PARTITION BY {keys}) AS n FROM {src} {where})
+  GROUP BY {keys}) p USING ({keys})"""
 
 
 cte("run_stats", timing_stats_sql("runs", "seconds", "ok"), ("runs",))
@@ -314,3 +315,12 @@ FROM arrivals a
 LEFT JOIN (SELECT l_orderkey AS object_id, l_shipdate AS done_ts FROM lineitem) c
   ON a.object_id = c.object_id AND c.done_ts >= a.arrive_ts AND c.done_ts <= a.arrive_ts + INTERVAL 30 DAY
 GROUP BY a.object_id""", ("arrivals",))
+
+cte("arm_stage_stats", "\nUNION ALL\n".join([
+    "SELECT 'T_processing' AS stage, * FROM (" + timing_stats_sql("runs", "seconds", "ok", "arm") + ")",
+    "SELECT 'T_total_pipeline' AS stage, * FROM (" + timing_stats_sql("runs", "total_seconds", "ok", "arm") + ")",
+    "SELECT 'T_event_latency' AS stage, * FROM (" + timing_stats_sql("run_latency", "latency", None, "arm") + ")",
+    "SELECT DISTINCT 'T_upload' AS stage, arm, CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), "
+    "CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE) "
+    "FROM runs",
+]), ("runs", "run_latency"))

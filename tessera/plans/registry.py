@@ -696,3 +696,79 @@ def q_stream_deadline(spark, sf_dir):
     s = dl_ops.summarize(out)
     return s.select("object_id", "status", "n_matches",
                     F.date_format("first_done", "yyyy-MM-dd HH:mm:ss").alias("first_done"))
+
+
+# --------------------------------------------------------------------------
+# Result documents and report tables
+# --------------------------------------------------------------------------
+from tessera.sources import results as res_ops  # noqa: E402
+
+
+def results_roundtrip(spark, sf_dir):
+    """Write one result document per arm (K5) and read them back (S3)."""
+    out = shared_dir(spark, "sinks", "results")
+    sink_ops.write_results(run_ops.result_documents(B.runs(spark, sf_dir)), out)
+    return res_ops.with_arm(res_ops.read_results(spark, out, multiline=False))
+
+
+@query("results_roundtrip", O.with_ctes(
+    "SELECT arm, stage, count, min, max, mean, median, p90, p95, stdev FROM arm_stage_stats", "arm_stage_stats"))
+def q_results_roundtrip(spark, sf_dir):
+    return res_ops.stage_stats(results_roundtrip(spark, sf_dir))
+
+
+@query("results_sizes", O.with_ctes("""
+SELECT arm, CAST(row_number() OVER (PARTITION BY arm ORDER BY level) - 1 AS INTEGER) AS pos, level, level AS rows,
+  success, proc_seconds, rows_per_sec FROM levels""", "levels"))
+def q_results_sizes(spark, sf_dir):
+    s = res_ops.size_results(results_roundtrip(spark, sf_dir))
+    return s.select("arm", "pos", "level", "rows", "success", "proc_seconds", "rows_per_sec")
+
+
+@query("sink_report", """
+SELECT 'cmp_metrics' AS table_name, CAST(count(*) AS BIGINT) AS n_rows FROM (""" + QUERIES["cmp_metrics"][1] + """)
+UNION ALL SELECT 'cmp_sizes', CAST(count(*) AS BIGINT) FROM (""" + QUERIES["cmp_sizes"][1] + """)
+UNION ALL SELECT 'cmp_cases', CAST(count(*) AS BIGINT) FROM (""" + QUERIES["cmp_cases"][1] + ")")
+def q_sink_report(spark, sf_dir):
+    out = shared_dir(spark, "sinks", "report")
+    tables = {n: QUERIES[n][0](spark, sf_dir) for n in ("cmp_metrics", "cmp_sizes", "cmp_cases")}
+    sink_ops.write_report(tables, out)
+    parts = [spark.read.parquet(f"{out}/{n}").groupBy().count()
+             .select(F.lit(n).alias("table_name"), F.col("count").alias("n_rows")) for n in tables]
+    res = parts[0]
+    for p in parts[1:]:
+        res = res.unionByName(p)
+    return res
+
+
+@query("gen_employees_files", f"""
+SELECT file_id, count(*) AS n_rows,
+  {R("(length('name,age,salary,join_date,department,city,employee_id') + sum(length(line)) + count(*)) / 1024", 1)}
+    AS size_kb
+FROM (SELECT file_id, name || ',' || age || ',' || salary || ',' || join_date || ',' || department || ',' || city
+               || ',' || employee_id AS line FROM ({_EMP_SQL}))
+GROUP BY file_id""")
+def q_gen_employees_files(spark, sf_dir):
+    """P10: size of each generated file in KB (characters, header included,
+    lines joined by newlines), from the generated rows."""
+    from tessera.functions.derived import size_kb
+    lines = gen_ops.employee_csv_lines(_employees(spark, sf_dir))
+    header = len(",".join(gen_ops.HEADER))
+    per_file = lines.groupBy("file_id").agg(F.count(F.lit(1)).alias("n_rows"),
+                                            F.sum(F.length("line")).alias("chars"))
+    return per_file.select("file_id", "n_rows",
+                           size_kb(F.lit(header) + F.col("chars") + F.col("n_rows")).alias("size_kb"))
+
+
+@query("stream_status_totals", O.with_ctes(
+    "SELECT status, count(*) AS n_files, CAST(sum(row_count) AS BIGINT) AS n_rows FROM events_file_status "
+    "GROUP BY status", "events_file_status"))
+def q_stream_status_totals(spark, sf_dir):
+    base = shared_dir(spark, "bindings", "stream_totals")
+    root = B.write_events_csv(spark, sf_dir, base + "/data")
+    write_notifications(spark, root, base + "/notifications", n_files=2)
+    q = ps_ops.start_profile_stream(spark, base + "/notifications", qualify(spark, root).rstrip("/") + "/",
+                                    base + "/log", base + "/checkpoint", prefix="file=", suffix=".txt",
+                                    max_files_per_trigger=1)
+    q.awaitTermination()
+    return ps_ops.status_totals(spark, base + "/log")

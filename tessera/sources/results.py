@@ -69,9 +69,10 @@ RESULTS_SCHEMA = T.StructType([
 ])
 
 
-def read_results(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """S3: result documents (one JSON document per file) with the file path."""
-    df = spark.read.schema(RESULTS_SCHEMA).option("multiLine", True).json(paths)
+def read_results(spark: SparkSession, paths: str | Sequence[str], multiline: bool = True) -> DataFrame:
+    """S3: result documents with the file path.  ``multiline`` for
+    pretty-printed files (one document each); JSON lines otherwise."""
+    df = spark.read.schema(RESULTS_SCHEMA).option("multiLine", multiline).json(paths)
     return df.select("*", F.col("_metadata.file_path").alias("source_path"),
                      F.col("_metadata.file_modification_time").alias("source_mtime"))
 
