@@ -82,3 +82,15 @@ def qualify(spark: SparkSession, path: str) -> str:
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
     return fs.makeQualified(p).toString()
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Make ``DataFrame.checkpoint()`` use the shared folder named by
+    ``spark.checkpoint.dir`` (a private folder only when none is configured)."""
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tessera-ckpt-")
+    sc.setCheckpointDir(base)
+    return sc.getCheckpointDir()

@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 
 from tessera.functions.derived import decoded_path, last_segment
 from tessera.operators import profile as prof_ops
+from tessera.session import ensure_checkpoint_dir
 
 CORRUPT = "_corrupt_record"
 BOM = "﻿"
@@ -194,14 +195,18 @@ def rows_to_cells(rows: DataFrame, width: int, sep: str = ",") -> DataFrame:
 
 def csv_cells(spark: SparkSession, headers: DataFrame, multiline: bool = False, sep: str = ",",
               max_groups: int = 64) -> DataFrame | None:
-    """All files of ``headers`` as one cells DataFrame (positional columns)."""
-    widths = [r["width"] for r in headers.where("width > 0").select("width").distinct().collect()]
-    if len(widths) > max_groups:
-        raise ValueError(f"{len(widths)} distinct header widths; split the job (limit {max_groups})")
-    parts = []
-    for w in sorted(widths):
-        paths = [r["file_path"] for r in headers.where(F.col("width") == w).select("file_path").collect()]
-        parts.append(rows_to_cells(scan_group(spark, paths, w, multiline, sep), w, sep))
+    """All files of ``headers`` as one cells DataFrame (positional columns).
+
+    The (path, width) metadata is collected once; the paths of each width
+    group go to one native scan, as Spark's own file index would hold them.
+    """
+    groups: dict[int, list[str]] = {}
+    for r in headers.where("width > 0").select("file_path", "width").collect():
+        groups.setdefault(r["width"], []).append(r["file_path"])
+    if len(groups) > max_groups:
+        raise ValueError(f"{len(groups)} distinct header widths; split the job (limit {max_groups})")
+    parts = [rows_to_cells(scan_group(spark, paths, w, multiline, sep), w, sep)
+             for w, paths in sorted(groups.items())]
     if not parts:
         return None
     out = parts[0]
@@ -236,7 +241,10 @@ def profile_files(spark: SparkSession, manifest: DataFrame, multiline: bool = Fa
     """
     manifest = manifest.select("file_path", "length", *[c for c in manifest.columns
                                                         if c not in ("file_path", "length")])
-    headers = read_headers(manifest, sep)
+    # One read of the first lines, kept in the shared checkpoint folder: the
+    # header table is used for grouping, for names and for empty-file checks.
+    ensure_checkpoint_dir(spark)
+    headers = read_headers(manifest, sep).checkpoint(eager=True)
     cells = csv_cells(spark, headers, multiline, sep)
     keys = ["file_path"]
     if cells is None:
