@@ -20,8 +20,14 @@ EXACT_LIMIT = 4503599627370496.0  # 2^52: beyond it every double is an integer
 
 
 def py_round(col, n: int) -> Column:
-    """round(x, n) exactly as Python computes it (n >= 0)."""
-    x = (F.col(col) if isinstance(col, str) else col).cast("double")
+    """round(x, n) exactly as Python computes it (n >= 0).
+
+    Given a column name the expression is built in one SQL call; given a
+    Column it is assembled from Column operations (same arithmetic).
+    """
+    if isinstance(col, str):
+        return F.expr(py_round_sql(f"`{col}`", n, dialect="spark"))
+    x = col.cast("double")
     s = float(10 ** n)
     r = x * F.lit(s)
     c = x * F.lit(SPLITTER)
@@ -35,17 +41,21 @@ def py_round(col, n: int) -> Column:
     return F.when(x.isNull() | F.isnan(x) | (F.abs(r) >= F.lit(EXACT_LIMIT)), x).otherwise(res)
 
 
-def py_round_sql(expr: str, n: int) -> str:
-    """The same computation as a SQL expression (DuckDB dialect)."""
-    s = f"{float(10 ** n)!r}"
+def py_round_sql(expr: str, n: int, dialect: str = "duckdb") -> str:
+    """The same computation as a SQL expression (``duckdb`` or ``spark``)."""
+    def lit(v: float) -> str:
+        return f"{v!r}D" if dialect == "spark" else f"CAST({v!r} AS DOUBLE)"
+    s = lit(float(10 ** n))
     x = f"CAST(({expr}) AS DOUBLE)"
     r = f"({x} * {s})"
-    c = f"({x} * {SPLITTER!r})"
+    c = f"({x} * {lit(SPLITTER)})"
     hi = f"({c} - ({c} - {x}))"
     lo = f"({x} - {hi})"
     err = f"((({hi} * {s}) - {r}) + ({lo} * {s}))"
     k = f"floor({r})"
     frac = f"({r} - {k})"
-    up = (f"({frac} > 0.5 OR ({frac} = 0.5 AND ({err} > 0 OR ({err} = 0 AND {k} % 2 <> 0))))")
-    return (f"(CASE WHEN {x} IS NULL OR isnan({x}) OR abs({r}) >= {EXACT_LIMIT!r} THEN {x} "
+    half = lit(0.5)
+    zero = lit(0.0)
+    up = f"({frac} > {half} OR ({frac} = {half} AND ({err} > {zero} OR ({err} = {zero} AND {k} % 2 <> 0))))"
+    return (f"(CASE WHEN {x} IS NULL OR isnan({x}) OR abs({r}) >= {lit(EXACT_LIMIT)} THEN {x} "
             f"ELSE ({k} + CASE WHEN {up} THEN 1 ELSE 0 END) / {s} END)")

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.rounding import py_round
+from tessera.functions.rounding import py_round, py_round_sql
 from tessera.operators.ranking import dedupe_first
 
 BAND_PCT = 10.0  # fixed value: +-10 % separates "high" / "low" from "near"
@@ -23,14 +23,14 @@ def _arm(df: DataFrame, arm: str, cols: Sequence[str], prefix: str, keys: Sequen
         *keys, *[F.col(c).alias(f"{prefix}_{c}") for c in cols])
 
 
-def speedup(a, b) -> tuple[F.Column, F.Column]:
-    """Ratio b / a ("a is N x faster" when > 1, else 1/ratio "slower");
-    NULL / 'n/a' when either side is 0 or missing; exactly 1 counts as slower."""
-    ratio = F.when((a == 0) | (b == 0), F.lit(None).cast("double")).otherwise(b / a)
-    factor = F.when(ratio > 1, ratio).otherwise(1 / ratio)
-    direction = (F.when(ratio.isNull(), F.lit("n/a"))
-                 .when(ratio > 1, F.lit("faster")).otherwise(F.lit("slower")))
-    return py_round(factor, 1), direction
+def speedup(a: str, b: str) -> tuple[F.Column, F.Column]:
+    """P11 on columns ``a``, ``b``: ratio b / a ("a is N x faster" when > 1,
+    else 1/ratio "slower"); NULL / 'n/a' when either side is 0 or missing;
+    exactly 1 counts as slower.  Returns (factor rounded to 1, direction)."""
+    ratio = f"(CASE WHEN `{a}` = 0 OR `{b}` = 0 THEN NULL ELSE CAST(`{b}` AS DOUBLE) / `{a}` END)"
+    factor = F.expr(py_round_sql(f"CASE WHEN {ratio} > 1 THEN {ratio} ELSE 1 / {ratio} END", 1, "spark"))
+    direction = F.expr(f"CASE WHEN {ratio} IS NULL THEN 'n/a' WHEN {ratio} > 1 THEN 'faster' ELSE 'slower' END")
+    return factor, direction
 
 
 def pct_diff(a, b) -> tuple[F.Column, F.Column]:
@@ -67,7 +67,7 @@ def size_comparison(levels: DataFrame, key: str = "level", arm_a: str = "a", arm
     if not keep_one_sided:
         j = j.where(both)
     ok = F.coalesce(F.col("a_success") & F.col("b_success"), F.lit(False))
-    factor, direction = speedup(F.col("a_proc_seconds"), F.col("b_proc_seconds"))
+    factor, direction = speedup("a_proc_seconds", "b_proc_seconds")
     return j.select(
         key, "a_success", "b_success",
         F.when(ok, F.col("a_proc_seconds")).alias("a_seconds"),
@@ -107,9 +107,10 @@ def metric_comparison(stats: DataFrame, keys: Sequence[str] = ("level",),
     j = a.join(b, [*keys, "metric"], "left")
     d, band = pct_diff(F.col("a_value"), F.col("b_value"))
     lower = ~F.col("metric").isin(*higher_is_better)
-    return j.select(*keys, "metric", "a_value", "b_value", py_round(d, 1).alias("pct_diff"),
-                    band.alias("band"), lower.alias("lower_is_better"),
-                    verdict(F.col("a_value"), F.col("b_value"), lower).alias("verdict"))
+    j = j.select("*", d.alias("_d"), band.alias("band"), lower.alias("lower_is_better"))
+    return j.select(*keys, "metric", "a_value", "b_value", py_round("_d", 1).alias("pct_diff"),
+                    "band", "lower_is_better",
+                    verdict(F.col("a_value"), F.col("b_value"), F.col("lower_is_better")).alias("verdict"))
 
 
 def throughput_pct_diff(levels: DataFrame, key: str = "level", arm_a: str = "a", arm_b: str = "b") -> DataFrame:
@@ -172,6 +173,6 @@ def total_speedup(runs: DataFrame, value_col: str = "total_seconds", arm_a: str
     m = runs.where("ok").groupBy().agg(
         F.avg(F.when(F.col("arm") == arm_a, F.col(value_col))).alias("a_mean"),
         F.avg(F.when(F.col("arm") == arm_b, F.col(value_col))).alias("b_mean"))
-    factor, direction = speedup(F.col("a_mean"), F.col("b_mean"))
+    factor, direction = speedup("a_mean", "b_mean")
     return m.select(py_round("a_mean", 3).alias("a_mean"), py_round("b_mean", 3).alias("b_mean"),
                     factor.alias("speedup"), direction.alias("direction"))

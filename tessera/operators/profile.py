@@ -144,8 +144,17 @@ def column_profile(cells: DataFrame, keys: Sequence[str] = ("file_name",),
 
 
 def pct(n, total) -> F.Column:
-    """Percentage of total, 2 decimals (Spark rounds half-up)."""
-    return py_round(F.col(n) / F.col(total) * 100, 2) if isinstance(n, str) else py_round(n / total * 100, 2)
+    """Percentage of total, 2 decimals, rounded like Python (``n``/``total``
+    are column names or Columns; prefer names, which build one SQL call)."""
+    if isinstance(n, str) and isinstance(total, str):
+        return py_round(F.col(n) / F.col(total) * 100, 2)
+    return py_round(n / total * 100, 2)
+
+
+def _pct_cols(df: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:
+    """Add raw percentage columns name -> (count, total), then their rounded value."""
+    raw = df.select("*", *[(F.col(n) / F.col(t) * 100).alias(f"_{name}_raw") for name, (n, t) in pairs.items()])
+    return raw.select(*df.columns, *[py_round(f"_{name}_raw", 2).alias(name) for name in pairs])
 
 
 # ---------------------------------------------------------------------------
@@ -169,10 +178,8 @@ def profile_stats(prof: DataFrame, keys: Sequence[str] = ("file_name",)) -> Data
 
 def profile_missing(prof: DataFrame, keys: Sequence[str] = ("file_name",)) -> DataFrame:
     """A3: missing count and percentage, only columns with at least one."""
-    return prof.where(F.col("n_missing") > 0).select(
-        *keys, "column", F.col("n_missing").alias("missing_count"),
-        pct(F.col("n_missing"), F.col("n_rows")).alias("missing_pct"),
-    )
+    p = _pct_cols(prof.where(F.col("n_missing") > 0), {"missing_pct": ("n_missing", "n_rows")})
+    return p.select(*keys, "column", F.col("n_missing").alias("missing_count"), "missing_pct")
 
 
 def with_expected(prof: DataFrame, declared: DataFrame | None = None,
@@ -199,9 +206,9 @@ def with_expected(prof: DataFrame, declared: DataFrame | None = None,
 def profile_invalid(prof: DataFrame, declared: DataFrame | None = None,
                     keys: Sequence[str] = ("file_name",)) -> DataFrame:
     """A4: invalid count of int/float-typed columns, only those with any."""
-    return (with_expected(prof, declared, keys).where(F.col("invalid_count") > 0)
-            .select(*keys, "column", "expected_type", "invalid_count",
-                    pct(F.col("invalid_count"), F.col("n_rows")).alias("invalid_pct")))
+    p = _pct_cols(with_expected(prof, declared, keys).where(F.col("invalid_count") > 0),
+                  {"invalid_pct": ("invalid_count", "n_rows")})
+    return p.select(*keys, "column", "expected_type", "invalid_count", "invalid_pct")
 
 
 def file_profile(prof: DataFrame, declared: DataFrame | None = None,
@@ -212,7 +219,8 @@ def file_profile(prof: DataFrame, declared: DataFrame | None = None,
     maps in header order; each file's entries are bounded by its column count.
     """
     keys = list(keys)
-    p = with_expected(prof, declared, keys)
+    p = _pct_cols(with_expected(prof, declared, keys),
+                  {"missing_pct": ("n_missing", "n_rows"), "invalid_pct": ("invalid_count", "n_rows")})
     has_inv = F.coalesce(F.col("invalid_count") > 0, F.lit(False))
     entry = F.struct(
         F.col("ordinal"), F.col("column"), F.col("type"),
@@ -221,12 +229,10 @@ def file_profile(prof: DataFrame, declared: DataFrame | None = None,
                         F.col("stat_avg").alias("avg"), F.col("stat_count").alias("count"))
                ).alias("stats"),
         F.when(F.col("n_missing") > 0,
-               F.struct(F.col("n_missing").alias("count"),
-                        pct(F.col("n_missing"), F.col("n_rows")).alias("percentage"))
+               F.struct(F.col("n_missing").alias("count"), F.col("missing_pct").alias("percentage"))
                ).alias("missing"),
         F.when(has_inv,
-               F.struct(F.col("invalid_count").alias("count"),
-                        pct(F.col("invalid_count"), F.col("n_rows")).alias("percentage"),
+               F.struct(F.col("invalid_count").alias("count"), F.col("invalid_pct").alias("percentage"),
                         F.col("expected_type").alias("expected_type"))
                ).alias("invalid"),
     )

@@ -262,7 +262,7 @@ def q_cmp_speedup(spark, sf_dir):
     st = run_ops.timing_stats(_runs(spark, sf_dir))
     a = st.where("arm = 'a'").select("level", F.col("mean").alias("a_mean"))
     b = st.where("arm = 'b'").select("level", F.col("mean").alias("b_mean"))
-    factor, direction = cmp_ops.speedup(F.col("a_mean"), F.col("b_mean"))
+    factor, direction = cmp_ops.speedup("a_mean", "b_mean")
     return a.join(b, "level", "full").select("level", "a_mean", "b_mean", factor.alias("speedup"),
                                              direction.alias("direction"))
 

@@ -80,7 +80,7 @@ def test_stage_speedups(results):
     st = S.stage_stats(results)
     a = st.where("arm = 'a'").select("stage", F.col("mean").alias("a"))
     b = st.where("arm = 'b'").select("stage", F.col("mean").alias("b"))
-    factor, direction = C.speedup(F.col("a"), F.col("b"))
+    factor, direction = C.speedup("a", "b")
     got = {r["stage"]: (r["f"], r["d"]) for r in a.join(b, "stage").select("stage", factor.alias("f"),
                                                                            direction.alias("d")).collect()}
     assert got == {"T_upload": (11.1, "faster"), "T_event_latency": (6.4, "faster"),
