@@ -103,3 +103,41 @@ def test_multiline_quoted_newline(spark, tmpdir_path):
     st, cols = run(spark, tmpdir_path, multiline=True)
     assert st["nl.csv"]["status"] == "success" and st["nl.csv"]["row_count"] == 2
     assert cols["nl.csv"]["b"]["type"] == "int"
+
+
+def test_exact_name_summaries_and_helpers(spark, tmpdir_path):
+    """K1 with exact object names, S4 read-back, K4 decimal leaves, P1, P2, P7, P10."""
+    import json
+    import os
+
+    from pyspark.sql import functions as F
+
+    from tessera.functions import derived as D
+    from tessera.operators import profile as P
+    from tessera.sinks import writers as W
+    write_files(tmpdir_path + "/in", {"sample.csv": SAMPLE})
+    manifest = C.list_files(spark, tmpdir_path + "/in")
+    columns, files = C.profile_files(spark, manifest)
+    per_file = P.file_profile(columns.withColumnRenamed("file_path", "file_name"))
+    docs = P.summary_document(per_file.withColumn("file_name", D.last_segment("file_name")))
+    W.write_summaries(docs, tmpdir_path + "/out", exact_names=True)
+    path = os.path.join(tmpdir_path, "out", "processed", "sample_summary.json")
+    doc = json.load(open(path))
+    assert doc["row_count"] == 10 and doc["column_count"] == 5
+    assert doc["schema"]["salary"] == "float" and doc["statistics"]["salary"]["count"] == 9
+    assert doc["quality_issues"]["missing_values"]["salary"] == {"count": 1, "percentage": 10.0}
+    assert doc["quality_issues"]["has_issues"] is True and doc["quality_issues"]["invalid_values"] == {}
+    dec = W.to_decimal_leaves(spark.createDataFrame([(0.1, "x")], "v double, s string"), ["v"])
+    assert str(dec.first()["v"]).startswith("0.1")
+    row = spark.createDataFrame([("uploads/a/x.csv.csv", "e" * 300, 65843)], "k string, m string, n bigint").select(
+        D.last_segment("k").alias("f"), D.summary_key(D.last_segment("k")).alias("sk"),
+        D.truncate("m", 200).alias("t"), D.size_kb("n").alias("kb")).first()
+    assert row["f"] == "x.csv.csv" and row["sk"] == "processed/x_summary.json"
+    assert len(row["t"]) == 200 and row["kb"] == 64.3
+
+
+def test_manifest_only_empty_files(spark, tmpdir_path):
+    write_files(tmpdir_path, {"a.csv": "", "b.csv": ""})
+    st, cols = run(spark, tmpdir_path)
+    assert {k: v["status"] for k, v in st.items()} == {"a.csv": "error", "b.csv": "error"}
+    assert cols == {}
