@@ -245,8 +245,8 @@ LEFT JOIN (SELECT level, metric, value AS b_value FROM ({long}) WHERE arm = 'b')
 # CSV files written from events
 # --------------------------------------------------------------------------
 cte("events_files", """
-SELECT event_type || '_' || CAST(user_id % 8 AS VARCHAR) AS file, event_type, event_id, user_id, value, ts,
-  min(event_id) OVER (PARTITION BY event_type || '_' || CAST(user_id % 8 AS VARCHAR)) AS first_id
+SELECT event_type || '_' || CAST(user_id % 20 AS VARCHAR) AS file, event_type, event_id, user_id, value, ts,
+  min(event_id) OVER (PARTITION BY event_type || '_' || CAST(user_id % 20 AS VARCHAR)) AS first_id
 FROM events""")
 
 cte("events_file_status", """

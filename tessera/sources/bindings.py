@@ -144,11 +144,11 @@ def completion_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Files written from the tables (CSV profiling end to end)
 # --------------------------------------------------------------------------
 EVENTS_CSV_HEADER = "event_id,user_id,value,day,note"
-EVENTS_CSV_FILES_PER_TYPE = 8
+EVENTS_CSV_FILES_PER_TYPE = 20
 
 
 def events_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CSV lines of events, one logical file per (event_type, user_id % 8).
+    """CSV lines of events, one logical file per (event_type, user_id % 20): 100 files.
 
     Defects by construction: 'error' files have short rows (event_id % 37 = 0),
     'click' files long rows (event_id % 41 = 0), every 'purchase' file an
