@@ -44,6 +44,12 @@ FLOAT_CAPTURE = (
     rf"|[+-]?(?:nan|inf|infinity)){WS_CLASS}*$"
 )
 STRIP_RE = rf"^{WS_CLASS}+|{WS_CLASS}+$"
+# The same whitespace set as single characters, and the characters a numeric
+# literal can start with: cheap first-character gates in front of the regexes.
+WS_CHARS = ([" ", "\t", "\n", "\x0b", "\x0c", "\r", "\x1c", "\x1d", "\x1e", "\x1f", "\x85", "\xa0", "\u1680"]
+            + [chr(c) for c in range(0x2000, 0x200B)] + ["\u2028", "\u2029", "\u202f", "\u205f", "\u3000"])
+DIGIT_CHARS = [str(d) for d in range(10)]
+NUMBER_START_CHARS = DIGIT_CHARS + ["+", "-", ".", "n", "N", "i", "I"] + WS_CHARS
 
 # (name, Spark datetime pattern, exact shape) in the order they are tried.
 DATE_FORMATS = [
@@ -61,10 +67,25 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def first_char(col) -> Column:
+    return F.substring(_c(col), 1, 1)
+
+
 def is_missing(col) -> Column:
-    """NULL or blank after strip."""
+    """NULL or blank after strip (the regex only runs on values that start
+    with whitespace)."""
     c = _c(col)
-    return c.isNull() | c.rlike(BLANK_RE)
+    return c.isNull() | (c == "") | (first_char(c).isin(WS_CHARS) & c.rlike(BLANK_RE))
+
+
+def may_be_number(col) -> Column:
+    """Necessary condition for an int/float literal: its first character."""
+    return first_char(col).isin(NUMBER_START_CHARS)
+
+
+def may_be_date(col) -> Column:
+    """Necessary condition for a date shape: it starts with a digit."""
+    return first_char(col).isin(DIGIT_CHARS)
 
 
 def is_int_literal(col) -> Column:

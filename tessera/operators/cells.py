@@ -23,11 +23,12 @@ def to_cells(df: DataFrame, id_cols: Sequence[str] = ("file_name", "row_no"),
     ``ordinal`` is the 1-based position of the column in ``value_cols`` (the
     header order), ``column`` its name and ``value`` the cell as text.  With
     ``spread`` an input with too few partitions is first spread over the
-    cluster (see ``ensure_parallelism``).
+    cluster (see ``ensure_parallelism``), hash-partitioned on the id columns,
+    which must identify a row.
     """
     id_cols = list(id_cols)
     if spread:
-        df = ensure_parallelism(df)
+        df = ensure_parallelism(df, unique_cols=id_cols)
     if value_cols is None:
         value_cols = [c for c in df.columns if c not in id_cols]
     cells = [

@@ -6,9 +6,12 @@ Plan shape (per input scan):
   Exchange on (file, ordinal) -> final HashAggregate.  Partial aggregation
   collapses each task's cells to one row per (file, column), so a file that
   holds a third of all rows costs no more shuffle than a small one.
-* date-probe branch (N1): present cells -> WindowGroupLimit(partial, 10 per key
-  per task) -> Exchange -> WindowGroupLimit(final) -> 4 date checks on the
-  surviving <= 10 rows per (file, column) -> aggregate.
+* date-probe branch (N1): only date-shaped cells (a value outside the four
+  date shapes fails every format) -> WindowGroupLimit(partial, 10 per key per
+  task) -> Exchange -> WindowGroupLimit(final) -> 4 format checks on the
+  surviving <= 10 rows per (file, column).  The main branch records each
+  column's first non-shaped row, which decides whether the first 10 values
+  are all date-shaped.
 * both branches are at (file, column) grain when they are joined.
 
 Every count is exact; nothing is sampled.  The only "first 10" is the
@@ -23,12 +26,21 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions.predicates import (
+    DATE_FORMATS,
+    FLOAT_CAPTURE,
+    INT_CAPTURE,
+    is_date_format,
+    is_missing,
+    may_be_date,
+    may_be_number,
+)
 from tessera.functions.rounding import py_round
 
-from tessera.functions.predicates import FLOAT_CAPTURE, INT_CAPTURE, is_date_format, is_missing
-
 DATE_PROBE_SIZE = 10  # fixed value: the reference looks at the first 10 values
 DATE_FLAG_NAMES = ["fmt_ymd_dash", "fmt_mdy_slash", "fmt_dmy_slash", "fmt_ymd_slash"]
+# Union of the four date shapes: a value outside it parses under no format.
+DATE_SHAPE_ANY = "^(?:" + "|".join(dict.fromkeys(shape[1:-1] for _, _, shape in DATE_FORMATS)) + ")$"
 
 
 def cell_flags(cells: DataFrame, keys: Sequence[str] = ("file_name",)) -> DataFrame:
@@ -39,16 +51,17 @@ def cell_flags(cells: DataFrame, keys: Sequence[str] = ("file_name",)) -> DataFr
     casts only ever see validated text (no parse failures on the hot path).
     """
     v = F.col("value")
-    flagged = cells.select("*", is_missing(v).alias("is_missing"))
+    flagged = cells.select("*", is_missing(v).alias("is_missing"), may_be_number(v).alias("_num"))
     present = ~F.col("is_missing")
-    flagged = flagged.select("*", F.when(present, F.regexp_extract(v, INT_CAPTURE, 1)).alias("_int_txt"))
+    flagged = flagged.select("*", F.when(present & F.col("_num"), F.regexp_extract(v, INT_CAPTURE, 1))
+                             .alias("_int_txt"))
     is_int = F.coalesce(F.col("_int_txt") != "", F.lit(False))
     flagged = flagged.select(
         "*", F.when(is_int, F.col("_int_txt"))
-        .when(present, F.regexp_extract(v, FLOAT_CAPTURE, 1)).alias("_flt_txt"))
+        .when(present & F.col("_num"), F.regexp_extract(v, FLOAT_CAPTURE, 1)).alias("_flt_txt"))
     is_float = F.coalesce(F.col("_flt_txt") != "", F.lit(False))
     return flagged.select(
-        *[c for c in flagged.columns if c not in ("_int_txt", "_flt_txt")],
+        *[c for c in flagged.columns if c not in ("_int_txt", "_flt_txt", "_num")],
         is_int.alias("is_int"),
         is_float.alias("is_float"),
         F.when(is_int, F.replace(F.col("_int_txt"), F.lit("_"), F.lit("")).try_cast("decimal(38,0)"))
@@ -59,38 +72,65 @@ def cell_flags(cells: DataFrame, keys: Sequence[str] = ("file_name",)) -> DataFr
 
 
 def date_probe(cells: DataFrame, keys: Sequence[str] = ("file_name",)) -> DataFrame:
-    """The first 10 non-missing values of each column, in row order,
-    checked against each of the four date formats.
+    """N1 candidates: the first 10 date-shaped non-missing cells of each
+    column in row order, with the four format checks.
 
+    Only date-shaped cells are sorted: any other value fails every format, so
+    the main aggregation just records the row of the first such value per
+    column (``first_nonshape_row``) and ``resolve_date_probe`` combines both.
     ``row_number() <= 10`` is planned as WindowGroupLimit partial + final, so at
-    most 10 rows per (file, column) per task cross the shuffle.
+    most 10 rows per (file, column) per task cross the shuffle.  Output: keys,
+    ordinal, ``probe`` = array (<= 10) of struct(row_no, fmt flags) in row order.
     """
     keys = list(keys)
-    w = Window.partitionBy(*keys, "ordinal").orderBy("row_no")
+    w = Window.partitionBy("ordinal", *keys).orderBy("row_no")
     first = (
-        cells.where(~is_missing("value"))
+        cells.where(may_be_date("value") & F.col("value").rlike(DATE_SHAPE_ANY))
         .select(*keys, "ordinal", "row_no", "value")
         .withColumn("_rn", F.row_number().over(w))
         .where(F.col("_rn") <= DATE_PROBE_SIZE)
     )
-    aggs = [F.count(F.lit(1)).alias("probe_n")]
-    aggs += [F.bool_and(is_date_format("value", i)).alias(name)
-             for i, name in enumerate(DATE_FLAG_NAMES)]
-    probe = first.groupBy(*keys, "ordinal").agg(*aggs)
+    entry = F.struct(F.col("row_no"), *[is_date_format("value", i).alias(name)
+                                        for i, name in enumerate(DATE_FLAG_NAMES)])
+    return first.groupBy(*keys, "ordinal").agg(F.array_sort(F.collect_list(entry)).alias("probe"))
+
+
+def _field(name: str):
+    return lambda e: e[name]
+
+
+def resolve_date_probe(prof: DataFrame) -> DataFrame:
+    """Per column: the reference's date test on its first L = min(10, present)
+    values.  They are all date-shaped iff the L-th date-shaped value comes
+    before the first non-shaped one; then format f holds iff all L parse."""
+    n_first = F.least(F.lit(DATE_PROBE_SIZE).cast("bigint"), F.col("n_present"))
+    probe = F.coalesce(F.col("probe"), F.array())
+    shaped = (F.size(probe) >= n_first) & (n_first > 0) & (
+        F.col("first_nonshape_row").isNull()
+        | (F.element_at(probe, n_first.cast("int"))["row_no"] < F.col("first_nonshape_row")))
+    head = F.slice(probe, 1, n_first.cast("int"))
+    out = prof.select("*", F.when(F.col("n_present") > 0, n_first).alias("probe_n"),
+                      *[F.when(F.col("n_present") > 0, shaped & F.forall(head, _field(name))).alias(name)
+                        for name in DATE_FLAG_NAMES])
     any_fmt = F.col(DATE_FLAG_NAMES[0])
     for name in DATE_FLAG_NAMES[1:]:
         any_fmt = any_fmt | F.col(name)
-    return probe.withColumn("date_ok", any_fmt)
+    return out.withColumn("date_ok", any_fmt).drop("probe")
 
 
 def column_profile(cells: DataFrame, keys: Sequence[str] = ("file_name",),
-                   extra_aggs: Sequence[F.Column] = ()) -> DataFrame:
+                   extra_aggs: Sequence[F.Column] = (), probe_cells: DataFrame | None = None) -> DataFrame:
     """One row per (file, column): counts, inferred type and statistics.
 
     Output columns: keys, ordinal, column, n_rows, n_missing, n_present, n_int,
     n_float, n_nan, type, stat_min, stat_max, stat_avg, stat_count, int_min,
     int_max (exact DECIMAL(38,0)), probe flags, then ``extra_aggs`` (further
     aggregates over the same cells, computed in the same pass).
+
+    ``probe_cells`` may restrict the date probe to the cells that can hold a
+    date-shaped value at all (e.g. only the text-typed columns of a typed
+    table: numbers and timestamps rendered as text never match a date shape),
+    so its scan reads only those columns.
     """
     keys = list(keys)
     flags = cell_flags(cells, keys)
@@ -110,12 +150,15 @@ def column_profile(cells: DataFrame, keys: Sequence[str] = ("file_name",),
         F.min(fv_num).alias("float_min"),
         F.max(fv_num).alias("float_max"),
         F.sum(fv_num).alias("float_sum"),
+        F.min(F.when(~F.col("is_missing") & ~(may_be_date("value") & F.col("value").rlike(DATE_SHAPE_ANY)),
+                     F.col("row_no"))).alias("first_nonshape_row"),
         *extra_aggs,
     )
-    extra_names = agg.columns[len(keys) + 13:]
-    probe = date_probe(cells, keys)
+    extra_names = agg.columns[len(keys) + 14:]
+    probe = date_probe(cells if probe_cells is None else probe_cells, keys)
     prof = agg.join(probe, on=[*keys, "ordinal"], how="left")
     n_present = F.col("n_rows") - F.col("n_missing")
+    prof = resolve_date_probe(prof.withColumn("n_present", n_present))
     ctype = (
         F.when(n_present == 0, F.lit("string"))
         .when(F.col("n_int") == n_present, F.lit("int"))
@@ -123,7 +166,7 @@ def column_profile(cells: DataFrame, keys: Sequence[str] = ("file_name",),
         .when(F.coalesce(F.col("date_ok"), F.lit(False)), F.lit("date"))
         .otherwise(F.lit("string"))
     )
-    prof = prof.withColumn("n_present", n_present).withColumn("type", ctype)
+    prof = prof.withColumn("type", ctype)
     is_int_t = F.col("type") == "int"
     is_flt_t = F.col("type") == "float"
     n_finite = F.col("n_float") - F.col("n_nan")

@@ -70,27 +70,29 @@ cte("cells", "\nUNION ALL\n".join(
     f"SELECT file_name, row_no, {i} AS ordinal, '{c}' AS \"column\", {c} AS value FROM dirty_events"
     for i, c in enumerate(DIRTY_COLUMNS, 1)), ("dirty_events",))
 
-cte("cell_flags", f"""
+def define_profile_ctes(prefix: str, cells: str) -> None:
+    """Register the profile CTEs ({prefix}cell_flags ... {prefix}col_stats) over a cells CTE."""
+    cte(f"{prefix}cell_flags", f"""
 SELECT *,
   CASE WHEN is_int THEN TRY_CAST(replace(trim(value), '_', '') AS DECIMAL(38,0)) END AS int_value,
   CASE WHEN is_float THEN TRY_CAST(replace(trim(value), '_', '') AS DOUBLE) END AS float_value
 FROM (
   SELECT *, (NOT is_missing AND regexp_matches(value, '{INT_RE}')) AS is_int,
             (NOT is_missing AND regexp_matches(value, '{FLOAT_RE}')) AS is_float
-  FROM (SELECT *, (value IS NULL OR regexp_matches(value, '^\\s*$')) AS is_missing FROM cells)
-)""", ("cells",))
+  FROM (SELECT *, (value IS NULL OR regexp_matches(value, '^\\s*$')) AS is_missing FROM {cells})
+)""", (cells,))
 
-cte("date_probe", f"""
+    cte(f"{prefix}date_probe", f"""
 SELECT file_name, ordinal, count(*) AS probe_n,
   {", ".join(f"bool_and({_date_ok('value', r, f)}) AS {n}" for n, r, f in DATE_CHECKS)}
 FROM (
   SELECT file_name, ordinal, value,
          row_number() OVER (PARTITION BY file_name, ordinal ORDER BY row_no) AS rn
-  FROM cell_flags WHERE NOT is_missing
+  FROM {prefix}cell_flags WHERE NOT is_missing
 ) WHERE rn <= 10
-GROUP BY file_name, ordinal""", ("cell_flags",))
+GROUP BY file_name, ordinal""", (f"{prefix}cell_flags",))
 
-cte("col_agg", """
+    cte(f"{prefix}col_agg", f"""
 SELECT file_name, ordinal, "column",
   count(*) AS n_rows,
   CAST(count_if(is_missing) AS BIGINT) AS n_missing,
@@ -101,9 +103,9 @@ SELECT file_name, ordinal, "column",
   min(CASE WHEN NOT isnan(float_value) THEN float_value END) AS float_min,
   max(CASE WHEN NOT isnan(float_value) THEN float_value END) AS float_max,
   sum(CASE WHEN NOT isnan(float_value) THEN float_value END) AS float_sum
-FROM cell_flags GROUP BY file_name, ordinal, "column\"""", ("cell_flags",))
+FROM {prefix}cell_flags GROUP BY file_name, ordinal, "column\"""", (f"{prefix}cell_flags",))
 
-cte("col_profile", f"""
+    cte(f"{prefix}col_profile", f"""
 SELECT a.*, p.probe_n, {", ".join(f"p.{n}" for n, _, _ in DATE_CHECKS)},
   ({" OR ".join(f"p.{n}" for n, _, _ in DATE_CHECKS)}) AS date_ok,
   a.n_rows - a.n_missing AS n_present,
@@ -112,16 +114,20 @@ SELECT a.*, p.probe_n, {", ".join(f"p.{n}" for n, _, _ in DATE_CHECKS)},
        WHEN a.n_float = a.n_rows - a.n_missing THEN 'float'
        WHEN coalesce({" OR ".join(f"p.{n}" for n, _, _ in DATE_CHECKS)}, false) THEN 'date'
        ELSE 'string' END AS type
-FROM col_agg a LEFT JOIN date_probe p USING (file_name, ordinal)""", ("col_agg", "date_probe"))
+FROM {prefix}col_agg a LEFT JOIN {prefix}date_probe p USING (file_name, ordinal)""",
+        (f"{prefix}col_agg", f"{prefix}date_probe"))
 
-cte("col_stats", """
+    cte(f"{prefix}col_stats", f"""
 SELECT *,
   CASE WHEN type = 'int' THEN CAST(int_min AS DOUBLE) WHEN type = 'float' THEN float_min END AS stat_min,
   CASE WHEN type = 'int' THEN CAST(int_max AS DOUBLE) WHEN type = 'float' THEN float_max END AS stat_max,
   CASE WHEN type = 'int' THEN CAST(int_sum AS DOUBLE) / n_int
        WHEN type = 'float' AND n_float - n_nan > 0 THEN float_sum / (n_float - n_nan) END AS stat_avg,
   CASE WHEN type = 'int' THEN n_int WHEN type = 'float' THEN n_float END AS stat_count
-FROM col_profile""", ("col_profile",))
+FROM {prefix}col_profile""", (f"{prefix}col_profile",))
+
+
+define_profile_ctes("", "cells")
 
 cte("declared", """
 SELECT * FROM (VALUES ('c_user', 'int'), ('c_value', 'float'), ('c_mixed', 'int'), ('c_props', 'int'),
@@ -324,3 +330,20 @@ cte("arm_stage_stats", "\nUNION ALL\n".join([
     "CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE) "
     "FROM runs",
 ]), ("runs", "run_latency"))
+
+
+# --------------------------------------------------------------------------
+# Every driver table profiled as text (one "file" per table)
+# --------------------------------------------------------------------------
+def _text(col: str, kind: str) -> str:
+    if kind == "double":
+        return f"CAST(CAST({col} AS DECIMAL(18,2)) AS VARCHAR)"
+    if kind.startswith("timestamp"):
+        return f"strftime({col}, '%Y-%m-%d %H:%M:%S')"
+    return f"CAST({col} AS VARCHAR)"
+
+
+def table_cells_sql(tables: dict[str, list[tuple[str, str]]]) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS file_name, 0 AS row_no, {i} AS ordinal, '{c}' AS \"column\", {_text(c, k)} AS value FROM {t}"
+        for t, cols in tables.items() for i, (c, k) in enumerate(cols, 1))

@@ -2,15 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None,
+                       unique_cols: Sequence[str] = ()) -> DataFrame:
     """Spread an input that arrives in fewer partitions than the cluster runs
     in parallel (one small file, one parquet row group) before CPU-heavy
-    per-row work.  Round-robin, so no key skew; a no-op for large inputs,
-    whose scans already yield far more splits than cores."""
+    per-row work; a no-op for large inputs, whose scans already yield far more
+    splits than cores.
+
+    With ``unique_cols`` (a per-row unique key such as (file, row_no)) rows are
+    hash-partitioned on it: deterministic under task retries and free of skew
+    since every key is distinct.  Otherwise round-robin (Spark sorts each map
+    partition first to keep it deterministic)."""
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    if unique_cols:
+        return df.repartition(target, *unique_cols)
+    return df.repartition(target)

@@ -98,7 +98,8 @@ def q_profile_summary(spark, sf_dir):
     '(fmt_ymd_dash OR fmt_mdy_slash OR fmt_dmy_slash OR fmt_ymd_slash) AS date_ok FROM date_probe',
     "date_probe"))
 def q_profile_date_probe(spark, sf_dir):
-    return prof_ops.date_probe(dirty_cells(spark, sf_dir))
+    prof = dirty_profile(spark, sf_dir).where("n_present > 0")
+    return prof.select("file_name", "ordinal", "probe_n", *prof_ops.DATE_FLAG_NAMES, "date_ok")
 
 
 def _pred_query(flag: str, alias: str) -> QueryFn:
@@ -772,3 +773,19 @@ def q_stream_status_totals(spark, sf_dir):
                                     max_files_per_trigger=1)
     q.awaitTermination()
     return ps_ops.status_totals(spark, base + "/log")
+
+
+# --------------------------------------------------------------------------
+# Any table: every driver table profiled in one job, whole texts included
+# --------------------------------------------------------------------------
+O.cte("tbl_cells", O.table_cells_sql(B.PROFILED_TABLES))
+O.define_profile_ctes("tbl_", "tbl_cells")
+
+
+@query("profile_tables", O.with_ctes(
+    'SELECT file_name, "column", ordinal, type, n_missing, stat_min, stat_max, stat_count FROM tbl_col_stats',
+    "tbl_col_stats"))
+def q_profile_tables(spark, sf_dir):
+    prof = prof_ops.column_profile(B.table_cells(spark, sf_dir),
+                                   probe_cells=B.table_cells(spark, sf_dir, text_only=True))
+    return prof.select("file_name", "column", "ordinal", "type", "n_missing", "stat_min", "stat_max", "stat_count")

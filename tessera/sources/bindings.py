@@ -190,3 +190,72 @@ def write_events_csv(spark: SparkSession, sf_dir: str, root: str) -> str:
 def logical_file_name(path_col) -> F.Column:
     """'.../file=click_3/part-...' -> 'click_3.csv'."""
     return F.concat(F.regexp_extract(path_col, r"file=([^/]+)/", 1), F.lit(".csv"))
+
+
+# --------------------------------------------------------------------------
+# Every table as text cells (one "file" per table)
+# --------------------------------------------------------------------------
+# Tables profiled as text; the array-valued embeddings table is left out.
+PROFILED_TABLES = {
+    "region": [("r_regionkey", "int"), ("r_name", "string")],
+    "nation": [("n_nationkey", "int"), ("n_name", "string"), ("n_regionkey", "int")],
+    "customer": [("c_custkey", "bigint"), ("c_name", "string"), ("c_nationkey", "int"), ("c_acctbal", "double"),
+                 ("c_mktsegment", "string")],
+    "supplier": [("s_suppkey", "bigint"), ("s_name", "string"), ("s_nationkey", "int"), ("s_acctbal", "double")],
+    "part": [("p_partkey", "bigint"), ("p_name", "string"), ("p_brand", "string"), ("p_type", "string"),
+             ("p_size", "int"), ("p_retailprice", "double")],
+    "orders": [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
+               ("o_totalprice", "double"), ("o_orderdate", "timestamp"), ("o_orderpriority", "string")],
+    "lineitem": [("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"), ("l_linenumber", "int"),
+                 ("l_quantity", "double"), ("l_extendedprice", "double"), ("l_discount", "double"),
+                 ("l_tax", "double"), ("l_returnflag", "string"), ("l_linestatus", "string"),
+                 ("l_shipdate", "timestamp")],
+    "events": [("event_id", "bigint"), ("ts", "timestamp"), ("user_id", "bigint"), ("event_type", "string"),
+               ("value", "double"), ("props", "string")],
+    "documents": [("doc_id", "bigint"), ("text", "string"), ("lang", "string"), ("source", "string"),
+                  ("n_chars", "bigint")],
+    "pages": [("page_id", "bigint"), ("url", "string"), ("html", "string")],
+    "benchmark": [("item_id", "bigint"), ("text", "string")],
+    "labels": [("doc_id", "bigint"), ("quality", "int"), ("toxic", "int")],
+    "conversations": [("conv_id", "bigint"), ("turn", "bigint"), ("role", "string"), ("text", "string")],
+}
+
+
+def as_text(col: str, kind: str) -> F.Column:
+    """Text form of a typed column: doubles with 2 decimals, timestamps to the second."""
+    c = F.col(col)
+    if kind == "double":
+        return c.cast("decimal(18,2)").cast("string")
+    if kind.startswith("timestamp"):
+        return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    return c.cast("string")
+
+
+def table_cells(spark: SparkSession, sf_dir: str, tables: dict[str, list[tuple[str, str]]] | None = None,
+                text_only: bool = False) -> DataFrame:
+    """All given tables as one cells DataFrame; row order = parquet row index.
+
+    ``text_only`` keeps only string-typed columns (ordinals unchanged): the
+    cells that can hold a date-shaped value, for the date probe.
+    """
+    from tessera.operators.cells import to_cells
+    tables = tables or PROFILED_TABLES
+    parts = []
+    for t, cols in tables.items():
+        ordinals = {c: i for i, (c, _) in enumerate(cols, 1)}
+        if text_only:
+            cols = [(c, k) for c, k in cols if k == "string"]
+            if not cols:
+                continue
+        df = read_table(spark, sf_dir, t)
+        wide = df.select(F.lit(t).alias("file_name"), F.col("_metadata.row_index").alias("row_no"),
+                         *[as_text(c, k).alias(c) for c, k in cols])
+        cells = to_cells(wide, ("file_name", "row_no"), [c for c, _ in cols])
+        if text_only:  # keep the table's own column positions
+            pos = F.create_map(*[x for c, _ in cols for x in (F.lit(c), F.lit(ordinals[c]))])
+            cells = cells.withColumn("ordinal", pos[F.col("column")])
+        parts.append(cells)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
