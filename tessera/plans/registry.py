@@ -789,3 +789,34 @@ def q_profile_tables(spark, sf_dir):
     prof = prof_ops.column_profile(B.table_cells(spark, sf_dir),
                                    probe_cells=B.table_cells(spark, sf_dir, text_only=True))
     return prof.select("file_name", "column", "ordinal", "type", "n_missing", "stat_min", "stat_max", "stat_count")
+
+
+_EMP_ORDERS_SQL = """
+SELECT CAST(substring(o_orderpriority, 1, 1) AS BIGINT) AS file_id, o_orderkey AS i,
+  25 + o_orderkey % 40 AS age, 50000 + (o_orderkey * 1000) % 100000 AS salary FROM orders"""
+
+
+@query("gen_employees_csv", f"""
+SELECT file_id, "column", ordinal, type, stat_min, stat_max, stat_avg, stat_count, n_missing FROM (
+  SELECT file_id, 'age' AS "column", 2 AS ordinal, 'int' AS type, CAST(min(age) AS DOUBLE) AS stat_min,
+    CAST(max(age) AS DOUBLE) AS stat_max, {R("CAST(sum(age) AS DOUBLE) / count(*)", 6)} AS stat_avg,
+    count(*) AS stat_count, CAST(0 AS BIGINT) AS n_missing
+  FROM ({_EMP_ORDERS_SQL}) GROUP BY file_id
+  UNION ALL
+  SELECT file_id, 'salary', 3, 'int', CAST(min(salary) AS DOUBLE), CAST(max(salary) AS DOUBLE),
+    {R("CAST(sum(salary) AS DOUBLE) / count(*)", 6)}, count(*), CAST(0 AS BIGINT)
+  FROM ({_EMP_ORDERS_SQL}) GROUP BY file_id
+  UNION ALL
+  SELECT DISTINCT file_id, unnest(['name', 'join_date', 'department', 'city', 'employee_id']),
+    unnest([1, 4, 5, 6, 7]), unnest(['string', 'date', 'string', 'string', 'string']),
+    CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS BIGINT), CAST(0 AS BIGINT)
+  FROM ({_EMP_ORDERS_SQL}))""")
+def q_gen_employees_csv(spark, sf_dir):
+    """S7 -> S1: generated employee CSV files profiled end to end (the
+    reference's file-size experiment layout)."""
+    root = B.write_employee_csv(spark, sf_dir, shared_dir(spark, "bindings", "employees_csv"))
+    columns, files = csv_ops.profile_files(spark, csv_ops.list_files(spark, root, suffix=None))
+    ok = csv_ops.successful_columns(columns, files)
+    return ok.select(F.regexp_extract("file_path", r"file_id=([0-9]+)/", 1).cast("bigint").alias("file_id"),
+                     "column", "ordinal", "type", "stat_min", "stat_max", py_round("stat_avg", 6).alias("stat_avg"),
+                     "stat_count", "n_missing")

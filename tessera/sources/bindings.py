@@ -259,3 +259,22 @@ def table_cells(spark: SparkSession, sf_dir: str, tables: dict[str, list[tuple[s
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+# --------------------------------------------------------------------------
+# Generated employee files (the reference's synthetic CSV layout)
+# --------------------------------------------------------------------------
+
+def write_employee_csv(spark: SparkSession, sf_dir: str, root: str) -> str:
+    """One employee CSV per order priority (file id = its leading digit), one
+    row per order (row index = order key), header first; returns ``root``."""
+    from tessera.sources.generator import HEADER, employee_csv_lines, employees
+    o = read_table(spark, sf_dir, "orders")
+    ids = o.select(F.substring("o_orderpriority", 1, 1).cast("bigint").alias("file_id"),
+                   F.col("o_orderkey").alias("i"))
+    rows = employee_csv_lines(employees(ids)).select("file_id", F.col("i").alias("k"), "line")
+    headers = ids.select("file_id").distinct().select("file_id", F.lit(-1).cast("bigint").alias("k"),
+                                                      F.lit(",".join(HEADER)).alias("line"))
+    (rows.unionByName(headers).repartition("file_id").sortWithinPartitions("file_id", "k")
+     .select("file_id", "line").write.mode("overwrite").partitionBy("file_id").text(root))
+    return root
