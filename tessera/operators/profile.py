@@ -135,10 +135,9 @@ def column_profile(cells: DataFrame, keys: Sequence[str] = ("file_name",),
     keys = list(keys)
     flags = cell_flags(cells, keys)
     fv_num = F.when(~F.isnan("float_value"), F.col("float_value"))
-    # Grouping on (file, ordinal) only (column name is functionally dependent)
-    # leaves the output hash-partitioned exactly as the probe join needs it.
-    agg = flags.groupBy(*keys, "ordinal").agg(
-        F.any_value("column").alias("column"),
+    # ``column`` is a grouping key, not an any_value() aggregate: a string
+    # aggregation buffer would push Spark off the fixed-width hash aggregate.
+    agg = flags.groupBy(*keys, "ordinal", "column").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if("is_missing").alias("n_missing"),
         F.count_if("is_int").alias("n_int"),
@@ -150,8 +149,11 @@ def column_profile(cells: DataFrame, keys: Sequence[str] = ("file_name",),
         F.min(fv_num).alias("float_min"),
         F.max(fv_num).alias("float_max"),
         F.sum(fv_num).alias("float_sum"),
-        F.min(F.when(~F.col("is_missing") & ~(may_be_date("value") & F.col("value").rlike(DATE_SHAPE_ANY)),
-                     F.col("row_no"))).alias("first_nonshape_row"),
+        # numeric literals are never date-shaped: the shape regex only runs on
+        # the other present values that start with a digit
+        F.min(F.when(~F.col("is_missing") & (F.col("is_int") | F.col("is_float") | ~(
+            may_be_date("value") & F.col("value").rlike(DATE_SHAPE_ANY))), F.col("row_no")))
+        .alias("first_nonshape_row"),
         *extra_aggs,
     )
     extra_names = agg.columns[len(keys) + 14:]
