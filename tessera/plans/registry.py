@@ -786,8 +786,8 @@ O.define_profile_ctes("tbl_", "tbl_cells")
     'SELECT file_name, "column", ordinal, type, n_missing, stat_min, stat_max, stat_count FROM tbl_col_stats',
     "tbl_col_stats"))
 def q_profile_tables(spark, sf_dir):
-    prof = prof_ops.column_profile(B.table_cells(spark, sf_dir),
-                                   probe_cells=B.table_cells(spark, sf_dir, text_only=True))
+    cells, text_cells = B.table_cells(spark, sf_dir)
+    prof = prof_ops.column_profile(cells, probe_cells=text_cells)
     return prof.select("file_name", "column", "ordinal", "type", "n_missing", "stat_min", "stat_max", "stat_count")
 
 

@@ -231,50 +231,31 @@ def as_text(col: str, kind: str) -> F.Column:
     return c.cast("string")
 
 
-def table_cells(spark: SparkSession, sf_dir: str, tables: dict[str, list[tuple[str, str]]] | None = None,
-                text_only: bool = False) -> DataFrame:
-    """All given tables as one cells DataFrame; row order = parquet row index.
-
-    ``text_only`` keeps only string-typed columns (ordinals unchanged): the
-    cells that can hold a date-shaped value, for the date probe.
-    """
+def table_cells(spark: SparkSession, sf_dir: str, tables: dict[str, list[tuple[str, str]]] | None = None
+                ) -> tuple[DataFrame, DataFrame]:
+    """All given tables as one cells DataFrame (row order = parquet row index),
+    plus the cells of their string-typed columns only (same ordinals): the
+    only cells that can hold a date-shaped value, for the date probe.
+    Each table is read once for both."""
     from tessera.operators.cells import to_cells
     tables = tables or PROFILED_TABLES
-    parts = []
+    parts, text_parts = [], []
     for t, cols in tables.items():
-        ordinals = {c: i for i, (c, _) in enumerate(cols, 1)}
-        if text_only:
-            cols = [(c, k) for c, k in cols if k == "string"]
-            if not cols:
-                continue
         df = read_table(spark, sf_dir, t)
         wide = df.select(F.lit(t).alias("file_name"), F.col("_metadata.row_index").alias("row_no"),
                          *[as_text(c, k).alias(c) for c, k in cols])
-        cells = to_cells(wide, ("file_name", "row_no"), [c for c, _ in cols])
-        if text_only:  # keep the table's own column positions
-            pos = F.create_map(*[x for c, _ in cols for x in (F.lit(c), F.lit(ordinals[c]))])
-            cells = cells.withColumn("ordinal", pos[F.col("column")])
-        parts.append(cells)
+        parts.append(to_cells(wide, ("file_name", "row_no"), [c for c, _ in cols]))
+        text = [(i, c) for i, (c, k) in enumerate(cols, 1) if k == "string"]
+        if text:
+            # light work (gated before any regex): no spreading
+            tc = to_cells(wide, ("file_name", "row_no"), [c for _, c in text], spread=False)
+            pos = F.create_map(*[x for i, c in text for x in (F.lit(c), F.lit(i))])
+            text_parts.append(tc.withColumn("ordinal", pos[F.col("column")]))
+    return _union(parts), _union(text_parts)
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
-
-
-# --------------------------------------------------------------------------
-# Generated employee files (the reference's synthetic CSV layout)
-# --------------------------------------------------------------------------
-
-def write_employee_csv(spark: SparkSession, sf_dir: str, root: str) -> str:
-    """One employee CSV per order priority (file id = its leading digit), one
-    row per order (row index = order key), header first; returns ``root``."""
-    from tessera.sources.generator import HEADER, employee_csv_lines, employees
-    o = read_table(spark, sf_dir, "orders")
-    ids = o.select(F.substring("o_orderpriority", 1, 1).cast("bigint").alias("file_id"),
-                   F.col("o_orderkey").alias("i"))
-    rows = employee_csv_lines(employees(ids)).select("file_id", F.col("i").alias("k"), "line")
-    headers = ids.select("file_id").distinct().select("file_id", F.lit(-1).cast("bigint").alias("k"),
-                                                      F.lit(",".join(HEADER)).alias("line"))
-    (rows.unionByName(headers).repartition("file_id").sortWithinPartitions("file_id", "k")
-     .select("file_id", "line").write.mode("overwrite").partitionBy("file_id").text(root))
-    return root
