@@ -133,14 +133,3 @@ def float_value(col) -> Column:
         is_float_literal(col),
         F.regexp_replace(strip_ws(col), "_", "").try_cast("double"),
     )
-
-
-def matches_type(col, type_name) -> Column:
-    """Does a present value parse as the given type name (int/float/date/string)?"""
-    t = _c(type_name) if not isinstance(type_name, str) or type_name not in TYPE_NAMES else F.lit(type_name)
-    return (
-        F.when(t == "int", is_int_literal(col))
-        .when(t == "float", is_float_literal(col))
-        .when(t == "date", is_date_literal(col))
-        .otherwise(F.lit(True))
-    )

@@ -35,6 +35,7 @@ from tessera.functions.predicates import (
     may_be_date,
     may_be_number,
 )
+from tessera.functions.derived import iso_utc, summary_key
 from tessera.functions.rounding import py_round
 
 DATE_PROBE_SIZE = 10  # fixed value: the reference looks at the first 10 values
@@ -313,10 +314,9 @@ def summary_document(files: DataFrame, upload_col: str | None = None) -> DataFra
     upload = F.col(upload_col).cast("string") if upload_col else F.lit(None).cast("string")
     return files.select(
         "file_name",
-        F.concat(F.lit("processed/"), F.replace(F.col("file_name"), F.lit(".csv"), F.lit("")),
-                 F.lit("_summary.json")).alias("summary_key"),
+        summary_key("file_name").alias("summary_key"),
         upload.alias("upload_timestamp"),
-        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("processed_timestamp"),
+        iso_utc(F.current_timestamp()).alias("processed_timestamp"),
         "row_count", "column_count", "schema", "statistics",
         F.struct(F.col("row_count").alias("total_rows"), "missing_values", "invalid_values",
                  "has_issues").alias("quality_issues"),

@@ -12,12 +12,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.derived import last_segment, size_kb
+from tessera.functions.predicates import is_date_literal, is_missing
 from tessera.functions.rounding import py_round
 from tessera.functions.rounding import py_round_sql as R
+from tessera.operators import compare as cmp_ops
+from tessera.operators import metadata as meta_ops
 from tessera.operators import profile as prof_ops
+from tessera.operators import runs as run_ops
 from tessera.operators.cells import to_cells
+from tessera.operators.ranking import latest_per_key
 from tessera.plans import oracle as O
+from tessera.session import qualify, shared_dir
+from tessera.sinks import writers as sink_ops
 from tessera.sources import bindings as B
+from tessera.sources import csv_files as csv_ops
+from tessera.sources import events as ev_ops
+from tessera.sources import generator as gen_ops
+from tessera.sources import results as res_ops
+from tessera.sources.tables import read_table
+from tessera.streaming import deadline as dl_ops
+from tessera.streaming import profile_stream as ps_ops
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, tuple[QueryFn, str | None]] = {}
@@ -121,7 +136,6 @@ QUERIES["pred_is_float"] = (_pred_query("is_float", "n_float"), O.with_ctes(
 
 
 def q_pred_is_date(spark, sf_dir):
-    from tessera.functions.predicates import is_date_literal, is_missing
     cells = dirty_cells(spark, sf_dir)
     return cells.groupBy("file_name", "column").agg(
         F.count_if(~is_missing("value") & is_date_literal("value")).alias("n_date"))
@@ -136,9 +150,6 @@ QUERIES["pred_is_date"] = (q_pred_is_date, O.with_ctes(
 # --------------------------------------------------------------------------
 # Runs (A8-A14, N2, P8, P9, P14, P17)
 # --------------------------------------------------------------------------
-from tessera.operators import compare as cmp_ops  # noqa: E402
-from tessera.operators import runs as run_ops  # noqa: E402
-from tessera.sources.tables import read_table  # noqa: E402
 
 
 def _runs(spark, sf_dir):
@@ -373,13 +384,6 @@ def q_cmp_total_speedup(spark, sf_dir):
 # --------------------------------------------------------------------------
 # CSV files written from events
 # --------------------------------------------------------------------------
-from tessera.functions.derived import last_segment  # noqa: E402
-from tessera.operators import metadata as meta_ops  # noqa: E402
-from tessera.session import shared_dir  # noqa: E402
-from tessera.sinks import writers as sink_ops  # noqa: E402
-from tessera.sources import csv_files as csv_ops  # noqa: E402
-from tessera.sources import events as ev_ops  # noqa: E402
-from tessera.sources import generator as gen_ops  # noqa: E402
 
 
 def events_csv_profile(spark, sf_dir):
@@ -576,7 +580,6 @@ SELECT event_type AS environment, event_id AS run_id, strftime(ts, '%Y-%m-%d %H:
 FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS rn FROM events)
 WHERE rn = 1""")
 def q_src_latest_per_env(spark, sf_dir):
-    from tessera.operators.ranking import latest_per_key
     ev = read_table(spark, sf_dir, "events").select(F.col("event_type").alias("environment"),
                                                      F.col("event_id").alias("run_id"), "ts")
     latest = latest_per_key(ev, ["environment"], ["ts", "run_id"])
@@ -630,9 +633,6 @@ def q_gen_employees_profile(spark, sf_dir):
 # --------------------------------------------------------------------------
 # Streaming
 # --------------------------------------------------------------------------
-from tessera.session import qualify  # noqa: E402
-from tessera.streaming import deadline as dl_ops  # noqa: E402
-from tessera.streaming import profile_stream as ps_ops  # noqa: E402
 
 
 def write_notifications(spark, root: str, out_dir: str, n_files: int = 3) -> None:
@@ -702,7 +702,6 @@ def q_stream_deadline(spark, sf_dir):
 # --------------------------------------------------------------------------
 # Result documents and report tables
 # --------------------------------------------------------------------------
-from tessera.sources import results as res_ops  # noqa: E402
 
 
 def results_roundtrip(spark, sf_dir):
@@ -752,7 +751,6 @@ GROUP BY file_id""")
 def q_gen_employees_files(spark, sf_dir):
     """P10: size of each generated file in KB (characters, header included,
     lines joined by newlines), from the generated rows."""
-    from tessera.functions.derived import size_kb
     lines = gen_ops.employee_csv_lines(_employees(spark, sf_dir))
     header = len(",".join(gen_ops.HEADER))
     per_file = lines.groupBy("file_id").agg(F.count(F.lit(1)).alias("n_rows"),

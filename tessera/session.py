@@ -63,10 +63,6 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return base.rstrip("/") + "/" + sub if sub else base
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("file:") or path.startswith("/") or "://" not in path
-
-
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for Python-side access to a local path."""
     if path.startswith("file://"):

@@ -132,14 +132,6 @@ def completions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def completion_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw completion events (one per line item) for the streaming deadline join."""
-    li = read_table(spark, sf_dir, "lineitem")
-    return li.select(F.col("l_orderkey").alias("object_id"), F.col("l_shipdate").alias("done_ts"),
-                     F.when(F.col("l_returnflag") == "R", F.lit("error"))
-                     .otherwise(F.lit("success")).alias("status"))
-
-
 # --------------------------------------------------------------------------
 # Files written from the tables (CSV profiling end to end)
 # --------------------------------------------------------------------------

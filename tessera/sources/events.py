@@ -55,9 +55,14 @@ def route(decoded: DataFrame, prefix: str = UPLOAD_PREFIX, suffix: str = CSV_SUF
     return decoded.select("*", last_segment(key).alias("file_name"), action.alias("action"))
 
 
-def manifest_from_events(routed: DataFrame, scheme: str = "s3a") -> DataFrame:
-    """Objects to process as a manifest (file_path, length, upload_timestamp)."""
+def manifest_from_events(routed: DataFrame, base_uri: str | None = None, scheme: str = "s3a") -> DataFrame:
+    """Objects to process as a manifest (file_path, length, upload_timestamp).
+
+    The path is ``base_uri + key`` when a base is given, else
+    ``<scheme>://<bucket>/<key>``."""
     ok = routed.where(F.col("action") == "process")
-    return ok.select(F.concat(F.lit(f"{scheme}://"), F.col("bucket"), F.lit("/"), F.col("key")).alias("file_path"),
+    prefix = (F.lit(base_uri) if base_uri is not None
+              else F.concat(F.lit(f"{scheme}://"), F.col("bucket"), F.lit("/")))
+    return ok.select(F.concat(prefix, F.col("key")).alias("file_path"),
                      F.coalesce(F.col("size"), F.lit(0)).alias("length"),
                      F.col("event_time").alias("upload_timestamp"))

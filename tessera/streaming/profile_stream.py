@@ -41,11 +41,7 @@ def start_profile_stream(spark: SparkSession, notifications_dir: str, base_uri:
 
     def process(batch: DataFrame, batch_id: int) -> None:
         routed = ev_ops.route(ev_ops.decode_events(batch, "value"), prefix, suffix)
-        todo = routed.where(F.col("action") == "process")
-        manifest = todo.select(
-            F.concat(F.lit(base_uri), F.col("key")).alias("file_path"),
-            F.coalesce(F.col("size"), F.lit(0)).alias("length"),
-            F.col("event_time").alias("upload_timestamp"))
+        manifest = ev_ops.manifest_from_events(routed, base_uri)
         if manifest.isEmpty():
             return
         _, files = csv_ops.profile_files(spark, manifest, multiline=multiline)

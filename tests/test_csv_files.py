@@ -110,8 +110,6 @@ def test_exact_name_summaries_and_helpers(spark, tmpdir_path):
     import json
     import os
 
-    from pyspark.sql import functions as F
-
     from tessera.functions import derived as D
     from tessera.operators import profile as P
     from tessera.sinks import writers as W

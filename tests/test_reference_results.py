@@ -124,6 +124,15 @@ def test_cases_and_divergences(results):
     assert C.divergences(h).count() == 0
 
 
+def test_scalar_metric_listing(results):
+    """Scalar fields become (keys, metric, value) rows; nested ones are skipped."""
+    sizes = S.size_results(results)
+    listing = S.scalar_metrics(sizes, ["arm", "level"], ["rows", "success", "proc_seconds", "rows_per_sec"])
+    metrics = {r["metric"] for r in listing.collect()}
+    assert metrics == {"rows", "proc_seconds", "rows_per_sec"}
+    assert listing.count() == 2 * 6 * 3
+
+
 def test_latest_per_environment(results):
     latest = S.latest_per_environment(results)
     assert sorted(r["environment"] for r in latest.collect()) == ["aws", "localstack"]
