@@ -20,8 +20,8 @@ def stats(count, mn, mx, mean, median, p90, p95, sd):
 CASES = ["Empty File", "No Header", "Malformed CSV", "Single Column", "All Missing Values", "Oversized Row"]
 EXPECTED = ["error", "error", "error", "success", "success", "success"]
 ACTUAL = ["error", "success", "error", "success", "success", "success"]
-IAM = ["Lambda read from uploads/", "Lambda write to processed/", "Lambda write to DynamoDB",
-       "Lambda environment variables"]
+IAM = ["function reads uploads/", "function writes processed/", "function writes metadata",
+       "function environment variables"]
 
 
 def doc(env, b, f, g, failures):
@@ -46,7 +46,7 @@ def doc(env, b, f, g, failures):
     }
 
 
-LS = doc("localstack", {
+EMU = doc("emulator", {
     "T_upload": (20, 0.008, 0.035, 0.013, 0.013, 0.016, 0.035, 0.005),
     "T_event_latency": (20, 0.008, 0.036, 0.015, 0.014, 0.017, 0.036, 0.006),
     "T_processing": (20, 1.025, 2.109, 1.103, 1.036, 1.316, 2.109, 0.245),
@@ -55,7 +55,7 @@ LS = doc("localstack", {
      (5000, 325.6, 1.035, 4832.2), (10000, 652.3, 1.047, 9551.1), (20000, 1325.1, 1.03, 19425.7)],
     [(1, 5.05, 0.2, 85.46), (5, 5.054, 0.99, 160.58), (10, 5.148, 1.94, 186.28), (20, 5.24, 3.82, 202.19),
      (50, 5.272, 9.48, 324.6), (100, 5.472, 18.27, 238.89)], 0)
-AWS = doc("aws", {
+CLOUD = doc("cloud", {
     "T_upload": (20, 0.078, 0.867, 0.144, 0.085, 0.296, 0.867, 0.181),
     "T_event_latency": (18, 0.078, 0.264, 0.096, 0.086, 0.101, 0.264, 0.042),
     "T_processing": (18, 1.062, 2.126, 1.59, 1.596, 2.11, 2.126, 0.532),
@@ -69,11 +69,11 @@ AWS = doc("aws", {
 @pytest.fixture(scope="module")
 def results(spark, tmp_path_factory):
     d = tmp_path_factory.mktemp("results")
-    for name, content in (("experiments_localstack_1.json", LS), ("experiments_aws_1.json", AWS)):
+    for name, content in (("experiments_emulator_1.json", EMU), ("experiments_cloud_1.json", CLOUD)):
         with open(os.path.join(d, name), "w") as f:
             json.dump(content, f, indent=2)
     res = S.read_results(spark, str(d))
-    return S.with_arm(res, {"localstack": "a", "aws": "b"}).cache()
+    return S.with_arm(res, {"emulator": "a", "cloud": "b"}).cache()
 
 
 def test_stage_speedups(results):
@@ -135,4 +135,4 @@ def test_scalar_metric_listing(results):
 
 def test_latest_per_environment(results):
     latest = S.latest_per_environment(results)
-    assert sorted(r["environment"] for r in latest.collect()) == ["aws", "localstack"]
+    assert sorted(r["environment"] for r in latest.collect()) == ["cloud", "emulator"]
