@@ -52,11 +52,12 @@ DIGIT_CHARS = [str(d) for d in range(10)]
 NUMBER_START_CHARS = DIGIT_CHARS + ["+", "-", ".", "n", "N", "i", "I"] + WS_CHARS
 
 # (name, Spark datetime pattern, exact shape) in the order they are tried.
+# A day may also be a space and one digit (strptime's %d accepts " 5").
 DATE_FORMATS = [
-    ("%Y-%m-%d", "y-M-d", r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"),
-    ("%m/%d/%Y", "M/d/y", r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$"),
-    ("%d/%m/%Y", "d/M/y", r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$"),
-    ("%Y/%m/%d", "y/M/d", r"^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}$"),
+    ("%Y-%m-%d", "y-M-d", r"^[0-9]{4}-[0-9]{1,2}-(?:[0-9]{1,2}| [1-9])$"),
+    ("%m/%d/%Y", "M/d/y", r"^[0-9]{1,2}/(?:[0-9]{1,2}| [1-9])/[0-9]{4}$"),
+    ("%d/%m/%Y", "d/M/y", r"^(?:[0-9]{1,2}| [1-9])/[0-9]{1,2}/[0-9]{4}$"),
+    ("%Y/%m/%d", "y/M/d", r"^[0-9]{4}/[0-9]{1,2}/(?:[0-9]{1,2}| [1-9])$"),
 ]
 
 NUMERIC_TYPES = ("int", "float")
@@ -84,8 +85,9 @@ def may_be_number(col) -> Column:
 
 
 def may_be_date(col) -> Column:
-    """Necessary condition for a date shape: it starts with a digit."""
-    return first_char(col).isin(DIGIT_CHARS)
+    """Necessary condition for a date shape: it starts with a digit (or, for
+    a space-padded day first, a space)."""
+    return first_char(col).isin([*DIGIT_CHARS, " "])
 
 
 def is_int_literal(col) -> Column:
@@ -103,7 +105,8 @@ def is_date_format(col, i: int) -> Column:
     _, pattern, shape = DATE_FORMATS[i]
     c = _c(col)
     return F.coalesce(
-        c.rlike(shape) & F.try_to_timestamp(c, F.lit(pattern)).isNotNull(), F.lit(False)
+        c.rlike(shape) & F.try_to_timestamp(F.replace(c, F.lit(" "), F.lit("")), F.lit(pattern)).isNotNull(),
+        F.lit(False),
     )
 
 

@@ -14,16 +14,16 @@ INT_RE = r"^\s*[+-]?[0-9]+(_[0-9]+)*\s*$"
 FLOAT_RE = (r"(?i)^\s*[+-]?(([0-9]+(_[0-9]+)*)(\.([0-9]+(_[0-9]+)*)?)?|\.[0-9]+(_[0-9]+)*)"
             r"(e[+-]?[0-9]+(_[0-9]+)*)?\s*$|^\s*[+-]?(nan|inf|infinity)\s*$")
 DATE_CHECKS = [
-    ("fmt_ymd_dash", r"[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}", "%Y-%m-%d"),
-    ("fmt_mdy_slash", r"[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}", "%m/%d/%Y"),
-    ("fmt_dmy_slash", r"[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}", "%d/%m/%Y"),
-    ("fmt_ymd_slash", r"[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}", "%Y/%m/%d"),
+    ("fmt_ymd_dash", r"[0-9]{4}-[0-9]{1,2}-([0-9]{1,2}| [1-9])", "%Y-%m-%d"),
+    ("fmt_mdy_slash", r"[0-9]{1,2}/([0-9]{1,2}| [1-9])/[0-9]{4}", "%m/%d/%Y"),
+    ("fmt_dmy_slash", r"([0-9]{1,2}| [1-9])/[0-9]{1,2}/[0-9]{4}", "%d/%m/%Y"),
+    ("fmt_ymd_slash", r"[0-9]{4}/[0-9]{1,2}/([0-9]{1,2}| [1-9])", "%Y/%m/%d"),
 ]
 DIRTY_COLUMNS = ["c_user", "c_value", "c_day", "c_us", "c_latebad", "c_mixed", "c_blank", "c_props"]
 
 
 def _date_ok(col: str, fmt_re: str, fmt: str) -> str:
-    return f"(regexp_full_match({col}, '{fmt_re}') AND try_strptime({col}, '{fmt}') IS NOT NULL)"
+    return f"(regexp_full_match({col}, '{fmt_re}') AND try_strptime(replace({col}, ' ', ''), '{fmt}') IS NOT NULL)"
 
 
 CTES: dict[str, tuple[str, tuple[str, ...]]] = {}

@@ -78,7 +78,7 @@ def test_edge_cases(spark, tmpdir_path):
         "dup.csv": "a,b,a\n1,x,2022-01-05\n",
         "bom.csv": "﻿id,v\n1,2\n",
         "bad_utf8.csv": b"a,b\n1,caf\xff\n",
-        "literals.csv": "i,f,d,e\n1_000,1d,2022-1-5,22-01-05\n2,1e3,2022-02-28,2022-01-05\n",
+        "literals.csv": "i,f,d,e,s\n1_000,1d,2022-1-5,22-01-05,2022-01- 5\n2,1e3,2022-02-28,2022-01-05,2022-02-28\n",
         "quoted.csv": 'a,b\n"x,y","q""r"\n',
     }
     write_files(tmpdir_path, files)
@@ -95,6 +95,7 @@ def test_edge_cases(spark, tmpdir_path):
     assert lit["i"]["type"] == "int" and lit["i"]["stat_max"] == 1000.0
     assert lit["f"]["type"] == "string"
     assert lit["d"]["type"] == "date" and lit["e"]["type"] == "string"
+    assert lit["s"]["type"] == "date"  # strptime's %d accepts a space-padded day
     assert st["quoted.csv"]["status"] == "success" and st["quoted.csv"]["row_count"] == 1
 
 
