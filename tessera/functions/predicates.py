@@ -52,12 +52,13 @@ DIGIT_CHARS = [str(d) for d in range(10)]
 NUMBER_START_CHARS = DIGIT_CHARS + ["+", "-", ".", "n", "N", "i", "I"] + WS_CHARS
 
 # (name, Spark datetime pattern, exact shape) in the order they are tried.
-# A day may also be a space and one digit (strptime's %d accepts " 5").
+# A day may also be a space and one digit (strptime's %d accepts " 5"); the
+# year is four digits and not 0000 (Python's calendar starts at year 1).
 DATE_FORMATS = [
-    ("%Y-%m-%d", "y-M-d", r"^[0-9]{4}-[0-9]{1,2}-(?:[0-9]{1,2}| [1-9])$"),
-    ("%m/%d/%Y", "M/d/y", r"^[0-9]{1,2}/(?:[0-9]{1,2}| [1-9])/[0-9]{4}$"),
-    ("%d/%m/%Y", "d/M/y", r"^(?:[0-9]{1,2}| [1-9])/[0-9]{1,2}/[0-9]{4}$"),
-    ("%Y/%m/%d", "y/M/d", r"^[0-9]{4}/[0-9]{1,2}/(?:[0-9]{1,2}| [1-9])$"),
+    ("%Y-%m-%d", "y-M-d", r"^(?!0000)[0-9]{4}-[0-9]{1,2}-(?:[0-9]{1,2}| [1-9])$"),
+    ("%m/%d/%Y", "M/d/y", r"^[0-9]{1,2}/(?:[0-9]{1,2}| [1-9])/(?!0000)[0-9]{4}$"),
+    ("%d/%m/%Y", "d/M/y", r"^(?:[0-9]{1,2}| [1-9])/[0-9]{1,2}/(?!0000)[0-9]{4}$"),
+    ("%Y/%m/%d", "y/M/d", r"^(?!0000)[0-9]{4}/[0-9]{1,2}/(?:[0-9]{1,2}| [1-9])$"),
 ]
 
 NUMERIC_TYPES = ("int", "float")

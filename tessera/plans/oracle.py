@@ -23,7 +23,9 @@ DIRTY_COLUMNS = ["c_user", "c_value", "c_day", "c_us", "c_latebad", "c_mixed", "
 
 
 def _date_ok(col: str, fmt_re: str, fmt: str) -> str:
-    return f"(regexp_full_match({col}, '{fmt_re}') AND try_strptime(replace({col}, ' ', ''), '{fmt}') IS NOT NULL)"
+    no_year0 = f"NOT (starts_with({col}, '0000') OR ends_with({col}, '/0000'))"
+    return (f"(regexp_full_match({col}, '{fmt_re}') AND {no_year0} "
+            f"AND try_strptime(replace({col}, ' ', ''), '{fmt}') IS NOT NULL)")
 
 
 CTES: dict[str, tuple[str, tuple[str, ...]]] = {}
