@@ -3,7 +3,7 @@
 Plan shape (per input scan):
 
 * main branch: Project(flags, parsed values) -> partial HashAggregate ->
-  Exchange on (file, ordinal) -> final HashAggregate.  Partial aggregation
+  Exchange on (file, ordinal, column) -> final HashAggregate.  Partial aggregation
   collapses each task's cells to one row per (file, column), so a file that
   holds a third of all rows costs no more shuffle than a small one.
 * date-probe branch (N1): only date-shaped cells (a value outside the four
@@ -26,6 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions.derived import iso_utc, summary_key
 from tessera.functions.predicates import (
     DATE_FORMATS,
     FLOAT_CAPTURE,
@@ -35,7 +36,6 @@ from tessera.functions.predicates import (
     may_be_date,
     may_be_number,
 )
-from tessera.functions.derived import iso_utc, summary_key
 from tessera.functions.rounding import py_round
 
 DATE_PROBE_SIZE = 10  # fixed value: the reference looks at the first 10 values
