@@ -193,18 +193,19 @@ def rows_to_cells(rows: DataFrame, width: int, sep: str = ",") -> DataFrame:
                        F.col("cell.ordinal").alias("ordinal"), "column", F.col("cell.value").alias("value"))
 
 
-def csv_cells(spark: SparkSession, headers: DataFrame, multiline: bool = False, sep: str = ",",
-              max_groups: int = 64) -> DataFrame | None:
-    """All files of ``headers`` as one cells DataFrame (positional columns).
-
-    The (path, width) metadata is collected once; the paths of each width
-    group go to one native scan, as Spark's own file index would hold them.
-    """
+def width_groups(headers: DataFrame) -> dict[int, list[str]]:
+    """Paths of the non-empty-header files by header width (metadata, collected
+    once, as Spark's own file index would hold the file list)."""
     groups: dict[int, list[str]] = {}
     for r in headers.where("width > 0").select("file_path", "width").collect():
         groups.setdefault(r["width"], []).append(r["file_path"])
-    if len(groups) > max_groups:
-        raise ValueError(f"{len(groups)} distinct header widths; split the job (limit {max_groups})")
+    return groups
+
+
+def csv_cells(spark: SparkSession, groups: dict[int, list[str]], multiline: bool = False,
+              sep: str = ",") -> DataFrame | None:
+    """The files of the given width groups as one cells DataFrame (positional
+    columns): one native scan per width, unioned."""
     parts = [rows_to_cells(scan_group(spark, paths, w, multiline, sep), w, sep)
              for w, paths in sorted(groups.items())]
     if not parts:
@@ -231,13 +232,17 @@ def utf8_check(spark: SparkSession, paths: DataFrame) -> DataFrame:
 
 
 def profile_files(spark: SparkSession, manifest: DataFrame, multiline: bool = False, sep: str = ",",
-                  check_utf8: bool = True) -> tuple[DataFrame, DataFrame]:
+                  check_utf8: bool = True, widths_per_job: int = 64) -> tuple[DataFrame, DataFrame]:
     """Profile every file of the manifest.
 
     Returns ``(columns, files)``: the column profile keyed by file_path with
     real header names (ordinal = header position), and one status row per
     manifest entry: file_path, file_name, status, error_message, row_count,
     n_short_rows, n_long_rows, long_first_row, utf8_ok.
+
+    Files are profiled independently, so width groups are processed in
+    chunks of ``widths_per_job`` scans per plan and the results unioned: no
+    limit on the number of distinct headers, no oversized plan.
     """
     manifest = manifest.select("file_path", "length", *[c for c in manifest.columns
                                                         if c not in ("file_path", "length")])
@@ -245,18 +250,24 @@ def profile_files(spark: SparkSession, manifest: DataFrame, multiline: bool = Fa
     # header table is used for grouping, for names and for empty-file checks.
     ensure_checkpoint_dir(spark)
     headers = read_headers(manifest, sep).checkpoint(eager=True)
-    cells = csv_cells(spark, headers, multiline, sep)
+    groups = sorted(width_groups(headers).items())
     keys = ["file_path"]
-    if cells is None:
+    if not groups:
         empty_cols = spark.createDataFrame([], "file_path string, ordinal int, column string")
-        return empty_cols, file_status(manifest, None, headers, None)
+        return empty_cols, file_status(manifest, None, None)
     extra = [
         F.count_if("is_short").alias("n_short_rows"),
         F.count_if("is_long").alias("n_long_rows"),
         F.min_by("is_long", "row_no").alias("long_first_row"),
-        F.count_if(F.instr("value", "�") > 0).alias("n_replacement"),
+        F.count_if(F.instr("value", "\ufffd") > 0).alias("n_replacement"),
     ]
-    prof = prof_ops.column_profile(cells, keys, extra_aggs=extra)
+    profs = []
+    for i in range(0, len(groups), widths_per_job):
+        cells = csv_cells(spark, dict(groups[i:i + widths_per_job]), multiline, sep)
+        profs.append(prof_ops.column_profile(cells, keys, extra_aggs=extra))
+    prof = profs[0]
+    for p in profs[1:]:
+        prof = prof.unionByName(p)
     per_file = prof.groupBy(*keys).agg(
         F.max("n_rows").alias("row_count"), F.max("n_short_rows").alias("n_short_rows"),
         F.max("n_long_rows").alias("n_long_rows"), F.max("long_first_row").alias("long_first_row"),
@@ -271,11 +282,10 @@ def profile_files(spark: SparkSession, manifest: DataFrame, multiline: bool = Fa
     columns = (prof.join(names, on=["file_path", "ordinal"], how="inner")
                .drop("column", "ordinal")
                .withColumnRenamed("header_name", "column").withColumnRenamed("position", "ordinal"))
-    return columns, file_status(manifest, per_file, headers, utf8)
+    return columns, file_status(manifest, per_file, utf8)
 
 
-def file_status(manifest: DataFrame, per_file: DataFrame | None, headers: DataFrame,
-                utf8: DataFrame | None) -> DataFrame:
+def file_status(manifest: DataFrame, per_file: DataFrame | None, utf8: DataFrame | None) -> DataFrame:
     """Status and error message per manifest entry.
 
     Precedence follows the reference: undecodable bytes, then no data rows,
@@ -317,5 +327,5 @@ def successful_columns(columns: DataFrame, files: DataFrame) -> DataFrame:
     return columns.join(ok, "file_path", "left_semi")
 
 
-__all__ = ["list_files", "read_headers", "parse_header", "scan_group", "csv_cells", "utf8_check",
+__all__ = ["list_files", "read_headers", "parse_header", "scan_group", "width_groups", "csv_cells", "utf8_check",
            "profile_files", "file_status", "successful_columns", "token_count"]

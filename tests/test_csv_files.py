@@ -140,3 +140,21 @@ def test_manifest_only_empty_files(spark, tmpdir_path):
     st, cols = run(spark, tmpdir_path)
     assert {k: v["status"] for k, v in st.items()} == {"a.csv": "error", "b.csv": "error"}
     assert cols == {}
+
+
+def test_many_header_widths_in_chunks(spark, tmpdir_path):
+    """36 distinct header widths, profiled 16 widths per plan: same result as one plan."""
+    files = {}
+    for w in range(1, 37):
+        header = ",".join(f"c{i}" for i in range(w))
+        files[f"w{w:02d}.csv"] = header + "\n" + ",".join(str(i) for i in range(w)) + "\n"
+    write_files(tmpdir_path, files)
+    manifest = C.list_files(spark, tmpdir_path)
+    cols_a, files_a = C.profile_files(spark, manifest, widths_per_job=16)
+    cols_b, files_b = C.profile_files(spark, manifest)
+    rows = lambda df: sorted(tuple(str(x) for x in r) for r in df.collect())
+    assert rows(files_a) == rows(files_b)
+    assert rows(cols_a.select("file_path", "column", "type", "stat_max")) == \
+        rows(cols_b.select("file_path", "column", "type", "stat_max"))
+    assert cols_a.count() == sum(range(1, 37))
+    assert {r["status"] for r in files_a.collect()} == {"success"}
