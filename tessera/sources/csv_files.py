@@ -87,6 +87,9 @@ def _open(path: str):
             local = local[1:]
         return open(local, "rb")
     from pyarrow import fs as pafs
+    for hadoop_scheme in ("s3a://", "s3n://"):  # Hadoop connector names for S3
+        if path.startswith(hadoop_scheme):
+            path = "s3://" + path[len(hadoop_scheme):]
     filesystem, p = pafs.FileSystem.from_uri(path)
     return filesystem.open_input_stream(p)
 
