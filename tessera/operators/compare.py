@@ -124,33 +124,34 @@ def first_cases(cases: DataFrame) -> DataFrame:
     return dedupe_first(cases, ["arm", "test"], "pos")
 
 
+def _b_first(cases: DataFrame, arm_b: str) -> DataFrame:
+    b = cases.where(F.col("arm") == arm_b).select("test", "pos", "status")
+    return dedupe_first(b, ["test"], "pos").select("test", F.col("status").alias("b_status"))
+
+
 def case_comparison(cases: DataFrame, arm_a: str = "a", arm_b: str = "b") -> DataFrame:
-    """Each test of arm a with the status of arm b's first case of the
-    same name; 'N/A' when b has none."""
-    first = first_cases(cases)
-    a = first.where(F.col("arm") == arm_a).select("test", F.col("status").alias("a_status"))
-    b = first.where(F.col("arm") == arm_b).select("test", F.col("status").alias("b_status"))
-    j = a.join(b, "test", "left")
-    return j.select("test", "a_status", F.coalesce("b_status", F.lit("N/A")).alias("b_status"),
-                    (F.col("a_status") == F.coalesce("b_status", F.lit("N/A"))).alias("same"))
+    """Every case of arm a (in list position ``pos``) with the status of
+    arm b's first case of the same name; 'N/A' when b has none."""
+    a = cases.where(F.col("arm") == arm_a).select("test", "pos", F.col("status").alias("a_status"))
+    j = a.join(_b_first(cases, arm_b), "test", "left")
+    b_status = F.coalesce("b_status", F.lit("N/A"))
+    return j.select("test", "pos", "a_status", b_status.alias("b_status"), (F.col("a_status") == b_status).alias("same"))
 
 
 def divergences(cases: DataFrame, arm_a: str = "a", arm_b: str = "b") -> DataFrame:
-    """Tests present in both arms whose statuses differ."""
-    first = first_cases(cases)
-    a = first.where(F.col("arm") == arm_a).select("test", F.col("status").alias("a_status"))
-    b = first.where(F.col("arm") == arm_b).select("test", F.col("status").alias("b_status"))
-    return a.join(b, "test", "inner").where(F.col("a_status") != F.col("b_status"))
+    """Cases of arm a whose test also ran in arm b (first match) with a
+    different status."""
+    a = cases.where(F.col("arm") == arm_a).select("test", "pos", F.col("status").alias("a_status"))
+    return a.join(_b_first(cases, arm_b), "test", "inner").where(F.col("a_status") != F.col("b_status"))
 
 
 def status_match(cases: DataFrame, actual_col: str = "outcome", expected_col: str = "expected_status") -> DataFrame:
-    """strict equality, and the lenient rule under which any of
-    success/error matches any expectation of success/error."""
-    first = first_cases(cases)
+    """F11 per executed case: strict equality, and the lenient rule under which
+    any of success/error matches any expectation of success/error."""
     act, exp = F.col(actual_col), F.col(expected_col)
     strict = act == exp
     terminal = act.isin("success", "error") & exp.isin("success", "error")
-    return first.select("arm", "test", exp.alias("expected_status"), act.alias("actual_status"),
+    return cases.select("arm", "test", "pos", exp.alias("expected_status"), act.alias("actual_status"),
                         strict.alias("match_strict"), (strict | terminal).alias("match_lenient"))
 
 

@@ -219,10 +219,10 @@ SELECT arm, test, min(pos) AS pos, arg_min(status, pos) AS status, arg_min(outco
 FROM cases GROUP BY arm, test""", ("cases",))
 
 cte("status_match", """
-SELECT arm, test, expected_status, outcome AS actual_status, outcome = expected_status AS match_strict,
+SELECT arm, test, pos, expected_status, outcome AS actual_status, outcome = expected_status AS match_strict,
   (outcome = expected_status) OR (outcome IN ('success', 'error') AND expected_status IN ('success', 'error'))
     AS match_lenient
-FROM first_cases""", ("first_cases",))
+FROM cases""", ("cases",))
 
 
 def speedup_sql(a: str, b: str) -> tuple[str, str]:

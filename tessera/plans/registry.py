@@ -350,17 +350,18 @@ def q_dedupe_first(spark, sf_dir):
 
 
 @query("cmp_cases", O.with_ctes("""
-SELECT test, a.status AS a_status, coalesce(b.status, 'N/A') AS b_status, a.status = coalesce(b.status, 'N/A') AS same
-FROM (SELECT * FROM first_cases WHERE arm = 'a') a LEFT JOIN (SELECT * FROM first_cases WHERE arm = 'b') b
-USING (test)""", "first_cases"))
+SELECT test, a.pos, a.status AS a_status, coalesce(b.status, 'N/A') AS b_status,
+  a.status = coalesce(b.status, 'N/A') AS same
+FROM (SELECT * FROM cases WHERE arm = 'a') a LEFT JOIN (SELECT * FROM first_cases WHERE arm = 'b') b
+USING (test)""", "cases", "first_cases"))
 def q_cmp_cases(spark, sf_dir):
     return cmp_ops.case_comparison(B.cases(spark, sf_dir))
 
 
 @query("cmp_divergences", O.with_ctes("""
-SELECT test, a.status AS a_status, b.status AS b_status
-FROM (SELECT * FROM first_cases WHERE arm = 'a') a JOIN (SELECT * FROM first_cases WHERE arm = 'b') b USING (test)
-WHERE a.status <> b.status""", "first_cases"))
+SELECT test, a.pos, a.status AS a_status, b.status AS b_status
+FROM (SELECT * FROM cases WHERE arm = 'a') a JOIN (SELECT * FROM first_cases WHERE arm = 'b') b USING (test)
+WHERE a.status <> b.status""", "cases", "first_cases"))
 def q_cmp_divergences(spark, sf_dir):
     return cmp_ops.divergences(B.cases(spark, sf_dir))
 
