@@ -18,9 +18,14 @@ from tessera.operators.ranking import dedupe_first
 BAND_PCT = 10.0  # fixed value: +-10 % separates "high" / "low" from "near"
 
 
-def _arm(df: DataFrame, arm: str, cols: Sequence[str], prefix: str, keys: Sequence[str]) -> DataFrame:
-    return df.where(F.col("arm") == arm).select(
-        *keys, *[F.col(c).alias(f"{prefix}_{c}") for c in cols])
+def _arm(df: DataFrame, arm: str, cols: Sequence[str], prefix: str, keys: Sequence[str],
+         first_only: bool = False) -> DataFrame:
+    """One arm's rows, columns prefixed.  With ``first_only`` and a list
+    position ``pos``, only the first row per key is kept (``next(...)``)."""
+    rows = df.where(F.col("arm") == arm)
+    if first_only and "pos" in df.columns:
+        rows = dedupe_first(rows.select(*keys, "pos", *cols), list(keys), "pos")
+    return rows.select(*keys, *[F.col(c).alias(f"{prefix}_{c}") for c in cols])
 
 
 def speedup(a: str, b: str) -> tuple[F.Column, F.Column]:
@@ -62,7 +67,7 @@ def size_comparison(levels: DataFrame, key: str = "level", arm_a: str = "a", arm
     and speedup; both present otherwise -> success flags only; present on one
     side -> dropped (kept with ``keep_one_sided``)."""
     cols = ["success", "proc_seconds", "rows_per_sec"]
-    j = _arm(levels, arm_a, cols, "a", [key]).join(_arm(levels, arm_b, cols, "b", [key]), key, "full")
+    j = _arm(levels, arm_a, cols, "a", [key], True).join(_arm(levels, arm_b, cols, "b", [key], True), key, "full")
     both = F.col("a_success").isNotNull() & F.col("b_success").isNotNull()
     if not keep_one_sided:
         j = j.where(both)
@@ -80,15 +85,17 @@ def level_comparison(levels: DataFrame, key: str = "level", arm_a: str = "a", ar
     """Full outer join by level; each side's throughput and success rate
     when present (NULL otherwise)."""
     cols = ["files_per_sec", "rows_per_sec", "success_rate"]
-    return _arm(levels, arm_a, cols, "a", [key]).join(_arm(levels, arm_b, cols, "b", [key]), key, "full")
+    return (_arm(levels, arm_a, cols, "a", [key], True)
+            .join(_arm(levels, arm_b, cols, "b", [key], True), key, "full"))
 
 
 def scalability(levels: DataFrame, key: str = "level", arm_a: str = "a", arm_b: str = "b") -> DataFrame:
-    """Successful rows of arm a left-joined to successful rows of arm b
-    (b's success predicate applied before the join)."""
+    """Every successful row of arm a left-joined to arm b's first
+    successful row of the same key (b's success predicate applied before the
+    join)."""
     cols = ["proc_seconds", "rows_per_sec"]
     a = _arm(levels.where("success"), arm_a, cols, "a", [key])
-    b = _arm(levels.where("success"), arm_b, cols, "b", [key])
+    b = _arm(levels.where("success"), arm_b, cols, "b", [key], True)
     return a.join(b, key, "left")
 
 

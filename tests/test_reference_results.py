@@ -136,3 +136,19 @@ def test_scalar_metric_listing(results):
 def test_latest_per_environment(results):
     latest = S.latest_per_environment(results)
     assert sorted(r["environment"] for r in latest.collect()) == ["cloud", "emulator"]
+
+
+def test_first_match_and_list_order(spark):
+    """Duplicated sizes: the first result in list order wins (next(...));
+    first/last results follow list order, not the size order."""
+    rows = [("a", 0, 100, 100, True, 1.0, 100.0), ("a", 1, 500, 500, True, 2.0, 250.0),
+            ("b", 0, 500, 500, True, 4.0, 125.0), ("b", 1, 100, 100, True, 3.0, 33.3),
+            ("b", 2, 100, 100, True, 9.0, 11.1)]
+    df = spark.createDataFrame(rows, "arm string, pos int, level bigint, rows bigint, success boolean, "
+                                     "proc_seconds double, rows_per_sec double")
+    sizes = {r["level"]: (r["a_seconds"], r["b_seconds"]) for r in C.size_comparison(df).collect()}
+    assert sizes == {100: (1.0, 3.0), 500: (2.0, 4.0)}
+    scal = sorted((r["level"], r["b_proc_seconds"]) for r in C.scalability(df).collect())
+    assert scal == [(100, 3.0), (500, 4.0)]
+    nl = {r["arm"]: (r["expected_time"], r["actual_time"]) for r in R.nonlinear_scaling(df).collect()}
+    assert nl["b"] == (4.0 * 100 / 500, 9.0)  # first = pos 0 (500 rows), last = pos 2 (100 rows)
