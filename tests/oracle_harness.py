@@ -36,9 +36,15 @@ def _norm(v):
     return repr(v) if not isinstance(v, (int, str, bool)) else v
 
 
+# Spark type name -> DuckDB type name of the same values.
+TYPE_MAP = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN",
+            "float": "FLOAT", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
 def compare(spark, con, fn, sql, sf_dir):
     sdf = fn(spark, sf_dir)
     s_cols = sdf.columns
+    s_types = dict(sdf.dtypes)
     s_rows = [tuple(r) for r in sdf.collect()]
     res = {"rows_spark": len(s_rows)}
     if sql is None:
@@ -49,6 +55,8 @@ def compare(spark, con, fn, sql, sf_dir):
     d_rows = d.fetchall()
     res["rows_oracle"] = len(d_rows)
     res["cols_match"] = sorted(s_cols) == sorted(d_cols)
+    d_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    res["types_match"] = all(TYPE_MAP.get(t, t) == d_types.get(c) for c, t in s_types.items())
     if not res["cols_match"]:
         res["spark_cols"], res["oracle_cols"] = s_cols, d_cols
         res["match"] = False
