@@ -659,7 +659,7 @@ def q_stream_profile(spark, sf_dir):
     write_notifications(spark, root, base + "/notifications", n_files=2)
     q = ps_ops.start_profile_stream(spark, base + "/notifications", qualify(spark, root).rstrip("/") + "/",
                                     base + "/log", base + "/checkpoint", prefix="file=", suffix=".txt",
-                                    max_files_per_trigger=1)
+                                    max_files_per_trigger=1, summary_dir=base + "/summaries")
     q.awaitTermination()
     cur = ps_ops.current_status(spark, base + "/log")
     return cur.select(B.logical_file_name(F.col("file_path")).alias("file_name"), "status", "error_message",

@@ -14,7 +14,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.derived import last_segment
 from tessera.operators import metadata as meta_ops
+from tessera.operators import profile as prof_ops
+from tessera.sinks.writers import write_summaries
 from tessera.sources import csv_files as csv_ops
 from tessera.sources import events as ev_ops
 
@@ -29,11 +32,23 @@ def records_from_status(files: DataFrame, manifest: DataFrame) -> DataFrame:
         "status", "error_message", "row_count")
 
 
+def summaries_from_profile(columns: DataFrame, files: DataFrame, manifest: DataFrame) -> DataFrame:
+    """K1 documents for the successfully processed files of a batch."""
+    ok = csv_ops.successful_columns(columns, files)
+    per_file = prof_ops.file_profile(ok, keys=["file_path"])
+    up = manifest.select("file_path", "upload_timestamp")
+    return prof_ops.summary_document(
+        per_file.join(up, "file_path", "left").withColumn("file_name", last_segment("file_path")),
+        upload_col="upload_timestamp")
+
+
 def start_profile_stream(spark: SparkSession, notifications_dir: str, base_uri: str, log_path: str,
                          checkpoint: str, prefix: str = ev_ops.UPLOAD_PREFIX, suffix: str = ev_ops.CSV_SUFFIX,
                          max_files_per_trigger: int | None = None, available_now: bool = True,
-                         multiline: bool = False):
-    """Start the stream; ``base_uri`` + object key = file path."""
+                         multiline: bool = False, summary_dir: str | None = None):
+    """Start the stream; ``base_uri`` + object key = file path.  Each batch
+    appends status records to ``log_path`` and, with ``summary_dir``, the
+    summary documents of its successful files (K1)."""
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -44,7 +59,10 @@ def start_profile_stream(spark: SparkSession, notifications_dir: str, base_uri:
         manifest = ev_ops.manifest_from_events(routed, base_uri)
         if manifest.isEmpty():
             return
-        _, files = csv_ops.profile_files(spark, manifest, multiline=multiline)
+        columns, files = csv_ops.profile_files(spark, manifest, multiline=multiline)
+        if summary_dir:
+            write_summaries(summaries_from_profile(columns, files, manifest)
+                            .withColumn("batch_id", F.lit(batch_id).cast("bigint")), summary_dir)
         recs = records_from_status(files, manifest)
         recs.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("append").parquet(log_path)
 

@@ -39,7 +39,8 @@ def test_stream_redelivery_is_idempotent(spark, tmpdir_path):
     write_notifications(spark, root, base + "/n2", n_files=1)
     for n in ("n1", "n2"):  # the second run replays the same notifications
         q = PS.start_profile_stream(spark, base + "/" + n, qualify(spark, root).rstrip("/") + "/",
-                                    base + "/log", base + "/ckpt_" + n, prefix="uploads/", suffix=".csv")
+                                    base + "/log", base + "/ckpt_" + n, prefix="uploads/", suffix=".csv",
+                                    summary_dir=base + "/summaries")
         q.awaitTermination()
     cur = {r["file_name"]: (r["status"], r["row_count"]) for r in PS.current_status(spark, base + "/log").collect()}
     assert cur == {"a.csv": ("success", 2), "b.csv": ("error", 0), "c.csv": ("error", 0)}
@@ -48,3 +49,7 @@ def test_stream_redelivery_is_idempotent(spark, tmpdir_path):
     totals = {r["status"]: r["n_files"] for r in PS.status_totals(spark, base + "/log").collect()}
     assert totals == {"success": 1, "error": 2}
     assert log.select(F.countDistinct("batch_id")).first()[0] >= 1
+    docs = spark.read.json(base + "/summaries")  # K1: only the successful file, once per delivery
+    assert {(r["file_name"], r["summary_key"], r["row_count"]) for r in docs.collect()} == \
+        {("a.csv", "processed/a_summary.json", 2)}
+    assert docs.count() == 2
