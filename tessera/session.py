@@ -27,13 +27,27 @@ SCALE_CONF = {
 }
 
 
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 << 20, minimum: int = 200) -> int:
+    """Initial shuffle partition count for an input volume: about one
+    partition per ``target_bytes`` (e.g. 100 TB -> ~400k).  AQE coalesces the
+    small ones at run time but cannot split a partition that is too big, so
+    the initial count must be sized for the largest shuffle."""
+    return max(minimum, -(-int(input_bytes) // target_bytes))
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "tessera", extra: dict | None = None) -> SparkSession:
-    """Create (or reuse) a session with the settings the library relies on."""
+                  app_name: str = "tessera", extra: dict | None = None,
+                  input_bytes: int | None = None) -> SparkSession:
+    """Create (or reuse) a session with the settings the library relies on.
+
+    ``input_bytes`` sizes ``spark.sql.shuffle.partitions`` for the data volume
+    (see ``shuffle_partitions_for``) when no explicit count is given."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(SCALE_CONF)
+    if not shuffle_partitions and input_bytes:
+        shuffle_partitions = shuffle_partitions_for(input_bytes)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
