@@ -26,6 +26,15 @@ SCALE_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+# For streaming jobs with large join / aggregation state (production-size
+# deadline joins): keep the state in RocksDB, off the JVM heap.  Pass as
+# ``build_session(extra=LARGE_STATE_CONF)``; small local runs are faster
+# with the default provider.
+LARGE_STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
 
 def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 << 20, minimum: int = 200) -> int:
     """Initial shuffle partition count for an input volume: about one
