@@ -113,3 +113,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(base)
     return sc.getCheckpointDir()
+
+
+def pyarrow_filesystem(path: str):
+    """(pyarrow filesystem, path) for a Hadoop-style URI, for Python code in
+    tasks that reads or writes single objects.  Hadoop's S3 connector names
+    (s3a, s3n) map to pyarrow's s3."""
+    from pyarrow import fs as pafs
+    for hadoop_scheme in ("s3a://", "s3n://"):
+        if path.startswith(hadoop_scheme):
+            path = "s3://" + path[len(hadoop_scheme):]
+    return pafs.FileSystem.from_uri(path)

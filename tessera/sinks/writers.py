@@ -7,7 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.session import local_path
+from tessera.session import local_path, pyarrow_filesystem
 
 
 def write_summaries(docs: DataFrame, out_dir: str, exact_names: bool = False) -> None:
@@ -28,8 +28,7 @@ def write_summaries(docs: DataFrame, out_dir: str, exact_names: bool = False) ->
             doc = r.asDict(recursive=True)
             target = out_dir.rstrip("/") + "/" + doc["summary_key"]
             if "://" in target and not target.startswith("file:"):
-                from pyarrow import fs as pafs
-                filesystem, p = pafs.FileSystem.from_uri(target)
+                filesystem, p = pyarrow_filesystem(target)
                 with filesystem.open_output_stream(p) as f:
                     f.write(json.dumps(doc, indent=2, default=str).encode("utf-8"))
             else:

@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from tessera.functions.derived import decoded_path, last_segment
 from tessera.operators import profile as prof_ops
-from tessera.session import ensure_checkpoint_dir
+from tessera.session import ensure_checkpoint_dir, pyarrow_filesystem
 
 CORRUPT = "_corrupt_record"
 BOM = "﻿"
@@ -86,11 +86,7 @@ def _open(path: str):
         while local.startswith("//"):
             local = local[1:]
         return open(local, "rb")
-    from pyarrow import fs as pafs
-    for hadoop_scheme in ("s3a://", "s3n://"):  # Hadoop connector names for S3
-        if path.startswith(hadoop_scheme):
-            path = "s3://" + path[len(hadoop_scheme):]
-    filesystem, p = pafs.FileSystem.from_uri(path)
+    filesystem, p = pyarrow_filesystem(path)
     return filesystem.open_input_stream(p)
 
 
