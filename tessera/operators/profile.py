@@ -321,3 +321,105 @@ def summary_document(files: DataFrame, upload_col: str | None = None) -> DataFra
         F.struct(F.col("row_count").alias("total_rows"), "missing_values", "invalid_values",
                  "has_issues").alias("quality_issues"),
     )
+
+
+# ---------------------------------------------------------------------------
+# Typed tables: use the schema instead of re-parsing text
+# ---------------------------------------------------------------------------
+
+def typed_kind(dtype) -> str | None:
+    """The inferred type a typed column always gets under the text rules
+    (int / float / date), or None when its values must be inferred as text."""
+    from pyspark.sql import types as T
+    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return "int"
+    if isinstance(dtype, T.DecimalType):
+        return "int" if dtype.scale == 0 else "float"
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return "float"
+    if isinstance(dtype, T.DateType):
+        return "date"
+    return None
+
+
+def _typed_rows(df: DataFrame, name: str, typed) -> DataFrame:
+    """One plain aggregation over the typed columns of one table -> one
+    profile row per column (built as one SQL statement over ``df``)."""
+    def q(x: str) -> str:
+        return "`" + x.replace("`", "``") + "`"
+
+    def lit(x: str) -> str:
+        return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    aggs = ["count(1) AS _n"]
+    rows = []
+    for i, f, kind in typed:
+        c = q(f.name)
+        aggs.append(f"count({c}) AS _p{i}")
+        numeric = kind in ("int", "float")
+        if numeric:
+            v = f"CAST({c} AS DECIMAL(38,0))" if kind == "int" else f"CASE WHEN NOT isnan({c}) THEN {c} END"
+            total = f"CAST(try_sum({v}) AS DOUBLE)" if kind == "int" else f"sum({v})"
+            nan = f"count_if(isnan({c}))" if kind == "float" else "CAST(0 AS BIGINT)"
+            aggs += [f"CAST(min({v}) AS DOUBLE) AS _min{i}", f"CAST(max({v}) AS DOUBLE) AS _max{i}",
+                     f"{total} AS _sum{i}", f"{nan} AS _nan{i}"]
+            stats = [f"IF(_p{i} > 0, _min{i}, NULL)", f"IF(_p{i} > 0, _max{i}, NULL)",
+                     f"IF(_p{i} - _nan{i} > 0, _sum{i} / (_p{i} - _nan{i}), NULL)", f"IF(_p{i} > 0, _p{i}, NULL)",
+                     f"_nan{i}"]
+        else:
+            stats = ["CAST(NULL AS DOUBLE)", "CAST(NULL AS DOUBLE)", "CAST(NULL AS DOUBLE)", "CAST(NULL AS BIGINT)",
+                     "0L"]
+        fields = dict(zip(["stat_min", "stat_max", "stat_avg", "stat_count", "nan_count"], stats))
+        rows.append(f"named_struct('ordinal', {i}, 'column', {lit(f.name)}, 'n_rows', _n, 'n_missing', _n - _p{i}, "
+                    f"'n_present', _p{i}, 'type', IF(_p{i} > 0, '{kind}', 'string'), "
+                    + ", ".join(f"'{k}', {v}" for k, v in fields.items()) + ")")
+    sql = (f"SELECT {lit(name)} AS file_name, r.* FROM (SELECT explode(array({', '.join(rows)})) AS r "
+           f"FROM (SELECT {', '.join(aggs)} FROM {{df}}))")
+    return df.sparkSession.sql(sql, df=df)
+
+
+def profile_tables(tables: dict[str, DataFrame], row_no: F.Column | None = None) -> DataFrame:
+    """Column profiles of typed DataFrames (one "file" per name).
+
+    Integer, decimal, floating and date columns take their type from the
+    schema and their statistics from one plain aggregation per table over the
+    typed values (no unpivot, no regex); NULL counts as missing and NaN is kept
+    out of min/max/avg as in the text path.  All other columns are rendered as
+    text and inferred together through one cells profile (date probe
+    included).  ``row_no`` orders rows for the date probe (e.g.
+    ``_metadata.row_index`` of parquet scans; default: scan order).
+
+    Output: file_name, ordinal, column, n_rows, n_missing, n_present, type,
+    stat_min, stat_max, stat_avg, stat_count, nan_count.
+    """
+    from tessera.operators.cells import to_cells
+    parts, cell_parts = [], []
+    for name, df in tables.items():
+        fields = list(enumerate(df.schema.fields, 1))
+        typed = [(i, f, typed_kind(f.dataType)) for i, f in fields if typed_kind(f.dataType)]
+        text = [(i, f) for i, f in fields if not typed_kind(f.dataType)]
+        if typed:
+            parts.append(_typed_rows(df, name, typed))
+        if text:
+            order = row_no if row_no is not None else F.monotonically_increasing_id()
+            wide = df.select(F.lit(name).alias("file_name"), order.alias("row_no"),
+                             *[F.col(f"`{f.name}`").cast("string").alias(f.name) for _, f in text])
+            cells = to_cells(wide, ("file_name", "row_no"), [f.name for _, f in text])
+            pos = F.create_map(*[x for i, f in text for x in (F.lit(f.name), F.lit(i))])
+            cell_parts.append(cells.withColumn("ordinal", pos[F.col("column")]))
+    if cell_parts:
+        cells = cell_parts[0]
+        for c in cell_parts[1:]:
+            cells = cells.unionByName(c)
+        prof = column_profile(cells)
+        parts.append(prof.select("file_name", "ordinal", "column", "n_rows", "n_missing", "n_present", "type",
+                                 "stat_min", "stat_max", "stat_avg", "stat_count", F.col("n_nan").alias("nan_count")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def profile_table(df: DataFrame, name: str, row_no: F.Column | None = None) -> DataFrame:
+    """Column profile of one typed DataFrame (see ``profile_tables``)."""
+    return profile_tables({name: df}, row_no)

@@ -349,3 +349,34 @@ def table_cells_sql(tables: dict[str, list[tuple[str, str]]]) -> str:
     return "\nUNION ALL\n".join(
         f"SELECT '{t}' AS file_name, 0 AS row_no, {i} AS ordinal, '{c}' AS \"column\", {_text(c, k)} AS value FROM {t}"
         for t, cols in tables.items() for i, (c, k) in enumerate(cols, 1))
+
+
+def typed_tables_sql(tables: dict[str, list[tuple[str, str]]]) -> str:
+    """Oracle of the schema-aware profile: integer and floating columns typed
+    directly; every other column inferred from its text (tbx_ profile CTEs)."""
+    text = {t: [(i, c, k) for i, (c, k) in enumerate(cols, 1) if k not in ("int", "bigint", "double")]
+            for t, cols in tables.items()}
+    cells = "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS file_name, 0 AS row_no, {i} AS ordinal, '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value "
+        f"FROM {t}" for t, cols in text.items() for i, c, _ in cols)
+    cte("tbx_cells", cells)
+    define_profile_ctes("tbx_", "tbx_cells")
+    typed = []
+    for t, cols in tables.items():
+        for i, (c, k) in enumerate(cols, 1):
+            if k in ("int", "bigint"):
+                typed.append(
+                    f"SELECT '{t}' AS file_name, '{c}' AS \"column\", {i} AS ordinal, "
+                    f"CASE WHEN count({c}) > 0 THEN 'int' ELSE 'string' END AS type, "
+                    f"count(*) - count({c}) AS n_missing, CAST(min({c}) AS DOUBLE) AS stat_min, "
+                    f"CAST(max({c}) AS DOUBLE) AS stat_max, count({c}) AS stat_count FROM {t}")
+            elif k == "double":
+                v = f"CASE WHEN NOT isnan({c}) THEN {c} END"
+                typed.append(
+                    f"SELECT '{t}' AS file_name, '{c}' AS \"column\", {i} AS ordinal, "
+                    f"CASE WHEN count({c}) > 0 THEN 'float' ELSE 'string' END AS type, "
+                    f"count(*) - count({c}) AS n_missing, min({v}) AS stat_min, max({v}) AS stat_max, "
+                    f"count({c}) AS stat_count FROM {t}")
+    body = ("\nUNION ALL\n".join(typed) + "\nUNION ALL\n"
+            'SELECT file_name, "column", ordinal, type, n_missing, stat_min, stat_max, stat_count FROM tbx_col_stats')
+    return with_ctes(body, "tbx_col_stats")

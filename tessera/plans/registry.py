@@ -819,3 +819,12 @@ def q_gen_employees_csv(spark, sf_dir):
     return ok.select(F.regexp_extract("file_path", r"file_id=([0-9]+)/", 1).cast("bigint").alias("file_id"),
                      "column", "ordinal", "type", "stat_min", "stat_max", py_round("stat_avg", 6).alias("stat_avg"),
                      "stat_count", "n_missing")
+
+
+@query("profile_typed_tables", O.typed_tables_sql(B.PROFILED_TABLES))
+def q_profile_typed_tables(spark, sf_dir):
+    """Every driver table profiled from its schema: typed columns aggregated
+    directly, text columns inferred (whole texts)."""
+    tables = {t: read_table(spark, sf_dir, t).select(*[c for c, _ in cols]) for t, cols in B.PROFILED_TABLES.items()}
+    out = prof_ops.profile_tables(tables, F.col("_metadata.row_index"))
+    return out.select("file_name", "column", "ordinal", "type", "n_missing", "stat_min", "stat_max", "stat_count")
