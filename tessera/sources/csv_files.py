@@ -232,6 +232,13 @@ def utf8_check(spark: SparkSession, paths: DataFrame) -> DataFrame:
 
 def profile_files(spark: SparkSession, manifest: DataFrame, multiline: bool = False, sep: str = ",",
                   check_utf8: bool = True, widths_per_job: int = 64) -> tuple[DataFrame, DataFrame]:
+    columns, files, _ = profile_files_shared(spark, manifest, multiline, sep, check_utf8, widths_per_job)
+    return columns, files
+
+
+def profile_files_shared(spark: SparkSession, manifest: DataFrame, multiline: bool = False, sep: str = ",",
+                         check_utf8: bool = True, widths_per_job: int = 64, persist: bool = False
+                         ) -> tuple[DataFrame, DataFrame, DataFrame | None]:
     """Profile every file of the manifest.
 
     Returns ``(columns, files)``: the column profile keyed by file_path with
@@ -242,6 +249,12 @@ def profile_files(spark: SparkSession, manifest: DataFrame, multiline: bool = Fa
     Files are profiled independently, so width groups are processed in
     chunks of ``widths_per_job`` scans per plan and the results unioned: no
     limit on the number of distinct headers, no oversized plan.
+
+    The exact UTF-8 re-check needs the suspect paths at plan time, which
+    evaluates the column profile once; the profile (one row per file column)
+    is therefore kept (``persist``) so that both outputs reuse that
+    evaluation instead of parsing every file again.  ``profile_files_shared``
+    returns it so the caller can release it when done.
     """
     manifest = manifest.select("file_path", "length", *[c for c in manifest.columns
                                                         if c not in ("file_path", "length")])
@@ -253,7 +266,7 @@ def profile_files(spark: SparkSession, manifest: DataFrame, multiline: bool = Fa
     keys = ["file_path"]
     if not groups:
         empty_cols = spark.createDataFrame([], "file_path string, ordinal int, column string")
-        return empty_cols, file_status(manifest, None, None)
+        return empty_cols, file_status(manifest, None, None), None
     extra = [
         F.count_if("is_short").alias("n_short_rows"),
         F.count_if("is_long").alias("n_long_rows"),
@@ -267,6 +280,8 @@ def profile_files(spark: SparkSession, manifest: DataFrame, multiline: bool = Fa
     prof = profs[0]
     for p in profs[1:]:
         prof = prof.unionByName(p)
+    if persist or check_utf8:
+        prof = prof.persist()
     per_file = prof.groupBy(*keys).agg(
         F.max("n_rows").alias("row_count"), F.max("n_short_rows").alias("n_short_rows"),
         F.max("n_long_rows").alias("n_long_rows"), F.max("long_first_row").alias("long_first_row"),
@@ -281,7 +296,7 @@ def profile_files(spark: SparkSession, manifest: DataFrame, multiline: bool = Fa
     columns = (prof.join(names, on=["file_path", "ordinal"], how="inner")
                .drop("column", "ordinal")
                .withColumnRenamed("header_name", "column").withColumnRenamed("position", "ordinal"))
-    return columns, file_status(manifest, per_file, utf8)
+    return columns, file_status(manifest, per_file, utf8), prof
 
 
 def file_status(manifest: DataFrame, per_file: DataFrame | None, utf8: DataFrame | None) -> DataFrame:

@@ -59,12 +59,19 @@ def start_profile_stream(spark: SparkSession, notifications_dir: str, base_uri:
         manifest = ev_ops.manifest_from_events(routed, base_uri)
         if manifest.isEmpty():
             return
-        columns, files = csv_ops.profile_files(spark, manifest, multiline=multiline)
-        if summary_dir:
-            write_summaries(summaries_from_profile(columns, files, manifest)
-                            .withColumn("batch_id", F.lit(batch_id).cast("bigint")), summary_dir)
-        recs = records_from_status(files, manifest)
-        recs.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("append").parquet(log_path)
+        # The batch's column profile feeds both sinks: computed once, kept
+        # for the batch, released at its end.
+        columns, files, prof = csv_ops.profile_files_shared(spark, manifest, multiline=multiline,
+                                                            persist=True)
+        try:
+            if summary_dir:
+                write_summaries(summaries_from_profile(columns, files, manifest)
+                                .withColumn("batch_id", F.lit(batch_id).cast("bigint")), summary_dir)
+            recs = records_from_status(files, manifest)
+            recs.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("append").parquet(log_path)
+        finally:
+            if prof is not None:
+                prof.unpersist()
 
     writer = raw.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
