@@ -63,15 +63,17 @@ def list_files(spark: SparkSession, root: str, suffix: str | None = ".csv") -> D
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path(root)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    it = fs.listFiles(path, True)
-    rows = []
-    while it.hasNext():
-        st = it.next()
-        p = st.getPath()
-        name = p.getName()
-        if name.startswith(("_", ".")) or (suffix and not name.endswith(suffix)):
-            continue
-        rows.append((p.toString(), int(st.getLen()), int(st.getModificationTime())))
+    rows, todo = [], [path]
+    while todo:  # directory walk with listStatus: no block-location lookups
+        for st in fs.listStatus(todo.pop()):
+            p = st.getPath()
+            name = p.getName()
+            if name.startswith(("_", ".")):
+                continue
+            if st.isDirectory():
+                todo.append(p)
+            elif not suffix or name.endswith(suffix):
+                rows.append((p.toString(), int(st.getLen()), int(st.getModificationTime())))
     df = spark.createDataFrame(rows, "file_path string, length bigint, mtime_ms bigint")
     return df.select("file_path", "length", F.timestamp_millis("mtime_ms").alias("modification_ts"))
 
