@@ -17,14 +17,15 @@ def deadline_join(arrivals: DataFrame, completions: DataFrame, deadline: str = "
                   key: str = "object_id") -> DataFrame:
     """Streaming (or batch) left outer join of arrivals with completions.
 
-    Output: key, arrive_ts, done_ts (NULL = no completion in time), status.
+    Output: key, arrive_ts, done_ts and the completion's status (both NULL
+    when no completion came in time: a timeout).
     """
     a = arrivals.select(F.col(key).alias("a_key"), "arrive_ts").withWatermark("arrive_ts", arrival_delay)
     c = completions.select(F.col(key).alias("c_key"), "done_ts",
                            F.col("status").alias("c_status")).withWatermark("done_ts", completion_delay)
     cond = F.expr(f"a_key = c_key AND done_ts >= arrive_ts AND done_ts <= arrive_ts + INTERVAL {deadline}")
     j = a.join(c, cond, "leftOuter")
-    return j.select(F.col("a_key").alias(key), "arrive_ts", "done_ts", "c_status")
+    return j.select(F.col("a_key").alias(key), "arrive_ts", "done_ts", F.col("c_status").alias("status"))
 
 
 def summarize(matches: DataFrame, key: str = "object_id") -> DataFrame:
