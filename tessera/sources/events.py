@@ -34,7 +34,8 @@ def decode_events(raw: DataFrame, body_col: str = "body", keep: tuple[str, ...]
     """Parse notification JSON and emit one row per record."""
     parsed = raw.select(*keep, F.from_json(F.col(body_col), EVENT_SCHEMA).alias("e"))
     ex = parsed.select(*keep, F.posexplode("e.Records").alias("record_no", "r"))
-    key = F.url_decode(F.col("r.s3.object.key"))
+    raw_key = F.col("r.s3.object.key")
+    key = F.coalesce(F.try_url_decode(raw_key), raw_key)  # a malformed escape keeps the raw key
     return ex.select(
         *keep, "record_no",
         F.col("r.eventName").alias("event_name"),
