@@ -258,8 +258,8 @@ def profile_files_shared(spark: SparkSession, manifest: DataFrame, multiline: bo
     evaluation instead of parsing every file again.  ``profile_files_shared``
     returns it so the caller can release it when done.
     """
-    manifest = manifest.select("file_path", "length", *[c for c in manifest.columns
-                                                        if c not in ("file_path", "length")])
+    # One row per object: a re-delivered notification must not read a file twice.
+    manifest = manifest.groupBy("file_path").agg(F.max("length").alias("length"))
     # One read of the first lines, kept in the shared checkpoint folder: the
     # header table is used for grouping, for names and for empty-file checks.
     ensure_checkpoint_dir(spark)

@@ -56,7 +56,9 @@ def start_profile_stream(spark: SparkSession, notifications_dir: str, base_uri:
 
     def process(batch: DataFrame, batch_id: int) -> None:
         routed = ev_ops.route(ev_ops.decode_events(batch, "value"), prefix, suffix)
-        manifest = ev_ops.manifest_from_events(routed, base_uri)
+        # at-least-once delivery: one row per object, its latest notification
+        manifest = ev_ops.manifest_from_events(routed, base_uri).groupBy("file_path").agg(
+            F.max("length").alias("length"), F.max("upload_timestamp").alias("upload_timestamp"))
         if manifest.isEmpty():
             return
         # The batch's column profile feeds both sinks: computed once, kept

@@ -158,3 +158,13 @@ def test_many_header_widths_in_chunks(spark, tmpdir_path):
         rows(cols_b.select("file_path", "column", "type", "stat_max"))
     assert cols_a.count() == sum(range(1, 37))
     assert {r["status"] for r in files_a.collect()} == {"success"}
+
+
+def test_duplicated_manifest_rows(spark, tmpdir_path):
+    """A file listed twice (re-delivered arrival) is profiled once."""
+    write_files(tmpdir_path, {"sample.csv": SAMPLE})
+    manifest = C.list_files(spark, tmpdir_path)
+    columns, files = C.profile_files(spark, manifest.unionByName(manifest))
+    st = files.collect()
+    assert len(st) == 1 and st[0]["row_count"] == 10
+    assert {r["column"]: r["n_rows"] for r in columns.collect()}["salary"] == 10
