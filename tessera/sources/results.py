@@ -116,7 +116,7 @@ def parallel_results(results: DataFrame) -> DataFrame:
                      F.col("r.processing_throughput").alias("files_per_sec"),
                      F.col("r.upload_throughput").alias("upload_files_per_sec"),
                      F.lit(None).cast("double").alias("rows_per_sec"),
-                     (F.col("r.successful_processing") / F.col("r.parallel_level") * 100).alias("success_rate"),
+                     (F.try_divide("r.successful_processing", "r.parallel_level") * 100).alias("success_rate"),
                      F.col("r.processing_time").alias("proc_seconds"))
 
 

@@ -152,3 +152,15 @@ def test_first_match_and_list_order(spark):
     assert scal == [(100, 3.0), (500, 4.0)]
     nl = {r["arm"]: (r["expected_time"], r["actual_time"]) for r in R.nonlinear_scaling(df).collect()}
     assert nl["b"] == (4.0 * 100 / 500, 9.0)  # first = pos 0 (500 rows), last = pos 2 (100 rows)
+
+
+def test_zero_divisors_give_null(spark):
+    """A zero first throughput, row count or level yields NULL, not an error."""
+    df = spark.createDataFrame([("a", 0, 1, 0, True, 1.0, 0.0, 0.0), ("a", 1, 5, 0, True, 2.0, 0.0, 1.0),
+                                ("a", 2, 9, 0, True, 3.0, 0.0, 2.0)],
+                               "arm string, pos int, level bigint, rows bigint, success boolean, "
+                               "proc_seconds double, rows_per_sec double, files_per_sec double")
+    eff = R.scaling_efficiency(df).first()
+    assert eff["efficiency"] is None and eff["sublinear"] is None
+    nl = R.nonlinear_scaling(df).first()
+    assert nl["expected_time"] is None and nl["nonlinear"] is None
