@@ -168,3 +168,19 @@ def test_duplicated_manifest_rows(spark, tmpdir_path):
     st = files.collect()
     assert len(st) == 1 and st[0]["row_count"] == 10
     assert {r["column"]: r["n_rows"] for r in columns.collect()}["salary"] == 10
+
+
+def test_sample_with_declared_schema(spark, tmpdir_path):
+    """FIXTURES §1: against a declared schema (age int) the sample has one
+    invalid age (10.0 %); against the inferred schema there are none."""
+    from tessera.operators import profile as P
+    write_files(tmpdir_path, {"sample.csv": SAMPLE})
+    columns, files = C.profile_files(spark, C.list_files(spark, tmpdir_path))
+    declared = spark.createDataFrame([("age", "int"), ("salary", "float")], "column string, expected_type string")
+    inv = {r["column"]: (r["invalid_count"], r["invalid_pct"], r["expected_type"])
+           for r in P.profile_invalid(columns, declared, keys=["file_path"]).collect()}
+    assert inv == {"age": (1, 10.0, "int")}
+    assert P.profile_invalid(columns, None, keys=["file_path"]).count() == 0
+    summary = P.file_profile(columns, declared, keys=["file_path"]).first()
+    assert summary["invalid_values"]["age"]["count"] == 1 and summary["has_issues"]
+    assert summary["missing_values"]["salary"]["percentage"] == 10.0
