@@ -306,13 +306,15 @@ def file_profile(prof: DataFrame, declared: DataFrame | None = None,
     )
 
 
-def summary_document(files: DataFrame, upload_col: str | None = None) -> DataFrame:
+def summary_document(files: DataFrame, upload_col: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """The nested per-file summary document, ready for a JSON sink.
 
-    ``summary_key`` = ``processed/<file name with every ".csv" removed>_summary.json``.
+    ``summary_key`` = ``processed/<file name with every ".csv" removed>_summary.json``;
+    ``keep`` carries extra columns (e.g. ``file_path``) along.
     """
     upload = F.col(upload_col).cast("string") if upload_col else F.lit(None).cast("string")
     return files.select(
+        *keep,
         "file_name",
         summary_key("file_name").alias("summary_key"),
         upload.alias("upload_timestamp"),

@@ -22,14 +22,22 @@ from tessera.sources import csv_files as csv_ops
 from tessera.sources import events as ev_ops
 
 
-def records_from_status(files: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Metadata records (K2 shape) from per-file status rows."""
+def records_from_status(files: DataFrame, manifest: DataFrame, docs: DataFrame | None = None) -> DataFrame:
+    """Metadata records (K2 shape) from per-file status rows; with ``docs``
+    (summary documents keyed by file_path) they also carry the file's schema,
+    statistics and quality issues (NULL for error records, which carry
+    ``error_message`` instead)."""
     up = manifest.select("file_path", "upload_timestamp")
-    return files.join(up, "file_path", "left").select(
+    recs = files.join(up, "file_path", "left")
+    extra = []
+    if docs is not None:
+        recs = recs.join(docs.select("file_path", "schema", "statistics", "quality_issues"), "file_path", "left")
+        extra = ["schema", "statistics", "quality_issues"]
+    return recs.select(
         "file_path", "file_name", "upload_timestamp",
         F.localtimestamp().alias("processed_ts"),
         F.lit(0).cast("bigint").alias("seq"),
-        "status", "error_message", "row_count")
+        "status", "error_message", "row_count", *extra)
 
 
 def summaries_from_profile(columns: DataFrame, files: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -39,7 +47,7 @@ def summaries_from_profile(columns: DataFrame, files: DataFrame, manifest: DataF
     up = manifest.select("file_path", "upload_timestamp")
     return prof_ops.summary_document(
         per_file.join(up, "file_path", "left").withColumn("file_name", last_segment("file_path")),
-        upload_col="upload_timestamp")
+        upload_col="upload_timestamp", keep=["file_path"])
 
 
 def start_profile_stream(spark: SparkSession, notifications_dir: str, base_uri: str, log_path: str,
@@ -66,10 +74,11 @@ def start_profile_stream(spark: SparkSession, notifications_dir: str, base_uri:
         columns, files, prof = csv_ops.profile_files_shared(spark, manifest, multiline=multiline,
                                                             persist=True)
         try:
+            docs = summaries_from_profile(columns, files, manifest)
             if summary_dir:
-                write_summaries(summaries_from_profile(columns, files, manifest)
-                                .withColumn("batch_id", F.lit(batch_id).cast("bigint")), summary_dir)
-            recs = records_from_status(files, manifest)
+                write_summaries(docs.drop("file_path").withColumn("batch_id", F.lit(batch_id).cast("bigint")),
+                                summary_dir)
+            recs = records_from_status(files, manifest, docs)
             recs.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("append").parquet(log_path)
         finally:
             if prof is not None:

@@ -53,6 +53,10 @@ def test_stream_redelivery_is_idempotent(spark, tmpdir_path):
     assert {(r["file_name"], r["summary_key"], r["row_count"]) for r in docs.collect()} == \
         {("a.csv", "processed/a_summary.json", 2)}
     assert docs.count() == 2
+    rec = {r["file_name"]: r for r in PS.current_status(spark, base + "/log").collect()}
+    assert rec["a.csv"]["schema"] == {"x": "int", "y": "int"}      # K2: the record carries the summary
+    assert rec["a.csv"]["statistics"]["y"]["max"] == 4.0
+    assert rec["c.csv"]["schema"] is None and rec["c.csv"]["error_message"]
 
 
 def test_typed_table_profile(spark):
