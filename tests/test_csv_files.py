@@ -233,3 +233,13 @@ def test_leading_blank_line_is_an_error(spark, tmpdir_path):
     write_files(tmpdir_path, {"lead.csv": "\na,b\n1,2\n"})
     st, cols = run(spark, tmpdir_path)
     assert st["lead.csv"]["status"] == "error" and cols == {}
+
+
+def test_short_row_error_wins_over_long_first_row(spark, tmpdir_path):
+    """SURVEY §2.12 #5: with a long first row and a short later row, the short
+    row's error is the one reported (the reference checks columns in order)."""
+    write_files(tmpdir_path, {"both.csv": "a,b\n1,2,3\n4\n"})
+    st, _ = run(spark, tmpdir_path)
+    r = st["both.csv"]
+    assert r["status"] == "error" and r["error_message"] == C.MSG_SHORT
+    assert r["long_first_row"] and r["n_short_rows"] == 1
