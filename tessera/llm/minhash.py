@@ -14,13 +14,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import mix, stored, utf8, word_hashes, word_spans
 from tessera.llm.graph import components
 
 CIRCLE_BITS = 22
+HUB_ROUNDS = 2
 ROWS, BANDS = 5, 24          # a link of similarity 0.8 shares no band with probability 7e-5
 _PAIR = np.uint64(0xD6E8FEB86659FD93)
 _SHORT = np.uint64(0xA24BAED4963EE407)
@@ -114,11 +115,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
 
     Words are split at ASCII white space after lower-casing A-Z.  Texts with the
     same set are one class from the start, so a group of copies is a partial
-    minimum.  In a bucket of different sets, members are compared with hubs, the
-    members of most links first, twice as many in each round; members already
-    connected need no comparison, and rounds go on until every pair of a bucket
-    is compared or connected, so no link between candidates is lost and a tight
-    group costs a number of comparisons in proportion to its size.
+    minimum.  In a bucket of different sets, members are compared with a hub, first
+    any, then the member of most links: a tight group costs comparisons in
+    proportion to its size.  Members that are connected by then need no further
+    comparison.  The rest are compared with all members of their buckets that they
+    are not connected to, but for pairs whose overlap cannot suffice because too
+    many of their shingles occur in no other set; so no link between candidates is lost.
 
     Null or empty text: ``n_shingles`` 0, linked with nothing.  A null id has a
     null ``component_id`` and is kept unless a linked row has an id.  Repeated rows each give a
@@ -133,7 +135,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     classes = stored(spark, classes, "classes")
     members = classes.select("set", "n", F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.count("*").alias("c")).filter("c > 1").select("bucket")
-    active = stored(spark, members.join(shared, "bucket").select("bucket", "set", "n", F.lit(False).alias("used")), "buckets")
+    active = stored(spark, members.join(shared, "bucket").select("bucket", "set", "n"), "buckets")
     wanted = active.select("set").distinct().join(classes.select("set", "least"), "set")
     # One text of every class that shares a bucket; the set is found again from it.
     text = (base.join(wanted.withColumnRenamed("least", "id").select("id").distinct(), "id", "left_semi")
@@ -142,34 +144,32 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     sets = stored(spark, text.mapInArrow(_keyed_sets(words), "set binary, shingles array<long>")
                   .dropDuplicates(["set"]).join(wanted.select("set"), "set", "left_semi"), "sets")
     labels = classes.select("set", F.col("set").alias("root")).limit(0)
-    degree = labels.select("set", F.lit(0).cast("long").alias("degree"))
-    links, hubs = None, 1
-    while active.head(1):
-        now = (active.join(labels, "set", "left").join(degree, "set", "left")
-               .select("bucket", "set", "n", "used", F.coalesce("root", "set").alias("root"),
-                       F.coalesce("degree", F.lit(0)).alias("degree")))
-        rank = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("degree"), "set"))
-        hub = (now.filter("not used").withColumn("k", rank).filter(F.col("k") <= hubs)
-               .select("bucket", "k", F.col("set").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra")))
-        open_rows = now.filter("not used").alias("m").join(hub.alias("h"), "bucket")
-        pairs = (open_rows.filter("root <> ra and set <> a and least(n, na) * 100 >= greatest(n, na) * %d" % percent)
-                 .select(F.least("a", "set").alias("a"), F.greatest("a", "set").alias("b"),
-                         F.when(F.col("a") < F.col("set"), F.col("na")).otherwise(F.col("n")).alias("na"),
-                         F.when(F.col("a") < F.col("set"), F.col("n")).otherwise(F.col("na")).alias("nb")).distinct())
+    links = None
+    for _ in range(HUB_ROUNDS):
+        now = stored(spark, _now(active, labels, links), "members")
+        hub = (now.groupBy("bucket").agg(F.max(F.struct("degree", "set", "n", "root")).alias("h"))
+               .select("bucket", F.col("h.set").alias("hub"), F.col("h.n").alias("hub_n"), F.col("h.root").alias("hub_root")))
+        spokes = now.join(hub, "bucket").filter("set <> hub").drop("degree")
+        alike = F.expr(f"root <> hub_root and least(n, hub_n) * 100 >= greatest(n, hub_n) * {percent}")
+        pairs = _pairs(spokes.filter(alike), "set", "n", "hub", "hub_n")
         found = stored(spark, _linked(pairs, sets, percent), "links")
         links = found if links is None else links.unionByName(found)
         labels = _relabel(spark, labels, found)
-        degree = (links.select(F.explode(F.array("a", "b")).alias("set")).groupBy("set").agg(F.count("*").alias("degree")))
-        # Hubs are compared with their whole bucket; a bucket goes on while two
-        # members that are not connected have not been compared.
-        rest = (now.drop("root", "degree")
-                .join(hub.select("bucket", F.col("a").alias("set"), F.lit(True).alias("hub")), ["bucket", "set"], "left")
-                .select("bucket", "set", "n", F.expr("used or hub is not null").alias("used"))
-                .filter("not used").join(labels, "set", "left")
-                .select("bucket", "set", "n", "used", F.coalesce("root", "set").alias("root")))
-        split = rest.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("bucket")
-        active = stored(spark, rest.drop("root").join(split, "bucket"), "buckets")
-        hubs *= 2
+        # The hub is settled with its whole bucket; the others go on where they are not connected yet.
+        active = stored(spark, _unconnected(spokes.select("bucket", "set", "n"), labels), "buckets")
+    now = _now(active, labels, links).select("bucket", "set", "n", "root")
+    # What no other set of the open buckets holds, no link can share: a bound of the overlap.
+    own = (sets.join(active.select("set").distinct(), "set").select("set", F.explode("shingles").alias("s"))
+           .groupBy("s").agg(F.count("*").alias("c"), F.min("set").alias("set")).filter("c = 1")
+           .groupBy("set").agg(F.count("*").alias("own")))
+    now = stored(spark, now.join(own, "set", "left").withColumn("most", F.col("n") - F.coalesce("own", F.lit(0))).drop("own"), "members")
+    main = (now.groupBy("bucket", "root").agg(F.count("*").alias("c")).groupBy("bucket")
+            .agg(F.max(F.struct("c", "root")).alias("m")).select("bucket", F.col("m.root").alias("main")))
+    probe = now.join(main, "bucket").filter("root <> main").drop("main")
+    other = now.select("bucket", F.col("set").alias("hub"), F.col("n").alias("hub_n"), F.col("root").alias("hub_root"), F.col("most").alias("hub_most"))
+    shared_most = F.expr(f"root <> hub_root and least(most, hub_most) * {100 + percent} >= (n + hub_n) * {percent}")
+    pairs = _pairs(probe.join(other, "bucket").filter(shared_most), "set", "n", "hub", "hub_n")
+    labels = _relabel(spark, labels, stored(spark, _linked(pairs, sets, percent), "links"))
     named = classes.join(labels, "set", "left").select("set", "least", F.coalesce("root", "set").alias("root"))
     group = named.groupBy("root").agg(F.min("least").alias("component_id"))
     named = named.join(group, "root").select("set", "component_id")
@@ -179,6 +179,30 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
             .withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id"))))
 
 
+def _now(active: DataFrame, labels: DataFrame, links: DataFrame | None) -> DataFrame:
+    """Members with the root they are connected to and the number of their links."""
+    out = active.join(labels, "set", "left").withColumn("root", F.coalesce("root", "set"))
+    if links is None:
+        return out.withColumn("degree", F.lit(0).cast("long"))
+    degree = links.select(F.explode(F.array("a", "b")).alias("set")).groupBy("set").agg(F.count("*").alias("degree"))
+    return out.join(degree, "set", "left").withColumn("degree", F.coalesce("degree", F.lit(0)))
+
+
+def _unconnected(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of the buckets that hold more than one root."""
+    split = (members.join(labels, "set", "left").withColumn("root", F.coalesce("root", "set"))
+             .groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("bucket"))
+    return members.join(split, "bucket")
+
+
+def _pairs(rows: DataFrame, a: str, na: str, b: str, nb: str) -> DataFrame:
+    """Distinct unordered pairs ``(a, b, na, nb)``."""
+    first = F.struct(F.col(a).alias("set"), F.col(na).alias("n"))
+    second = F.struct(F.col(b).alias("set"), F.col(nb).alias("n"))
+    return (rows.select(F.least(first, second).alias("x"), F.greatest(first, second).alias("y")).distinct()
+            .select(F.col("x.set").alias("a"), F.col("y.set").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb")))
+
+
 def _relabel(spark: SparkSession, labels: DataFrame, found: DataFrame) -> DataFrame:
     """Labels after new links: the old roots are joined, then the old labels follow."""
     def rooted(side: str) -> DataFrame:
