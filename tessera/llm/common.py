@@ -119,3 +119,11 @@ def row_pieces(weights: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
 def ascii_lower(col):
     """A-Z to a-z, nothing else (``lower`` would also change other alphabets)."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def sample_texts(df: DataFrame, id_col: str, text_col: str, most: int, seed: int) -> DataFrame:
+    """``t``: texts of the ids of least hash, at most ``most`` ids, in an order that
+    does not depend on the partitioning.  Ids are chosen before any text moves."""
+    rows = df.select(F.xxhash64(F.lit(seed), F.col(id_col)).alias("h"), F.col(text_col).cast("string").alias("t"))
+    least = rows.select("h").distinct().orderBy("h").limit(most)
+    return rows.join(least, "h", "left_semi").orderBy("h", "t").limit(2 * most).select("t")

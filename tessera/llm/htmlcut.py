@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm.common import sample_texts
+
 TRAIN_PAGES = 400            # most pages that the classifier is trained on
 ADJACENT, NEAR = 0.6, 0.4    # capacity between neighbours, and between neighbours of one parent
 
@@ -174,7 +176,7 @@ def features(found: list[Block]) -> np.ndarray:
 
 
 # Used where no page of the sample has a block whose place tells its label.
-PRIOR = np.array([-1.0, 4.0, -4.0, 2.0, -4.0, -3.0, 0.6, 0.5, 0.5, -0.5, 1.0, 0.3, -2.0, -0.5])
+PRIOR = np.array([-1.0, 4.0, -4.0, 2.0, -6.0, -3.0, 0.6, 0.5, 0.5, -0.5, 1.0, 0.3, -2.0, -0.5])
 
 
 def train_weights(pages: list[str], rounds: int = 300, rate: float = 0.3, penalty: float = 0.01) -> np.ndarray:
@@ -293,8 +295,7 @@ def main_text(html: str | None, weights: np.ndarray) -> str:
 
 def train(spark: SparkSession, pages: DataFrame, html_col: str = "html", id_col: str = "page_id", most: int = TRAIN_PAGES) -> np.ndarray:
     """Weights from at most ``most`` pages, those of least id hash, in one task."""
-    sample = (pages.filter(F.col(html_col).isNotNull()).select(F.col(html_col).cast("string").alias("t"), F.xxhash64(F.lit(29), id_col).alias("h"))
-              .orderBy("h", "t").limit(most).select("t"))
+    sample = sample_texts(pages.filter(F.col(html_col).isNotNull()), id_col, html_col, most, 29)
 
     def run(batches):
         texts = [t for batch in batches for t in batch.column(0).to_pylist()]

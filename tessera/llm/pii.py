@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import row_pieces, utf8
+from tessera.llm.common import row_pieces, sample_texts, utf8
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW, OWN = 96, 48         # characters of a window, and of the part in its middle that it decides
@@ -314,8 +314,7 @@ def training_windows(texts: list[str], most: int = TRAIN_WINDOWS, seed: int = 5)
 def train(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = TRAIN_DOCS) -> Tagger:
     """Trained in one task on the surroundings of pattern matches in at most
     ``most`` documents with a digit or an at sign, those of least id hash."""
-    sample = (docs.filter(F.col(text_col).rlike("[0-9@]")).select(F.col(text_col).cast("string").alias("t"), F.xxhash64(F.lit(23), id_col).alias("h"))
-              .orderBy("h", "t").limit(most))
+    sample = sample_texts(docs.filter(F.col(text_col).rlike("[0-9@]")), id_col, text_col, most, 23)
 
     def run(batches):
         texts = [t for batch in batches for t in batch.column(0).to_pylist()]
@@ -323,7 +322,7 @@ def train(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(tagger.p)])], ["p"])
 
     tagger = Tagger()
-    for row in sample.select("t").repartition(1).mapInArrow(run, "p binary").collect():
+    for row in sample.repartition(1).mapInArrow(run, "p binary").collect():
         tagger.p = pickle.loads(row["p"])
     return tagger
 
@@ -376,6 +375,11 @@ def added_spans(text: str, tags: dict[int, int], base: list[tuple[int, int, int]
     if start is not None:
         runs.append((start, kind, last + 1))
     for a, k, b in runs:
+        # A run that begins or ends within a word leaves that word out.
+        if a > 0 and text[a - 1].isalnum() and text[a].isalnum():
+            a += re.match(r"\w*", text[a:b]).end()
+        if b < len(text) and text[b].isalnum() and text[b - 1].isalnum():
+            b -= re.match(r"\w*", text[a:b][::-1]).end()
         piece = text[a:b]
         a, b = a + len(piece) - len(piece.lstrip(" \t\r\n,;:")), b - (len(piece) - len(piece.rstrip(" \t\r\n,;:.")))
         if a < b and plausible(k, text[a:b]) and not any(x < b and a < y for x, _, y in base):

@@ -94,7 +94,7 @@ class Trie:
             if len(codes) != kids_before:
                 kids_before, begin = len(codes), lowest
             while True:
-                if begin + 4096 + width >= len(free):
+                while begin + 4096 + width >= len(free):
                     free = np.concatenate([free, np.ones(len(free), bool)])
                 spots = begin + np.flatnonzero(free[begin:begin + 4096]) - codes[0]
                 spots = spots[spots > 0]

@@ -97,7 +97,7 @@ def judge_urls(spark: SparkSession, pages: DataFrame, rules: DataFrame, id_col:
     inner = swept.select("key", F.try_element_at(fits, F.lit(-1)).alias("hit")).filter("hit is not null")
     best = (per_url.join(inner, "key")
             .groupBy("host", "path")
-            .agg(F.max(F.struct(F.length("hit.rule.rule").alias("n"), F.length("hit.outer").alias("_"),
+            .agg(F.max(F.struct(F.length("hit.rule.rule").alias("n"), F.instr("hit.outer", SEPARATOR).alias("path_n"),
                                 F.col("hit.rule").alias("rule"))).alias("best"))
             .select("host", "path", F.col("best.rule.rule").alias("rule"), F.col("best.rule.verdict").alias("verdict")))
     return (urls.join(best, ["host", "path"], "left")

@@ -89,14 +89,14 @@ def _payload(value: Column) -> Column:
                   F.substr(content, F.instr(content, RECORD_END) + len(RECORD_END))).otherwise(content)
 
 
-def candidates(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame:
+def candidates(spark: SparkSession, path: str, payloads: bool = False, only: DataFrame | None = None) -> DataFrame:
     """``file, start, next, head, digest, payload_bytes, value``: every piece that
     follows a magic, its offset, and the offset where its own length says that the
     next record starts (null: it has no record head).
 
     Files are read in splits, and once; offsets are running sums of the lengths.
     Digest and length are those of the payload if the piece is a whole record;
-    ``value`` keeps the text of the other pieces (of all with ``payloads``).
+    ``value`` is the piece's text (with ``payloads``).  ``only(file)`` names the files to keep.
     """
     value = F.col("value")
     size = F.octet_length(value).cast("long") + F.lit(len(MAGIC))
@@ -104,13 +104,15 @@ def candidates(spark: SparkSession, path: str, payloads: bool = False) -> DataFr
            .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
                    F.monotonically_increasing_id().alias("row"))
            .withColumn("size", size).withColumn("span", _successor(value)))
+    if only is not None:
+        raw = raw.join(only, "file", "left_semi")
     full = F.coalesce(F.col("size") == F.col("span"), F.lit(False))
     raw = raw.withColumn("full", full).withColumn("payload", F.when(full, _payload(value)))
     raw = stored(spark, raw.select(
         "file", "block", "row", "size", "span", F.when(F.col("span").isNotNull(), _head(value)).alias("head"),
         F.when(F.col("full"), base32_sha1(F.col("payload"))).alias("digest"),
         F.octet_length("payload").cast("long").alias("payload_bytes"),
-        F.when(~F.col("full") | F.lit(payloads), value).alias("value")), "pieces")
+        (value if payloads else F.lit(None).cast("string")).alias("value")), "pieces")
     # What precedes the first magic is a piece too (empty in a sound file).
     order = Window.partitionBy("file").orderBy("block", "row")
     thin = raw.select("file", "block", "row", "size", "span")
@@ -166,7 +168,13 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> Dat
     real = chain(spark, cands).withColumn("real", F.lit(True))
     marked = cands.join(real, ["file", "start"], "left")
     order = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, 0)
-    owned = marked.withColumn("owner", F.last(F.when(F.col("real"), F.col("start")), ignorenulls=True).over(order)).filter("owner is not null")
+    # Files with a record in several pieces are read again for the texts of all their pieces.
+    broken = stored(spark, marked.filter("real and digest is null").select("file").distinct(), "broken")
+    pieces = marked
+    if broken.head(1) and not payloads:
+        texts = candidates(spark, path, True, broken).select("file", "start", "value")
+        pieces = marked.drop("value").join(texts, ["file", "start"])
+    owned = pieces.withColumn("owner", F.last(F.when(F.col("real"), F.col("start")), ignorenulls=True).over(order)).filter("owner is not null")
     # Records in several pieces; what lies beyond the end of the record is not of it.
     ends = marked.filter("real and digest is null").select("file", F.col("start").alias("owner"), F.col("next").alias("upto"))
     parts = owned.join(ends, ["file", "owner"]).filter("start < upto")
