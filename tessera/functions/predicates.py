@@ -91,16 +91,6 @@ def may_be_date(col) -> Column:
     return first_char(col).isin([*DIGIT_CHARS, " "])
 
 
-def is_int_literal(col) -> Column:
-    """the value is accepted by int()."""
-    return F.coalesce(_c(col).rlike(INT_RE), F.lit(False))
-
-
-def is_float_literal(col) -> Column:
-    """the value is accepted by float()."""
-    return F.coalesce(_c(col).rlike(FLOAT_RE), F.lit(False))
-
-
 def is_date_format(col, i: int) -> Column:
     """F4 for one format: exact shape and a real calendar day."""
     _, pattern, shape = DATE_FORMATS[i]
@@ -117,23 +107,3 @@ def is_date_literal(col) -> Column:
     for i in range(1, len(DATE_FORMATS)):
         out = out | is_date_format(col, i)
     return out
-
-
-def strip_ws(col) -> Column:
-    return F.regexp_replace(_c(col), STRIP_RE, "")
-
-
-def int_value(col) -> Column:
-    """Exact integer value of an int literal (DECIMAL(38,0)); NULL otherwise."""
-    return F.when(
-        is_int_literal(col),
-        F.regexp_replace(strip_ws(col), "_", "").try_cast("decimal(38,0)"),
-    )
-
-
-def float_value(col) -> Column:
-    """Double value of a float literal (NaN / +-Infinity included); NULL otherwise."""
-    return F.when(
-        is_float_literal(col),
-        F.regexp_replace(strip_ws(col), "_", "").try_cast("double"),
-    )

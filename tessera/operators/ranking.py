@@ -1,13 +1,8 @@
 """Exact ranks, nearest-rank percentiles, first-match and latest-per-key.
 
-``rank_within_groups`` gives each row its exact 1-based rank inside its group
-without putting a group into one task: a range shuffle on (group, value)
-splits even a group holding a third of all rows across many partitions; each
-partition's block of a group is counted, block offsets are a running sum over
-the (small) block table, and a row's rank is its block offset plus its
-position inside the block.  The range shuffle has an explicit partition count,
-so AQE does not coalesce or split it and partition ids are stable for both
-consumers.
+Ranks come from counts: rows are aggregated to (group, value, count) with partial
+aggregation, so a value that holds a third of all rows is one row afterwards, and
+only the distinct values of a group are ordered.
 """
 
 from __future__ import annotations
@@ -18,40 +13,45 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _num_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+SPLITS = 64     # parts that the distinct values of a group are ordered in
+
+
+def value_counts(df: DataFrame, group_cols: Sequence[str], value_col: str, count_col: str = "group_n") -> DataFrame:
+    """``group_cols, value_col, _c, _upto, count_col``: the count of each distinct
+    (numeric) value, the running count up to and with it, and the group's size
+    (nulls excluded).
+
+    The distinct values of a group are cut at approximate quantiles, which are data
+    like any other: parts are ordered apart, and a part's rank starts after the
+    counts of the parts before it."""
+    group_cols = list(group_cols)
+    counts = (df.where(F.col(value_col).isNotNull()).groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("_c"))
+              .withColumn("_g", F.struct(*[F.col(c) for c in group_cols]) if group_cols else F.struct(F.lit(0).alias("_"))))
+    cuts = counts.groupBy("_g").agg(F.percentile_approx(value_col, [i / SPLITS for i in range(1, SPLITS)], 1000).alias("_cuts"))
+    parts = counts.join(cuts, "_g").withColumn("_part", F.size(F.filter("_cuts", lambda x: x < F.col(value_col)))).drop("_cuts")
+    sizes = parts.groupBy("_g", "_part").agg(F.sum("_c").alias("_n"))      # at most SPLITS rows of a group
+    whole = Window.partitionBy("_g")
+    before = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("_g", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"), F.sum("_n").over(whole).alias(count_col))
+    inside = Window.partitionBy("_g", "_part").orderBy(value_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (parts.withColumn("_upto", F.sum("_c").over(inside)).join(sizes, ["_g", "_part"])
+            .withColumn("_upto", F.col("_upto") + F.col("_before")).select(*group_cols, value_col, "_c", "_upto", count_col))
 
 
 def rank_within_groups(df: DataFrame, group_cols: Sequence[str], order_col: str,
-                       rank_col: str = "rank", count_col: str = "group_n",
-                       num_partitions: int | None = None) -> DataFrame:
-    """Exact 1-based rank of each row by ``order_col`` (ascending, nulls
-    excluded) within ``group_cols``; also adds the group size ``count_col``."""
+                       rank_col: str = "rank", count_col: str = "group_n") -> DataFrame:
+    """1-based rank of each row by ``order_col`` (ascending, nulls excluded) within
+    ``group_cols``, rows of equal value sharing the least rank; also adds the group
+    size ``count_col``.  Payload columns do not enter the ranking."""
     group_cols = list(group_cols)
-    n = num_partitions or _num_partitions(df)
-    data = df.where(F.col(order_col).isNotNull())
-    tagged = (
-        data.repartitionByRange(n, *group_cols, order_col)
-        .sortWithinPartitions(*group_cols, order_col)
-        .withColumn("_pid", F.spark_partition_id())
-        .withColumn("_mid", F.monotonically_increasing_id())
-    )
-    blocks = tagged.groupBy(*group_cols, "_pid").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
-    # One row per (group, partition): at most groups + partitions rows.
-    before = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*group_cols)
-    blocks = blocks.select(
-        *group_cols, "_pid", "_first",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
-        F.sum("_n").over(whole).alias(count_col),
-    )
-    ranked = tagged.join(blocks, on=[*group_cols, "_pid"], how="inner")
-    return ranked.select(
-        *df.columns,
-        (F.col("_offset") + (F.col("_mid") - F.col("_first")) + 1).alias(rank_col),
-        F.col(count_col),
-    )
+    ranks = (value_counts(df, group_cols, order_col, count_col)
+             .select(*group_cols, order_col, (F.col("_upto") - F.col("_c") + 1).alias(rank_col), count_col))
+    rows = df.where(F.col(order_col).isNotNull()).alias("d")
+    ranks = ranks.alias("r")
+    same = F.col(f"d.{order_col}").eqNullSafe(F.col(f"r.{order_col}"))
+    for c in group_cols:
+        same = same & F.col(f"d.{c}").eqNullSafe(F.col(f"r.{c}"))
+    return rows.join(ranks, same).select("d.*", f"r.{rank_col}", f"r.{count_col}")
 
 
 def nearest_rank_index(n_col: str, p: float) -> F.Column:
@@ -67,22 +67,20 @@ def percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
     Output: group_cols, n, median, p<100p>... (unrounded values).
     """
     group_cols = list(group_cols)
-    ranked = rank_within_groups(df.select(*group_cols, value_col), group_cols, value_col)
-    r, n = F.col("rank"), F.col("group_n")
+    ranked = value_counts(df.select(*group_cols, value_col), group_cols, value_col)
+    n = F.col("group_n")
     lo = F.floor((n + 1) / 2)
     hi = F.floor(n / 2) + 1
-    targets = [r == nearest_rank_index("group_n", p) for p in pcts]
-    if with_median:
-        targets += [r == lo, r == hi]
-    keep = targets[0]
-    for t in targets[1:]:
-        keep = keep | t
-    v = F.col(value_col)
+
+    def at(rank):
+        """The value whose rows hold the rank."""
+        return F.max(F.when((rank <= F.col("_upto")) & (rank > F.col("_upto") - F.col("_c")), F.col(value_col)))
+
     aggs = [F.max("group_n").alias("n")]
     if with_median:
-        aggs.append(((F.max(F.when(r == lo, v)) + F.max(F.when(r == hi, v))) / 2).alias("median"))
-    aggs += [F.max(F.when(r == nearest_rank_index("group_n", p), v)).alias(pct_name(p)) for p in pcts]
-    return ranked.where(keep).groupBy(*group_cols).agg(*aggs)
+        aggs.append(((at(lo) + at(hi)) / 2).alias("median"))
+    aggs += [at(nearest_rank_index("group_n", p)).alias(pct_name(p)) for p in pcts]
+    return ranked.groupBy(*group_cols).agg(*aggs)
 
 
 def pct_name(p: float) -> str:

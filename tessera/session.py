@@ -78,7 +78,7 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
-        base = tempfile.mkdtemp(prefix="tessera-ckpt-")
+        base = _own_folder(spark)
         spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)
         base = spark.sparkContext.getCheckpointDir() or base
@@ -86,6 +86,14 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return base.rstrip("/") + "/" + sub if sub else base
 
 
+def _own_folder(spark: SparkSession) -> str:
+    """A private folder, which only a local session may use: on a cluster the
+    executors would not see it."""
+    if not (spark.sparkContext.master + "[").startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="tessera-ckpt-")
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for Python-side access to a local path."""
     if path.startswith("file://"):
@@ -110,7 +118,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tessera-ckpt-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or _own_folder(spark)
     sc.setCheckpointDir(base)
     return sc.getCheckpointDir()
 

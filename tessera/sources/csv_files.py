@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import csv
 import io
+import re
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -42,6 +43,9 @@ MSG_EMPTY = "CSV file is empty or has no data rows"
 MSG_UTF8 = "file is not valid UTF-8"
 MSG_SHORT = "a row has fewer fields than the header"
 MSG_LONG_FIRST = "the first row has more fields than the header"
+MSG_UNREADABLE = "the object cannot be read"
+MSG_HEADER = "the header line is not valid CSV"
+MSG_HIDDEN = "Spark's file sources skip names that start with _ or ."
 
 HEADER_SCHEMA = T.StructType([
     T.StructField("file_path", T.StringType()),
@@ -49,6 +53,7 @@ HEADER_SCHEMA = T.StructType([
     T.StructField("names", T.ArrayType(T.StringType())),
     T.StructField("src_ordinals", T.ArrayType(T.IntegerType())),
     T.StructField("width", T.IntegerType()),
+    T.StructField("error", T.StringType()),
 ])
 
 
@@ -68,10 +73,10 @@ def list_files(spark: SparkSession, root: str, suffix: str | None = ".csv") -> D
         for st in fs.listStatus(todo.pop()):
             p = st.getPath()
             name = p.getName()
-            if name.startswith(("_", ".")):
-                continue
             if st.isDirectory():
                 todo.append(p)
+            elif name == "_SUCCESS" or (name.startswith(".") and name.endswith(".crc")):
+                continue  # what Spark's writers leave beside the data
             elif not suffix or name.endswith(suffix):
                 rows.append((p.toString(), int(st.getLen()), int(st.getModificationTime())))
     df = spark.createDataFrame(rows, "file_path string, length bigint, mtime_ms bigint")
@@ -92,18 +97,17 @@ def _open(path: str):
     return filesystem.open_input_stream(p)
 
 
-def _first_line(path: str, chunk: int = 65536, limit: int = 16 << 20) -> bytes:
-    buf = b""
+def _first_line(path: str, chunk: int = 65536) -> bytes:
+    """Bytes up to the first line end, however far it is."""
+    blocks = []
     with _open(path) as f:
-        while len(buf) < limit:
-            block = f.read(chunk)
-            if not block:
-                break
-            buf += block
-            nl = buf.find(b"\n")
+        while block := f.read(chunk):
+            nl = block.find(b"\n")
             if nl >= 0:
-                return buf[:nl]
-    return buf
+                blocks.append(block[:nl])
+                break
+            blocks.append(block)
+    return b"".join(blocks)
 
 
 def parse_header(line: str, sep: str = ",") -> tuple[list[str], list[int], int]:
@@ -111,7 +115,8 @@ def parse_header(line: str, sep: str = ",") -> tuple[list[str], list[int], int]:
     reference does: the last column of a name supplies the values, the first
     one fixes its position.  Returns (names, source ordinals, width)."""
     line = line.lstrip(BOM).rstrip("\r")
-    fields = next(csv.reader(io.StringIO(line), delimiter=sep), []) if line else []
+    csv.field_size_limit(max(csv.field_size_limit(), len(line) + 1))
+    fields = next(csv.reader(io.StringIO(line, newline=""), delimiter=sep), []) if line else []
     last: dict[str, int] = {}
     for i, name in enumerate(fields, 1):
         last[name] = i
@@ -131,13 +136,40 @@ def read_headers(manifest: DataFrame, sep: str = ",") -> DataFrame:
         for pdf in batches:
             out = []
             for path in pdf["file_path"]:
-                raw = _first_line(path)
-                text = raw.decode("utf-8", errors="replace")
-                names, src, width = parse_header(text, sep)
-                out.append((path, text, names, src, width))
-            yield pd.DataFrame(out, columns=["file_path", "header_raw", "names", "src_ordinals", "width"])
-
-    return manifest.where(F.col("length") > 0).select("file_path").mapInPandas(fn, HEADER_SCHEMA)
+                text, names, src, width, error = None, [], [], 0, None
+                try:
+                    if path.rsplit("/", 1)[-1][:1] in ("_", "."):
+                        out.append((path, text, names, src, width, MSG_HIDDEN))
+                        continue
+                    raw = _first_line(path)
+                    text = raw.decode("utf-8", errors="replace")
+                    names, src, width = parse_header(text, sep)
+                    # The CSV scan never decodes the header: its bytes are judged here.
+                    error = MSG_UTF8 if "\ufffd" in text and not _is_utf8(raw) else None
+                except OSError:
+                    error = MSG_UNREADABLE
+                except csv.Error:
+                    error = MSG_HEADER
+                out.append((path, text, names, src, width, error))
+            yield pd.DataFrame(out, columns=HEADER_SCHEMA.fieldNames())
+
+    # A fixed number of tasks: an aggregation before would be coalesced to one for thin rows.
+    tasks = max(manifest.sparkSession.sparkContext.defaultParallelism,
+                int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return manifest.where(F.col("length") > 0).select("file_path").repartition(tasks, "file_path").mapInPandas(fn, HEADER_SCHEMA)
+
+
+def _is_utf8(raw: bytes) -> bool:
+    try:
+        raw.decode("utf-8")
+        return True
+    except UnicodeDecodeError:
+        return False
+
+
+def literal_path(path: str) -> str:
+    """A path that Spark's file sources, which take patterns, read as it is."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
 
 # --------------------------------------------------------------------------
@@ -160,7 +192,7 @@ def scan_group(spark: SparkSession, paths: Sequence[str], width: int, multiline:
           .option("header", True).option("multiLine", multiline).option("escape", '"')
           .option("sep", sep).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
           .option("columnPruning", False).option("encoding", "UTF-8")
-          .csv(list(paths)))
+          .csv([literal_path(p) for p in paths]))
     return df.select(
         decoded_path(F.col("_metadata.file_path")).alias("file_path"),
         F.monotonically_increasing_id().alias("row_no"),
@@ -172,8 +204,10 @@ def scan_group(spark: SparkSession, paths: Sequence[str], width: int, multiline:
 
 def token_count(raw, sep: str = ",") -> F.Column:
     """Number of fields of a raw CSV record: separators outside quoted
-    sections + 1 (quoted sections with "" escapes are removed first)."""
-    unquoted = F.regexp_replace(raw, r'"(?:[^"]|"")*"', "")
+    sections + 1 (quoted sections, with their "" escapes, are removed first)."""
+    # Doubled quotes go first, so that what is left needs no nested repetition;
+    # possessive: a large quoted field takes no stack.
+    unquoted = F.regexp_replace(F.replace(raw, F.lit('""'), F.lit("")), r'"[^"]*+"', "")
     return F.length(unquoted) - F.length(F.replace(unquoted, F.lit(sep), F.lit(""))) + 1
 
 
@@ -198,7 +232,7 @@ def width_groups(headers: DataFrame) -> dict[int, list[str]]:
     """Paths of the non-empty-header files by header width (metadata, collected
     once, as Spark's own file index would hold the file list)."""
     groups: dict[int, list[str]] = {}
-    for r in headers.where("width > 0").select("file_path", "width").collect():
+    for r in headers.where("width > 0 and error is null").select("file_path", "width").collect():
         groups.setdefault(r["width"], []).append(r["file_path"])
     return groups
 
@@ -227,7 +261,7 @@ def utf8_check(spark: SparkSession, paths: DataFrame) -> DataFrame:
     plist = [r["file_path"] for r in paths.select("file_path").distinct().collect()]
     if not plist:
         return spark.createDataFrame([], "file_path string, utf8_ok boolean")
-    t = spark.read.text(plist)
+    t = spark.read.text([literal_path(p) for p in plist])
     return t.groupBy(decoded_path(F.col("_metadata.file_path")).alias("file_path")).agg(
         F.bool_and(F.is_valid_utf8("value")).alias("utf8_ok"))
 
@@ -268,7 +302,7 @@ def profile_files_shared(spark: SparkSession, manifest: DataFrame, multiline: bo
     keys = ["file_path"]
     if not groups:
         empty_cols = spark.createDataFrame([], "file_path string, ordinal int, column string")
-        return empty_cols, file_status(manifest, None, None), None
+        return empty_cols, file_status(manifest, None, None, headers), None
     extra = [
         F.count_if("is_short").alias("n_short_rows"),
         F.count_if("is_long").alias("n_long_rows"),
@@ -298,13 +332,15 @@ def profile_files_shared(spark: SparkSession, manifest: DataFrame, multiline: bo
     columns = (prof.join(names, on=["file_path", "ordinal"], how="inner")
                .drop("column", "ordinal")
                .withColumnRenamed("header_name", "column").withColumnRenamed("position", "ordinal"))
-    return columns, file_status(manifest, per_file, utf8), prof
+    return columns, file_status(manifest, per_file, utf8, headers), prof
 
 
-def file_status(manifest: DataFrame, per_file: DataFrame | None, utf8: DataFrame | None) -> DataFrame:
+def file_status(manifest: DataFrame, per_file: DataFrame | None, utf8: DataFrame | None,
+                headers: DataFrame | None = None) -> DataFrame:
     """Status and error message per manifest entry.
 
-    Precedence follows the reference: undecodable bytes, then no data rows,
+    An object whose header could not be read or parsed is an error by itself and
+    fails nothing else.  Precedence: that, then undecodable bytes, then no data rows,
     then a short row anywhere, then an over-long first row.  Long later rows
     are tolerated and counted.
     """
@@ -319,9 +355,14 @@ def file_status(manifest: DataFrame, per_file: DataFrame | None, utf8: DataFrame
         m = m.join(utf8, "file_path", "left")
     else:
         m = m.withColumn("utf8_ok", F.lit(None).cast("boolean"))
+    if headers is not None:
+        m = m.join(headers.where("error is not null").select("file_path", F.col("error").alias("header_error")), "file_path", "left")
+    else:
+        m = m.withColumn("header_error", F.lit(None).cast("string"))
     rows = F.coalesce(F.col("row_count"), F.lit(0))
     utf8_bad = F.coalesce(~F.col("utf8_ok"), F.lit(False))
-    err = (F.when(utf8_bad, F.lit(MSG_UTF8))
+    err = (F.when(F.col("header_error").isNotNull(), F.col("header_error"))
+           .when(utf8_bad, F.lit(MSG_UTF8))
            .when(rows == 0, F.lit(MSG_EMPTY))
            .when(F.coalesce(F.col("n_short_rows"), F.lit(0)) > 0, F.lit(MSG_SHORT))
            .when(F.coalesce(F.col("long_first_row"), F.lit(False)), F.lit(MSG_LONG_FIRST)))
@@ -333,7 +374,7 @@ def file_status(manifest: DataFrame, per_file: DataFrame | None, utf8: DataFrame
         F.coalesce(F.col("n_short_rows"), F.lit(0)).alias("n_short_rows"),
         F.coalesce(F.col("n_long_rows"), F.lit(0)).alias("n_long_rows"),
         F.coalesce(F.col("long_first_row"), F.lit(False)).alias("long_first_row"),
-        F.coalesce(F.col("utf8_ok"), F.lit(True)).alias("utf8_ok"),
+        (F.coalesce(F.col("utf8_ok"), F.lit(True)) & ~F.col("header_error").eqNullSafe(F.lit(MSG_UTF8))).alias("utf8_ok"),
     )
 
 

@@ -3,6 +3,8 @@ implementation of the reference's rules (sorted[int(n*p)], statistics.median,
 statistics.stdev, 3 decimals), including a group that dominates the data."""
 
 import random
+
+from pyspark.sql import functions as F
 import statistics
 
 from hypothesis import given, settings
@@ -50,21 +52,33 @@ def test_rank_with_dominant_group(spark):
     rows = [("hot", rnd.randint(0, 999)) for _ in range(20000)] + [(f"g{i}", rnd.randint(0, 50))
                                                                     for i in range(300)]
     df = spark.createDataFrame(rows, "g string, v int")
-    ranked = K.rank_within_groups(df, ["g"], "v", num_partitions=8)
-    got = {}
-    for r in ranked.collect():
-        got.setdefault(r["g"], []).append((r["rank"], r["v"], r["group_n"]))
-    for g, items in got.items():
-        items.sort()
-        assert [i[0] for i in items] == list(range(1, len(items) + 1))
-        vals = [i[1] for i in items]
-        assert vals == sorted(vals)
-        assert all(i[2] == len(items) for i in items)
-    # the range shuffle splits the hot group over many partitions (no single hot task)
-    from pyspark.sql import functions as F
-    spread = (df.repartitionByRange(8, "g", "v").where("g = 'hot'")
-              .select(F.spark_partition_id().alias("p")).distinct().count())
-    assert spread >= 4
+    ranked = K.rank_within_groups(df.withColumn("payload", F.concat("g", F.lit("x"))), ["g"], "v")
+    values = {}
+    for g, v in rows:
+        values.setdefault(g, []).append(v)
+    rank = {g: {v: sum(x < v for x in vs) + 1 for v in set(vs)} for g, vs in values.items()}
+    got = ranked.collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r["payload"] == r["g"] + "x"
+        assert (r["rank"], r["group_n"]) == (rank[r["g"]][r["v"]], len(values[r["g"]]))
+
+
+def test_hot_value_is_one_row_and_reuse_does_not_matter(spark):
+    """A value that holds most rows is counted before any row is ordered; results
+    do not depend on two consumers sharing an exchange."""
+    df = spark.range(60_000).select(F.lit("g").alias("g"), F.when(F.col("id") % 3 > 0, 5.0).otherwise(F.col("id") / 7).alias("v"),
+                                    F.col("id").alias("payload"))
+    plan = K.value_counts(df, ["g"], "v")._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan.lower()
+    vs = sorted([5.0 if i % 3 else i / 7 for i in range(60_000)])
+    for reuse in ("true", "false"):
+        spark.conf.set("spark.sql.exchange.reuse", reuse)
+        try:
+            row = K.percentiles(df, ["g"], "v").first()
+        finally:
+            spark.conf.unset("spark.sql.exchange.reuse")
+        assert (row["n"], row["median"], row["p90"], row["p95"]) == (60_000, (vs[29_999] + vs[30_000]) / 2, vs[54_000], vs[57_000])
 
 
 def test_groups_without_successes(spark):
