@@ -14,7 +14,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import mix, stored, utf8, word_hashes, word_spans
@@ -22,6 +22,8 @@ from tessera.llm.graph import components
 
 CIRCLE_BITS = 22
 HUB_ROUNDS = 2
+RARE = 64                    # sets that hold a rare shingle at most; a pairing by shingles costs half as many rows for each
+PARITIES = 1024              # cells whose parities tell sets apart before their shingles are compared
 ROWS, BANDS = 5, 24          # a link of similarity 0.8 shares no band with probability 7e-5
 _PAIR = np.uint64(0xD6E8FEB86659FD93)
 _SHORT = np.uint64(0xA24BAED4963EE407)
@@ -86,14 +88,21 @@ def _signatures(words: int, rows: int, bands: int):
     return run
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """Parity of the number of shingles in each of ``PARITIES`` cells, as bits: two
+    sets differ in at least as many shingles as their parities do in bits."""
+    odd = np.bincount((shingles & np.uint64(PARITIES - 1)).astype(np.int64), minlength=PARITIES) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
 def _keyed_sets(words: int):
     def run(batches):
         for batch in batches:
             sets = [s for s in shingle_sets(batch.column(1), words)]
             keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
-                ["set", "shingles"])
+                [pa.array(keys, pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                 pa.array([parities(s) for s in sets], pa.list_(pa.int64()))], ["set", "shingles", "parity"])
     return run
 
 
@@ -119,8 +128,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     any, then the member of most links: a tight group costs comparisons in
     proportion to its size.  Members that are connected by then need no further
     comparison.  The rest are compared with all members of their buckets that they
-    are not connected to, but for pairs whose overlap cannot suffice because too
-    many of their shingles occur in no other set; so no link between candidates is lost.
+    are not connected to, but for pairs whose overlap cannot suffice: sets
+    that share no rare shingle (one of at most ``RARE`` sets) share at most their
+    other ones, and those that share one are found by it; and the parities of two sets
+    bound from below in how many shingles they differ.  So no link between candidates
+    is lost.
 
     Null or empty text: ``n_shingles`` 0, linked with nothing.  A null id has a
     null ``component_id`` and is kept unless a linked row has an id.  Repeated rows each give a
@@ -141,7 +153,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     text = (base.join(wanted.withColumnRenamed("least", "id").select("id").distinct(), "id", "left_semi")
             .unionByName(base.filter("id is null"))
             .select(F.lit(None).cast("binary").alias("set"), "t"))
-    sets = stored(spark, text.mapInArrow(_keyed_sets(words), "set binary, shingles array<long>")
+    sets = stored(spark, text.mapInArrow(_keyed_sets(words), "set binary, shingles array<long>, parity array<long>")
                   .dropDuplicates(["set"]).join(wanted.select("set"), "set", "left_semi"), "sets")
     labels = classes.select("set", F.col("set").alias("root")).limit(0)
     links = None
@@ -158,17 +170,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
         # The hub is settled with its whole bucket; the others go on where they are not connected yet.
         active = stored(spark, _unconnected(spokes.select("bucket", "set", "n"), labels), "buckets")
     now = _now(active, labels, links).select("bucket", "set", "n", "root")
-    # What no other set of the open buckets holds, no link can share: a bound of the overlap.
-    own = (sets.join(active.select("set").distinct(), "set").select("set", F.explode("shingles").alias("s"))
-           .groupBy("s").agg(F.count("*").alias("c"), F.min("set").alias("set")).filter("c = 1")
-           .groupBy("set").agg(F.count("*").alias("own")))
-    now = stored(spark, now.join(own, "set", "left").withColumn("most", F.col("n") - F.coalesce("own", F.lit(0))).drop("own"), "members")
+    rare = stored(spark, _rare(now, sets), "rare")
+    most = rare.groupBy("set").agg(F.count("*").alias("rare"))
+    now = stored(spark, now.join(most, "set", "left").withColumn("most", F.col("n") - F.coalesce("rare", F.lit(0))).drop("rare")
+                 .join(sets.select("set", "parity"), "set"), "members")
     main = (now.groupBy("bucket", "root").agg(F.count("*").alias("c")).groupBy("bucket")
             .agg(F.max(F.struct("c", "root")).alias("m")).select("bucket", F.col("m.root").alias("main")))
     probe = now.join(main, "bucket").filter("root <> main").drop("main")
-    other = now.select("bucket", F.col("set").alias("hub"), F.col("n").alias("hub_n"), F.col("root").alias("hub_root"), F.col("most").alias("hub_most"))
+    other = now.select("bucket", F.col("set").alias("hub"), F.col("n").alias("hub_n"), F.col("root").alias("hub_root"), F.col("most").alias("hub_most"),
+                       F.col("parity").alias("hub_parity"))
     shared_most = F.expr(f"root <> hub_root and least(most, hub_most) * {100 + percent} >= (n + hub_n) * {percent}")
-    pairs = _pairs(probe.join(other, "bucket").filter(shared_most), "set", "n", "hub", "hub_n")
+    apart = " + ".join(f"bit_count(parity[{k}] ^ hub_parity[{k}])" for k in range(PARITIES // 64))
+    near = F.expr(f"({apart}) * {100 + percent} <= (n + hub_n) * {100 - percent}")
+    pairs = _pairs(probe.join(other, "bucket").filter(shared_most).filter(near), "set", "n", "hub", "hub_n")
+    pairs = pairs.unionByName(_sharing(rare, percent)).distinct()
     labels = _relabel(spark, labels, stored(spark, _linked(pairs, sets, percent), "links"))
     named = classes.join(labels, "set", "left").select("set", "least", F.coalesce("root", "set").alias("root"))
     group = named.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -195,6 +210,26 @@ def _unconnected(members: DataFrame, labels: DataFrame) -> DataFrame:
     return members.join(split, "bucket")
 
 
+def _rare(now: DataFrame, sets: DataFrame) -> DataFrame:
+    """``set, n, root, s, c, at``: the shingles that at most ``RARE`` of the open sets
+    hold, with the number of those, and their place in the set, rarest first."""
+    held = (sets.join(now.select("set", "n", "root").distinct(), "set")
+            .select("set", "n", "root", F.explode("shingles").alias("s")))
+    counts = held.groupBy("s").agg(F.count("*").alias("c")).filter(F.col("c") <= RARE)
+    place = F.row_number().over(Window.partitionBy("set").orderBy("c", "s")) - 1
+    return held.join(counts, "s").withColumn("at", place)
+
+
+def _sharing(rare: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different roots that share a rare shingle early enough.  The rarest
+    shingle that two linked sets share is among the first ``n - least overlap`` of
+    both, as those before it are not shared."""
+    early = rare.filter(F.expr(f"c > 1 and (n - at) * 100 >= n * {percent}")).select("s", "set", "n", "root", "at")
+    other = early.select("s", F.col("set").alias("hub"), F.col("n").alias("hub_n"), F.col("root").alias("hub_root"), F.col("at").alias("hub_at"))
+    enough = F.expr(f"least(n - at, hub_n - hub_at) * {100 + percent} >= (n + hub_n) * {percent}")
+    return _pairs(early.join(other, "s").filter("set < hub and root <> hub_root").filter(enough), "set", "n", "hub", "hub_n")
+
+
 def _pairs(rows: DataFrame, a: str, na: str, b: str, nb: str) -> DataFrame:
     """Distinct unordered pairs ``(a, b, na, nb)``."""
     first = F.struct(F.col(a).alias("set"), F.col(na).alias("n"))

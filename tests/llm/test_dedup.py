@@ -63,6 +63,17 @@ def test_groups_are_those_of_all_pairs(spark, words, percent):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+@pytest.mark.parametrize("rare", [1, 3, 64])
+def test_pairing_by_rare_shingles_loses_no_link(spark, monkeypatch, rare):
+    """Without hubs, the last comparison alone finds every link."""
+    monkeypatch.setattr(minhash, "HUB_ROUNDS", 0)
+    monkeypatch.setattr(minhash, "RARE", rare)
+    rows = corpus(7)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = minhash.near_duplicates(spark, df, words=2, percent=80).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted(brute_groups(rows, 2, 80))
+
+
 def test_hub_that_alone_connects_a_group(spark):
     """Copies that are near the base but not near each other are one group."""
     rng = random.Random(3)
