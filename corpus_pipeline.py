@@ -65,9 +65,9 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, n_tokens, tokens, same``: every document's SentencePiece ids, and
-    whether they decode to its text."""
-    out = sentencepiece.roundtrip(spark, docs, TOKENIZER)
+    """``doc_id, n_tokens, tokens, same``: every document's SentencePiece ids by a
+    unigram model of these documents, and whether they decode to its text."""
+    out = sentencepiece.roundtrip(spark, docs, sentencepiece.unigram_model(spark, docs, TOKENIZER))
     return out.select("doc_id", F.size("tokens").cast("long").alias("n_tokens"), "tokens", "same")
 
 

@@ -12,6 +12,7 @@ from tessera.llm import decontam, fingerprint, htmlcut, minhash, pii, sentencepi
 from tessera.llm.common import read
 
 # Vocabulary file of a public tokenizer; any SentencePiece model file can be named.
+# Scores of a file that is no unigram model are replaced by those of the documents.
 TOKENIZER = os.environ.get("TESSERA_SENTENCEPIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -109,7 +110,8 @@ def op9(spark, sf_dir):
 @query("op2_sentencepiece")
 def op2(spark, sf_dir):
     """Documents encoded and decoded; the digest of the ids, and whether the text came back."""
-    out = sentencepiece.roundtrip(spark, read(spark, sf_dir, "documents"), TOKENIZER)
+    docs = read(spark, sf_dir, "documents")
+    out = sentencepiece.roundtrip(spark, docs, sentencepiece.unigram_model(spark, docs, TOKENIZER))
     return out.select("doc_id", F.size("tokens").cast("long").alias("n_tokens"), "n_bytes",
                       F.sha2(F.encode(F.array_join("tokens", ","), "UTF-8"), 256).alias("tokens_sha256"), "same")
 

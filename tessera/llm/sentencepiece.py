@@ -2,13 +2,17 @@
 
 The pieces are in a double-array trie; the best segmentation is the Viterbi path
 of greatest total log score.  Characters without a piece fall back to byte
-pieces, and the whitespace marker takes the place of spaces.
+pieces, and the whitespace marker takes the place of spaces.  Of files of another
+model type only the vocabulary can be used: their scores are no log probabilities,
+so ``unigram_model`` estimates those from the documents by EM.
 """
 
 from __future__ import annotations
 
+import math
 import struct
 import sys
+from collections import Counter
 from collections.abc import Iterator
 from itertools import chain, islice
 
@@ -17,9 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm.common import row_pieces, stored, utf8
+
 MARKER = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6   # piece types of the model format
+UNIGRAM = 1                  # model type; a file that names none is of this one
 UNKNOWN_PENALTY = 10.0
+ROUNDS = 4                   # EM rounds from equal scores
+PART = 1 << 20               # expected counts are summed as whole numbers of these parts, so in any order
 LONG_WORD = 48               # longer words are segmented one by one
 BATCH_CHARS = 1 << 21        # text segmented together
 REMEMBERED = 400_000         # words whose segmentation a worker keeps
@@ -60,6 +69,27 @@ def read_pieces(model: bytes) -> list[tuple[str, float, int]]:
     return out
 
 
+def model_type(model: bytes) -> int:
+    """The model type that the trainer settings of a model file name."""
+    return next((int(dict(_fields(v)).get(3, UNIGRAM)) for field, v in _fields(model) if field == 2), UNIGRAM)
+
+
+def write_model(pieces: list[tuple[str, float, int]]) -> bytes:
+    """A unigram model file of (piece, log score, type)."""
+    def varint(n: int) -> bytes:
+        out = bytearray()
+        while n > 0x7F:
+            out.append(n & 0x7F | 0x80)
+            n >>= 7
+        return bytes([*out, n])
+    out = []
+    for piece, score, kind in pieces:
+        raw = piece.encode("utf-8")
+        body = b"\x0a" + varint(len(raw)) + raw + b"\x15" + struct.pack("<f", score) + b"\x18" + varint(kind)
+        out.append(b"\x0a" + varint(len(body)) + body)
+    return b"".join(out) + b"\x12\x02\x18" + varint(UNIGRAM)
+
+
 class Trie:
     """Double-array trie over code points: a child of state ``s`` by symbol ``c``
     is ``base[s] + c`` if ``check`` there is ``s``.  Symbols are dense numbers of
@@ -142,10 +172,13 @@ class Model:
     """A unigram model read from a model file's bytes.
 
     ``split`` says that no piece has a marker after another character, so words
-    (a run of markers and what follows) can be segmented apart.
+    (a run of markers and what follows) can be segmented apart.  A file of another
+    model type is a ValueError.
     """
 
     def __init__(self, model: bytes):
+        if model_type(model) != UNIGRAM:
+            raise ValueError(f"no unigram model: model type {model_type(model)}")
         pieces = read_pieces(model)
         self.pieces = [p for p, _, _ in pieces]
         usable = [(p, i) for i, (p, _, kind) in enumerate(pieces) if kind in (NORMAL, USER) and p]
@@ -166,7 +199,8 @@ class Model:
             else:
                 self.text.append(b"")
         self.byte_fallback = len(self.byte_ids) == 256
-        self.trie = Trie(usable)
+        self.usable = np.array([i for _, i in usable], np.int64)
+        self.trie = _trie(usable)
         self.split = not any(MARKER in p.lstrip(MARKER) for p, _ in usable)
         self.is_byte = np.zeros(len(pieces), bool)
         self.is_byte[list(self.byte_ids.values())] = True
@@ -209,7 +243,12 @@ class Model:
                 out[i] = ids
         return out
 
-    def _segment_many(self, words: list[str]) -> list[list[int]]:
+    def _lattice(self, words: list[str]):
+        """(text, length, start, node, edges, groups): the places of all words' pieces.
+
+        Edges are (first character, piece or -1, size, score); each group of them,
+        given by its bounds, has distinct starts and distinct ends, and they are in
+        the order of their ends within the words."""
         length = np.array([len(w) for w in words], np.int64)
         text = "".join(words)
         codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -219,10 +258,6 @@ class Model:
         left = np.repeat(length, length) - offset
         # node of a position: its index plus its word's number (one more node than characters)
         node = np.arange(len(codes)) + np.repeat(np.arange(len(words)), length)
-        best = np.full(len(codes) + len(words), -np.inf)
-        back = np.zeros(len(best), np.int64)
-        piece = np.full(len(best), -1, np.int64)
-        best[start + np.arange(len(words))] = 0.0
         found = self.trie.matches(symbols, left)
         edges = [(at, ids, n + 1) for n, (at, ids) in enumerate(found) if len(at)]
         if edges:
@@ -243,9 +278,16 @@ class Model:
         order = np.argsort((end * 64 - size).astype(np.int16), kind="stable")
         src, ids, size, weight, end = src[order], ids[order], size[order], weight[order], end[order]
         cut = np.flatnonzero(np.diff(end * 64 - size)) + 1
-        for i, j in zip(np.concatenate([[0], cut]), np.concatenate([cut, [len(src)]])):
-            if i == j:
-                continue
+        groups = [(i, j) for i, j in zip([0, *cut.tolist()], [*cut.tolist(), len(src)]) if i < j]
+        return text, length, start, node, (src, ids, size, weight), groups
+
+    def _segment_many(self, words: list[str]) -> list[list[int]]:
+        text, length, start, node, (src, ids, size, weight), groups = self._lattice(words)
+        best = np.full(len(text) + len(words), -np.inf)
+        back = np.zeros(len(best), np.int64)
+        piece = np.full(len(best), -1, np.int64)
+        best[start + np.arange(len(words))] = 0.0
+        for i, j in groups:
             a = node[src[i:j]]
             b = a + size[i:j]
             total = best[a] + weight[i:j]
@@ -278,33 +320,34 @@ class Model:
                       for x in ([p] if p >= 0 else self._fallback(text[k - w]))]
         return out
 
-    def _segment_one(self, word: str) -> list[int]:
-        """The same for one long word, in time in proportion to its length."""
+    def _endings(self, word: str) -> list[list[tuple[int, int, float]]]:
+        """For every end in a word: (start, piece or -1, score) of the pieces that end there."""
         codes = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), np.uint32)
         n = len(codes)
-        out: list[tuple[int, int]] = []
-        symbols = self.trie.symbol[codes].astype(np.int64)
-        found = self.trie.matches(symbols, np.arange(n, 0, -1))
-        ending: dict[int, list[tuple[int, int]]] = {}
+        found = self.trie.matches(self.trie.symbol[codes].astype(np.int64), np.arange(n, 0, -1))
+        ending: list[list[tuple[int, int, float]]] = [[] for _ in range(n + 1)]
         single = np.zeros(n, bool)
         for k in range(len(found) - 1, -1, -1):
             at, ids = found[k]
             if k == 0:
                 single[at] = True
-            for a, p in zip(at.tolist(), ids.tolist()):
-                ending.setdefault(a + k + 1, []).append((a, p))
+            for a, p, s in zip(at.tolist(), ids.tolist(), self.score[ids].tolist()):
+                ending[a + k + 1].append((a, p, s))
+        for a in np.flatnonzero(~single).tolist():
+            ending[a + 1].append((a, -1, self.unknown_score))
+        return ending
+
+    def _segment_one(self, word: str) -> list[int]:
+        """The same for one long word, in time in proportion to its length."""
+        ending = self._endings(word)
+        n = len(ending) - 1
+        out: list[tuple[int, int]] = []
         best, back = [0.0] + [float("-inf")] * n, [(0, -1)] * (n + 1)
-        score = self.score
         for end in range(1, n + 1):
-            options = ending.get(end, [])
-            for a, p in options:
-                s = best[a] + score[p]
+            for a, p, score in ending[end]:
+                s = best[a] + score
                 if s > best[end]:
                     best[end], back[end] = s, (a, p)
-            if not single[end - 1]:
-                s = best[end - 1] + self.unknown_score
-                if s > best[end]:
-                    best[end], back[end] = s, (end - 1, -1)
         end = n
         while end:
             a, p = back[end]
@@ -315,6 +358,56 @@ class Model:
             ids_.extend([p] if p >= 0 else self._fallback(word[a]))
         return ids_
 
+    def expected(self, words: list[str], counts: list[int]) -> np.ndarray:
+        """For every piece, how often it is expected in the words, each ``counts``
+        times, over all their segmentations by probability; in parts of ``PART``."""
+        out = np.zeros(len(self.pieces), np.int64)
+        short = [i for i, w in enumerate(words) if 0 < len(w) <= LONG_WORD]
+        for i, w in enumerate(words):
+            if len(w) > LONG_WORD:
+                pieces, share = self._expected_one(w)
+                np.add.at(out, pieces, np.rint(share * PART).astype(np.int64) * counts[i])
+        if short:
+            times = np.array([counts[i] for i in short], np.int64)
+            _, length, start, node, (src, ids, size, weight), groups = self._lattice([words[i] for i in short])
+            number = np.arange(len(short))
+            ahead = np.full(int(length.sum()) + len(short), -np.inf)
+            behind = ahead.copy()
+            ahead[start + number] = behind[start + length + number] = 0.0
+            a = node[src]
+            b = a + size
+            for i, j in groups:
+                ahead[b[i:j]] = np.logaddexp(ahead[b[i:j]], ahead[a[i:j]] + weight[i:j])
+            for i, j in reversed(groups):
+                behind[a[i:j]] = np.logaddexp(behind[a[i:j]], behind[b[i:j]] + weight[i:j])
+            word = a - src
+            share = np.exp(ahead[a] + weight + behind[b] - behind[start + number][word])
+            real = ids >= 0
+            np.add.at(out, ids[real], np.rint(share[real] * PART).astype(np.int64) * times[word[real]])
+        return out
+
+    def _expected_one(self, word: str) -> tuple[np.ndarray, np.ndarray]:
+        """(pieces, expected occurrences) of one long word, in time in proportion to its length."""
+        ending = self._endings(word)
+        n = len(ending) - 1
+        ahead, behind = [0.0] * (n + 1), [-math.inf] * n + [0.0]
+        for end in range(1, n + 1):
+            totals = [ahead[a] + s for a, _, s in ending[end]]
+            top = max(totals, default=-math.inf)
+            ahead[end] = top + math.log(sum(math.exp(t - top) for t in totals)) if top > -math.inf else top
+        pieces, share = [], []
+        for end in range(n, 0, -1):
+            rest = behind[end]
+            if rest == -math.inf:
+                continue
+            for a, p, s in ending[end]:
+                t, old = rest + s, behind[a]
+                behind[a] = max(t, old) + math.log1p(math.exp(-abs(t - old)))
+                if p >= 0:
+                    pieces.append(p)
+                    share.append(math.exp(ahead[a] + t - ahead[n]))
+        return np.array(pieces, np.int64), np.array(share, np.float64)
+
     def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets of the texts).  A word is segmented once as
         long as it is among the ``REMEMBERED`` words kept from earlier texts."""
@@ -355,17 +448,85 @@ class Model:
         return (text[1:] if text[:1] == b" " else text).decode("utf-8", "replace")
 
 
-def encode(spark: SparkSession, docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def unigram_model(spark: SparkSession, docs: DataFrame, model_file: str, text_col: str = "text", rounds: int = ROUNDS) -> bytes:
+    """The file's model if it is a unigram one.  Otherwise a unigram model of its
+    vocabulary (pieces, types and ids are kept), whose log scores ``rounds`` rounds
+    of EM give to ``docs``: every distinct word of all texts counts as often as it
+    occurs, with all its segmentations by probability.
+
+    The first round's scores are equal.  Each piece counts half an occurrence more
+    than expected, so that those that ``docs`` do not hold can still be used.  The
+    words are counted and their pieces summed in Spark; the driver gets one number
+    for each piece.  The scores do not depend on the partitioning.
+    """
+    with open(model_file, "rb") as f:
+        data = f.read()
+    if model_type(data) == UNIGRAM:
+        return data
+    pieces = [(p, 0.0, kind) for p, _, kind in read_pieces(data)]
+    data = write_model(pieces)
+    first = spark.sparkContext.broadcast(data)
+
+    def count(batches):
+        model, seen = _model(first.value), Counter()
+        for batch in batches:
+            for text in batch.column(0):
+                seen.update(model.words(text.as_py() or ""))
+                if len(seen) > REMEMBERED:
+                    yield from _counted(seen)
+                    seen.clear()
+        yield from _counted(seen)
+
+    words = (docs.select(F.col(text_col).cast("string").alias("t")).mapInArrow(count, "word string, n long")
+             .groupBy("word").agg(F.sum("n").alias("n")))
+    words = stored(spark, words, "words")
+    usable = [i for i, (p, _, kind) in enumerate(pieces) if kind in (NORMAL, USER) and p]
+    for _ in range(rounds):
+        rows = words.mapInArrow(_expecting(spark.sparkContext.broadcast(data)), "piece int, n long").groupBy("piece").agg(F.sum("n").alias("n")).collect()
+        seen = {r["piece"]: r["n"] for r in rows}
+        total = sum(seen.values()) + len(usable) * PART // 2
+        for i in usable:
+            pieces[i] = (pieces[i][0], math.log((seen.get(i, 0) + PART // 2) / total), pieces[i][2])
+        data = write_model(pieces)
+    return data
+
+
+def _counted(seen: Counter):
+    words = list(seen)
+    for i in range(0, len(words), 20_000):
+        part = words[i:i + 20_000]
+        yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([seen[w] for w in part], pa.int64())], ["word", "n"])
+
+
+def _expecting(shared):
+    def run(batches):
+        model = _model(shared.value)
+        total = np.zeros(len(model.pieces), np.int64)
+        for batch in batches:
+            total += model.expected(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+        held = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array(total[held], pa.int64())], ["piece", "n"])
+    return run
+
+
+def _bytes(model: str | bytes) -> bytes:
+    """A model's bytes, or those of the file of that path."""
+    if isinstance(model, bytes):
+        return model
+    with open(model, "rb") as f:
+        return f.read()
+
+
+def encode(spark: SparkSession, docs: DataFrame, model: str | bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, tokens array<int>``, one row per input row, white space and all
     other characters kept as they are (no normalisation; a marker in the text is
     read as a space).
 
-    Null or empty text: no tokens.  The driver reads ``model_file`` and broadcasts
-    it: its size is that of the vocabulary.  Repeated rows each give a row; an
+    Null or empty text: no tokens.  The driver reads ``model``, if it is a path, and
+    broadcasts it: its size is that of the vocabulary.  Repeated rows each give a row; an
     empty table gives no rows; other columns are ignored.
     """
-    with open(model_file, "rb") as f:
-        shared = spark.sparkContext.broadcast(f.read())
+    shared = spark.sparkContext.broadcast(_bytes(model))
 
     def run(batches):
         model = _model(shared.value)
@@ -379,10 +540,9 @@ def encode(spark: SparkSession, docs: DataFrame, model_file: str, id_col: str =
             .mapInArrow(run, "id long, tokens array<int>").withColumnRenamed("id", id_col))
 
 
-def decode(spark: SparkSession, tokens: DataFrame, model_file: str, id_col: str = "doc_id", tokens_col: str = "tokens") -> DataFrame:
+def decode(spark: SparkSession, tokens: DataFrame, model: str | bytes, id_col: str = "doc_id", tokens_col: str = "tokens") -> DataFrame:
     """``id_col, text`` for ``tokens_col array<int>``; null tokens give an empty text."""
-    with open(model_file, "rb") as f:
-        shared = spark.sparkContext.broadcast(f.read())
+    shared = spark.sparkContext.broadcast(_bytes(model))
 
     def run(batches):
         model = _model(shared.value)
@@ -394,11 +554,10 @@ def decode(spark: SparkSession, tokens: DataFrame, model_file: str, id_col: str
             .mapInArrow(run, "id long, t string").select(F.col("id").alias(id_col), F.col("t").alias("text")))
 
 
-def roundtrip(spark: SparkSession, docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def roundtrip(spark: SparkSession, docs: DataFrame, model: str | bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode and decode each text in one pass: ``id_col, tokens, n_bytes`` (byte
     pieces among the tokens) and ``same``: the decoded text is the text."""
-    with open(model_file, "rb") as f:
-        shared = spark.sparkContext.broadcast(f.read())
+    shared = spark.sparkContext.broadcast(_bytes(model))
 
     def run(batches):
         model = _model(shared.value)
@@ -417,6 +576,16 @@ def roundtrip(spark: SparkSession, docs: DataFrame, model_file: str, id_col: str
 
 
 _MODELS: dict[int, Model] = {}
+_TRIES: dict[int, Trie] = {}
+
+
+def _trie(pieces: list[tuple[str, int]]) -> Trie:
+    """One trie per worker process; models that differ in their scores share it."""
+    key = hash(tuple(pieces))
+    if key not in _TRIES:
+        _TRIES.clear()
+        _TRIES[key] = Trie(pieces)
+    return _TRIES[key]
 
 
 def _model(data: bytes) -> Model:
@@ -430,7 +599,6 @@ def _model(data: bytes) -> Model:
 
 def _pieces(batch):
     """Row ranges of a batch with about ``BATCH_CHARS`` of text, and their texts."""
-    from tessera.llm.common import row_pieces, utf8
     _, offsets = utf8(batch.column(1))
     for i, j in row_pieces(np.diff(offsets), BATCH_CHARS):
         piece = batch.slice(i, j - i)

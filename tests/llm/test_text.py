@@ -80,6 +80,69 @@ def test_encode_and_decode_tables(spark, tmp_path):
     assert sentencepiece.encode(spark, df.limit(0), path).count() == 0
 
 
+def all_segmentations(word, table):
+    """Every list of pieces that makes up the word."""
+    if not word:
+        return [[]]
+    return [[word[:n], *rest] for n in range(1, len(word) + 1) if word[:n] in table for rest in all_segmentations(word[n:], table)]
+
+
+def bpe_file(tmp_path):
+    """A file of type BPE: its scores are merge ranks, in an order that misleads a sum of them."""
+    rng = random.Random(12)
+    texts = sorted({"".join(rng.choice("abc") for _ in range(rng.randint(2, 4))) for _ in range(14)})
+    pieces = BYTES + [(t, -float(k), 1) for k, t in enumerate([*texts, "\u2581", "\u2581ab", "a", "b", "c"])]
+    path = str(tmp_path / "bpe.model")
+    with open(path, "wb") as f:
+        f.write(model_bytes(pieces) + b"\x12\x02\x18\x02")
+    return path, pieces
+
+
+def test_merge_ranks_are_no_log_scores(spark, tmp_path):
+    """Files of another type are rejected; their vocabulary gets the scores of EM over all words."""
+    path, pieces = bpe_file(tmp_path)
+    rng = random.Random(13)
+    texts = [" ".join("".join(rng.choice("aabc") for _ in range(rng.randint(1, 9))) for _ in range(rng.randint(0, 12))) for _ in range(80)] + ["", None, "a  b", "c" * 70]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(5)
+    with pytest.raises(ValueError):
+        sentencepiece.Model(open(path, "rb").read())
+    trained = sentencepiece.unigram_model(spark, df, path, rounds=2)
+    model = sentencepiece.Model(trained)
+    assert model.pieces == [p for p, _, _ in pieces]
+
+    table = {p: 0.0 for p, _, kind in pieces if kind == 1}
+    words = [w for t in texts for w in model.words(t or "") if len(w) < 60]
+    for _ in range(2):
+        seen = dict.fromkeys(table, 0.5)
+        for w in words:
+            paths = [(p, np.exp(sum(table[x] for x in p))) for p in all_segmentations(w, table)]
+            for p, weight in paths:
+                for x in p:
+                    seen[x] += weight / sum(v for _, v in paths)
+        # The long word alone: its only pieces are runs of c and the marker.
+        word = "\u2581" + "c" * 70
+        runs = [p for p in table if set(p) == {"c"}]
+        ahead, behind = [1.0] + [0.0] * 70, [0.0] * 70 + [1.0]
+        for k in range(1, 71):
+            ahead[k] = sum(ahead[k - len(p)] * np.exp(table[p]) for p in runs if len(p) <= k)
+        for k in range(69, -1, -1):
+            behind[k] = sum(behind[k + len(p)] * np.exp(table[p]) for p in runs if len(p) <= 70 - k)
+        for p in runs:
+            seen[p] += sum(ahead[k] * np.exp(table[p]) * behind[k + len(p)] for k in range(71 - len(p))) / ahead[70]
+        seen["\u2581"] += 1
+        table = {p: np.log(n / sum(seen.values())) for p, n in seen.items()}
+    for p, s in table.items():
+        assert model.score[model.pieces.index(p)] == pytest.approx(s, abs=1e-4), p
+    assert sentencepiece.unigram_model(spark, df.coalesce(1), path, rounds=2) == trained
+    assert all(r.same for r in sentencepiece.roundtrip(spark, df, trained).collect())
+    # A unigram file keeps its own scores; without documents all pieces score alike.
+    unigram = str(tmp_path / "u.model")
+    with open(unigram, "wb") as f:
+        f.write(trained)
+    assert sentencepiece.unigram_model(spark, df, unigram) == trained
+    assert len(set(sentencepiece.Model(sentencepiece.unigram_model(spark, df.limit(0), path)).score[258:])) == 1
+
+
 # -- toxicity ------------------------------------------------------------------
 
 def labelled(n, seed=2):
