@@ -1,17 +1,15 @@
 """Benchmark passages in documents, found up to an edit distance.
 
 The CGK random walk copies words of a sequence to the steps of a walk, staying on
-a word or going on by a random bit of the word and the step, so that sequences of
-small edit distance agree on most steps.  Each repetition samples a few steps
-(bit-sampling LSH) of the walk over the item's words from some place on, and of
-the walk from every word of every document; windows that agree on all sampled
-steps are verified by their exact edit distance.
+a word or going on by a random bit of the word and the step.  Some edits leave a
+run of the item's words whole, and a walk of as many steps as that run has words
+cannot leave it.  So short walks start at every word of the item, and at every word
+of every document; where all samples of a few walks agree (bit-sampling LSH), the
+window is verified by its exact edit distance.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -19,88 +17,74 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import PUNCT_TABLE, mix, row_pieces, utf8, word_hashes, word_spans
 
-WALKS = (16, 8, 4, 2, 1)     # steps of a walk, by the greatest that the item's words allow
-SAMPLES = 4                  # sampled steps, the first among them
+WALKS = 3                    # walks from a word, all of whose steps are sampled into one key
 TOLERANCE = 0.2              # edits for each word of the item
-RECALL = 0.97                # target at that tolerance
+RECALL = 1.0                 # least share of the passages within the tolerance that are found
 INDEX_BYTES = 32 << 20       # benchmark text searched for in one pass
 BATCH_BYTES = 1 << 19        # text searched together: its arrays stay in the processor's cache
 
 
-def repetitions(steps: int, tolerance: float = TOLERANCE, recall: float = RECALL) -> int:
-    """A walk passes about half as many words as it has steps; where these are
-    intact, all samples agree."""
-    intact = (1 - tolerance) ** (steps / 2)
-    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - intact))) if intact < 1 else 1
-
-
-def _plan(steps: int, rep: int) -> np.ndarray:
-    """Sampled steps of a repetition, ascending; 0 is always one of them."""
-    rng = np.random.default_rng(1000 * steps + rep)
-    more = rng.choice(np.arange(1, steps), min(SAMPLES, steps) - 1, replace=False) if steps > 1 else np.zeros(0, np.int64)
-    return np.concatenate([[0], np.sort(more)]).astype(np.int64)
-
-
-def _spread(rep: int) -> float:
-    """Van der Corput sequence: where in the item a repetition starts."""
-    x, base = 0.0, 0.5
-    while rep:
-        x, rep, base = x + base * (rep & 1), rep >> 1, base / 2
-    return x
-
-
-def _walk(words: np.ndarray, at: np.ndarray, plan: np.ndarray, seed: np.uint64, pass_filter=None):
-    """(survivors, keys): the walk from each position, its key over the sampled
-    steps.  ``pass_filter(k, keys)`` tells after each sample which keys can still be found."""
-    alive, pointer, key, step = np.arange(len(at)), at.copy(), np.full(len(at), seed, np.uint64), 0
-    for k, sample in enumerate(plan.tolist()):
-        while step < sample:
-            bit = (mix(words[pointer] ^ seed) >> np.uint64(step)) & np.uint64(1)
-            pointer = pointer + bit.astype(np.int64)
-            step += 1
-        key = mix(key ^ words[pointer])
-        if pass_filter is not None:
-            ok = pass_filter(k, key)
-            alive, pointer, key = alive[ok], pointer[ok], key[ok]
+def whole_run(words: int, tolerance: float = TOLERANCE) -> int:
+    """Words of an item that stay together under any edits within the tolerance:
+    ``most`` edits part the other words into ``most + 1`` runs."""
+    most = int(words * tolerance)
+    return -(-(words - most) // (most + 1))
+
+
+def _seeds(steps: int) -> np.ndarray:
+    return mix(np.arange(1, WALKS + 1, dtype=np.uint64) + np.uint64(steps * 4096))
+
+
+def _walk(words: np.ndarray, at: np.ndarray, steps: int, pass_filter=None):
+    """(survivors, keys): the walks from each position and their key over all steps.
+    ``pass_filter(k, keys)`` tells after each sample which keys can still be found."""
+    alive, key, k = np.arange(len(at)), np.full(len(at), steps, np.uint64), 0
+    for walk, seed in enumerate(_seeds(steps)):
+        pointer = at[alive]
+        for step in range(steps):
+            if step:
+                bit = (mix(words[pointer] ^ seed) >> np.uint64(step)) & np.uint64(1)
+                pointer = pointer + bit.astype(np.int64)
+            elif walk:
+                continue             # every walk starts on the same word
+            key = mix(key ^ words[pointer])
+            if pass_filter is not None:
+                ok = pass_filter(k, key)
+                alive, pointer, key = alive[ok], pointer[ok], key[ok]
+            k += 1
     return alive, key
 
 
 class Index:
-    """Keys of the items for every repetition, made from ``(id, text)`` items."""
+    """Keys of the walks from all words of the items, made from ``(id, text)`` items."""
 
-    def __init__(self, items: list[tuple[int, str]], tolerance: float = TOLERANCE, recall: float = RECALL):
+    def __init__(self, items: list[tuple[int, str]], tolerance: float = TOLERANCE):
         self.tolerance = tolerance
         data, offsets = utf8(pa.array([t for _, t in items], pa.string()))
         starts, ends, bounds = word_spans(data, offsets, PUNCT_TABLE)
         hashes = word_hashes(data, starts, ends)
-        self.items = [(i, hashes[a:b]) for (i, _), a, b in zip(items, bounds[:-1], bounds[1:]) if b > a]
-        pad = np.zeros(max(WALKS) + 1, np.uint64)
-        # Bits of a key in the maps that drop windows early: some 256 places for each item.
-        self.shift = np.uint64(64 - min(24, max(16, len(self.items).bit_length() + 8)))
+        kept = [(i, a, b) for (i, _), a, b in zip(items, bounds[:-1].tolist(), bounds[1:].tolist()) if b > a]
+        self.items = [(i, hashes[a:b]) for i, a, b in kept]
+        runs = np.array([whole_run(b - a, tolerance) for _, a, b in kept], np.int64)
         self.passes, self._tables = [], None
-        for steps in WALKS:
-            own = [k for k, (_, w) in enumerate(self.items) if steps == next(s for s in WALKS if s <= len(w))]
-            for rep in range(repetitions(steps, tolerance, recall) if own else 0):
-                plan, seed = _plan(steps, rep), mix(np.array([steps * 4096 + rep + 1], np.uint64))[0]
-                keys, whose, offset = [], [], []
-                for k in own:
-                    w = self.items[k][1]
-                    at = int((len(w) - steps) * _spread(rep) + 0.5)
-                    _, key = _walk(np.concatenate([w, pad]), np.array([at]), plan, seed)
-                    keys.append(key[0])
-                    whose.append(k)
-                    offset.append(at)
-                # The first words, and what the keys are after each further sample, as bit maps.
-                maps = []
-                for n in range(1, len(plan) + 1):
-                    bits = np.zeros(1 << int(64 - self.shift), bool)
-                    for k, at in zip(whose, offset):
-                        w = self.items[k][1]
-                        key = w[at:at + 1] if n == 1 else _walk(np.concatenate([w, pad]), np.array([at]), plan[:n], seed)[1]
-                        bits[key >> self.shift] = True
-                    maps.append(np.packbits(bits))
-                order = np.argsort(np.array(keys, np.uint64), kind="stable")
-                self.passes.append((plan, seed, np.array(keys, np.uint64)[order], np.array(whose)[order], np.array(offset)[order], maps))
+        for steps in np.unique(runs).tolist():
+            own = np.flatnonzero(runs == steps)
+            count = np.array([kept[k][2] - kept[k][1] - steps + 1 for k in own], np.int64)
+            offset = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+            at = offset + np.repeat(np.array([kept[k][1] for k in own], np.int64), count)
+            # Bits of a key in the maps that drop windows early: some 64 places for each key.
+            shift = np.uint64(64 - min(24, max(16, len(at).bit_length() + 6)))
+            maps = []
+
+            def note(_, keys, shift=shift, maps=maps):
+                bits = np.zeros(1 << int(64 - shift), bool)
+                bits[keys >> shift] = True
+                maps.append(np.packbits(bits))
+                return slice(None)
+
+            _, keys = _walk(hashes, at, steps, note)
+            order = np.argsort(keys, kind="stable")
+            self.passes.append((steps, shift, keys[order], np.repeat(own, count)[order].astype(np.int32), offset[order].astype(np.int32), maps))
 
     def search(self, words: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """(row, item, distance, first word, end word) of every passage within the
@@ -108,14 +92,13 @@ class Index:
         passages of one item that overlap, the one of least distance."""
         if not len(words) or not self.items:
             return []
-        padded = np.concatenate([words, np.zeros(max(WALKS) + 1, np.uint64)])
+        padded = np.concatenate([words, np.zeros(max(p[0] for p in self.passes) + 1, np.uint64)])
         starts = []
         if self._tables is None:
             self._tables = [[np.unpackbits(m).view(bool) for m in p[-1]] for p in self.passes]
-        top = (words >> self.shift).astype(np.int32)
-        for (plan, seed, keys, whose, offset, _), tables in zip(self.passes, self._tables):
-            at = np.flatnonzero(tables[0][top])
-            alive, key = _walk(padded, at, plan, seed, lambda k, x, t=tables: t[k][x >> self.shift] if k else slice(None))
+        for (steps, shift, keys, whose, offset, _), tables in zip(self.passes, self._tables):
+            at = np.arange(len(words))
+            alive, key = _walk(padded, at, steps, lambda k, x, t=tables, s=shift: t[k][x >> s])
             at = at[alive]
             lo, hi = np.searchsorted(keys, key, "left"), np.searchsorted(keys, key, "right")
             n = hi - lo
@@ -183,30 +166,33 @@ def _last_row(item: np.ndarray, text: np.ndarray, anchored: bool = False) -> np.
 
 
 def find_passages(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  item_col: str = "item_id", item_text_col: str = "text", tolerance: float = TOLERANCE, recall: float = RECALL) -> DataFrame:
+                  item_col: str = "item_id", item_text_col: str = "text", tolerance: float = TOLERANCE, row_col: str | None = None) -> DataFrame:
     """``id_col, item_col, distance, first_word, n_words``: the passages of every
     whole text that are within ``tolerance`` word edits per item word of an item.
 
-    Words are runs of letters and digits, A-Z lower-cased.  A passage whose words
-    equal the item's is always found; others are found with the target recall.
+    Words are runs of letters and digits, A-Z lower-cased.  Every passage within the
+    tolerance (below one) is found, or one of no greater distance that overlaps it.
     Items without words (null, empty) are never found; null or empty texts hold
     nothing; items of equal text are all reported.  Repeated rows each give their
-    rows; empty tables give none; other columns are ignored.
+    rows; empty tables give none; other columns are ignored, but a long ``row_col``,
+    if named, is passed on.
 
     The benchmark, a curated set, is read in passes of ``INDEX_BYTES`` of its text;
     each pass broadcasts an index of that bounded size and reads the documents once.
     """
     rows = benchmark.select(F.col(item_col).cast("long"), F.col(item_text_col).cast("string")).filter(F.col(item_text_col).isNotNull())
-    base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
-    schema = "id long, item long, distance int, first_word int, n_words int"
+    base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"),
+                       *([F.col(row_col).cast("long").alias("row")] if row_col else []))
+    schema = "id long, item long, distance int, first_word int, n_words int" + (", row long" if row_col else "")
     out = None
     for block in _item_blocks(rows):
-        shared = spark.sparkContext.broadcast(Index(block, tolerance, recall))
+        shared = spark.sparkContext.broadcast(Index(block, tolerance))
         part = base.mapInArrow(_searcher(shared), schema)
         out = part if out is None else out.unionByName(part)
     if out is None:
         out = spark.createDataFrame([], schema)
-    return out.withColumnRenamed("id", id_col).withColumnRenamed("item", item_col)
+    out = out.withColumnRenamed("id", id_col).withColumnRenamed("item", item_col)
+    return out.withColumnRenamed("row", row_col) if row_col else out
 
 
 def _item_blocks(rows: DataFrame):
@@ -231,9 +217,9 @@ def _searcher(shared):
                 part = data[offsets[i]:offsets[j]]
                 starts, ends, bounds = word_spans(part, offsets[i:j + 1] - offsets[i], PUNCT_TABLE)
                 hits = index.search(word_hashes(part, starts, ends), bounds)
-                ids = batch.column(0).slice(i, j - i).to_pylist()
+                columns = [pa.array([h[k] for h in hits], pa.int32()) for k in (2, 3)] + [pa.array([h[4] - h[3] for h in hits], pa.int32())]
+                passed = [c.slice(i, j - i).take(pa.array([h[0] for h in hits], pa.int64())) for c in [batch.column(0), *batch.columns[2:]]]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([ids[h[0]] for h in hits], pa.int64()), pa.array([h[1] for h in hits], pa.int64()),
-                     pa.array([h[2] for h in hits], pa.int32()), pa.array([h[3] for h in hits], pa.int32()),
-                     pa.array([h[4] - h[3] for h in hits], pa.int32())], ["id", "item", "distance", "first_word", "n_words"])
+                    [passed[0], pa.array([h[1] for h in hits], pa.int64()), *columns, *passed[1:]],
+                    ["id", "item", "distance", "first_word", "n_words", "row"][:5 + len(passed) - 1])
     return run

@@ -6,9 +6,11 @@ import re
 import struct
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tessera.llm import decontam, pii, sentencepiece, toxicity
+from tessera.llm.common import PUNCT_TABLE, utf8, word_hashes, word_spans
 
 # -- SentencePiece -------------------------------------------------------------
 
@@ -230,6 +232,25 @@ def test_passages_against_all_alignments(spark):
     assert decontam.find_passages(spark, df, bench.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n", range(5, 41))
+def test_every_passage_at_full_tolerance_is_found(n):
+    rng = random.Random(n)
+    items = [(k, " ".join("w%d" % rng.randrange(3000) for _ in range(n))) for k in range(12)]
+    index = decontam.Index(items)
+    rows = []
+    for k, item in items * 6:
+        words = item.split()
+        for at in sorted(rng.sample(range(n), int(n * decontam.TOLERANCE)), reverse=True):
+            words[at:at + 1] = rng.choice([["zz"], [], ["zz", words[at]]])
+        rows.append((k, ["a%d" % rng.randrange(50) for _ in range(9)] + words + ["b%d" % rng.randrange(50) for _ in range(9)]))
+    rows.append((0, ["\u201c" + items[0][1].split()[0], *items[0][1].split()[1:]]))
+    data, offsets = utf8(pa.array([" ".join(w) for _, w in rows]))
+    starts, ends, bounds = word_spans(data, offsets, PUNCT_TABLE)
+    got = {(row, item): distance for row, item, distance, _, _ in index.search(word_hashes(data, starts, ends), bounds)}
+    for row, (k, words) in enumerate(rows):
+        assert got[row, k] == edit_passage(items[k][1].split(), words)
+
+
 # -- PII -------------------------------------------------------------------------
 
 PLAIN = [re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
