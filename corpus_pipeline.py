@@ -37,7 +37,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     docs = docs.withColumn("__text", F.xxhash64("text"))
     marks = minhash.near_duplicates(spark, docs, row_col="__text").filter("kept")
     # A row is named by its id and text: of those of one group the least, and each that has no words.
-    named = (marks.groupBy("doc_id", "component_id", F.when(F.col("n_shingles") == 0, F.col("__text")).alias("own"))
+    named = (marks.groupBy("doc_id", "root", F.when(F.col("n_shingles") == 0, F.col("__text")).alias("own"))
              .agg(F.min("__text").alias("__text")))
     rows = marks.groupBy("doc_id", "__text").agg(F.count("*").alias("n"))
     rows = stored(spark, rows.join(named.select(F.col("doc_id").alias("i"), F.col("__text").alias("h")).distinct(),
@@ -52,10 +52,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark passage; rows of null id are judged as one."""
-    hits = decontam.find_passages(spark, docs, read(spark, sf_dir, "benchmark"))
-    hits = stored(spark, hits.select(F.col("doc_id").alias("i")).distinct(), "contaminated")
-    return docs.join(hits, F.col("doc_id").eqNullSafe(F.col("i")), "left_anti").select(*COLUMNS)
+    """Documents that hold no benchmark passage.  A row is named by its id and text,
+    so that rows of null id, or of one id, are judged each by its own text."""
+    docs = docs.withColumn("__text", F.xxhash64("text"))
+    hits = decontam.find_passages(spark, docs, read(spark, sf_dir, "benchmark"), row_col="__text")
+    hits = stored(spark, hits.select(F.col("doc_id").alias("i"), F.col("__text").alias("h")).distinct(), "contaminated")
+    return docs.join(hits, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("__text") == F.col("h")), "left_anti").select(*COLUMNS)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

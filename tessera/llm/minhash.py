@@ -137,7 +137,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     Null or empty text: ``n_shingles`` 0, linked with nothing.  A null id has a
     null ``component_id`` and is kept unless a linked row has an id.  Repeated rows each give a
     row.  An empty table gives an empty result.  Other columns are ignored, but a
-    long ``row_col``, if named, is passed on.
+    long ``row_col``, if named, is passed on, with ``root``: the hash of one set of
+    the linked group, which tells groups apart that have no id (null without words).
     """
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"),
                        (F.col(row_col) if row_col else F.lit(None)).cast("long").alias("row"))
@@ -187,10 +188,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     labels = _relabel(spark, labels, stored(spark, _linked(pairs, sets, percent), "links"))
     named = classes.join(labels, "set", "left").select("set", "least", F.coalesce("root", "set").alias("root"))
     group = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = named.join(group, "root").select("set", "component_id")
+    named = named.join(group, "root").select("set", "root", "component_id")
     return (marks.join(named, "set", "left")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"),
-                    *([F.col("row").alias(row_col)] if row_col else []))
+                    *([F.col("row").alias(row_col), "root"] if row_col else []))
             .withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id"))))
 
 
