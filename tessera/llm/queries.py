@@ -95,7 +95,8 @@ FROM d LEFT JOIN k ON k.doc_id = d.doc_id LEFT JOIN o ON o.doc_id = d.doc_id
 """)
 def op4(spark, sf_dir):
     """Documents without sentences of repeated runs."""
-    out = spans.dedup_spans(spark, read(spark, sf_dir, "documents"))
+    # The runs of the oracle SQL; those that grow to a word minimum are not in it.
+    out = spans.dedup_spans(spark, read(spark, sf_dir, "documents"), grow=None)
     return out.select("doc_id", "n_sentences", "n_removed", F.sha2(F.encode("text", "UTF-8"), 256).alias("text_sha256"),
                       F.try_element_at("sources", F.lit(1)).alias("first_source"),
                       F.coalesce(F.size("sources"), F.lit(0)).cast("long").alias("n_sources"))

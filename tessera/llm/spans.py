@@ -21,6 +21,9 @@ SENTENCE = r"[^.!?\n]*[.!?\n]+[ \t\r\n]*|[^.!?\n]+"
 # (sentences, least words) of the runs that are hashed.  Runs of fewer sentences
 # count only when they are long, so that passages of few long sentences are found.
 RUNS = ((3, 8), (2, 25), (1, 50))
+# Besides, from and up to every sentence as many as hold so many words, whatever their
+# number, so that lists of short lines and single whole sentences are found.
+GROW = 25
 _SENTENCE = re.compile(SENTENCE)
 _BLANK = re.compile(r"[\x20\x09-\x0D]+")
 
@@ -29,7 +32,27 @@ def sentences(text: str | None) -> list[str]:
     return _SENTENCE.findall(text or "")
 
 
-def runs(parts: list[str], rules=RUNS):
+def _grown(total: list[int], least: int) -> list[tuple[int, int]]:
+    """(first sentence, sentences) of the shortest runs of ``least`` words from and up
+    to every sentence with words; ``total`` counts the words before each sentence."""
+    found, n = set(), len(total) - 1
+    end = begin = 0
+    for i in range(n):
+        if total[i + 1] > total[i]:
+            while end < n and total[end] - total[i] < least:
+                end += 1
+            if total[end] - total[i] >= least:
+                found.add((i, end - i))
+    for end in range(1, n + 1):
+        if total[end] > total[end - 1]:
+            while total[end] - total[begin + 1] >= least:
+                begin += 1
+            if total[end] - total[begin] >= least:
+                found.add((begin, end - begin))
+    return sorted(found)
+
+
+def runs(parts: list[str], rules=RUNS, grow: int | None = GROW):
     """(first sentence, sentences, 128-bit hash) of every run; white space within it does not matter."""
     words = [[w for w in _BLANK.split(p) if w] for p in parts]
     plain = [" ".join(w).encode("utf-8", "surrogatepass") for w in words]
@@ -40,9 +63,13 @@ def runs(parts: list[str], rules=RUNS):
         for i in range(len(parts) - n + 1):
             if total[i + n] - total[i] >= least:
                 yield i, n, xxhash.xxh3_128_digest(b"\n".join(plain[i:i + n]))
+    hashed = dict(rules)
+    for i, n in _grown(total, grow) if grow else ():
+        if n not in hashed or total[i + n] - total[i] < hashed[n]:
+            yield i, n, xxhash.xxh3_128_digest(b"\n".join(plain[i:i + n]))
 
 
-def _spans(rules):
+def _spans(rules, grow):
     def run(batches):
         for batch in batches:
             ids = batch.column(0).to_pylist()
@@ -56,7 +83,7 @@ def _spans(rules):
                 return made
 
             for ident, text in zip(ids, batch.column(1)):
-                for i, n, h in runs(sentences(text.as_py()), rules):
+                for i, n, h in runs(sentences(text.as_py()), rules, grow):
                     for column, value in zip(out, (ident, i, n, h)):
                         column.append(value)
                 if len(out[0]) > 20_000:
@@ -80,7 +107,8 @@ def _cut(batches):
                                          ["id", "n_sentences", "n_removed", "text", "sources"])
 
 
-def dedup_spans(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules=RUNS) -> DataFrame:
+def dedup_spans(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules=RUNS,
+                grow: int | None = GROW) -> DataFrame:
     """``id_col, n_sentences, n_removed, text, sources``, one row per input row:
     the text without the sentences that a repeated run covers, and the ids of the
     documents that hold those runs first (its own id where a text repeats itself).
@@ -88,11 +116,11 @@ def dedup_spans(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
     The first of equal runs is that of the least (id, position), a null id before
     all others; it stays.  Rows of one id count as one document.  Null or empty
     texts have no sentences; an empty table gives no rows; other columns are
-    ignored.  A run of any number of occurrences costs a partial minimum and a
+    ignored.  Without ``grow`` only the runs of ``rules`` count.  A run of any number of occurrences costs a partial minimum and a
     join that the planner can split; no group is gathered.
     """
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
-    spans = base.mapInArrow(_spans(rules), "id long, at int, n int, hash binary")
+    spans = base.mapInArrow(_spans(rules, grow), "id long, at int, n int, hash binary")
     again = (spans.groupBy("hash").agg(F.min(F.struct("id", "at")).alias("first"), F.max(F.struct("id", "at")).alias("last"))
              .filter("first <> last"))
     again = stored(spark, again.select("hash", "first"), "repeated")

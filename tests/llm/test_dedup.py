@@ -156,3 +156,28 @@ def test_long_passage_of_few_sentences_is_found(spark):
     got = {r.doc_id: r for r in spans.dedup_spans(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[1].n_removed == 0 and "word5 " not in got[2].text and "Another start" in got[2].text
     assert got[2].sources == [1]
+
+
+def test_lists_and_single_sentences_are_found(spark):
+    """Passages of one-word lines and of one whole sentence below the fixed minima."""
+    lines = "".join("item%d\n" % i for i in range(60))
+    whole = " ".join("word%d" % i for i in range(33)) + ". "
+    rows = [(1, "Own start here.\n" + lines + "Own end."), (2, "Other start there.\n" + lines + "Other end."),
+            (3, "Third start. " + whole + "Third end."), (4, "Fourth start. " + whole + "Fourth end."), (5, "Few. . . . . words\n" * 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in spans.dedup_spans(spark, df).collect()}
+    assert got == {1: rows[0][1], 2: "Other start there.\nOther end.", 3: rows[2][1], 4: "Fourth start. Fourth end.", 5: rows[4][1]}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_runs_grow_to_the_word_minimum(seed):
+    rng = random.Random(seed)
+    parts = [" ".join(["w"] * rng.choice([0, 1, 1, 2, 5, 30])) + "." for _ in range(80)]
+    size = [0 if p == "." else len(p.split()) for p in parts]
+    want = set()
+    for i in range(80):
+        if size[i]:
+            want |= {(i, n) for n in [next((n for n in range(1, 81 - i) if sum(size[i:i + n]) >= 25), 0)] if n}
+            want |= {(i + 1 - n, n) for n in [next((n for n in range(1, i + 2) if sum(size[i + 1 - n:i + 1]) >= 25), 0)] if n}
+    total = [sum(size[:i]) for i in range(81)]
+    assert set(spans._grown(total, 25)) == want
