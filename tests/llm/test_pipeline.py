@@ -1,4 +1,4 @@
-"""The pipeline's stages against brute force."""
+"""The near-duplicate and contamination stages of the pipeline, row by row."""
 
 import random
 
