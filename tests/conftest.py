@@ -8,9 +8,6 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-SF001 = "/root/testdata/sf0.001"
-SF01 = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -24,11 +21,3 @@ def spark():
 @pytest.fixture()
 def tmpdir_path():
     return tempfile.mkdtemp(prefix="tessera-test-")
-
-
-def write_files(root: str, files: dict[str, bytes | str]) -> None:
-    for name, content in files.items():
-        path = os.path.join(root, name)
-        os.makedirs(os.path.dirname(path), exist_ok=True)
-        with open(path, "wb") as f:
-            f.write(content.encode("utf-8") if isinstance(content, str) else content)

@@ -2,7 +2,7 @@
 edge cases of SURVEY §2.12, checked against goldens read off the reference
 code (FIXTURES.md)."""
 
-from conftest import write_files
+from helpers import write_files
 
 from pyspark.sql import functions as F
 

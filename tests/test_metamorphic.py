@@ -4,7 +4,7 @@ notification batch leaves the latest metadata view unchanged."""
 
 from pyspark.sql import functions as F
 
-from conftest import SF001, write_files
+from helpers import SF001, write_files
 from tessera.operators import profile as P
 from tessera.plans.registry import dirty_cells
 from tessera.session import qualify, shared_dir

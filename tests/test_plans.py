@@ -1,7 +1,7 @@
 """Physical-plan properties the scale design relies on (checked on the plan
 Spark builds before adaptive re-planning)."""
 
-from conftest import SF01
+from helpers import SF01
 
 from tessera.operators import profile as P
 from tessera.operators import ranking as K
