@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontam, fingerprint, htmlcut, minhash, pii, sentencepiece, spans, toxicity, urlrules, warc
+from tessera.llm import decontam, fingerprint, htmlcut, minhash, periodic, pii, sentencepiece, spans, toxicity, urlrules, warc
 from tessera.llm.common import read
 
 # Vocabulary file of a public tokenizer; any SentencePiece model file can be named.
@@ -133,3 +133,18 @@ def op8(spark, sf_dir):
 def op6(spark, sf_dir):
     """Main text of every page."""
     return htmlcut.extract(spark, read(spark, sf_dir, "pages"))
+
+
+@query("op11_periodic_runs")
+def op11(spark, sf_dir):
+    """Periodic runs of words of every document, one in ten of them made periodic."""
+    out = periodic.find_runs(periodic.with_period(read(spark, sf_dir, "documents")))
+    best = periodic.longest_lived(F.col("runs"))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]), F.lit("\n"))), "")
+    out = out.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"),
+                     F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+                     F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+    return out.select("doc_id", "n_runs", "best.start", "best.length", "best.period",
+                      F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+                      "runs_sha256", "collapsed_sha256")
