@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontam, fingerprint, htmlcut, minhash, periodic, pii, sentencepiece, spans, toxicity, urlrules, warc
+from tessera.llm import decontam, fingerprint, htmlcut, minhash, negatives, periodic, pii, secretscan, sentencepiece, spans, toxicity, urlrules, warc
 from tessera.llm.common import read
 
 # Vocabulary file of a public tokenizer; any SentencePiece model file can be named.
@@ -148,3 +148,58 @@ def op11(spark, sf_dir):
     return out.select("doc_id", "n_runs", "best.start", "best.length", "best.period",
                       F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
                       "runs_sha256", "collapsed_sha256")
+
+
+def _secret_sql() -> str:
+    """Spans of every rule from the texts between its matches; one arm for each rule."""
+    arm = """SELECT doc_id, {k} AS k, '{kind}' AS kind, unnest(range(1, len(m) + 1)) AS i, m, gaps, v FROM (SELECT doc_id,
+      regexp_extract_all(t, '{p}', 0) AS m, regexp_split_to_array(t, '{p}') AS gaps, regexp_extract_all(t, '{p}', {group}) AS v FROM d)"""
+    arms = [arm.format(k=k, kind=r.kind, p=r.pattern.replace("'", "''"), group=r.group) for k, r in enumerate(secretscan.RULES)]
+    least = " ".join(f"WHEN {k} THEN {r.least}" for k, r in enumerate(secretscan.RULES))
+    base = ", ".join(str(k) for k, r in enumerate(secretscan.RULES) if r.base)
+    counts = ", ".join(f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in secretscan.RULES if r.base)
+    names = ", ".join(f"coalesce(n_{r.kind}, 0)::BIGINT AS n_{r.kind}" for r in secretscan.RULES if r.base)
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+a AS ({" UNION ALL ".join(arms)}),
+s AS (SELECT doc_id, k, kind, length(m[i]) AS n,
+        list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS b
+      FROM a WHERE length(v[i]) >= CASE k {least} END),
+g AS (SELECT doc_id, {counts},
+        string_agg(kind || ':' || b::BIGINT || ':' || (b + n)::BIGINT, ',' ORDER BY b, k) FILTER (k IN ({base})) AS base,
+        string_agg(kind || ':' || b::BIGINT || ':' || (b + n)::BIGINT, ',' ORDER BY b, k) AS spans FROM s GROUP BY doc_id)
+SELECT d.doc_id, {names}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN g USING (doc_id)"""
+
+
+@query("op13_secret_scans", _secret_sql())
+def op13(spark, sf_dir):
+    """Secrets in every document."""
+    out = secretscan.scan(spark, read(spark, sf_dir, "documents"))
+    base = [r.kind for r in secretscan.RULES if r.base]
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    counts = [F.size(F.filter("spans", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in base]
+    return out.select("doc_id", *counts, F.sha2(joined(F.filter("spans", lambda s: s["kind"].isin(base))).cast("binary"), 256).alias("base_sha256"),
+                      joined(F.col("spans")).alias("spans"))
+
+
+@query("op12_hard_negatives", """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+      FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, positive_id, row_number() OVER w AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) QUALIFY rank <= 5
+""")
+def op12(spark, sf_dir):
+    """Hard negatives of every hundredth vector."""
+    rows = read(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = negatives.quantised(rows.withColumn("label", label), "vec_id", "label", "embedding", 256)
+    return negatives.mine(spark, rows, F.col("id") % 100 == 0)
