@@ -128,7 +128,8 @@ def _packed(rows: DataFrame, with_windows: bool = False) -> DataFrame:
         ids = np.asarray(table["id"])
         data = [ids, flat("v").astype(np.int32), np.asarray(table["norm"]), flat("theta")]
         if with_windows:
-            data.append(np.asarray(table["windows"].combine_chunks().flatten().flatten()))
+            spans = table["windows"].combine_chunks().flatten()
+            data.append(np.stack([np.asarray(f) for f in spans.flatten()], axis=1))
         values = [pa.array([int(ids[0])], pa.int64()), table["label"][:1].combine_chunks(), pa.array([len(ids)], pa.int32())]
         return pa.RecordBatch.from_arrays(values + [pa.array([d.tobytes()], pa.binary()) for d in data], names=schema.fieldNames())
 

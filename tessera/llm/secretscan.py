@@ -183,12 +183,12 @@ def candidates(index: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
             out = some if out is None else F.array_intersect(out, some)
         return out
 
-    found = []
-    for rule in rules:
-        query = trigram_query(rule.pattern)
-        if query != ANY:
-            texts = F.array_distinct(F.flatten(F.array(*[term(t) for t in sorted(query, key=sorted)])))
-            found.append(F.transform(texts, lambda h, kind=rule.kind: F.struct(h.alias("h"), F.lit(kind).alias("kind"))))
+    def texts(rule: Rule, query: Query) -> Column:
+        held = F.array_distinct(F.flatten(F.array(*[term(t) for t in sorted(query, key=sorted)])))
+        return F.transform(held, lambda h: F.struct(h.alias("h"), F.lit(rule.kind).alias("kind")))
+
+    queries = [(rule, trigram_query(rule.pattern)) for rule in rules]
+    found = [texts(rule, query) for rule, query in queries if query != ANY]
     # A text's candidates are all in its block: they are put together there, without a shuffle.
     rows = block.select(F.explode(F.flatten(F.array(*found))).alias("c")) if found else block.select(
         F.lit(None).cast("struct<h:bigint,kind:string>").alias("c")).limit(0)
