@@ -163,8 +163,8 @@ def build_index(spark: SparkSession, texts: DataFrame, rules: Sequence[Rule] = R
     dealt over blocks by ``h``, so that no posting list grows with the table."""
     asked = sorted({t for rule in rules for term in trigram_query(rule.pattern) for t in term})
     held = texts.select("h", F.lower("text").alias("l"))
-    held = held.select("h", F.array_compact(F.array(*[F.when(F.contains("l", F.lit(t)), F.lit(t)) for t in asked])).alias("ts"))
-    held = held.filter(F.size("ts") > 0).select("h", F.explode("ts").alias("trigram"))
+    held = held.select("h", F.explode(F.array(*[F.when(F.contains("l", F.lit(t)), F.lit(t)) for t in asked])).alias("trigram"))
+    held = held.filter("trigram is not null")
     blocks = BLOCKS * partitions(spark)
     return (held.groupBy(F.pmod("h", F.lit(blocks)).alias("block"), "trigram")
             .agg(F.sort_array(F.collect_set("h")).alias("postings")))
@@ -218,27 +218,36 @@ def _search(rule: Rule) -> str:
     return f"{rule.pattern[:-1]}{{{rule.least},}}" if one_class and rule.pattern.endswith("+") else rule.pattern
 
 
-def _with_spans(rows: DataFrame, rule: Rule, number: int, asked: Column) -> DataFrame:
-    """Adds column ``rule.kind``: the rule's spans in ``text``.  Matches are the leftmost
-    ones that do not overlap; their positions come from the lengths of the matches and
-    of the texts between them."""
-    search = _search(rule)
-    pattern = F.lit(search)
-    here = asked & F.col("text").rlike(search)
-    k = f"_{number}"
-    rows = rows.withColumn(f"m{k}", F.when(here, F.regexp_extract_all("text", pattern, F.lit(0))))
-    rows = rows.withColumn(f"g{k}", F.when(here, F.transform(F.split("text", search, -1), F.char_length)))
-    rows = rows.withColumn(f"w{k}", F.when(here, F.transform(F.regexp_extract_all("text", pattern, F.lit(rule.group)), F.char_length)))
-    rows = rows.withColumn(f"s{k}", F.when(F.size(f"m{k}") > 0, F.zip_with(
-        F.slice(f"g{k}", F.lit(1), F.size(f"m{k}")), F.transform(f"m{k}", F.char_length), lambda g, m: F.struct(g.alias("g"), m.alias("m")))))
-    rows = rows.withColumn(f"l{k}", F.transform(f"s{k}", lambda s: (s["g"] + s["m"]).cast("long")))
-    rows = rows.withColumn(f"b{k}", F.when(F.size(f"l{k}") > 0, _sums_before(f"l{k}")))
-    spans = F.transform(F.arrays_zip(f"s{k}", f"w{k}", f"b{k}"), lambda z: F.struct(
-        (z[f"b{k}"] + z[f"s{k}"]["g"]).alias("start"), F.lit(number).alias("number"),
-        (z[f"b{k}"] + z[f"s{k}"]["g"] + z[f"s{k}"]["m"]).alias("end"), F.lit(rule.kind).alias("kind"),
-        (z[f"w{k}"] >= rule.least).alias("holds")))
-    rows = rows.withColumn(f"found{k}", F.coalesce(F.filter(spans, lambda s: s["holds"]), F.array().cast(_SPANS)))
-    return rows.drop(*[c + k for c in "mgwslb"])
+def _spans(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Adds columns ``found_<i>``: spans in ``text`` of rule i, where ``asked_<i>`` holds.
+    Matches are the leftmost ones that do not overlap; their positions come from the
+    lengths of the matches and of the texts between them."""
+    n = range(len(rules))
+
+    def hit(i: int, value: Column) -> Column:
+        return F.when(F.col(f"asked_{i}"), value)
+
+    def matches(i: int, group: int) -> Column:
+        return F.transform(F.regexp_extract_all("text", F.lit(_search(rules[i])), F.lit(group)), F.char_length)
+
+    def spans(i: int) -> Column:
+        def span(z: Column) -> Column:
+            start = z[f"b_{i}"] + z[f"s_{i}"]["g"]
+            return F.struct(start.alias("start"), F.lit(i).alias("number"), (start + z[f"s_{i}"]["m"]).alias("end"),
+                            F.lit(rules[i].kind).alias("kind"), (z[f"w_{i}"] >= rules[i].least).alias("holds"))
+        return F.filter(F.transform(F.arrays_zip(f"s_{i}", f"w_{i}", f"b_{i}"), span), lambda s: s["holds"])
+
+    # A quick test first, which most texts fail.
+    rows = rows.select("id", "text", *[(F.col(f"asked_{i}") & F.col("text").rlike(_search(rules[i]))).alias(f"asked_{i}") for i in n])
+    rows = rows.select("id", "text", *[c for i in n for c in (
+        hit(i, matches(i, 0)).alias(f"m_{i}"), hit(i, matches(i, rules[i].group)).alias(f"w_{i}"),
+        hit(i, F.transform(F.split("text", _search(rules[i]), -1), F.char_length)).alias(f"g_{i}"))])
+    rows = rows.select("*", *[F.zip_with(F.slice(f"g_{i}", F.lit(1), F.size(f"m_{i}")), f"m_{i}", lambda g, m: F.struct(
+        g.alias("g"), m.alias("m"))).alias(f"s_{i}") for i in n])
+    rows = rows.select("*", *[F.transform(f"s_{i}", lambda s: (s["g"] + s["m"]).cast("long")).alias(f"l_{i}") for i in n])
+    rows = rows.select("id", *[c for i in n for c in (
+        f"s_{i}", f"w_{i}", F.when(F.size(f"l_{i}") > 0, _sums_before(f"l_{i}")).alias(f"b_{i}"))])
+    return rows.select("id", *[F.coalesce(spans(i), F.array().cast(_SPANS)).alias(f"found_{i}") for i in n])
 
 
 _SPANS = "array<struct<start:bigint,number:int,end:bigint,kind:string,holds:boolean>>"
@@ -259,10 +268,13 @@ def scan(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
     found = found.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     rows = base.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
     rows = rows.join(found, ["h", "salt"], "left").select("id", "text", "kinds")
-    for number, rule in enumerate(rules):
-        full = trigram_query(rule.pattern) == ANY
-        rows = _with_spans(rows, rule, number, F.lit(True) if full else F.coalesce(
-            F.array_contains("kinds", F.lit(rule.kind)), F.lit(False)))
+
+    def asked(rule: Rule) -> Column:
+        if trigram_query(rule.pattern) == ANY:
+            return F.lit(True)
+        return F.coalesce(F.array_contains("kinds", F.lit(rule.kind)), F.lit(False))
+
+    rows = _spans(rows.select("id", "text", *[asked(r).alias(f"asked_{i}") for i, r in enumerate(rules)]), rules)
     spans = F.transform(F.array_sort(F.concat(*[f"found_{i}" for i in range(len(rules))])), lambda s: F.struct(
         s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
     return rows.select(F.col("id").alias(id_col), spans.alias("spans"))
