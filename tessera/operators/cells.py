@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.plans.partitioning import ensure_parallelism
@@ -38,3 +38,16 @@ def to_cells(df: DataFrame, id_cols: Sequence[str] = ("file_name", "row_no"),
     long = df.unpivot(id_cols, cells, "column", "cell")
     return long.select(*id_cols, F.col("cell.ordinal").alias("ordinal"), "column",
                        F.col("cell.value").alias("value"))
+
+
+def ordered_rows(df: DataFrame, name: str = "row_no") -> DataFrame:
+    """``df`` read from files, with a row number that follows (path, position in the
+    file).  Files are numbered in path order; their table, one thin row per file, is
+    joined only if there are several."""
+    at = F.col("_metadata.row_index")
+    if len(df.inputFiles()) <= 1:
+        return df.withColumn(name, at)
+    paths = df.select(F.col("_metadata.file_path").alias("_path")).distinct()
+    paths = paths.withColumn("_file", F.row_number().over(Window.orderBy("_path")).cast("bigint"))
+    rows = df.select("*", F.col("_metadata.file_path").alias("_path"), at.alias("_at")).join(paths, "_path")
+    return rows.withColumn(name, F.col("_file") * (1 << 40) + F.col("_at")).drop("_path", "_file", "_at")

@@ -104,14 +104,17 @@ def metric_comparison(stats: DataFrame, keys: Sequence[str] = ("level",),
                       higher_is_better: Sequence[str] = ("count",),
                       arm_a: str = "a", arm_b: str = "b") -> DataFrame:
     """J5 + P12 + P13: unpivot both arms' stat records to (keys, metric,
-    value), left join a -> b on (keys, metric), percent difference, band and
-    verdict."""
+    value), every record of arm a with that of arm b, percent difference, band and
+    verdict.  Both arms come from one pass over the records."""
     keys = list(keys)
     long = stats.select("arm", *keys, *[F.col(m).cast("double").alias(m) for m in metrics]) \
         .unpivot(["arm", *keys], list(metrics), "metric", "value")
-    a = long.where(F.col("arm") == arm_a).select(*keys, "metric", F.col("value").alias("a_value"))
-    b = long.where(F.col("arm") == arm_b).select(*keys, "metric", F.col("value").alias("b_value"))
-    j = a.join(b, [*keys, "metric"], "left")
+    def value(arm: str):
+        return F.max(F.when(F.col("arm") == arm, F.col("value")))
+
+    j = long.groupBy(*keys, "metric").agg(value(arm_a).alias("a_value"), value(arm_b).alias("b_value"),
+                                          F.bool_or(F.col("arm") == arm_a).alias("_a"))
+    j = j.where("_a").drop("_a")
     d, band = pct_diff(F.col("a_value"), F.col("b_value"))
     lower = ~F.col("metric").isin(*higher_is_better)
     j = j.select("*", d.alias("_d"), band.alias("band"), lower.alias("lower_is_better"))

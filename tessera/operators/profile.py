@@ -1,29 +1,23 @@
 """Column and file profiling over the long ``cells`` form.
 
-Plan shape (per input scan):
-
-* main branch: Project(flags, parsed values) -> partial HashAggregate ->
-  Exchange on (file, ordinal, column) -> final HashAggregate.  Partial aggregation
-  collapses each task's cells to one row per (file, column), so a file that
-  holds a third of all rows costs no more shuffle than a small one.
-* date-probe branch (N1): only date-shaped cells (a value outside the four
-  date shapes fails every format) -> WindowGroupLimit(partial, 10 per key per
-  task) -> Exchange -> WindowGroupLimit(final) -> 4 format checks on the
-  surviving <= 10 rows per (file, column).  The main branch records each
-  column's first non-shaped row, which decides whether the first 10 values
-  are all date-shaped.
-* both branches are at (file, column) grain when they are joined.
-
-Every count is exact; nothing is sampled.  The only "first 10" is the
-reference's own rule: the date type is decided on the first ten non-missing
-values of a column in row order.
+Plan shape: one scan of the cells.  Project(flags, parsed values) -> partial
+HashAggregate -> Exchange on (file, ordinal, column) -> final HashAggregate.  Partial
+aggregation collapses each task's cells to one row per (file, column), so a file that
+holds a third of all rows costs no more shuffle than a small one.
+
+The date type is decided on the first ten present values of a column in row order
+(N1, the reference's own rule).  The aggregation keeps, for each date format, the first
+row that does not fit it: where there is none the format holds, and where it is the
+first present row it does not.  Only columns that change in between, and columns whose
+integers do not fit a decimal, are looked at again, one more aggregation of their cells
+alone.  Every count is exact; nothing is sampled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.derived import iso_utc, summary_key
@@ -37,6 +31,8 @@ from tessera.functions.predicates import (
     may_be_number,
 )
 from tessera.functions.rounding import py_round
+from tessera.operators.integers import exact_integers
+from tessera.session import shared_dir
 
 DATE_PROBE_SIZE = 10  # fixed value: the reference looks at the first 10 values
 DATE_FLAG_NAMES = ["fmt_ymd_dash", "fmt_mdy_slash", "fmt_dmy_slash", "fmt_ymd_slash"]
@@ -72,100 +68,119 @@ def cell_flags(cells: DataFrame, keys: Sequence[str] = ("file_name",)) -> DataFr
     )
 
 
-def date_probe(cells: DataFrame, keys: Sequence[str] = ("file_name",)) -> DataFrame:
-    """N1 candidates: the first 10 date-shaped non-missing cells of each
-    column in row order, with the four format checks.
+FIRST_FAILURES = [f"_fail_{name}" for name in DATE_FLAG_NAMES]
 
-    Only date-shaped cells are sorted: any other value fails every format, so
-    the main aggregation just records the row of the first such value per
-    column (``first_nonshape_row``) and ``resolve_date_probe`` combines both.
-    ``row_number() <= 10`` is planned as WindowGroupLimit partial + final, so at
-    most 10 rows per (file, column) per task cross the shuffle.  Output: keys,
-    ordinal, ``probe`` = array (<= 10) of struct(row_no, fmt flags) in row order.
-    """
-    keys = list(keys)
-    w = Window.partitionBy("ordinal", *keys).orderBy("row_no")
-    first = (
-        cells.where(may_be_date("value") & F.col("value").rlike(DATE_SHAPE_ANY))
-        .select(*keys, "ordinal", "row_no", "value")
-        .withColumn("_rn", F.row_number().over(w))
-        .where(F.col("_rn") <= DATE_PROBE_SIZE)
-    )
-    entry = F.struct(F.col("row_no"), *[is_date_format("value", i).alias(name)
-                                        for i, name in enumerate(DATE_FLAG_NAMES)])
-    return first.groupBy(*keys, "ordinal").agg(F.array_sort(F.collect_list(entry)).alias("probe"))
-
-
-def _field(name: str):
-    return lambda e: e[name]
-
-
-def resolve_date_probe(prof: DataFrame) -> DataFrame:
-    """Per column: the reference's date test on its first L = min(10, present)
-    values.  They are all date-shaped iff the L-th date-shaped value comes
-    before the first non-shaped one; then format f holds iff all L parse."""
-    n_first = F.least(F.lit(DATE_PROBE_SIZE).cast("bigint"), F.col("n_present"))
-    probe = F.coalesce(F.col("probe"), F.array())
-    shaped = (F.size(probe) >= n_first) & (n_first > 0) & (
-        F.col("first_nonshape_row").isNull()
-        | (F.element_at(probe, n_first.cast("int"))["row_no"] < F.col("first_nonshape_row")))
-    head = F.slice(probe, 1, n_first.cast("int"))
-    out = prof.select("*", F.when(F.col("n_present") > 0, n_first).alias("probe_n"),
-                      *[F.when(F.col("n_present") > 0, shaped & F.forall(head, _field(name))).alias(name)
-                        for name in DATE_FLAG_NAMES])
-    any_fmt = F.col(DATE_FLAG_NAMES[0])
-    for name in DATE_FLAG_NAMES[1:]:
-        any_fmt = any_fmt | F.col(name)
-    return out.withColumn("date_ok", any_fmt).drop("probe")
+
+def date_flags(flags: DataFrame) -> DataFrame:
+    """``flags`` (of ``cell_flags``) with one flag per date format (F4).  Numeric literals
+    are never date-shaped, and the formats are tried on date-shaped values alone."""
+    shaped = (~F.col("is_missing") & ~F.col("is_int") & ~F.col("is_float") & may_be_date("value")
+              & F.col("value").rlike(DATE_SHAPE_ANY))
+    flags = flags.select("*", shaped.alias("_shaped"))
+    return flags.select("*", *[(F.col("_shaped") & is_date_format("value", i)).alias(name)
+                               for i, name in enumerate(DATE_FLAG_NAMES)]).drop("_shaped")
+
+
+def _undecided(each_format: bool) -> Column:
+    """Columns of which some date format fits the first present value but not all, and,
+    unless each format is asked for, no format fits all."""
+    some, whole = F.lit(False), F.lit(False)
+    for fail in FIRST_FAILURES:
+        some = some | F.coalesce(F.col(fail) > F.col("_first_present"), F.lit(False))
+        whole = whole | F.col(fail).isNull()
+    return (F.col("n_present") > DATE_PROBE_SIZE) & some & (F.lit(each_format) | ~whole)
+
+
+def _probe(cells: DataFrame, undecided: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per undecided column, for each format the number of present values before the
+    first one that it does not fit."""
+    on = [*keys, "ordinal"]
+    last = F.greatest(*FIRST_FAILURES)
+    rows = cells.join(undecided.select(*on, *FIRST_FAILURES, last.alias("_last")), on)
+    rows = rows.where(~is_missing("value") & (F.col("row_no") < F.col("_last")))
+    return rows.groupBy(*on).agg(*[F.count_if(F.col("row_no") < F.col(fail)).alias(f"_before_{name}")
+                                   for fail, name in zip(FIRST_FAILURES, DATE_FLAG_NAMES)])
+
+
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """Written to the shared folder and read back: the cells are read once for it."""
+    path = shared_dir(df.sparkSession, "profile", name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def column_profile(cells: DataFrame, keys: Sequence[str] = ("file_name",),
-                   extra_aggs: Sequence[F.Column] = (), probe_cells: DataFrame | None = None) -> DataFrame:
+                   extra_aggs: Sequence[F.Column] = (), each_format: bool = False) -> DataFrame:
     """One row per (file, column): counts, inferred type and statistics.
 
     Output columns: keys, ordinal, column, n_rows, n_missing, n_present, n_int,
-    n_float, n_nan, type, stat_min, stat_max, stat_avg, stat_count, int_min,
-    int_max (exact DECIMAL(38,0)), probe flags, then ``extra_aggs`` (further
-    aggregates over the same cells, computed in the same pass).
-
-    ``probe_cells`` may restrict the date probe to the cells that can hold a
-    date-shaped value at all (e.g. only the text-typed columns of a typed
-    table: numbers and timestamps rendered as text never match a date shape),
-    so its scan reads only those columns.
+    n_float, n_nan, type, stat_min, stat_max, stat_avg, stat_count, int_min, int_max
+    (exact, decimal digits as text), probe_n, date_ok, with ``each_format`` a flag for
+    each date format, then ``extra_aggs`` (further aggregates over the same cells,
+    computed in the same pass).
+
+    ``row_no`` gives the order of a file's rows.  The cells are read when this is
+    called, once; a second time only for the few columns that need it, if any.
     """
     keys = list(keys)
-    flags = cell_flags(cells, keys)
+    flags = date_flags(cell_flags(cells, keys))
     fv_num = F.when(~F.isnan("float_value"), F.col("float_value"))
+    present = ~F.col("is_missing")
     # ``column`` is a grouping key, not an any_value() aggregate: a string
     # aggregation buffer would push Spark off the fixed-width hash aggregate.
-    agg = flags.groupBy(*keys, "ordinal", "column").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if("is_missing").alias("n_missing"),
-        F.count_if("is_int").alias("n_int"),
-        F.count_if("is_float").alias("n_float"),
-        F.count_if(F.isnan("float_value")).alias("n_nan"),
-        F.min("int_value").alias("int_min"),
-        F.max("int_value").alias("int_max"),
-        F.try_sum("int_value").alias("int_sum"),
-        F.min(fv_num).alias("float_min"),
-        F.max(fv_num).alias("float_max"),
-        F.sum(fv_num).alias("float_sum"),
-        # numeric literals are never date-shaped: the shape regex only runs on
-        # the other present values that start with a digit
-        F.min(F.when(~F.col("is_missing") & (F.col("is_int") | F.col("is_float") | ~(
-            may_be_date("value") & F.col("value").rlike(DATE_SHAPE_ANY))), F.col("row_no")))
-        .alias("first_nonshape_row"),
-        *extra_aggs,
-    )
-    extra_names = agg.columns[len(keys) + 14:]
-    probe = date_probe(cells if probe_cells is None else probe_cells, keys)
-    prof = agg.join(probe, on=[*keys, "ordinal"], how="left")
-    n_present = F.col("n_rows") - F.col("n_missing")
-    prof = resolve_date_probe(prof.withColumn("n_present", n_present))
+    aggs = {
+        "n_rows": F.count(F.lit(1)),
+        "n_missing": F.count_if("is_missing"),
+        "n_int": F.count_if("is_int"),
+        "n_float": F.count_if("is_float"),
+        "n_nan": F.count_if(F.isnan("float_value")),
+        "_n_wide": F.count_if(F.col("is_int") & F.col("int_value").isNull()),
+        "_int_min": F.min("int_value"),
+        "_int_max": F.max("int_value"),
+        "_int_sum": F.try_sum("int_value"),
+        "_float_min": F.min(fv_num),
+        "_float_max": F.max(fv_num),
+        "_float_sum": F.sum(fv_num),
+        "_first_present": F.min(F.when(present, F.col("row_no"))),
+        **{fail: F.min(F.when(present & ~F.col(name), F.col("row_no")))
+           for fail, name in zip(FIRST_FAILURES, DATE_FLAG_NAMES)},
+    }
+    agg = flags.groupBy(*keys, "ordinal", "column").agg(*[c.alias(n) for n, c in aggs.items()], *extra_aggs)
+    extra_names = agg.columns[len(keys) + 2 + len(aggs):]
+    agg = _kept(agg.withColumn("n_present", F.col("n_rows") - F.col("n_missing")), "columns")
+    on = [*keys, "ordinal"]
+    undecided = agg.where(_undecided(each_format))
+    if undecided.isEmpty():
+        agg = agg.select("*", *[F.lit(None).cast("bigint").alias(f"_before_{name}") for name in DATE_FLAG_NAMES])
+    else:
+        agg = agg.join(_probe(cells, undecided, keys), on, "left")
+    wide = agg.where((F.col("n_int") == F.col("n_present")) & (F.col("n_int") > 0)
+                     & ((F.col("_n_wide") > 0) | F.col("_int_sum").isNull()))
+    if wide.isEmpty():
+        none = F.lit(None)
+        agg = agg.select("*", none.cast("string").alias("wide_min"), none.cast("string").alias("wide_max"),
+                         none.cast("double").alias("wide_avg"))
+    else:
+        agg = agg.join(exact_integers(cells.join(wide.select(*on), on, "left_semi"), on), on, "left")
+    prof = _resolved(agg, keys, extra_names)
+    return prof if each_format else prof.drop(*DATE_FLAG_NAMES)
+
+
+def _resolved(agg: DataFrame, keys: Sequence[str], extra_names: Sequence[str]) -> DataFrame:
+    """Types and statistics from the aggregates of ``column_profile``."""
+    some = F.col("n_present") > 0
+    fits = [F.col(fail).isNull() | F.coalesce(F.col(f"_before_{name}") >= DATE_PROBE_SIZE, F.lit(False))
+            for fail, name in zip(FIRST_FAILURES, DATE_FLAG_NAMES)]
+    prof = agg.select("*", F.when(some, F.least(F.lit(DATE_PROBE_SIZE).cast("bigint"), F.col("n_present"))).alias("probe_n"),
+                      *[F.when(some, ok).alias(name) for ok, name in zip(fits, DATE_FLAG_NAMES)])
+    any_fmt = F.col(DATE_FLAG_NAMES[0])
+    for name in DATE_FLAG_NAMES[1:]:
+        any_fmt = any_fmt | F.col(name)
+    prof = prof.withColumn("date_ok", any_fmt)
     ctype = (
-        F.when(n_present == 0, F.lit("string"))
-        .when(F.col("n_int") == n_present, F.lit("int"))
-        .when(F.col("n_float") == n_present, F.lit("float"))
+        F.when(~some, F.lit("string"))
+        .when(F.col("n_int") == F.col("n_present"), F.lit("int"))
+        .when(F.col("n_float") == F.col("n_present"), F.lit("float"))
         .when(F.coalesce(F.col("date_ok"), F.lit(False)), F.lit("date"))
         .otherwise(F.lit("string"))
     )
@@ -173,18 +188,19 @@ def column_profile(cells: DataFrame, keys: Sequence[str] = ("file_name",),
     is_int_t = F.col("type") == "int"
     is_flt_t = F.col("type") == "float"
     n_finite = F.col("n_float") - F.col("n_nan")
+    least = F.coalesce("wide_min", F.col("_int_min").cast("string"))
+    most = F.coalesce("wide_max", F.col("_int_max").cast("string"))
+    # A column with a wide value has its average from exact_integers alone (null: beyond a double).
+    avg = F.when(F.col("wide_min").isNotNull(), F.col("wide_avg")).otherwise(F.col("_int_sum").cast("double") / F.col("n_int"))
     return prof.select(
         *keys, "ordinal", "column", "n_rows", "n_missing", "n_present", "n_int", "n_float",
         "n_nan", "type",
-        F.when(is_int_t, F.col("int_min").cast("double"))
-        .when(is_flt_t, F.col("float_min")).alias("stat_min"),
-        F.when(is_int_t, F.col("int_max").cast("double"))
-        .when(is_flt_t, F.col("float_max")).alias("stat_max"),
-        F.when(is_int_t, F.col("int_sum").cast("double") / F.col("n_int"))
-        .when(is_flt_t & (n_finite > 0), F.col("float_sum") / n_finite).alias("stat_avg"),
+        F.when(is_int_t, least.cast("double")).when(is_flt_t, F.col("_float_min")).alias("stat_min"),
+        F.when(is_int_t, most.cast("double")).when(is_flt_t, F.col("_float_max")).alias("stat_max"),
+        F.when(is_int_t, avg).when(is_flt_t & (n_finite > 0), F.col("_float_sum") / n_finite).alias("stat_avg"),
         F.when(is_int_t, F.col("n_int")).when(is_flt_t, F.col("n_float")).alias("stat_count"),
-        F.when(is_int_t, F.col("int_min")).alias("int_min"),
-        F.when(is_int_t, F.col("int_max")).alias("int_max"),
+        F.when(is_int_t, least).alias("int_min"),
+        F.when(is_int_t, most).alias("int_max"),
         "probe_n", *DATE_FLAG_NAMES, "date_ok", *extra_names,
     )
 
@@ -387,14 +403,14 @@ def profile_tables(tables: dict[str, DataFrame], row_no: F.Column | None = None)
     schema and their statistics from one plain aggregation per table over the
     typed values (no unpivot, no regex); NULL counts as missing and NaN is kept
     out of min/max/avg as in the text path.  All other columns are rendered as
-    text and inferred together through one cells profile (date probe
-    included).  ``row_no`` orders rows for the date probe (e.g.
-    ``_metadata.row_index`` of parquet scans; default: scan order).
+    text and inferred together through one cells profile, arrays and other nested
+    values as their text form.  Rows are ordered by ``row_no``; by default by path
+    and position for tables read from files, else as scanned.
 
     Output: file_name, ordinal, column, n_rows, n_missing, n_present, type,
     stat_min, stat_max, stat_avg, stat_count, nan_count.
     """
-    from tessera.operators.cells import to_cells
+    from tessera.operators.cells import ordered_rows, to_cells
     parts, cell_parts = [], []
     for name, df in tables.items():
         fields = list(enumerate(df.schema.fields, 1))
@@ -403,9 +419,14 @@ def profile_tables(tables: dict[str, DataFrame], row_no: F.Column | None = None)
         if typed:
             parts.append(_typed_rows(df, name, typed))
         if text:
-            order = row_no if row_no is not None else F.monotonically_increasing_id()
-            wide = df.select(F.lit(name).alias("file_name"), order.alias("row_no"),
-                             *[F.col(f"`{f.name}`").cast("string").alias(f.name) for _, f in text])
+            if row_no is not None:
+                rows = df.withColumn("_row", row_no)
+            elif df.inputFiles():
+                rows = ordered_rows(df, "_row")
+            else:
+                rows = df.withColumn("_row", F.monotonically_increasing_id())
+            wide = rows.select(F.lit(name).alias("file_name"), F.col("_row").alias("row_no"),
+                               *[F.col(f"`{f.name}`").cast("string").alias(f.name) for _, f in text])
             cells = to_cells(wide, ("file_name", "row_no"), [f.name for _, f in text])
             pos = F.create_map(*[x for i, f in text for x in (F.lit(f.name), F.lit(i))])
             cell_parts.append(cells.withColumn("ordinal", pos[F.col("column")]))

@@ -12,20 +12,36 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.session import shared_dir
 
 SPLITS = 64     # parts that the distinct values of a group are ordered in
 
 
+def count_values(df: DataFrame, group_cols: Sequence[str], value_col: str) -> DataFrame:
+    """``group_cols, value_col, _c``: how often each value occurs, null included.  Kept in
+    the shared folder, so that everything derived from it reads ``df`` once."""
+    spark = df.sparkSession
+    counts = df.groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("_c"))
+    path = shared_dir(spark, "ranking", "counts")
+    counts.write.parquet(path)
+    return spark.read.schema(counts.schema).parquet(path)
+
+
 def value_counts(df: DataFrame, group_cols: Sequence[str], value_col: str, count_col: str = "group_n") -> DataFrame:
     """``group_cols, value_col, _c, _upto, count_col``: the count of each distinct
     (numeric) value, the running count up to and with it, and the group's size
-    (nulls excluded).
+    (nulls excluded)."""
+    return running_counts(count_values(df, group_cols, value_col), group_cols, value_col, count_col)
+
+
+def running_counts(counts: DataFrame, group_cols: Sequence[str], value_col: str, count_col: str = "group_n") -> DataFrame:
+    """``value_counts`` of a table of ``count_values``.
 
     The distinct values of a group are cut at approximate quantiles, which are data
     like any other: parts are ordered apart, and a part's rank starts after the
     counts of the parts before it."""
     group_cols = list(group_cols)
-    counts = (df.where(F.col(value_col).isNotNull()).groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("_c"))
+    counts = (counts.where(F.col(value_col).isNotNull())
               .withColumn("_g", F.struct(*[F.col(c) for c in group_cols]) if group_cols else F.struct(F.lit(0).alias("_"))))
     cuts = counts.groupBy("_g").agg(F.percentile_approx(value_col, [i / SPLITS for i in range(1, SPLITS)], 1000).alias("_cuts"))
     parts = counts.join(cuts, "_g").withColumn("_part", F.size(F.filter("_cuts", lambda x: x < F.col(value_col)))).drop("_cuts")
@@ -66,8 +82,15 @@ def percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
 
     Output: group_cols, n, median, p<100p>... (unrounded values).
     """
+    counts = count_values(df.select(*group_cols, value_col), group_cols, value_col)
+    return percentiles_of_counts(counts, group_cols, value_col, pcts, with_median)
+
+
+def percentiles_of_counts(counts: DataFrame, group_cols: Sequence[str], value_col: str,
+                          pcts: Sequence[float] = (0.9, 0.95), with_median: bool = True) -> DataFrame:
+    """``percentiles`` of a table of ``count_values``."""
     group_cols = list(group_cols)
-    ranked = value_counts(df.select(*group_cols, value_col), group_cols, value_col)
+    ranked = running_counts(counts, group_cols, value_col)
     n = F.col("group_n")
     lo = F.floor((n + 1) / 2)
     hi = F.floor(n / 2) + 1

@@ -113,7 +113,7 @@ def q_profile_summary(spark, sf_dir):
     '(fmt_ymd_dash OR fmt_mdy_slash OR fmt_dmy_slash OR fmt_ymd_slash) AS date_ok FROM date_probe',
     "date_probe"))
 def q_profile_date_probe(spark, sf_dir):
-    prof = dirty_profile(spark, sf_dir).where("n_present > 0")
+    prof = prof_ops.column_profile(dirty_cells(spark, sf_dir), each_format=True).where("n_present > 0")
     return prof.select("file_name", "ordinal", "probe_n", *prof_ops.DATE_FLAG_NAMES, "date_ok")
 
 
@@ -422,10 +422,8 @@ def q_csv_profile(spark, sf_dir):
 @query("src_utf8_check", O.with_ctes(
     "SELECT file_name, utf8_ok FROM events_file_status", "events_file_status"))
 def q_src_utf8_check(spark, sf_dir):
-    root = B.write_events_csv(spark, sf_dir, shared_dir(spark, "bindings", "events_csv"))
-    manifest = csv_ops.list_files(spark, root, suffix=None)
-    return csv_ops.utf8_check(spark, manifest).select(
-        B.logical_file_name(F.col("file_path")).alias("file_name"), "utf8_ok")
+    _, files = events_csv_profile(spark, sf_dir)
+    return files.select(B.logical_file_name(F.col("file_path")).alias("file_name"), "utf8_ok")
 
 
 # --------------------------------------------------------------------------
@@ -785,8 +783,7 @@ O.define_profile_ctes("tbl_", "tbl_cells")
     'SELECT file_name, "column", ordinal, type, n_missing, stat_min, stat_max, stat_count FROM tbl_col_stats',
     "tbl_col_stats"))
 def q_profile_tables(spark, sf_dir):
-    cells, text_cells = B.table_cells(spark, sf_dir)
-    prof = prof_ops.column_profile(cells, probe_cells=text_cells)
+    prof = prof_ops.column_profile(B.table_cells(spark, sf_dir))
     return prof.select("file_name", "column", "ordinal", "type", "n_missing", "stat_min", "stat_max", "stat_count")
 
 
@@ -826,5 +823,5 @@ def q_profile_typed_tables(spark, sf_dir):
     """Every driver table profiled from its schema: typed columns aggregated
     directly, text columns inferred (whole texts)."""
     tables = {t: read_table(spark, sf_dir, t).select(*[c for c, _ in cols]) for t, cols in B.PROFILED_TABLES.items()}
-    out = prof_ops.profile_tables(tables, F.col("_metadata.row_index"))
+    out = prof_ops.profile_tables(tables)
     return out.select("file_name", "column", "ordinal", "type", "n_missing", "stat_min", "stat_max", "stat_count")

@@ -223,27 +223,15 @@ def as_text(col: str, kind: str) -> F.Column:
     return c.cast("string")
 
 
-def table_cells(spark: SparkSession, sf_dir: str, tables: dict[str, list[tuple[str, str]]] | None = None
-                ) -> tuple[DataFrame, DataFrame]:
-    """All given tables as one cells DataFrame (row order = parquet row index),
-    plus the cells of their string-typed columns only (same ordinals): the
-    only cells that can hold a date-shaped value, for the date probe.
-    Each table is read once for both."""
-    from tessera.operators.cells import to_cells
-    tables = tables or PROFILED_TABLES
-    parts, text_parts = [], []
-    for t, cols in tables.items():
-        df = read_table(spark, sf_dir, t)
-        wide = df.select(F.lit(t).alias("file_name"), F.col("_metadata.row_index").alias("row_no"),
-                         *[as_text(c, k).alias(c) for c, k in cols])
+def table_cells(spark: SparkSession, sf_dir: str, tables: dict[str, list[tuple[str, str]]] | None = None) -> DataFrame:
+    """All given tables as one cells DataFrame, rows in path and file order."""
+    from tessera.operators.cells import ordered_rows, to_cells
+    parts = []
+    for t, cols in (tables or PROFILED_TABLES).items():
+        wide = ordered_rows(read_table(spark, sf_dir, t)).select(
+            F.lit(t).alias("file_name"), "row_no", *[as_text(c, k).alias(c) for c, k in cols])
         parts.append(to_cells(wide, ("file_name", "row_no"), [c for c, _ in cols]))
-        text = [(i, c) for i, (c, k) in enumerate(cols, 1) if k == "string"]
-        if text:
-            # light work (gated before any regex): no spreading
-            tc = to_cells(wide, ("file_name", "row_no"), [c for _, c in text], spread=False)
-            pos = F.create_map(*[x for i, c in text for x in (F.lit(c), F.lit(i))])
-            text_parts.append(tc.withColumn("ordinal", pos[F.col("column")]))
-    return _union(parts), _union(text_parts)
+    return _union(parts)
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:

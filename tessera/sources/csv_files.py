@@ -1,42 +1,31 @@
 """Headered CSV files -> cells, with per-file guards.
 
-Flow (SURVEY §7.3):
-
-1. ``manifest``: one row per arrived object (``file_path``, ``length``, ...),
-   from arrival events or a file-system listing.  Needed because Spark's file
-   sources skip zero-byte files, which must still be reported.
-2. ``read_headers``: a distributed ``mapInPandas`` over the manifest reads
-   only the first line of each file (a few KB), parses it and returns the
-   column names and width.
-3. One native CSV scan per distinct header width, with a positional all-string
-   schema plus ``_corrupt_record``.  Spark drops each file's header line
-   itself (including for split files), splits large files across tasks
-   (unless ``multiline``), and flags every row whose token count differs
-   from the width.  Each scan is unpivoted to cells; all are unioned.
-4. Row-level guards ride in the cell aggregation (one pass): short rows, long
-   rows, whether the first data row is long, and U+FFFD (the CSV decoder's
-   replacement for invalid UTF-8).  Only files containing U+FFFD are re-read as
-   bytes to test UTF-8 validity exactly.
+1. ``manifest``: one row per arrived object (``file_path``, ``length``, ...), from
+   arrival events or a listing done by the executors.
+2. ``read_headers``: the executors read the first record of each object, line ends in
+   quoted fields included, and give its column names and width.
+3. ``csv_blocks.read_rows``: every object is read in blocks of bytes, by as many tasks
+   as it has blocks, decoded and split into records.  Paths stay in DataFrames: no
+   file index sees them, so any object name and any number of header widths will do,
+   and an object that cannot be read is a row, not a failed job.
+4. Row-level guards ride in the aggregation of the cells (one pass): short rows, long
+   rows, whether the first data row is long, and failures to read, decode or parse.
 """
 
 from __future__ import annotations
 
 import csv
-import io
-import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.derived import decoded_path, last_segment
+from tessera.functions.derived import last_segment
 from tessera.operators import profile as prof_ops
-from tessera.session import ensure_checkpoint_dir, pyarrow_filesystem
-
-CORRUPT = "_corrupt_record"
-BOM = "﻿"
+from tessera.session import shared_dir
+from tessera.sources import csv_blocks as blocks_ops
 
 # Status texts (the empty-file message is the reference's own).
 MSG_EMPTY = "CSV file is empty or has no data rows"
@@ -45,10 +34,12 @@ MSG_SHORT = "a row has fewer fields than the header"
 MSG_LONG_FIRST = "the first row has more fields than the header"
 MSG_UNREADABLE = "the object cannot be read"
 MSG_HEADER = "the header line is not valid CSV"
-MSG_HIDDEN = "Spark's file sources skip names that start with _ or ."
+MSG_ROW = "a row is not valid CSV"
+FAILURES = {blocks_ops.UNREADABLE: MSG_UNREADABLE, blocks_ops.NOT_UTF8: MSG_UTF8, blocks_ops.NOT_CSV: MSG_ROW}
 
 HEADER_SCHEMA = T.StructType([
     T.StructField("file_path", T.StringType()),
+    T.StructField("length", T.LongType()),
     T.StructField("header_raw", T.StringType()),
     T.StructField("names", T.ArrayType(T.StringType())),
     T.StructField("src_ordinals", T.ArrayType(T.IntegerType())),
@@ -57,224 +48,106 @@ HEADER_SCHEMA = T.StructType([
 ])
 
 
+def _kept(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Written to the shared folder and read back: used more than once, computed once."""
+    path = shared_dir(spark, "csv", name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 # --------------------------------------------------------------------------
 # Manifest
 # --------------------------------------------------------------------------
 
 def list_files(spark: SparkSession, root: str, suffix: str | None = ".csv") -> DataFrame:
-    """List every file under ``root`` (zero-byte files included) through
-    the Hadoop file system, like Spark's own file index does on the driver.
-    Returns ``file_path, length, modification_ts``."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    rows, todo = [], [path]
-    while todo:  # directory walk with listStatus: no block-location lookups
-        for st in fs.listStatus(todo.pop()):
-            p = st.getPath()
-            name = p.getName()
-            if st.isDirectory():
-                todo.append(p)
-            elif name == "_SUCCESS" or (name.startswith(".") and name.endswith(".crc")):
-                continue  # what Spark's writers leave beside the data
-            elif not suffix or name.endswith(suffix):
-                rows.append((p.toString(), int(st.getLen()), int(st.getModificationTime())))
-    df = spark.createDataFrame(rows, "file_path string, length bigint, mtime_ms bigint")
-    return df.select("file_path", "length", F.timestamp_millis("mtime_ms").alias("modification_ts"))
+    """Every file under ``root`` (empty files included), found level by level by the
+    executors; what Spark's writers leave beside the data is left out.  Returns
+    ``file_path, length, modification_ts``."""
+    def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for path in pdf["file_path"]:
+                yield pd.DataFrame(blocks_ops.list_folder(path), columns=["file_path", "is_folder", "length", "mtime_ms"])
+
+    found = []
+    folders = spark.createDataFrame([(root,)], "file_path string")
+    while True:
+        level = folders.mapInPandas(fn, "file_path string, is_folder boolean, length long, mtime_ms long")
+        level = _kept(spark, level, "listing")
+        found.append(level.where("not is_folder"))
+        folders = level.where("is_folder").select("file_path")
+        n = folders.count()
+        if not n:
+            break
+        folders = folders.repartition(min(n, int(spark.conf.get("spark.sql.shuffle.partitions"))), "file_path")
+    files = found[0]
+    for level in found[1:]:
+        files = files.unionByName(level)
+    name = last_segment("file_path")
+    files = files.where((name != "_SUCCESS") & ~(name.startswith(".") & name.endswith(".crc")))
+    if suffix:
+        files = files.where(name.endswith(suffix))
+    return files.select("file_path", "length", F.timestamp_millis("mtime_ms").alias("modification_ts"))
 
 
 # --------------------------------------------------------------------------
 # Headers
 # --------------------------------------------------------------------------
 
-def _open(path: str):
-    if path.startswith("file:") or path.startswith("/"):
-        local = path[5:] if path.startswith("file:") else path
-        while local.startswith("//"):
-            local = local[1:]
-        return open(local, "rb")
-    filesystem, p = pyarrow_filesystem(path)
-    return filesystem.open_input_stream(p)
-
-
-def _first_line(path: str, chunk: int = 65536) -> bytes:
-    """Bytes up to the first line end, however far it is."""
-    blocks = []
-    with _open(path) as f:
-        while block := f.read(chunk):
-            nl = block.find(b"\n")
-            if nl >= 0:
-                blocks.append(block[:nl])
-                break
-            blocks.append(block)
-    return b"".join(blocks)
-
-
-def parse_header(line: str, sep: str = ",") -> tuple[list[str], list[int], int]:
-    """Column names of a header line, with duplicate names resolved as the
+def parse_header(text: str, sep: str = ",", field_limit: int | None = None) -> tuple[list[str], list[int], int]:
+    """Column names of a header record, with duplicate names resolved as the
     reference does: the last column of a name supplies the values, the first
     one fixes its position.  Returns (names, source ordinals, width)."""
-    line = line.lstrip(BOM).rstrip("\r")
-    csv.field_size_limit(max(csv.field_size_limit(), len(line) + 1))
-    fields = next(csv.reader(io.StringIO(line, newline=""), delimiter=sep), []) if line else []
+    fields = next(blocks_ops.parse(text, sep, field_limit), [])
     last: dict[str, int] = {}
     for i, name in enumerate(fields, 1):
         last[name] = i
-    names, src, seen = [], [], set()
-    for name in fields:
-        if name in seen:
-            continue
-        seen.add(name)
-        names.append(name)
-        src.append(last[name])
-    return names, src, len(fields)
-
-
-def read_headers(manifest: DataFrame, sep: str = ",") -> DataFrame:
-    """First line of every non-empty file, read by the executors."""
+    names = list(dict.fromkeys(fields))
+    return names, [last[name] for name in names], len(fields)
+
+
+def read_headers(manifest: DataFrame, sep: str = ",", field_limit: int | None = None) -> DataFrame:
+    """First record of every non-empty file, read by the executors."""
+    def header(path: str):
+        try:
+            raw = blocks_ops.first_record(path, sep)
+            text = raw.decode("utf-8")
+        except OSError:
+            return None, [], [], 0, MSG_UNREADABLE
+        except UnicodeDecodeError:
+            return raw.decode("utf-8", errors="replace"), [], [], 0, MSG_UTF8
+        try:
+            return text, *parse_header(text, sep, field_limit), None
+        except csv.Error:
+            return text, [], [], 0, MSG_HEADER
+
     def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = []
-            for path in pdf["file_path"]:
-                text, names, src, width, error = None, [], [], 0, None
-                try:
-                    if path.rsplit("/", 1)[-1][:1] in ("_", "."):
-                        out.append((path, text, names, src, width, MSG_HIDDEN))
-                        continue
-                    raw = _first_line(path)
-                    text = raw.decode("utf-8", errors="replace")
-                    names, src, width = parse_header(text, sep)
-                    # The CSV scan never decodes the header: its bytes are judged here.
-                    error = MSG_UTF8 if "\ufffd" in text and not _is_utf8(raw) else None
-                except OSError:
-                    error = MSG_UNREADABLE
-                except csv.Error:
-                    error = MSG_HEADER
-                out.append((path, text, names, src, width, error))
-            yield pd.DataFrame(out, columns=HEADER_SCHEMA.fieldNames())
-
-    # A fixed number of tasks: an aggregation before would be coalesced to one for thin rows.
-    tasks = max(manifest.sparkSession.sparkContext.defaultParallelism,
-                int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return manifest.where(F.col("length") > 0).select("file_path").repartition(tasks, "file_path").mapInPandas(fn, HEADER_SCHEMA)
-
-
-def _is_utf8(raw: bytes) -> bool:
-    try:
-        raw.decode("utf-8")
-        return True
-    except UnicodeDecodeError:
-        return False
-
-
-def literal_path(path: str) -> str:
-    """A path that Spark's file sources, which take patterns, read as it is."""
-    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
-
-
-# --------------------------------------------------------------------------
-# Scans
-# --------------------------------------------------------------------------
-
-def positional_schema(width: int) -> T.StructType:
-    return T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(1, width + 1)]
-                        + [T.StructField(CORRUPT, T.StringType())])
+            rows = [(p, n, *header(p)) for p, n in zip(pdf["file_path"], pdf["length"])]
+            yield pd.DataFrame(rows, columns=HEADER_SCHEMA.fieldNames())
 
-
-def scan_group(spark: SparkSession, paths: Sequence[str], width: int, multiline: bool = False,
-               sep: str = ",") -> DataFrame:
-    """One CSV scan over files sharing a header width.
-
-    ``row_no`` = monotonically_increasing_id at the scan: increasing in file
-    order within a file (split partitions keep file offset order).
-    """
-    df = (spark.read.schema(positional_schema(width))
-          .option("header", True).option("multiLine", multiline).option("escape", '"')
-          .option("sep", sep).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-          .option("columnPruning", False).option("encoding", "UTF-8")
-          .csv([literal_path(p) for p in paths]))
-    return df.select(
-        decoded_path(F.col("_metadata.file_path")).alias("file_path"),
-        F.monotonically_increasing_id().alias("row_no"),
-        F.lit(width).alias("width"),
-        *[F.col(f"c{i}") for i in range(1, width + 1)],
-        F.col(CORRUPT),
-    )
-
-
-def token_count(raw, sep: str = ",") -> F.Column:
-    """Number of fields of a raw CSV record: separators outside quoted
-    sections + 1 (quoted sections, with their "" escapes, are removed first)."""
-    # Doubled quotes go first, so that what is left needs no nested repetition;
-    # possessive: a large quoted field takes no stack.
-    unquoted = F.regexp_replace(F.replace(raw, F.lit('""'), F.lit("")), r'"[^"]*+"', "")
-    return F.length(unquoted) - F.length(F.replace(unquoted, F.lit(sep), F.lit(""))) + 1
-
-
-def rows_to_cells(rows: DataFrame, width: int, sep: str = ",") -> DataFrame:
-    """Unpivot one width group and attach the row-level guard flags."""
-    bad = F.col(CORRUPT).isNotNull()
-    n_tok = token_count(F.col(CORRUPT), sep)
-    flagged = rows.select(
-        "file_path", "row_no",
-        (bad & (n_tok < width)).alias("is_short"),
-        (bad & (n_tok > width)).alias("is_long"),
-        *[F.col(f"c{i}") for i in range(1, width + 1)],
-    )
-    cells = [F.struct(F.lit(i).alias("ordinal"), F.col(f"c{i}").alias("value")).alias(f"c{i}")
-             for i in range(1, width + 1)]
-    long = flagged.unpivot(["file_path", "row_no", "is_short", "is_long"], cells, "column", "cell")
-    return long.select("file_path", "row_no", "is_short", "is_long",
-                       F.col("cell.ordinal").alias("ordinal"), "column", F.col("cell.value").alias("value"))
-
-
-def width_groups(headers: DataFrame) -> dict[int, list[str]]:
-    """Paths of the non-empty-header files by header width (metadata, collected
-    once, as Spark's own file index would hold the file list)."""
-    groups: dict[int, list[str]] = {}
-    for r in headers.where("width > 0 and error is null").select("file_path", "width").collect():
-        groups.setdefault(r["width"], []).append(r["file_path"])
-    return groups
-
-
-def csv_cells(spark: SparkSession, groups: dict[int, list[str]], multiline: bool = False,
-              sep: str = ",") -> DataFrame | None:
-    """The files of the given width groups as one cells DataFrame (positional
-    columns): one native scan per width, unioned."""
-    parts = [rows_to_cells(scan_group(spark, paths, w, multiline, sep), w, sep)
-             for w, paths in sorted(groups.items())]
-    if not parts:
-        return None
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    files = manifest.where(F.col("length") > 0).select("file_path", "length", F.lit(0).alias("block"))
+    return blocks_ops.spread(files).drop("block").mapInPandas(fn, HEADER_SCHEMA)
 
 
 # --------------------------------------------------------------------------
 # Profile of files
 # --------------------------------------------------------------------------
 
-def utf8_check(spark: SparkSession, paths: DataFrame) -> DataFrame:
-    """Exact UTF-8 validity per file from the raw bytes (text source keeps
-    bytes as they are).  Returns file_path, utf8_ok."""
-    plist = [r["file_path"] for r in paths.select("file_path").distinct().collect()]
-    if not plist:
-        return spark.createDataFrame([], "file_path string, utf8_ok boolean")
-    t = spark.read.text([literal_path(p) for p in plist])
-    return t.groupBy(decoded_path(F.col("_metadata.file_path")).alias("file_path")).agg(
-        F.bool_and(F.is_valid_utf8("value")).alias("utf8_ok"))
-
-
-def profile_files(spark: SparkSession, manifest: DataFrame, multiline: bool = False, sep: str = ",",
-                  check_utf8: bool = True, widths_per_job: int = 64) -> tuple[DataFrame, DataFrame]:
-    columns, files, _ = profile_files_shared(spark, manifest, multiline, sep, check_utf8, widths_per_job)
-    return columns, files
-
-
-def profile_files_shared(spark: SparkSession, manifest: DataFrame, multiline: bool = False, sep: str = ",",
-                         check_utf8: bool = True, widths_per_job: int = 64, persist: bool = False
-                         ) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+def csv_cells(headers: DataFrame, sep: str = ",", block_bytes: int = blocks_ops.BLOCK_BYTES,
+              field_limit: int | None = None) -> DataFrame:
+    """The files of a header table as one cells DataFrame with positional columns;
+    a failure is a cell of ordinal 0."""
+    files = headers.where("width > 0 and error is null")
+    rows = blocks_ops.read_rows(files, sep, block_bytes, field_limit)
+    failed = F.col("failure").isNotNull()
+    fields = F.when(failed, F.array(F.lit(None).cast("string"))).otherwise(F.col("fields"))
+    cells = rows.select("file_path", "row_no", "is_short", "is_long", "failure", F.posexplode(fields).alias("pos", "value"))
+    return cells.select("file_path", "row_no", "is_short", "is_long", "failure",
+                        F.when(failed, F.lit(0)).otherwise(F.col("pos") + 1).alias("ordinal"), F.lit("").alias("column"), "value")
+
+
+def profile_files(spark: SparkSession, manifest: DataFrame, sep: str = ",", block_bytes: int = blocks_ops.BLOCK_BYTES,
+                  field_limit: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Profile every file of the manifest.
 
     Returns ``(columns, files)``: the column profile keyed by file_path with
@@ -282,87 +155,50 @@ def profile_files_shared(spark: SparkSession, manifest: DataFrame, multiline: bo
     manifest entry: file_path, file_name, status, error_message, row_count,
     n_short_rows, n_long_rows, long_first_row, utf8_ok.
 
-    Files are profiled independently, so width groups are processed in
-    chunks of ``widths_per_job`` scans per plan and the results unioned: no
-    limit on the number of distinct headers, no oversized plan.
-
-    The exact UTF-8 re-check needs the suspect paths at plan time, which
-    evaluates the column profile once; the profile (one row per file column)
-    is therefore kept (``persist``) so that both outputs reuse that
-    evaluation instead of parsing every file again.  ``profile_files_shared``
-    returns it so the caller can release it when done.
+    ``field_limit``: most characters of a field (the reference's CSV parser stops at
+    131,072); None is no limit.  The column profile, one row per file column, is kept
+    in the shared folder: both outputs use it.
     """
     # One row per object: a re-delivered notification must not read a file twice.
     manifest = manifest.groupBy("file_path").agg(F.max("length").alias("length"))
-    # One read of the first lines, kept in the shared checkpoint folder: the
-    # header table is used for grouping, for names and for empty-file checks.
-    ensure_checkpoint_dir(spark)
-    headers = read_headers(manifest, sep).checkpoint(eager=True)
-    groups = sorted(width_groups(headers).items())
-    keys = ["file_path"]
-    if not groups:
-        empty_cols = spark.createDataFrame([], "file_path string, ordinal int, column string")
-        return empty_cols, file_status(manifest, None, None, headers), None
+    headers = _kept(spark, read_headers(manifest, sep, field_limit), "headers")
+    cells = csv_cells(headers, sep, block_bytes, field_limit)
     extra = [
         F.count_if("is_short").alias("n_short_rows"),
         F.count_if("is_long").alias("n_long_rows"),
         F.min_by("is_long", "row_no").alias("long_first_row"),
-        F.count_if(F.instr("value", "\ufffd") > 0).alias("n_replacement"),
+        F.min("failure").alias("failure"),
+        F.count_if(F.col("failure") == blocks_ops.NOT_UTF8).alias("n_not_utf8"),
     ]
-    profs = []
-    for i in range(0, len(groups), widths_per_job):
-        cells = csv_cells(spark, dict(groups[i:i + widths_per_job]), multiline, sep)
-        profs.append(prof_ops.column_profile(cells, keys, extra_aggs=extra))
-    prof = profs[0]
-    for p in profs[1:]:
-        prof = prof.unionByName(p)
-    if persist or check_utf8:
-        prof = prof.persist()
-    per_file = prof.groupBy(*keys).agg(
-        F.max("n_rows").alias("row_count"), F.max("n_short_rows").alias("n_short_rows"),
-        F.max("n_long_rows").alias("n_long_rows"), F.max("long_first_row").alias("long_first_row"),
-        F.sum("n_replacement").alias("n_replacement"))
-    utf8 = None
-    if check_utf8:
-        suspects = per_file.where(F.col("n_replacement") > 0).select("file_path")
-        utf8 = utf8_check(spark, suspects)
+    prof = _kept(spark, prof_ops.column_profile(cells, ["file_path"], extra_aggs=extra), "columns")
+    data = F.col("ordinal") > 0
+    per_file = prof.groupBy("file_path").agg(
+        F.max(F.when(data, F.col("n_rows"))).alias("row_count"), F.max("n_short_rows").alias("n_short_rows"),
+        F.max("n_long_rows").alias("n_long_rows"), F.bool_or("long_first_row").alias("long_first_row"),
+        F.min("failure").alias("failure"), F.sum("n_not_utf8").alias("n_not_utf8"))
     names = headers.select("file_path", F.posexplode(F.arrays_zip("names", "src_ordinals")).alias("pos", "h"))
     names = names.select("file_path", F.col("h.src_ordinals").alias("ordinal"),
                          (F.col("pos") + 1).alias("position"), F.col("h.names").alias("header_name"))
     columns = (prof.join(names, on=["file_path", "ordinal"], how="inner")
-               .drop("column", "ordinal")
+               .drop("column", "ordinal", "failure", "n_not_utf8")
                .withColumnRenamed("header_name", "column").withColumnRenamed("position", "ordinal"))
-    return columns, file_status(manifest, per_file, utf8, headers), prof
+    return columns, file_status(manifest, per_file, headers)
 
 
-def file_status(manifest: DataFrame, per_file: DataFrame | None, utf8: DataFrame | None,
-                headers: DataFrame | None = None) -> DataFrame:
+def file_status(manifest: DataFrame, per_file: DataFrame, headers: DataFrame) -> DataFrame:
     """Status and error message per manifest entry.
 
-    An object whose header could not be read or parsed is an error by itself and
-    fails nothing else.  Precedence: that, then undecodable bytes, then no data rows,
-    then a short row anywhere, then an over-long first row.  Long later rows
-    are tolerated and counted.
+    Precedence: an object that cannot be read, undecodable bytes anywhere, a header or
+    row that is no CSV, no data rows, a short row anywhere, an over-long first row.
+    Long later rows are tolerated and counted.
     """
-    m = manifest.select("file_path", "length")
-    if per_file is not None:
-        m = m.join(per_file, "file_path", "left")
-    else:
-        m = m.select("*", *[F.lit(None).cast(t).alias(c) for c, t in
-                            [("row_count", "bigint"), ("n_short_rows", "bigint"), ("n_long_rows", "bigint"),
-                             ("long_first_row", "boolean")]])
-    if utf8 is not None:
-        m = m.join(utf8, "file_path", "left")
-    else:
-        m = m.withColumn("utf8_ok", F.lit(None).cast("boolean"))
-    if headers is not None:
-        m = m.join(headers.where("error is not null").select("file_path", F.col("error").alias("header_error")), "file_path", "left")
-    else:
-        m = m.withColumn("header_error", F.lit(None).cast("string"))
+    m = manifest.select("file_path", "length").join(per_file, "file_path", "left")
+    m = m.join(headers.where("error is not null").select("file_path", F.col("error").alias("header_error")), "file_path", "left")
     rows = F.coalesce(F.col("row_count"), F.lit(0))
-    utf8_bad = F.coalesce(~F.col("utf8_ok"), F.lit(False))
-    err = (F.when(F.col("header_error").isNotNull(), F.col("header_error"))
-           .when(utf8_bad, F.lit(MSG_UTF8))
+    err = F.col("header_error")
+    for kind, text in FAILURES.items():
+        err = F.coalesce(err, F.when(F.col("failure") == kind, F.lit(text)))
+    err = (F.when(err.isNotNull(), err)
            .when(rows == 0, F.lit(MSG_EMPTY))
            .when(F.coalesce(F.col("n_short_rows"), F.lit(0)) > 0, F.lit(MSG_SHORT))
            .when(F.coalesce(F.col("long_first_row"), F.lit(False)), F.lit(MSG_LONG_FIRST)))
@@ -374,7 +210,7 @@ def file_status(manifest: DataFrame, per_file: DataFrame | None, utf8: DataFrame
         F.coalesce(F.col("n_short_rows"), F.lit(0)).alias("n_short_rows"),
         F.coalesce(F.col("n_long_rows"), F.lit(0)).alias("n_long_rows"),
         F.coalesce(F.col("long_first_row"), F.lit(False)).alias("long_first_row"),
-        (F.coalesce(F.col("utf8_ok"), F.lit(True)) & ~F.col("header_error").eqNullSafe(F.lit(MSG_UTF8))).alias("utf8_ok"),
+        ((F.coalesce(F.col("n_not_utf8"), F.lit(0)) == 0) & ~F.col("header_error").eqNullSafe(F.lit(MSG_UTF8))).alias("utf8_ok"),
     )
 
 
@@ -384,5 +220,4 @@ def successful_columns(columns: DataFrame, files: DataFrame) -> DataFrame:
     return columns.join(ok, "file_path", "left_semi")
 
 
-__all__ = ["list_files", "read_headers", "parse_header", "scan_group", "width_groups", "csv_cells", "utf8_check",
-           "profile_files", "file_status", "successful_columns", "token_count"]
+__all__ = ["list_files", "read_headers", "parse_header", "csv_cells", "profile_files", "file_status", "successful_columns"]

@@ -53,7 +53,7 @@ def summaries_from_profile(columns: DataFrame, files: DataFrame, manifest: DataF
 def start_profile_stream(spark: SparkSession, notifications_dir: str, base_uri: str, log_path: str,
                          checkpoint: str, prefix: str = ev_ops.UPLOAD_PREFIX, suffix: str = ev_ops.CSV_SUFFIX,
                          max_files_per_trigger: int | None = None, available_now: bool = True,
-                         multiline: bool = False, summary_dir: str | None = None):
+                         summary_dir: str | None = None):
     """Start the stream; ``base_uri`` + object key = file path.  Each batch
     appends status records to ``log_path`` and, with ``summary_dir``, the
     summary documents of its successful files (K1)."""
@@ -69,20 +69,13 @@ def start_profile_stream(spark: SparkSession, notifications_dir: str, base_uri:
             F.max("length").alias("length"), F.max("upload_timestamp").alias("upload_timestamp"))
         if manifest.isEmpty():
             return
-        # The batch's column profile feeds both sinks: computed once, kept
-        # for the batch, released at its end.
-        columns, files, prof = csv_ops.profile_files_shared(spark, manifest, multiline=multiline,
-                                                            persist=True)
-        try:
-            docs = summaries_from_profile(columns, files, manifest)
-            if summary_dir:
-                write_summaries(docs.drop("file_path").withColumn("batch_id", F.lit(batch_id).cast("bigint")),
-                                summary_dir)
-            recs = records_from_status(files, manifest, docs)
-            recs.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("append").parquet(log_path)
-        finally:
-            if prof is not None:
-                prof.unpersist()
+        columns, files = csv_ops.profile_files(spark, manifest)
+        docs = summaries_from_profile(columns, files, manifest)
+        if summary_dir:
+            write_summaries(docs.drop("file_path").withColumn("batch_id", F.lit(batch_id).cast("bigint")),
+                            summary_dir)
+        recs = records_from_status(files, manifest, docs)
+        recs.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("append").parquet(log_path)
 
     writer = raw.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")

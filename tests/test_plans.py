@@ -3,6 +3,8 @@ Spark builds before adaptive re-planning)."""
 
 from helpers import SF01
 
+from pyspark.sql import functions as F
+
 from tessera.operators import profile as P
 from tessera.operators import ranking as K
 from tessera.plans.registry import QUERIES, dirty_cells
@@ -19,20 +21,25 @@ def executed_plan(df) -> str:
 
 
 def test_profile_is_expand_plus_hash_aggregate_without_python(spark):
-    p = plan(P.column_profile(dirty_cells(spark, SF01)))
+    cells = dirty_cells(spark, SF01)
+    flags = P.date_flags(P.cell_flags(cells))
+    aggs = [F.min(F.when(~F.col(name), F.col("row_no"))) for name in P.DATE_FLAG_NAMES]
+    p = plan(flags.groupBy("file_name", "ordinal", "column").agg(F.min("int_value"), F.sum("float_value"), *aggs))
     assert "Expand" in p
     assert "HashAggregate" in p
     assert "SortAggregate" not in p            # no string/object buffers on the cell aggregation
-    assert "WindowGroupLimit" in p             # the date probe ships <= 10 rows per key per task
+    assert "Window" not in p                   # the date rule needs no order
     assert "EvalPython" not in p and "PythonUDF" not in p
 
 
-def test_probe_reads_only_text_columns_of_typed_tables(spark):
-    cells, text_cells = B.table_cells(spark, SF01, {"lineitem": B.PROFILED_TABLES["lineitem"]})
-    p = plan(P.date_probe(text_cells))
-    scan = [line for line in p.split("\n") if "FileScan parquet" in line][0]
-    assert "l_returnflag" in scan and "l_linestatus" in scan
-    assert "l_quantity" not in scan and "l_extendedprice" not in scan
+def test_cells_are_read_once(spark, monkeypatch):
+    """Columns of one kind of value are decided by the first aggregation."""
+    def never(*_):
+        raise AssertionError("second pass")
+    monkeypatch.setattr(P, "_probe", never)
+    monkeypatch.setattr(P, "exact_integers", never)
+    cells = dirty_cells(spark, SF01).where("column <> 'c_latebad'")
+    assert P.column_profile(cells).count() == 35
 
 
 def test_latest_and_first_are_hash_aggregates(spark):
@@ -42,11 +49,13 @@ def test_latest_and_first_are_hash_aggregates(spark):
         assert "Aggregate" in p, name
 
 
-def test_percentiles_use_explicit_range_shuffle(spark):
+def test_statistics_read_the_runs_once(spark):
+    """Counts of distinct values are kept; no statistic goes back to the runs, no group to one task."""
+    for name in ("run_stats", "cmp_metrics", "run_percentiles"):
+        p = plan(QUERIES[name][0](spark, SF01))
+        assert "events.parquet" not in p and "ranking/counts" in p, name
     df = spark.createDataFrame([("a", float(i)) for i in range(100)], "g string, v double")
-    p = plan(K.percentiles(df, ["g"], "v"))
-    assert "rangepartitioning" in p and "REPARTITION_BY_NUM" in p
-    assert "SinglePartition" not in p
+    assert "SinglePartition" not in plan(K.percentiles(df, ["g"], "v"))
 
 
 def test_reconcile_joins_on_the_key_without_reshuffling_the_aggregate(spark):
