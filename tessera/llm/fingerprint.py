@@ -39,10 +39,12 @@ def signatures(terms: DataFrame, id_col: str, weights: tuple[str, ...], samples:
     """``terms(id, term long, *weights)`` -> ``id, part, <weight>_sig array<long>``:
     for each weight column the drawn samples of part ``part`` (``group`` of them).
     A null or zero weight is none.  The rows of an id should lie together."""
-    d = terms.withColumn("part", F.explode(F.array([F.lit(p) for p in range(samples // group)])))
+    d, first = terms, weights[0]
     for w in weights:
-        d = d.withColumn(f"ln_{w}", F.when(F.col(w) > 0, F.ln(F.col(w).cast("double"))))
-    cols = []
+        ln = F.when(F.col(w) > 0, F.ln(F.col(w).cast("double")))
+        # Most weights of a term are equal: their logarithm and draws are those of the first.
+        d = d.withColumn(f"ln_{w}", ln if w == first else F.when(F.col(w) == F.col(first), F.col(f"ln_{first}")).otherwise(ln))
+    d = d.withColumn("part", F.explode(F.array([F.lit(p) for p in range(samples // group)])))
     for j in range(group):
         k = F.col("part") * group + j
         d = d.withColumn(f"h{j}", F.xxhash64("term", k)).withColumn(f"g{j}", F.xxhash64("term", k + samples))
@@ -54,7 +56,8 @@ def signatures(terms: DataFrame, id_col: str, weights: tuple[str, ...], samples:
     for w in weights:
         for j in range(group):
             s = _sample(F.col(f"r{j}"), F.col(f"c{j}"), F.col(f"b{j}"), F.col(f"g{j}"), F.col(f"ln_{w}"))
-            cols.append(F.min(s).alias(f"{w}_{j}"))
+            d = d.withColumn(f"{w}_{j}", s if w == first else F.when(F.col(w) == F.col(first), F.col(f"{first}_{j}")).otherwise(s))
+    cols = [F.min(f"{w}_{j}").alias(f"{w}_{j}") for w in weights for j in range(group)]
     out = d.groupBy(id_col, "part").agg(*cols)
     low = lambda c: F.coalesce(F.col(c).bitwiseAND(F.lit(0xFFFFFFFF)), F.lit(0))
     return out.select(id_col, "part", *[F.array(*[low(f"{w}_{j}") for j in range(group)]).alias(f"{w}_sig") for w in weights])
