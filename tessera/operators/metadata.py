@@ -52,8 +52,8 @@ def latest(log: DataFrame, key: Sequence[str] = ("file_name",),
 
 
 def lookup(latest_view: DataFrame, probes: DataFrame, key: str = "file_name") -> DataFrame:
-    """look every probe key up in the latest view: found flag + status
-    ('missing' when absent)."""
+    """look every probe key up in a latest view: found flag + status
+    ('missing' when absent).  For a log in files see ``metalog.lookup``."""
     j = probes.join(latest_view.select(key, "status", "row_count"), key, "left")
     return j.select(*probes.columns, F.col("status").isNotNull().alias("found"),
                     F.coalesce("status", F.lit("missing")).alias("status"),
@@ -62,14 +62,12 @@ def lookup(latest_view: DataFrame, probes: DataFrame, key: str = "file_name") ->
 
 def reconcile_processed(arrivals: DataFrame, completions: DataFrame, key: str = "object_id",
                         by: Sequence[str] = ("priority",)) -> DataFrame:
-    """Arrivals that have a successful completion (semi join), counted
-    against all arrivals per group."""
+    """Arrivals that have a successful completion, counted against all arrivals
+    per group; one join, both counts from it."""
     by = list(by)
-    ok = completions.where(F.col("status") == "success").select(key)
-    done = arrivals.join(ok, key, "left_semi").groupBy(*by).agg(F.count(F.lit(1)).alias("n_processed"))
-    total = arrivals.groupBy(*by).agg(F.count(F.lit(1)).alias("n_uploaded"))
-    return total.join(done, by, "left").select(
-        *by, "n_uploaded", F.coalesce("n_processed", F.lit(0)).alias("n_processed"))
+    ok = completions.where(F.col("status") == "success").select(F.col(key).alias("_done")).distinct()
+    return arrivals.join(ok, arrivals[key] == F.col("_done"), "left").groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n_uploaded"), F.count("_done").alias("n_processed"))
 
 
 def reconcile_missing(arrivals: DataFrame, completions: DataFrame, key: str = "object_id") -> DataFrame:

@@ -18,6 +18,7 @@ from tessera.functions.rounding import py_round
 from tessera.functions.rounding import py_round_sql as R
 from tessera.operators import compare as cmp_ops
 from tessera.operators import metadata as meta_ops
+from tessera.operators import metalog
 from tessera.operators import profile as prof_ops
 from tessera.operators import runs as run_ops
 from tessera.operators.cells import to_cells
@@ -449,6 +450,55 @@ def q_sink_summary(spark, sf_dir):
         .cast("bigint").alias("n_missing_entries"))
 
 
+@query("sink_decimals", O.with_ctes(f"""
+SELECT file_name, "column", {", ".join(f"CAST(CAST(CAST({c} AS VARCHAR) AS DECIMAL(38,18)) AS VARCHAR) AS {a}" for c, a in (
+    ("stat_min", "min"), ("stat_max", "max"), (R("stat_avg", 6), "avg")))}, stat_count AS count
+FROM col_stats WHERE type IN ('int', 'float') AND stat_count > 0""", "col_stats"))
+def q_sink_decimals(spark, sf_dir):
+    """K4: the statistics map of every file with decimal leaves, written and read back."""
+    files = prof_ops.file_profile(dirty_profile(spark, sf_dir))
+    rounded = F.transform_values("statistics", lambda _, s: F.struct(
+        s["min"].alias("min"), s["max"].alias("max"), py_round(s["avg"], 6).alias("avg"), s["count"].alias("count")))
+    out = shared_dir(spark, "sinks", "decimals")
+    sink_ops.to_decimal_leaves(files.select("file_name", rounded.alias("statistics"))).write.parquet(out)
+    back = spark.read.parquet(out).select("file_name", F.explode("statistics").alias("column", "s"))
+    return back.select("file_name", "column", *[F.col(f"s.{c}").cast("string").alias(c) for c in ("min", "max", "avg")], "s.count")
+
+
+@query("sink_summary_contents", O.with_ctes(f"""
+SELECT file_name, "column", type, CASE WHEN type IN ('int', 'float') THEN stat_min END AS min, CASE WHEN type IN ('int', 'float') THEN stat_max END AS max,
+  CASE WHEN type IN ('int', 'float') THEN {R("stat_avg", 6)} END AS avg, CASE WHEN type IN ('int', 'float') THEN stat_count END AS count,
+  CASE WHEN n_missing > 0 THEN n_missing END AS n_missing, CASE WHEN n_missing > 0 THEN {R("n_missing * 100.0 / n_rows", 2)} END AS missing_pct
+FROM col_stats""", "col_stats"))
+def q_sink_summary_contents(spark, sf_dir):
+    """Schema, statistics and missing values of the documents as written, entry by entry."""
+    files = prof_ops.file_profile(dirty_profile(spark, sf_dir))
+    out = shared_dir(spark, "sinks", "summaries")
+    docs = prof_ops.summary_document(files)
+    sink_ops.write_summaries(docs, out)
+    back = sink_ops.read_summaries(spark, out, docs.schema)
+    entry = back.select("file_name", "statistics", "quality_issues", F.explode("schema").alias("column", "type"))
+    stat, missing = F.try_element_at("statistics", "column"), F.try_element_at("quality_issues.missing_values", "column")
+    entry = entry.select("file_name", "column", "type", stat.alias("s"), missing.alias("m"))
+    entry = entry.select("file_name", "column", "type", "s.min", "s.max", "s.avg", "s.count",
+                         F.col("m.count").alias("n_missing"), F.col("m.percentage").alias("missing_pct"))
+    return entry.withColumn("avg", py_round("avg", 6))
+
+
+@query("profile_long_ints", """
+SELECT event_type AS file_name, count(*) AS stat_count, min(v)::VARCHAR || repeat('0', 40) AS int_min, max(v)::VARCHAR || repeat('0', 40) AS int_max,
+  round(avg(v), 3) AS avg_leading
+FROM (SELECT event_type, CASE WHEN event_id % 2 = 1 THEN -1 ELSE 1 END * (event_id + 1) AS v FROM events) GROUP BY event_type""")
+def q_profile_long_ints(spark, sf_dir):
+    """A2: statistics of integers of 41 digits and more."""
+    ev = read_table(spark, sf_dir, "events")
+    sign = F.when(F.col("event_id") % 2 == 1, F.lit(-1)).otherwise(F.lit(1))
+    text = F.concat((sign * (F.col("event_id") + 1)).cast("string"), F.repeat(F.lit("0"), 40))
+    wide = ev.select(F.col("event_type").alias("file_name"), F.col("event_id").alias("row_no"), text.alias("v"))
+    prof = prof_ops.column_profile(to_cells(wide, ("file_name", "row_no")))
+    return prof.select("file_name", "stat_count", "int_min", "int_max", F.round(F.col("stat_avg") / 1e40, 3).alias("avg_leading"))
+
+
 # --------------------------------------------------------------------------
 # Metadata log, lookups, reconciliation
 # --------------------------------------------------------------------------
@@ -474,15 +524,42 @@ def q_sink_metadata_latest(spark, sf_dir):
     return _meta_out(meta_ops.latest(log, order=("processed_ts", "seq")))
 
 
+def metadata_log(spark, sf_dir) -> str:
+    """A log of metadata records in three batches, folded after the second, the second
+    and third delivered twice."""
+    path = shared_dir(spark, "sinks", "metadata_table")
+    recs = B.metadata_records(spark, sf_dir)
+    for batch in (0, 1, 1):
+        metalog.append(recs.where(F.col("seq") % 3 == batch), path, batch)
+    metalog.compact(spark, path)
+    for batch in (2, 2):
+        metalog.append(recs.where(F.col("seq") % 3 == batch), path, batch)
+    return path
+
+
 @query("meta_lookup", O.with_ctes("""
 SELECT c_custkey, m.status IS NOT NULL AS found, coalesce(m.status, 'missing') AS status, m.row_count
 FROM customer c LEFT JOIN meta_latest m ON m.file_name = 'file_' || CAST(c.c_custkey AS VARCHAR) || '.csv'""",
     "meta_latest"))
 def q_meta_lookup(spark, sf_dir):
-    latest = meta_ops.latest(B.metadata_records(spark, sf_dir), order=("processed_ts", "seq"))
     probes = read_table(spark, sf_dir, "customer").select(
         "c_custkey", F.concat(F.lit("file_"), F.col("c_custkey").cast("string"), F.lit(".csv")).alias("file_name"))
-    return meta_ops.lookup(latest, probes).drop("file_name")
+    return metalog.lookup(spark, metadata_log(spark, sf_dir), probes).drop("file_name")
+
+
+@query("meta_log_current", O.with_ctes("SELECT * FROM meta_latest", "meta_latest"))
+def q_meta_log_current(spark, sf_dir):
+    return _meta_out(metalog.current(spark, metadata_log(spark, sf_dir)))
+
+
+@query("meta_log_rows", """
+SELECT batch_id, CAST(count(*) AS BIGINT) AS n_rows FROM (
+  SELECT o_orderkey % 3 AS batch_id FROM orders) GROUP BY batch_id""")
+def q_meta_log_rows(spark, sf_dir):
+    """Records of each batch in the log: a redelivered batch leaves their number as it was."""
+    path = metadata_log(spark, sf_dir)
+    log = spark.read.parquet(path + "/log")
+    return log.groupBy(F.col("batch_id").cast("bigint").alias("batch_id")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @query("reconcile_processed", O.with_ctes("""
@@ -638,7 +715,7 @@ def write_notifications(spark, root: str, out_dir: str, n_files: int = 3) -> Non
     """One object-created notification per file under ``root`` (keys relative to it)."""
     listing = csv_ops.list_files(spark, root, suffix=None)
     base = qualify(spark, root).rstrip("/") + "/"
-    key = F.substring(F.col("file_path"), len(base) + 1, 100000)
+    key = F.substr(F.col("file_path"), F.lit(len(base) + 1))
     rec = F.struct(
         F.lit("ObjectCreated:Put").alias("eventName"),
         F.date_format("modification_ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("eventTime"),
@@ -664,36 +741,37 @@ def q_stream_profile(spark, sf_dir):
                       "row_count")
 
 
-SENTINEL_DAYS = "36500 days"  # watermark delay wider than the data's time span
+@query("stream_metadata", O.with_ctes("""
+SELECT p.file_name, p."column", p.type, p.stat_count AS count, s.row_count
+FROM events_csv_profile p JOIN events_file_status s USING (file_name) WHERE s.status = 'success'
+UNION ALL SELECT file_name, NULL, NULL, NULL, row_count FROM events_file_status WHERE status <> 'success'""",
+    "events_csv_profile", "events_file_status"))
+def q_stream_metadata(spark, sf_dir):
+    """R2, K2: the full records of the stream's log, folded after the stream; error records
+    carry no schema."""
+    base = shared_dir(spark, "bindings", "stream_metadata")
+    root = B.write_events_csv(spark, sf_dir, base + "/data")
+    write_notifications(spark, root, base + "/notifications", n_files=1)
+    ps_ops.start_profile_stream(spark, base + "/notifications", qualify(spark, root).rstrip("/") + "/", base + "/log",
+                                base + "/checkpoint", prefix="file=", suffix=".txt").awaitTermination()
+    metalog.compact(spark, base + "/log", ("file_path",))
+    cur = ps_ops.current_status(spark, base + "/log")
+    rows = cur.select(B.logical_file_name(F.col("file_path")).alias("file_name"), "row_count", "statistics",
+                      F.explode_outer("schema").alias("column", "type"))
+    return rows.select("file_name", "column", "type", F.try_element_at("statistics", "column")["count"].alias("count"), "row_count")
 
 
 @query("stream_deadline", O.with_ctes("SELECT * FROM deadline_matches", "deadline_matches"))
 def q_stream_deadline(spark, sf_dir):
+    """The past orders and shipments replayed in time order; every state row is dropped
+    a day of event time after its deadline."""
     base = shared_dir(spark, "bindings", "stream_deadline")
-    # A trailing sentinel event moves the watermark past every real arrival;
-    # the no-data batch that follows emits all timeouts.
-    spark.createDataFrame([(-1, "2300-01-01")], "object_id bigint, d string").select(
-        "object_id", F.to_timestamp("d").alias("arrive_ts")).write.parquet(base + "/arrival_sentinel")
-    spark.createDataFrame([(-1, "2300-01-01")], "object_id bigint, d string").select(
-        "object_id", (F.to_timestamp("d") + F.expr("INTERVAL 1 day")).alias("done_ts"),
-        F.lit("success").alias("status")).write.parquet(base + "/completion_sentinel")
-    orders = read_table(spark, sf_dir, "orders")
-    lineitem = read_table(spark, sf_dir, "lineitem")
-    o_s = spark.readStream.schema(orders.schema).option("pathGlobFilter", "orders.parquet").parquet(sf_dir)
-    l_s = spark.readStream.schema(lineitem.schema).option("pathGlobFilter", "lineitem.parquet").parquet(sf_dir)
-    a_s = o_s.select(F.col("o_orderkey").alias("object_id"), F.col("o_orderdate").cast("timestamp").alias("arrive_ts"))
-    a_s = a_s.unionByName(spark.readStream.schema("object_id bigint, arrive_ts timestamp")
-                          .parquet(base + "/arrival_sentinel"))
-    c_s = l_s.select(F.col("l_orderkey").alias("object_id"), F.col("l_shipdate").cast("timestamp").alias("done_ts"),
+    li = read_table(spark, sf_dir, "lineitem")
+    done = li.select(F.col("l_orderkey").alias("object_id"), F.col("l_shipdate").alias("done_ts"),
                      F.when(F.col("l_returnflag") == "R", F.lit("error")).otherwise(F.lit("success")).alias("status"))
-    c_s = c_s.unionByName(spark.readStream.schema("object_id bigint, done_ts timestamp, status string")
-                          .parquet(base + "/completion_sentinel"))
-    matches = dl_ops.deadline_join(a_s, c_s, "30 days", SENTINEL_DAYS, SENTINEL_DAYS)
-    q = (matches.writeStream.format("parquet").option("path", base + "/out")
-         .option("checkpointLocation", base + "/checkpoint").trigger(availableNow=True).start())
-    q.awaitTermination()
-    out = spark.read.parquet(base + "/out").where(F.col("object_id") >= 0)
-    s = dl_ops.summarize(out)
+    dl_ops.write_replay_log(B.arrivals(spark, sf_dir), done, base + "/log")
+    dl_ops.replay_deadlines(spark, base + "/log", base + "/out", base + "/checkpoint").awaitTermination()
+    s = dl_ops.summarize(spark.read.parquet(base + "/out"))
     return s.select("object_id", "status", "n_matches",
                     F.date_format("first_done", "yyyy-MM-dd HH:mm:ss").alias("first_done"))
 

@@ -3,19 +3,22 @@
 Notifications (object-created events, one JSON document per line) are read
 with ``readStream``; every micro-batch routes them (prefix / suffix / event
 type), turns the routed objects into a manifest and runs the batch profile
-on exactly those files inside ``foreachBatch``.  Results are appended to the
-metadata log with the batch id, so a redelivered batch only adds duplicate
-records that the latest-per-file view collapses (at-least-once is enough).
+on exactly those files inside ``foreachBatch``.  Results go to the
+metadata log, one folder per batch of this stream: a redelivered batch replaces
+its folder, so that the log holds every record once.
 A bad file yields an ``error`` record; it never fails the micro-batch.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.derived import last_segment
 from tessera.operators import metadata as meta_ops
+from tessera.operators import metalog
 from tessera.operators import profile as prof_ops
 from tessera.sinks.writers import write_summaries
 from tessera.sources import csv_files as csv_ops
@@ -61,6 +64,8 @@ def start_profile_stream(spark: SparkSession, notifications_dir: str, base_uri:
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.load(notifications_dir)
+    # Batches are numbered per checkpoint: it names the source of the log's records.
+    source = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
 
     def process(batch: DataFrame, batch_id: int) -> None:
         routed = ev_ops.route(ev_ops.decode_events(batch, "value"), prefix, suffix)
@@ -74,8 +79,7 @@ def start_profile_stream(spark: SparkSession, notifications_dir: str, base_uri:
         if summary_dir:
             write_summaries(docs.drop("file_path").withColumn("batch_id", F.lit(batch_id).cast("bigint")),
                             summary_dir)
-        recs = records_from_status(files, manifest, docs)
-        recs.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("append").parquet(log_path)
+        metalog.append(records_from_status(files, manifest, docs), log_path, batch_id, source)
 
     writer = raw.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
@@ -84,8 +88,7 @@ def start_profile_stream(spark: SparkSession, notifications_dir: str, base_uri:
 
 def current_status(spark: SparkSession, log_path: str) -> DataFrame:
     """Latest record per file from the stream's log (R2)."""
-    log = spark.read.parquet(log_path)
-    return meta_ops.latest(log, key=("file_path",), order=("processed_ts", "batch_id"))
+    return metalog.current(spark, log_path, key=("file_path",))
 
 
 def status_totals(spark: SparkSession, log_path: str) -> DataFrame:
