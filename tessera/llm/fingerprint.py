@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import ascii_lower, partitions, stored
 
 SAMPLES = 32
-GROUP = 8                    # samples of one row; keeps generated methods small enough to be compiled
+GROUP = 2                    # samples of one row: the generated method stays small enough to be compiled
 _SCALE = float(1 << 23)      # resolution of the logarithm that samples are compared by
 _SHIFT = 128.0
 _NONE = (1 << 63) - 1
@@ -42,7 +42,7 @@ def signatures(terms: DataFrame, id_col: str, weights: tuple[str, ...], samples:
     d, first = terms, weights[0]
     for w in weights:
         ln = F.when(F.col(w) > 0, F.ln(F.col(w).cast("double")))
-        # Most weights of a term are equal: their logarithm and draws are those of the first.
+        # Most weights of a term are equal: their logarithm is that of the first.
         d = d.withColumn(f"ln_{w}", ln if w == first else F.when(F.col(w) == F.col(first), F.col(f"ln_{first}")).otherwise(ln))
     d = d.withColumn("part", F.explode(F.array([F.lit(p) for p in range(samples // group)])))
     for j in range(group):
@@ -53,11 +53,11 @@ def signatures(terms: DataFrame, id_col: str, weights: tuple[str, ...], samples:
         d = d.withColumn(f"r{j}", -F.ln(_uniform(h, 0) * _uniform(h, 20)))
         d = d.withColumn(f"c{j}", F.ln(-F.ln(_uniform(g, 0) * _uniform(g, 20))))
         d = d.withColumn(f"b{j}", _uniform(h, 40))
+    cols = []
     for w in weights:
         for j in range(group):
             s = _sample(F.col(f"r{j}"), F.col(f"c{j}"), F.col(f"b{j}"), F.col(f"g{j}"), F.col(f"ln_{w}"))
-            d = d.withColumn(f"{w}_{j}", s if w == first else F.when(F.col(w) == F.col(first), F.col(f"{first}_{j}")).otherwise(s))
-    cols = [F.min(f"{w}_{j}").alias(f"{w}_{j}") for w in weights for j in range(group)]
+            cols.append(F.min(s).alias(f"{w}_{j}"))
     out = d.groupBy(id_col, "part").agg(*cols)
     low = lambda c: F.coalesce(F.col(c).bitwiseAND(F.lit(0xFFFFFFFF)), F.lit(0))
     return out.select(id_col, "part", *[F.array(*[low(f"{w}_{j}") for j in range(group)]).alias(f"{w}_sig") for w in weights])
