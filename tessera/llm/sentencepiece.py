@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 import struct
 import sys
-from collections import Counter
+from array import array
 from collections.abc import Iterator
 from itertools import chain, islice
 
@@ -30,8 +30,13 @@ UNKNOWN_PENALTY = 10.0
 ROUNDS = 4                   # EM rounds from equal scores
 PART = 1 << 20               # expected counts are summed as whole numbers of these parts, so in any order
 LONG_WORD = 48               # longer words are segmented one by one
+LONG_BLOCK = 1 << 14         # characters of a long word whose pieces are looked up together
 BATCH_CHARS = 1 << 21        # text segmented together
-REMEMBERED = 400_000         # words whose segmentation a worker keeps
+BATCH_WORDS = 1 << 13        # words segmented together
+REMEMBERED = 400_000         # words whose segmentation a worker keeps,
+REMEMBERED_CHARS = 1 << 23   # and the characters of all of them
+SHIFT = 3.0                  # about what a character costs: keeps products of probabilities in range
+LEAST = 1e-280               # products below are too close to the least number; logarithms take their place
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -176,7 +181,7 @@ class Model:
     model type is a ValueError.
     """
 
-    def __init__(self, model: bytes):
+    def __init__(self, model: bytes, trie: Trie | None = None):
         if model_type(model) != UNIGRAM:
             raise ValueError(f"no unigram model: model type {model_type(model)}")
         pieces = read_pieces(model)
@@ -200,7 +205,8 @@ class Model:
                 self.text.append(b"")
         self.byte_fallback = len(self.byte_ids) == 256
         self.usable = np.array([i for _, i in usable], np.int64)
-        self.trie = _trie(usable)
+        self.trie = trie or _trie(usable)
+        self.longest = max((len(p) for p, _ in usable), default=1)
         self.split = not any(MARKER in p.lstrip(MARKER) for p, _ in usable)
         self.is_byte = np.zeros(len(pieces), bool)
         self.is_byte[list(self.byte_ids.values())] = True
@@ -320,9 +326,11 @@ class Model:
                       for x in ([p] if p >= 0 else self._fallback(text[k - w]))]
         return out
 
-    def _endings(self, word: str) -> list[list[tuple[int, int, float]]]:
-        """For every end in a word: (start, piece or -1, score) of the pieces that end there."""
-        codes = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), np.uint32)
+    def _ends(self, word: str, first: int, last: int) -> list[tuple[int, list[tuple[int, int, float]]]]:
+        """(end, (start, piece or -1, score) of the pieces that end there), by end, for the
+        ends from ``first`` to ``last``."""
+        begin = max(0, first - self.longest)
+        codes = np.frombuffer(word[begin:last].encode("utf-32-le", "surrogatepass"), np.uint32)
         n = len(codes)
         found = self.trie.matches(self.trie.symbol[codes].astype(np.int64), np.arange(n, 0, -1))
         ending: list[list[tuple[int, int, float]]] = [[] for _ in range(n + 1)]
@@ -332,31 +340,34 @@ class Model:
             if k == 0:
                 single[at] = True
             for a, p, s in zip(at.tolist(), ids.tolist(), self.score[ids].tolist()):
-                ending[a + k + 1].append((a, p, s))
+                ending[a + k + 1].append((begin + a, p, s))
         for a in np.flatnonzero(~single).tolist():
-            ending[a + 1].append((a, -1, self.unknown_score))
-        return ending
+            ending[a + 1].append((begin + a, -1, self.unknown_score))
+        return [(end, ending[end - begin]) for end in range(first, last + 1)]
+
+    def _blocks(self, n: int) -> list[tuple[int, int]]:
+        return [(i + 1, min(n, i + LONG_BLOCK)) for i in range(0, n, LONG_BLOCK)]
 
     def _segment_one(self, word: str) -> list[int]:
-        """The same for one long word, in time in proportion to its length."""
-        ending = self._endings(word)
-        n = len(ending) - 1
-        out: list[tuple[int, int]] = []
-        best, back = [0.0] + [float("-inf")] * n, [(0, -1)] * (n + 1)
-        for end in range(1, n + 1):
-            for a, p, score in ending[end]:
-                s = best[a] + score
-                if s > best[end]:
-                    best[end], back[end] = s, (a, p)
+        """The same for one long word, block by block: time and memory in proportion to
+        its length, three numbers a character."""
+        n = len(word)
+        best, start, piece = array("d", [-math.inf]) * (n + 1), array("i", [0]) * (n + 1), array("i", [-1]) * (n + 1)
+        best[0] = 0.0
+        for first, last in self._blocks(n):
+            for end, edges in self._ends(word, first, last):
+                for a, p, score in edges:
+                    s = best[a] + score
+                    if s > best[end]:
+                        best[end], start[end], piece[end] = s, a, p
+        out = array("i")
         end = n
         while end:
-            a, p = back[end]
-            out.append((a, p))
+            a, p = start[end], piece[end]
+            out.extend([p] if p >= 0 else reversed(self._fallback(word[a])))
             end = a
-        ids_: list[int] = []
-        for a, p in reversed(out):
-            ids_.extend([p] if p >= 0 else self._fallback(word[a]))
-        return ids_
+        out.reverse()
+        return out.tolist()
 
     def expected(self, words: list[str], counts: list[int]) -> np.ndarray:
         """For every piece, how often it is expected in the words, each ``counts``
@@ -365,53 +376,63 @@ class Model:
         short = [i for i, w in enumerate(words) if 0 < len(w) <= LONG_WORD]
         for i, w in enumerate(words):
             if len(w) > LONG_WORD:
-                pieces, share = self._expected_one(w)
-                np.add.at(out, pieces, np.rint(share * PART).astype(np.int64) * counts[i])
+                self._expect_one(w, counts[i], out)
         if short:
             times = np.array([counts[i] for i in short], np.int64)
             _, length, start, node, (src, ids, size, weight), groups = self._lattice([words[i] for i in short])
             number = np.arange(len(short))
-            ahead = np.full(int(length.sum()) + len(short), -np.inf)
+            # Products of probabilities, each times e**SHIFT a character: the shares are quotients.
+            prob = np.exp(weight + SHIFT * size)
+            ahead = np.zeros(int(length.sum()) + len(short))
             behind = ahead.copy()
-            ahead[start + number] = behind[start + length + number] = 0.0
+            ahead[start + number] = behind[start + length + number] = 1.0
             a = node[src]
             b = a + size
             for i, j in groups:
-                ahead[b[i:j]] = np.logaddexp(ahead[b[i:j]], ahead[a[i:j]] + weight[i:j])
+                ahead[b[i:j]] += ahead[a[i:j]] * prob[i:j]
             for i, j in reversed(groups):
-                behind[a[i:j]] = np.logaddexp(behind[a[i:j]], behind[b[i:j]] + weight[i:j])
+                behind[a[i:j]] += behind[b[i:j]] * prob[i:j]
+            total = behind[start + number]
+            lost = ~((total > LEAST) & (total < 1 / LEAST))
             word = a - src
-            share = np.exp(ahead[a] + weight + behind[b] - behind[start + number][word])
-            real = ids >= 0
-            np.add.at(out, ids[real], np.rint(share[real] * PART).astype(np.int64) * times[word[real]])
+            real = (ids >= 0) & ~lost[word]
+            a, b, word, ids = a[real], b[real], word[real], ids[real]
+            share = ahead[a] * prob[real] * (behind[b] / total[word])
+            np.add.at(out, ids, np.rint(share * PART).astype(np.int64) * times[word])
+            for i in np.flatnonzero(lost).tolist():
+                self._expect_one(words[short[i]], counts[short[i]], out)
         return out
 
-    def _expected_one(self, word: str) -> tuple[np.ndarray, np.ndarray]:
-        """(pieces, expected occurrences) of one long word, in time in proportion to its length."""
-        ending = self._endings(word)
-        n = len(ending) - 1
-        ahead, behind = [0.0] * (n + 1), [-math.inf] * n + [0.0]
-        for end in range(1, n + 1):
-            totals = [ahead[a] + s for a, _, s in ending[end]]
-            top = max(totals, default=-math.inf)
-            ahead[end] = top + math.log(sum(math.exp(t - top) for t in totals)) if top > -math.inf else top
-        pieces, share = [], []
-        for end in range(n, 0, -1):
-            rest = behind[end]
-            if rest == -math.inf:
-                continue
-            for a, p, s in ending[end]:
-                t, old = rest + s, behind[a]
-                behind[a] = max(t, old) + math.log1p(math.exp(-abs(t - old)))
-                if p >= 0:
-                    pieces.append(p)
-                    share.append(math.exp(ahead[a] + t - ahead[n]))
-        return np.array(pieces, np.int64), np.array(share, np.float64)
+    def _expect_one(self, word: str, count: int, out: np.ndarray) -> None:
+        """The same for one word, by logarithms, added to ``out``; block by block, time and
+        memory in proportion to its length."""
+        n = len(word)
+        ahead, behind = array("d", [-math.inf]) * (n + 1), array("d", [-math.inf]) * (n + 1)
+        ahead[0] = behind[n] = 0.0
+        for first, last in self._blocks(n):
+            for end, edges in self._ends(word, first, last):
+                totals = [ahead[a] + s for a, _, s in edges]
+                top = max(totals, default=-math.inf)
+                if top > -math.inf:
+                    ahead[end] = top + math.log(sum(math.exp(t - top) for t in totals))
+        for first, last in reversed(self._blocks(n)):
+            pieces, share = [], []
+            for end, edges in reversed(self._ends(word, first, last)):
+                rest = behind[end]
+                if rest == -math.inf:
+                    continue
+                for a, p, s in edges:
+                    t, old = rest + s, behind[a]
+                    behind[a] = max(t, old) + math.log1p(math.exp(-abs(t - old)))
+                    if p >= 0:
+                        pieces.append(p)
+                        share.append(math.exp(ahead[a] + t - ahead[n]))
+            np.add.at(out, np.array(pieces, np.int64), np.rint(np.array(share, np.float64) * PART).astype(np.int64) * count)
 
     def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets of the texts).  A word is segmented once as
         long as it is among the ``REMEMBERED`` words kept from earlier texts."""
-        if len(self._number) > REMEMBERED:
+        if len(self._number) > REMEMBERED or self._chars > REMEMBERED_CHARS:
             self._forget()
         number, known = self._number, len(self._number)
         which, counts = [], []
@@ -421,7 +442,8 @@ class Model:
             which.extend([number.setdefault(w, len(number)) for w in ws])
         if len(number) > known:
             new = list(islice(number, known, None))
-            segmented = self.segment(new)
+            self._chars += sum(map(len, new))
+            segmented = [ids for i in range(0, len(new), BATCH_WORDS) for ids in self.segment(new[i:i + BATCH_WORDS])]
             size = np.fromiter(map(len, segmented), np.int64, len(new))
             self._first = np.concatenate([self._first, len(self._flat) + np.cumsum(size) - size])
             self._size = np.concatenate([self._size, size])
@@ -435,6 +457,7 @@ class Model:
 
     def _forget(self) -> None:
         self._number: dict[str, int] = {}
+        self._chars = 0
         self._flat = np.zeros(0, np.int32)
         self._first = self._size = np.zeros(0, np.int64)
 
@@ -465,24 +488,10 @@ def unigram_model(spark: SparkSession, docs: DataFrame, model_file: str, text_co
         return data
     pieces = [(p, 0.0, kind) for p, _, kind in read_pieces(data)]
     data = write_model(pieces)
-    first = spark.sparkContext.broadcast(data)
-
-    def count(batches):
-        model, seen = _model(first.value), Counter()
-        for batch in batches:
-            for text in batch.column(0):
-                seen.update(model.words(text.as_py() or ""))
-                if len(seen) > REMEMBERED:
-                    yield from _counted(seen)
-                    seen.clear()
-        yield from _counted(seen)
-
-    words = (docs.select(F.col(text_col).cast("string").alias("t")).mapInArrow(count, "word string, n long")
-             .groupBy("word").agg(F.sum("n").alias("n")))
-    words = stored(spark, words, "words")
+    words = stored(spark, word_counts(docs.select(F.col(text_col).cast("string").alias("t")), _model(data).split), "words")
     usable = [i for i, (p, _, kind) in enumerate(pieces) if kind in (NORMAL, USER) and p]
     for _ in range(rounds):
-        rows = words.mapInArrow(_expecting(spark.sparkContext.broadcast(data)), "piece int, n long").groupBy("piece").agg(F.sum("n").alias("n")).collect()
+        rows = words.mapInArrow(_expecting(_shared(spark, data)), "piece int, n long").groupBy("piece").agg(F.sum("n").alias("n")).collect()
         seen = {r["piece"]: r["n"] for r in rows}
         total = sum(seen.values()) + len(usable) * PART // 2
         for i in usable:
@@ -491,16 +500,18 @@ def unigram_model(spark: SparkSession, docs: DataFrame, model_file: str, text_co
     return data
 
 
-def _counted(seen: Counter):
-    words = list(seen)
-    for i in range(0, len(words), 20_000):
-        part = words[i:i + 20_000]
-        yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([seen[w] for w in part], pa.int64())], ["word", "n"])
+def word_counts(texts: DataFrame, split: bool) -> DataFrame:
+    """``texts(t)`` -> ``word, n``: how often each word of ``Model.words`` occurs.  Null and
+    empty texts have none; words are counted before they are shuffled."""
+    marked = texts.where("t <> ''").select(F.concat(F.lit(" "), F.translate("t", MARKER, " ")).alias("t"))
+    if split:
+        marked = marked.select(F.explode(F.regexp_extract_all("t", F.lit(" +[^ ]*"), F.lit(0))).alias("t"))
+    return marked.groupBy("t").agg(F.count(F.lit(1)).alias("n")).select(F.translate("t", " ", MARKER).alias("word"), "n")
 
 
 def _expecting(shared):
     def run(batches):
-        model = _model(shared.value)
+        model = _model(*shared.value)
         total = np.zeros(len(model.pieces), np.int64)
         for batch in batches:
             total += model.expected(batch.column(0).to_pylist(), batch.column(1).to_pylist())
@@ -526,10 +537,10 @@ def encode(spark: SparkSession, docs: DataFrame, model: str | bytes, id_col: str
     broadcasts it: its size is that of the vocabulary.  Repeated rows each give a row; an
     empty table gives no rows; other columns are ignored.
     """
-    shared = spark.sparkContext.broadcast(_bytes(model))
+    shared = _shared(spark, _bytes(model))
 
     def run(batches):
-        model = _model(shared.value)
+        model = _model(*shared.value)
         for batch in batches:
             for piece, texts in _pieces(batch):
                 ids, bounds = model.encode_all(texts)
@@ -542,10 +553,10 @@ def encode(spark: SparkSession, docs: DataFrame, model: str | bytes, id_col: str
 
 def decode(spark: SparkSession, tokens: DataFrame, model: str | bytes, id_col: str = "doc_id", tokens_col: str = "tokens") -> DataFrame:
     """``id_col, text`` for ``tokens_col array<int>``; null tokens give an empty text."""
-    shared = spark.sparkContext.broadcast(_bytes(model))
+    shared = _shared(spark, _bytes(model))
 
     def run(batches):
-        model = _model(shared.value)
+        model = _model(*shared.value)
         for batch in batches:
             texts = [model.decode(t or ()) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["id", "t"])
@@ -557,10 +568,10 @@ def decode(spark: SparkSession, tokens: DataFrame, model: str | bytes, id_col: s
 def roundtrip(spark: SparkSession, docs: DataFrame, model: str | bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode and decode each text in one pass: ``id_col, tokens, n_bytes`` (byte
     pieces among the tokens) and ``same``: the decoded text is the text."""
-    shared = spark.sparkContext.broadcast(_bytes(model))
+    shared = _shared(spark, _bytes(model))
 
     def run(batches):
-        model = _model(shared.value)
+        model = _model(*shared.value)
         for batch in batches:
             for piece, texts in _pieces(batch):
                 ids, bounds = model.encode_all(texts)
@@ -588,15 +599,21 @@ def _trie(pieces: list[tuple[str, int]]) -> Trie:
     return _TRIES[key]
 
 
-def _model(data: bytes) -> Model:
+def _model(data: bytes, trie: Trie | None = None) -> Model:
     """One model per worker process."""
     key = hash(data)
     if key not in _MODELS:
         _MODELS.clear()
-        _MODELS[key] = Model(data)
+        _MODELS[key] = Model(data, trie)
     return _MODELS[key]
 
 
+def _shared(spark: SparkSession, data: bytes):
+    """A model's bytes and its trie for the workers: it is built once, by the driver, and
+    its size is that of the vocabulary."""
+    return spark.sparkContext.broadcast((data, _model(data).trie))
+
+
 def _pieces(batch):
     """Row ranges of a batch with about ``BATCH_CHARS`` of text, and their texts."""
     _, offsets = utf8(batch.column(1))

@@ -69,6 +69,47 @@ def test_segmentation_is_the_best_one(seed):
             assert total == pytest.approx(best_score(model, "▁" + text.replace(" ", "▁")))
 
 
+def test_long_words_do_not_depend_on_the_blocks(monkeypatch):
+    """Pieces and expected counts of a long word, looked up in blocks of any size."""
+    model = sentencepiece.Model(model_bytes(random_model(3)))
+    rng = random.Random(3)
+    for n in (49, 120, 333):
+        word = "▁" + "".join(rng.choice("abc日") for _ in range(n))
+        got = []
+        for block in (1, 7, 64, 1 << 14):
+            monkeypatch.setattr(sentencepiece, "LONG_BLOCK", block)
+            out = np.zeros(len(model.pieces), np.int64)
+            model._expect_one(word, 3, out)
+            got.append((model._segment_one(word), out.tolist()))
+        assert all(g == got[0] for g in got)
+        monkeypatch.setattr(sentencepiece, "LONG_WORD", n + 1)
+        assert model.segment([word]) == [got[0][0]]
+        assert np.abs(model.expected([word], [3]) - got[0][1]).max() <= 3 * len(word)
+        monkeypatch.undo()
+
+
+def test_products_out_of_range_go_by_logarithms():
+    """A word so unlikely that its probability is no number any more."""
+    model = sentencepiece.Model(model_bytes(BYTES + [("a", -40.0, 1), ("b", -1.0, 1), ("▁", -30.0, 1)]))
+    word = "▁" + "a" * 40
+    want = np.zeros(len(model.pieces), np.int64)
+    model._expect_one(word, 2, want)
+    assert model.expected([word], [2]).tolist() == want.tolist() and want[258] == 80 * sentencepiece.PART
+
+
+def test_words_are_counted_as_the_model_cuts_them(spark):
+    model = sentencepiece.Model(model_bytes(random_model(4)))
+    texts = ["a b  a", " ", "   x y ", "", None, "a▁b", "line\nend a", "a b  a"]
+    docs = spark.createDataFrame([(t,) for t in texts], "t string")
+    want = {}
+    for t in texts:
+        for w in model.words(t or ""):
+            want[w] = want.get(w, 0) + 1
+    assert {r.word: r.n for r in sentencepiece.word_counts(docs, True).collect()} == want
+    whole = {r.word: r.n for r in sentencepiece.word_counts(docs, False).collect()}
+    assert whole["▁a▁b▁▁a"] == 2 and "" not in whole and len(whole) == 5
+
+
 def test_encode_and_decode_tables(spark, tmp_path):
     path = str(tmp_path / "m.model")
     with open(path, "wb") as f:
