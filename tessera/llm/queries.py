@@ -81,9 +81,16 @@ def op3(spark, sf_dir):
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^.!?\n]*[.!?\n]+[ \t\r\n]*|[^.!?\n]+') AS p FROM documents),
 q AS (SELECT doc_id, p, list_transform(p, lambda x: list_filter(regexp_split_to_array(x, '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS w FROM d),
 r(n, least) AS (VALUES (3, 8), (2, 25), (1, 50)),
-s AS (SELECT doc_id, n, unnest(range(1, len(p) - n + 2)) AS i, w, least FROM q, r WHERE len(p) >= n),
-t AS (SELECT doc_id, n, i, array_to_string(list_transform(w[i:i + n - 1], lambda x: array_to_string(x, ' ')), chr(10)) AS g FROM s
-      WHERE list_sum(list_transform(w[i:i + n - 1], lambda x: len(x))) >= least),
+l AS (SELECT doc_id, i, c, sum(c) OVER (PARTITION BY doc_id ORDER BY i) AS upto
+      FROM (SELECT doc_id, unnest(range(1, len(p) + 1)) AS i, unnest(list_transform(w, lambda x: len(x))) AS c FROM q)),
+z AS (SELECT doc_id, i, upto, upto - c AS before, upto - 25 AS most, upto - c + 25 AS least FROM l WHERE c > 0),
+s AS (
+  SELECT doc_id, i, n FROM (SELECT doc_id, n, least, w, unnest(range(1, len(p) - n + 2)) AS i FROM q, r WHERE len(p) >= n)
+  WHERE list_sum(list_transform(w[i:i + n - 1], lambda x: len(x))) >= least
+  UNION SELECT a.doc_id, a.i, b.i - a.i + 1 FROM z a ASOF JOIN z b ON a.doc_id = b.doc_id AND a.least <= b.upto
+  UNION SELECT a.doc_id, b.i, a.i - b.i + 1 FROM z a ASOF JOIN z b ON a.doc_id = b.doc_id AND a.most >= b.before),
+t AS (SELECT doc_id, n, i, array_to_string(list_transform(w[i:i + n - 1], lambda x: array_to_string(x, ' ')), chr(10)) AS g
+      FROM s JOIN q USING (doc_id)),
 f AS (SELECT g, min((doc_id, i)) AS first, count(*) AS c FROM t GROUP BY g HAVING count(*) > 1),
 c AS (SELECT t.doc_id, t.n, t.i, (f.first)[1] AS src FROM t JOIN f ON f.g = t.g WHERE (t.doc_id, t.i) <> f.first),
 k AS (SELECT doc_id, list(DISTINCT j) AS js FROM (SELECT doc_id, unnest(range(i, i + n)) AS j FROM c) GROUP BY 1),
@@ -95,8 +102,7 @@ FROM d LEFT JOIN k ON k.doc_id = d.doc_id LEFT JOIN o ON o.doc_id = d.doc_id
 """)
 def op4(spark, sf_dir):
     """Documents without sentences of repeated runs."""
-    # The runs of the oracle SQL; those that grow to a word minimum are not in it.
-    out = spans.dedup_spans(spark, read(spark, sf_dir, "documents"), grow=None)
+    out = spans.dedup_spans(spark, read(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_sentences", "n_removed", F.sha2(F.encode("text", "UTF-8"), 256).alias("text_sha256"),
                       F.try_element_at("sources", F.lit(1)).alias("first_source"),
                       F.coalesce(F.size("sources"), F.lit(0)).cast("long").alias("n_sources"))

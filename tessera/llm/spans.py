@@ -72,21 +72,23 @@ def runs(parts: list[str], rules=RUNS, grow: int | None = GROW):
 def _spans(rules, grow):
     def run(batches):
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            out = ([], [], [], [])
+            which, at, size, hashes = [], [], [], []
 
             def flush():
-                made = pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()),
-                                                   pa.array(out[2], pa.int32()), pa.array(out[3], pa.binary())], ["id", "at", "n", "hash"])
-                for column in out:
+                keys = batch.select(["id", "h1", "h2"]).take(pa.array(which, pa.int32()))
+                made = pa.RecordBatch.from_arrays([*keys.columns, pa.array(at, pa.int32()), pa.array(size, pa.int32()),
+                                                   pa.array(hashes, pa.binary())], ["id", "h1", "h2", "at", "n", "hash"])
+                for column in (which, at, size, hashes):
                     column.clear()
                 return made
 
-            for ident, text in zip(ids, batch.column(1)):
+            for k, text in enumerate(batch.column("t")):
                 for i, n, h in runs(sentences(text.as_py()), rules, grow):
-                    for column, value in zip(out, (ident, i, n, h)):
-                        column.append(value)
-                if len(out[0]) > 20_000:
+                    which.append(k)
+                    at.append(i)
+                    size.append(n)
+                    hashes.append(h)
+                if len(at) > 20_000:
                     yield flush()
             yield flush()
     return run
@@ -113,22 +115,26 @@ def dedup_spans(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
     the text without the sentences that a repeated run covers, and the ids of the
     documents that hold those runs first (its own id where a text repeats itself).
 
-    The first of equal runs is that of the least (id, position), a null id before
-    all others; it stays.  Rows of one id count as one document.  Null or empty
-    texts have no sentences; an empty table gives no rows; other columns are
-    ignored.  Without ``grow`` only the runs of ``rules`` count.  A run of any number of occurrences costs a partial minimum and a
-    join that the planner can split; no group is gathered.
+    A row is named by its id and a 128-bit hash of its text, so that each text of an id,
+    or of no id, is cut at its own sentences; rows that are equal in both count as one
+    and are cut alike.  The first of equal runs is that of the least (id, text hash,
+    position), a null id before all others; it stays.  Null or empty texts have no
+    sentences; an empty table gives no rows; other columns are ignored.  Without
+    ``grow`` only the runs of ``rules`` count.  A run of any number of occurrences costs
+    a partial minimum and a join that the planner can split; no group is gathered.
     """
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
-    spans = base.mapInArrow(_spans(rules, grow), "id long, at int, n int, hash binary")
-    again = (spans.groupBy("hash").agg(F.min(F.struct("id", "at")).alias("first"), F.max(F.struct("id", "at")).alias("last"))
-             .filter("first <> last"))
+    base = base.select("id", F.xxhash64("t").alias("h1"), F.xxhash64(F.lit(1), "t").alias("h2"), "t")
+    key = ["id", "h1", "h2"]
+    place = F.struct(*key, "at")
+    spans = base.mapInArrow(_spans(rules, grow), "id long, h1 long, h2 long, at int, n int, hash binary")
+    again = spans.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first <> last")
     again = stored(spark, again.select("hash", "first"), "repeated")
-    covers = spans.join(again, "hash").filter(~F.struct("id", "at").eqNullSafe(F.col("first")))
-    marks = (covers.select("id", F.explode(F.sequence(F.col("at"), F.col("at") + F.col("n") - 1)).alias("at"), F.col("first.id").alias("source"))
-             .groupBy("id").agg(F.collect_set("at").alias("covered"), F.sort_array(F.collect_set("source")).alias("sources")))
-    marks = stored(spark, marks, "covered").withColumnRenamed("id", "marked")
-    rows = base.join(marks, F.col("id").eqNullSafe(F.col("marked")), "left")
+    covers = spans.join(again, "hash").filter(~place.eqNullSafe(F.col("first")))
+    marks = (covers.select(*key, F.explode(F.sequence(F.col("at"), F.col("at") + F.col("n") - 1)).alias("at"), F.col("first.id").alias("source"))
+             .groupBy(*key).agg(F.collect_set("at").alias("covered"), F.sort_array(F.collect_set("source")).alias("sources")))
+    marks = stored(spark, marks, "covered").select(F.col("id").alias("marked"), F.col("h1").alias("m1"), F.col("h2").alias("m2"), "covered", "sources")
+    rows = base.join(marks, (F.col("h1") == F.col("m1")) & (F.col("h2") == F.col("m2")) & F.col("id").eqNullSafe(F.col("marked")), "left")
     return (rows.select("id", "t", "covered", "sources")
             .mapInArrow(_cut, "id long, n_sentences long, n_removed long, text string, sources array<long>")
             .withColumnRenamed("id", id_col))
