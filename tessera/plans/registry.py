@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.derived import last_segment, size_kb
+from tessera.functions.derived import iso_utc, last_segment, size_kb, truncate
 from tessera.functions.predicates import is_date_literal, is_missing
 from tessera.functions.rounding import py_round
 from tessera.functions.rounding import py_round_sql as R
@@ -784,7 +784,7 @@ def q_stream_deadline(spark, sf_dir):
 def results_roundtrip(spark, sf_dir):
     """Write one result document per arm (K5) and read them back (S3)."""
     out = shared_dir(spark, "sinks", "results")
-    sink_ops.write_results(run_ops.result_documents(B.runs(spark, sf_dir)), out)
+    sink_ops.write_results(run_ops.result_documents(B.runs(spark, sf_dir), B.cases(spark, sf_dir)), out)
     return res_ops.with_arm(res_ops.read_results(spark, out, multiline=False))
 
 
@@ -802,6 +802,53 @@ def q_results_sizes(spark, sf_dir):
     return s.select("arm", "pos", "level", "rows", "success", "proc_seconds", "rows_per_sec")
 
 
+@query("results_cases", O.with_ctes("""
+SELECT 'D' AS experiment, arm, test, outcome AS status, expected_status FROM first_cases
+UNION ALL SELECT 'H', arm, test, status, expected_status FROM first_cases""", "first_cases"))
+def q_results_cases(spark, sf_dir):
+    """Failure-injection and policy cases of the documents written and read back."""
+    docs = results_roundtrip(spark, sf_dir)
+    d = res_ops.failure_cases(docs).select(F.lit("D").alias("experiment"), "arm", "test", "status", "expected_status")
+    h = res_ops.failure_cases(docs, "H_iam_fidelity", "tests", "actual")
+    return d.unionByName(h.select(F.lit("H").alias("experiment"), "arm", "test", "status", "expected_status"))
+
+
+@query("results_metrics", O.with_ctes("""
+SELECT arm, level, metric, value FROM (
+  SELECT arm, level, files_per_sec, proc_seconds, n_ok / level * 100 AS success_rate FROM levels)
+UNPIVOT (value FOR metric IN (files_per_sec, proc_seconds, success_rate))""", "levels"))
+def q_results_metrics(spark, sf_dir):
+    """Scalar metrics of the documents' parallel-scaling results."""
+    par = res_ops.parallel_results(results_roundtrip(spark, sf_dir))
+    long = res_ops.scalar_metrics(par, ["arm", "level"], ["arm", "files_per_sec", "proc_seconds", "success_rate"])
+    return long.where("value IS NOT NULL")
+
+
+@query("results_latest", """
+SELECT CASE WHEN event_id % 2 = 0 THEN 'a' ELSE 'b' END AS environment, count(*) AS num_runs,
+  strftime(max(ts), '%Y-%m-%dT%H:%M:%S.%fZ') AS "timestamp" FROM events GROUP BY 1""")
+def q_results_latest(spark, sf_dir):
+    """Of two documents per environment the newer file; its timestamp is the last run's."""
+    out = shared_dir(spark, "sinks", "results")
+    runs = B.runs(spark, sf_dir)
+    sink_ops.write_results(run_ops.result_documents(runs.where("level <= 3")), out)
+    sink_ops.write_results(run_ops.result_documents(runs), out)
+    newest = res_ops.latest_per_environment(res_ops.read_results(spark, out, multiline=False))
+    return newest.select("environment", F.col("experiments.B_e2e_timing.num_runs").alias("num_runs"), "timestamp")
+
+
+@query("text_forms", """
+SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS iso, left(props || repeat('x', user_id % 300), 200) AS message,
+  'uploads/' || event_type || '/' || event_id || '.csv' AS key, event_type || '_' || event_id || '.csv' AS file_name FROM events""")
+def q_text_forms(spark, sf_dir):
+    """P6, P7 and slices: ISO text of a time, an error text cut to 200 characters."""
+    ev = read_table(spark, sf_dir, "events")
+    message = F.concat("props", F.expr("repeat('x', int(user_id % 300))"))
+    key = F.concat(F.lit("uploads/"), "event_type", F.lit("/"), F.col("event_id").cast("string"), F.lit(".csv"))
+    return ev.select("event_id", iso_utc("ts").alias("iso"), truncate(message, 200).alias("message"), key.alias("key"),
+                     F.concat("event_type", F.lit("_"), last_segment(key)).alias("file_name"))
+
+
 @query("sink_report", """
 SELECT 'cmp_metrics' AS table_name, CAST(count(*) AS BIGINT) AS n_rows FROM (""" + QUERIES["cmp_metrics"][1] + """)
 UNION ALL SELECT 'cmp_sizes', CAST(count(*) AS BIGINT) FROM (""" + QUERIES["cmp_sizes"][1] + """)

@@ -145,7 +145,7 @@ def events_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     Defects by construction: 'error' files have short rows (event_id % 37 = 0),
     'click' files long rows (event_id % 41 = 0), every 'purchase' file an
     over-long first row, 'signup' files an invalid UTF-8 byte
-    (event_id % 53 = 0), 'view' files a quoted field with a comma.
+    (event_id % 53 = 0), 'view' files a quoted field with a comma, a line end and quotes.
     """
     ev = read_table(spark, sf_dir, "events")
     t, eid = F.col("event_type"), F.col("event_id")
@@ -154,7 +154,7 @@ def events_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         t, eid, F.col("user_id"), F.col("value"), F.col("ts"))
     first = f.groupBy("file").agg(F.min("event_id").alias("first_id"))
     f = f.join(first, "file")
-    note = (F.when(t == "view", F.lit('"seen, twice"'))
+    note = (F.when(t == "view", F.lit('"seen,\ntwice ""over"""'))
             .when((t == "signup") & (eid % 53 == 0),
                   F.concat(F.lit("sign"), F.unhex(F.lit("FF")).cast("string")))
             .otherwise(t))
