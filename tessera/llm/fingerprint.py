@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import ascii_lower, partitions, stored
 
-SAMPLES = 64
+SAMPLES = 40
 GROUP = 2                    # samples of one row: the generated method stays small enough to be compiled
 _SCALE = float(1 << 23)      # resolution of the logarithm that samples are compared by
 _SHIFT = 128.0
