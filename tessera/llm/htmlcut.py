@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 import pickle
 import re
+from bisect import bisect_left
 from collections import deque
 from html import unescape
 
@@ -38,10 +39,13 @@ CHROME_WORDS = frozenset("ad ads advert advertisement adverts banner sponsor spo
                          "footer header masthead breadcrumb breadcrumbs cookie cookies consent notice popup modal newsletter subscribe signup "
                          "share sharing social related recommended comment comments respond reply replies disqus widget toolbar pagination "
                          "pager login search form".split())
+# Words that only say where in a layout a named part is.
+LAYOUT_WORDS = frozenset("area bar block bottom box btn button buttons col column container content global group head icons inner item items left link links list "
+                         "main outer page panel part primary right row secondary section site slot sub top unit wrap wrapper".split())
 _RAW = "|".join(t for t in DROPPED if t != "head")
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<({_RAW})(?=[\s/>])[^>]*+>(?:.*?</\1\s*+>|.*\Z)"
+    rf"|<({_RAW})(?=[\s/>])[^>]*+>"
     r"|<(/?)([A-Za-z][A-Za-z0-9:-]*+)((?:[^>\"']++|\"[^\"<]*+\"|'[^'<]*+')*+|[^>]*+)>"
     r"|<[!?/][^>]*+>",
     re.S | re.I)
@@ -50,6 +54,43 @@ _HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*[\"']?tru
 _WORD = re.compile(r"[a-z]+")
 
 
+def _tokens(html: str):
+    """(start, end, match) of comments, tags and dropped elements, these with all they
+    hold.  A dropped element that closes itself, or is never closed, is its tag alone;
+    only an unclosed script or style goes on to the end, as it does in HTML."""
+    closings: dict[str, tuple[list[int], list[int]]] = {}
+    at = 0
+    while m := _TOKEN.search(html, at):
+        at = m.end()
+        if m[1] and not m[0].endswith("/>"):
+            name = m[1].lower()
+            if name not in closings:
+                ends = [(c.start(), c.end()) for c in re.finditer(rf"</{name}\s*+>", html, re.I)]
+                closings[name] = [a for a, _ in ends], [b for _, b in ends]
+            starts, ends = closings[name]
+            i = bisect_left(starts, at)
+            if i < len(starts):
+                at = ends[i]
+            elif name in ("script", "style"):
+                at = len(html)
+        yield m.start(), at, m
+
+
+def _said(names: str) -> int:
+    """What class or id names say: -1 furniture, 1 content, 0 nothing.  A name says so if
+    all its words do, those of the layout aside: ``social-share`` and ``sidebar-left`` are
+    furniture, ``side-note`` and ``share-of-market`` are not."""
+    said = 0
+    for name in names.lower().split():
+        words = set(_WORD.findall(name))
+        told = words - LAYOUT_WORDS
+        if words & CHROME_WORDS and told <= CHROME_WORDS:
+            return -1
+        if words & CONTENT_WORDS and told <= CONTENT_WORDS:
+            said = 1
+    return said
+
+
 class Block:
     """A block's text and what its place says: ``place`` is +1 in content, -1 in
     page furniture by tag name, ``names`` the same by class and id words."""
@@ -67,11 +108,7 @@ def _role(tag: str, attrs: str, place: int, names: int) -> tuple[int, int]:
         if _HIDDEN.search(attrs):
             return -1, -1
         for m in _NAMES.finditer(attrs):
-            words = set(_WORD.findall((m[1] or m[2] or m[3] or "").lower()))
-            if words & CHROME_WORDS:
-                said = -1
-            elif words & CONTENT_WORDS and said == 0:
-                said = 1
+            said = min(said, 0) or _said(m[1] or m[2] or m[3] or "")
     if tag in CONTENT_TAGS and place >= 0:
         place, names = 1, max(said, 0) if said >= 0 else -1
         return place, names
@@ -111,13 +148,13 @@ def blocks(html: str) -> list[Block]:
                 return
 
     head = False
-    for m in _TOKEN.finditer(html):
-        if m.start() > at and not head:
-            piece = html[at:m.start()]
+    for start, end, m in _tokens(html):
+        if start > at and not head:
+            piece = html[at:start]
             text.append(piece)
             if in_link:
                 linked += len(piece)
-        at = m.end()
+        at = end
         tag = m[3]
         if tag is None:
             if not head:

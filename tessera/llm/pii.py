@@ -24,6 +24,7 @@ WINDOW, OWN = 96, 48         # characters of a window, and of the part in its mi
 HIDDEN = 16
 TRAIN_DOCS = 300             # most documents that the network is trained on
 TRAIN_WINDOWS = 768
+TRAIN_SPANS, TRAIN_DECOYS = 8, 4     # most spans, and most other numbers, that a text gives, drawn from all of it
 MASKS = {"email": "<EMAIL>", "ip": "<IP>", "card": "<CARD>", "phone": "<PHONE>"}
 _CLASSES = 133
 _BATCH = 512                 # windows decoded together
@@ -36,6 +37,7 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"(?<![0-9])[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+_MARK = re.compile(r"[0-9@]")
 # What any span of the four kinds must hold: a digit, or a sign for "at".
 _TRIGGER = re.compile(r"[\d@＠]|[\[({]\s?at\s?[\])}]")
 
@@ -275,17 +277,22 @@ def _decoy(rng) -> str:
                            f"{digits(2)}:{digits(2)}", f"{digits(3)},{digits(3)}", "@", "user@", f'token = "{hexes}"', f"#{digits(5)}"]))
 
 
+def _some(rng, items: list, most: int) -> list:
+    """At most ``most`` of the items, any of them as likely, in their order."""
+    return items if len(items) <= most else [items[i] for i in sorted(rng.choice(len(items), most, replace=False))]
+
+
 def training_windows(texts: list[str], most: int = TRAIN_WINDOWS, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """Windows and tags: surroundings of the patterns' matches in ``texts``, one half
     with the value replaced by an invented one, and as many with decoys."""
-    rng = np.random.default_rng(seed)
+    rng, pick = np.random.default_rng(seed), np.random.default_rng(seed + 1)
     contexts = []
     for text in texts:
         spans = base_spans(text)
-        for a, kind, b in spans[:8]:
+        for a, kind, b in _some(pick, spans, TRAIN_SPANS):
             if b - a < WINDOW // 2 and not any(x[0] < b and a < x[2] for x in spans if x != (a, kind, b)):
                 contexts.append((text[max(0, a - WINDOW):a], kind, text[a:b], text[b:b + WINDOW]))
-        for m in list(re.finditer(r"[^\s]*[0-9@][^\s]*", text[:20_000]))[:4]:
+        for m in _some(pick, [m for m in re.finditer(r"[^\s]+", text) if _MARK.search(m[0])], TRAIN_DECOYS):
             if not any(x[0] < m.end() and m.start() < x[2] for x in spans):
                 contexts.append((text[max(0, m.start() - WINDOW):m.start()], -1, m[0][:WINDOW], text[m.end():m.end() + WINDOW]))
     if not contexts:
@@ -362,7 +369,7 @@ def network_tags(tagger: Tagger, texts: list[str]) -> list[dict[int, int]]:
 
 
 def added_spans(text: str, tags: dict[int, int], base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Runs of one kind in the tag sequence, trimmed, that are plausible and meet no base span."""
+    """Runs of one kind in the tag sequence, cut where base spans are, trimmed, that are plausible."""
     out, start, kind, last = [], None, None, None
     runs = []
     for at in sorted(tags):
@@ -374,7 +381,16 @@ def added_spans(text: str, tags: dict[int, int], base: list[tuple[int, int, int]
         last = at
     if start is not None:
         runs.append((start, kind, last + 1))
+    parts = []
     for a, k, b in runs:
+        for x, _, y in base:            # by start; what a base span covers is told already
+            if a < y and x < b:
+                if a < x:
+                    parts.append((a, k, x))
+                a = y
+        if a < b:
+            parts.append((a, k, b))
+    for a, k, b in parts:
         # A run that begins or ends within a word leaves that word out.
         if a > 0 and text[a - 1].isalnum() and text[a].isalnum():
             a += re.match(r"\w*", text[a:b]).end()
@@ -382,7 +398,7 @@ def added_spans(text: str, tags: dict[int, int], base: list[tuple[int, int, int]
             b -= re.match(r"\w*", text[a:b][::-1]).end()
         piece = text[a:b]
         a, b = a + len(piece) - len(piece.lstrip(" \t\r\n,;:")), b - (len(piece) - len(piece.rstrip(" \t\r\n,;:.")))
-        if a < b and plausible(k, text[a:b]) and not any(x < b and a < y for x, _, y in base):
+        if a < b and plausible(k, text[a:b]):
             out.append((a, k, b))
     return out
 

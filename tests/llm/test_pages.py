@@ -192,3 +192,30 @@ def test_repeated_rows_null_ids_and_no_rows(spark):
     assert sorted((r.doc_id or 0) for r in got) == [0, 1, 1, 2, 2]
     assert len({(r.fingerprint, r.near_next) for r in got if r.doc_id == 1}) == 1
     assert fingerprint.fingerprints(spark, df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("html,texts", [
+    ("<p>a <svg/> b goes on.</p><p>More.</p>", ["a b goes on.", "More."]),
+    ("<p>x</p><noscript><p>y z</p>", ["x", "y z"]),
+    ("<p>x</p><video src=x><p>y</p><video>gone</video>z", ["x", "z"]),
+    ("<p>x</p><VIDEO src=x><p>y</p>", ["x", "y"]),
+    ("<p>x</p><script>var a = '<p>no</p>';", ["x"]),
+    ("<option>one<option>two<p>three</p>", ["one two", "three"]),
+    ("a<style>b</style >c<iframe></iframe>d", ["a c d"])])
+def test_dropped_elements_take_no_other_text(html, texts):
+    assert [" ".join(b.text.split()) for b in htmlcut.blocks(html)] == texts
+
+
+@pytest.mark.parametrize("names,said", [
+    ("side-note", 0), ("share-of-market", 0), ("sidebar-left", -1), ("social-share", -1), ("ad-slot", -1), ("post-content", 1), ("entry", 1),
+    ("widget wide", -1), ("story related", -1), ("main", 1), ("", 0), ("cookie_notice__inner", -1), ("commentary", 0)])
+def test_names_speak_by_all_their_words(names, said):
+    assert htmlcut._said(names) == said
+
+
+def test_ordinary_names_leave_an_article_whole():
+    body = "".join(f"<p class='side-note'>Sentence {i} of the article says a little more than the one before it.</p>" for i in range(6))
+    page = f"<nav><a href=x>Home</a></nav><article><div id=share-of-market>{body}</div></article><footer>Copyright 2020</footer>"
+    found = htmlcut.blocks(page)
+    assert [b.names for b in found if b.text.startswith("Sentence")] == [0] * 6
+    assert [b.place for b in found if b.text.startswith("Sentence")] == [1] * 6

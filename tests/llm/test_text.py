@@ -366,3 +366,23 @@ def test_table_of_edge_rows(spark, tagger):
     hidden = {r.doc_id: r.text for r in pii.masked(spark, df, tagger=tagger).collect()}
     assert hidden[0] is None and hidden[2] == "plain" and hidden[3] == "mail <EMAIL> and <IP> é <PHONE> x"
     assert pii.find(spark, df.limit(0), tagger=tagger).count() == 0
+
+
+def test_runs_are_cut_at_base_spans():
+    """A phone that the pattern loses to the number behind it."""
+    text = "call +1 (826) 555-4081 190.137.4.5 or so"
+    base = pii.base_spans(text)
+    assert [text[a:b] for a, _, b in base] == ["190.137.4.5"]
+    tags = {i: 8 for i in range(5, 34)}
+    tags[5] = 7
+    assert [(text[a:b], pii.KINDS[k]) for a, k, b in pii.added_spans(text, tags, base)] == [("+1 (826) 555-4081", "phone")]
+    inside = {i: 8 for i in range(23, 34)}
+    assert pii.added_spans(text, inside, base) == []
+
+
+def test_training_draws_from_whole_texts():
+    text = " ".join(["word"] * 9000) + " number 12345678901 here " + " ".join(["word"] * 100)
+    rng = np.random.default_rng(1)
+    assert pii._some(rng, [1, 2], 3) == [1, 2] and len(set(pii._some(rng, list(range(100)), 4))) == 4
+    x, _ = pii.training_windows([text], most=64)
+    assert (x != pii.training_windows([""], most=64)[0]).any()
