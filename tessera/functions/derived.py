@@ -12,12 +12,6 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def decoded_path(col) -> Column:
-    """Spark's ``_metadata.file_path`` is a percent-encoded URI; decode it
-    without turning '+' into a space, so it equals a file-system listing."""
-    return F.url_decode(F.replace(_c(col), F.lit("+"), F.lit("%2B")))
-
-
 def last_segment(col) -> Column:
     """File name = last '/'-separated segment of a key or path."""
     return F.element_at(F.split(_c(col), "/"), -1)

@@ -111,18 +111,6 @@ def qualify(spark: SparkSession, path: str) -> str:
     return fs.makeQualified(p).toString()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make ``DataFrame.checkpoint()`` use the shared folder named by
-    ``spark.checkpoint.dir`` (a private folder only when none is configured)."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    base = spark.conf.get("spark.checkpoint.dir", None) or _own_folder(spark)
-    sc.setCheckpointDir(base)
-    return sc.getCheckpointDir()
-
-
 def pyarrow_filesystem(path: str):
     """(pyarrow filesystem, path) for a Hadoop-style URI, for Python code in
     tasks that reads or writes single objects.  Hadoop's S3 connector names
