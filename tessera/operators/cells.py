@@ -22,15 +22,15 @@ def to_cells(df: DataFrame, id_cols: Sequence[str] = ("file_name", "row_no"),
 
     ``ordinal`` is the 1-based position of the column in ``value_cols`` (the
     header order), ``column`` its name and ``value`` the cell as text.  With
-    ``spread`` an input with too few partitions is first spread over the
+    ``spread`` an input whose rows lie in few partitions is first spread over the
     cluster (see ``ensure_parallelism``), hash-partitioned on the id columns,
     which must identify a row.
     """
     id_cols = list(id_cols)
-    if spread:
-        df = ensure_parallelism(df, unique_cols=id_cols)
     if value_cols is None:
         value_cols = [c for c in df.columns if c not in id_cols]
+    if spread:
+        df = ensure_parallelism(df, unique_cols=id_cols, width=len(value_cols))
     cells = [
         F.struct(F.lit(i).alias("ordinal"), F.col(f"`{c}`").cast("string").alias("value")).alias(c)
         for i, c in enumerate(value_cols, start_ordinal)
@@ -43,11 +43,11 @@ def to_cells(df: DataFrame, id_cols: Sequence[str] = ("file_name", "row_no"),
 def ordered_rows(df: DataFrame, name: str = "row_no") -> DataFrame:
     """``df`` read from files, with a row number that follows (path, position in the
     file).  Files are numbered in path order; their table, one thin row per file, is
-    joined only if there are several."""
+    joined only if there are several, and broadcast: the rows stay where they are read."""
     at = F.col("_metadata.row_index")
     if len(df.inputFiles()) <= 1:
         return df.withColumn(name, at)
     paths = df.select(F.col("_metadata.file_path").alias("_path")).distinct()
     paths = paths.withColumn("_file", F.row_number().over(Window.orderBy("_path")).cast("bigint"))
-    rows = df.select("*", F.col("_metadata.file_path").alias("_path"), at.alias("_at")).join(paths, "_path")
+    rows = df.select("*", F.col("_metadata.file_path").alias("_path"), at.alias("_at")).join(F.broadcast(paths), "_path")
     return rows.withColumn(name, F.col("_file") * (1 << 40) + F.col("_at")).drop("_path", "_file", "_at")

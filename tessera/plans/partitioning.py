@@ -5,22 +5,29 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+LEAST_CELLS = 1 << 18    # a task of fewer cells takes about a second: not worth a shuffle
+TASK_CELLS = 1 << 23     # cells of a partition, where rows are spread
 
 
 def ensure_parallelism(df: DataFrame, min_partitions: int | None = None,
-                       unique_cols: Sequence[str] = ()) -> DataFrame:
-    """Spread an input that arrives in fewer partitions than the cluster runs
-    in parallel (one small file, one parquet row group) before CPU-heavy
-    per-row work; a no-op for large inputs, whose scans already yield far more
-    splits than cores.
+                       unique_cols: Sequence[str] = (), width: int = 1) -> DataFrame:
+    """Spread an input of which one partition holds more than twice its share of the
+    rows (one small file, one parquet row group, however many splits its file has)
+    before CPU-heavy work on ``width`` cells a row; a no-op for inputs that already
+    arrive evenly, which are not shuffled.
+
+    The rows of each partition are counted first: of a scan that takes the files'
+    footers alone, no column is read.
 
     With ``unique_cols`` (a per-row unique key such as (file, row_no)) rows are
     hash-partitioned on it: deterministic under task retries and free of skew
     since every key is distinct.  Otherwise round-robin (Spark sorts each map
     partition first to keep it deterministic)."""
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    sizes = df.select(F.spark_partition_id().alias("p")).groupBy("p").agg(F.count(F.lit(1)).alias("n"))
+    largest, total = sizes.agg(F.max("n"), F.sum("n")).first()
+    if (largest or 0) * width <= LEAST_CELLS or largest * target <= 2 * total:
         return df
-    if unique_cols:
-        return df.repartition(target, *unique_cols)
-    return df.repartition(target)
+    return df.repartition(max(target, -(-total * width // TASK_CELLS)), *unique_cols)

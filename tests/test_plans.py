@@ -67,3 +67,51 @@ def test_reconcile_joins_on_the_key_without_reshuffling_the_aggregate(spark):
     assert "SortMergeJoin" in p
     # one exchange for the partial aggregate of line items, one for orders
     assert p.count("Exchange hashpartitioning") == 2
+
+
+def _one_row_group(spark, folder, rows):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    path = f"{folder}/one.parquet"
+    pq.write_table(pa.table({"k": list(range(rows)), "t": [f"text {i * 7919 % rows:09d}" for i in range(rows)]}), path,
+                   row_group_size=rows, compression="none", use_dictionary=False)
+    return spark.read.parquet(path)
+
+
+def test_one_row_group_of_many_splits_is_spread(spark, tmpdir_path):
+    from tessera.operators.cells import to_cells
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        df = _one_row_group(spark, tmpdir_path, 300_000)
+        assert df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+        cells = to_cells(df, ("k",), ["t"])
+        sizes = [r["count"] for r in cells.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert sum(sizes) == 300_000 and max(sizes) < 150_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_even_files_are_not_shuffled_for_cells(spark, tmpdir_path):
+    from tessera.operators.cells import ordered_rows, to_cells
+    spark.range(0, 40_000, 1, 8).selectExpr("id", "cast(id as string) AS t").write.parquet(tmpdir_path + "/t")
+    df = spark.read.parquet(tmpdir_path + "/t")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")       # as for a table of unknown size
+    try:
+        rows = ordered_rows(df)
+        cells = to_cells(rows.select(F.lit("t").alias("file_name"), "row_no", "t"))
+        plan = cells._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "hashpartitioning(row_no" not in plan and "hashpartitioning(file_name" not in plan
+        assert cells.select("row_no").distinct().count() == 40_000
+        in_order = [int(r["t"]) for r in rows.orderBy("row_no").collect()]
+        assert sorted(in_order) == list(range(40_000))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_dates_out_of_range_reach_no_parser():
+    import re
+
+    from tessera.functions.predicates import DATE_FORMATS
+    shapes = {name: re.compile(shape) for name, _, shape in DATE_FORMATS}
+    assert not shapes["%m/%d/%Y"].match("13/01/2022") and not shapes["%d/%m/%Y"].match("01/13/2022")
+    assert shapes["%m/%d/%Y"].match("12/31/2022") and shapes["%d/%m/%Y"].match(" 5/1/2022")
