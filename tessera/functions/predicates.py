@@ -53,12 +53,16 @@ NUMBER_START_CHARS = DIGIT_CHARS + ["+", "-", ".", "n", "N", "i", "I"] + WS_CHAR
 
 # (name, Spark datetime pattern, exact shape) in the order they are tried.
 # A day may also be a space and one digit (strptime's %d accepts " 5"); the
-# year is four digits and not 0000 (Python's calendar starts at year 1).
+# year is four digits and not 0000 (Python's calendar starts at year 1).  Months
+# and days out of range are left to no parser, which throws for each such value.
+MONTH = "(?:0?[1-9]|1[0-2])"
+DAY = "(?:0?[1-9]|[12][0-9]|3[01]| [1-9])"
+YEAR = "(?!0000)[0-9]{4}"
 DATE_FORMATS = [
-    ("%Y-%m-%d", "y-M-d", r"^(?!0000)[0-9]{4}-[0-9]{1,2}-(?:[0-9]{1,2}| [1-9])$"),
-    ("%m/%d/%Y", "M/d/y", r"^[0-9]{1,2}/(?:[0-9]{1,2}| [1-9])/(?!0000)[0-9]{4}$"),
-    ("%d/%m/%Y", "d/M/y", r"^(?:[0-9]{1,2}| [1-9])/[0-9]{1,2}/(?!0000)[0-9]{4}$"),
-    ("%Y/%m/%d", "y/M/d", r"^(?!0000)[0-9]{4}/[0-9]{1,2}/(?:[0-9]{1,2}| [1-9])$"),
+    ("%Y-%m-%d", "y-M-d", f"^{YEAR}-{MONTH}-{DAY}$"),
+    ("%m/%d/%Y", "M/d/y", f"^{MONTH}/{DAY}/{YEAR}$"),
+    ("%d/%m/%Y", "d/M/y", f"^{DAY}/{MONTH}/{YEAR}$"),
+    ("%Y/%m/%d", "y/M/d", f"^{YEAR}/{MONTH}/{DAY}$"),
 ]
 
 NUMERIC_TYPES = ("int", "float")

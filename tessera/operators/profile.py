@@ -150,10 +150,11 @@ def column_profile(cells: DataFrame, keys: Sequence[str] = ("file_name",),
     agg = _kept(agg.withColumn("n_present", F.col("n_rows") - F.col("n_missing")), "columns")
     on = [*keys, "ordinal"]
     undecided = agg.where(_undecided(each_format))
-    if undecided.isEmpty():
+    last = undecided.agg(F.max(F.greatest(*FIRST_FAILURES))).first()[0]
+    if last is None:
         agg = agg.select("*", *[F.lit(None).cast("bigint").alias(f"_before_{name}") for name in DATE_FLAG_NAMES])
     else:
-        agg = agg.join(_probe(cells, undecided, keys), on, "left")
+        agg = agg.join(_probe(cells.where(F.col("row_no") < F.lit(last)), undecided, keys), on, "left")
     wide = agg.where((F.col("n_int") == F.col("n_present")) & (F.col("n_int") > 0)
                      & ((F.col("_n_wide") > 0) | F.col("_int_sum").isNull()))
     if wide.isEmpty():
