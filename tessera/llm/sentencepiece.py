@@ -18,6 +18,7 @@ from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -173,6 +174,14 @@ class Trie:
         return found
 
 
+class _Numbers(dict):
+    """Words by number, in the order in which they are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 class Model:
     """A unigram model read from a model file's bytes.
 
@@ -203,6 +212,9 @@ class Model:
                 self.text.append(" ⁇ ".encode())
             else:
                 self.text.append(b"")
+        self._text_size = np.fromiter(map(len, self.text), np.int64, len(self.text))
+        self._text_first = np.cumsum(self._text_size) - self._text_size
+        self._text_bytes = np.frombuffer(b"".join(self.text), np.uint8)
         self.byte_fallback = len(self.byte_ids) == 256
         self.usable = np.array([i for _, i in usable], np.int64)
         self.trie = trie or _trie(usable)
@@ -219,35 +231,47 @@ class Model:
 
     def words(self, text: str) -> list[str]:
         """The marked text, cut before every marker that follows another character."""
+        return [MARKER + w for w in self._unmarked(text)]
+
+    def _unmarked(self, text: str) -> list[str]:
+        """The words without the marker that each begins with."""
         if not text:
             return []
         if not self.split:
-            return [MARKER + text.replace(" ", MARKER)]
+            return [text.replace(" ", MARKER)]
         parts = text.replace(MARKER, " ").split(" ")
         if "" not in parts:
-            return [MARKER + p for p in parts]
+            return parts
         out, run = [], 0
         for p in parts:          # an empty part is a marker that belongs to the next word
-            run += 1
             if p:
                 out.append(MARKER * run + p)
                 run = 0
+            else:
+                run += 1
         if run:
-            out.append(MARKER * run)
+            out.append(MARKER * (run - 1))
         return out
 
     def segment(self, words: list[str]) -> list[list[int]]:
         """Viterbi segmentation of every word; equal scores go to the path whose
         last piece starts first."""
-        out: list[list[int]] = [[] for _ in words]
-        short = [i for i, w in enumerate(words) if len(w) <= LONG_WORD]
-        for i, w in enumerate(words):
-            if len(w) > LONG_WORD:
-                out[i] = self._segment_one(w)
-        if short:
-            for i, ids in zip(short, self._segment_many([words[i] for i in short])):
-                out[i] = ids
-        return out
+        flat, size = self._segmented(words)
+        ids, end = flat.tolist(), np.cumsum(size).tolist()
+        return [ids[i:j] for i, j in zip([0, *end[:-1]], end)]
+
+    def _segmented(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, ids of each word)."""
+        long = np.fromiter(map(len, words), np.int64, len(words)) > LONG_WORD
+        if not long.any():
+            return self._segment_many(words)
+        flat, size = self._segment_many([w for w in words if len(w) <= LONG_WORD])
+        ones = [self._segment_one(w) for w in words if len(w) > LONG_WORD]
+        sizes = np.zeros(len(words), np.int64)
+        sizes[~long], sizes[long] = size, list(map(len, ones))
+        out, whose = np.zeros(int(sizes.sum()), np.int32), np.repeat(long, sizes)
+        out[~whose], out[whose] = flat, list(chain.from_iterable(ones))
+        return out, sizes
 
     def _lattice(self, words: list[str]):
         """(text, length, start, node, edges, groups): the places of all words' pieces.
@@ -287,7 +311,9 @@ class Model:
         groups = [(i, j) for i, j in zip([0, *cut.tolist()], [*cut.tolist(), len(src)]) if i < j]
         return text, length, start, node, (src, ids, size, weight), groups
 
-    def _segment_many(self, words: list[str]) -> list[list[int]]:
+    def _segment_many(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if not words:
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
         text, length, start, node, (src, ids, size, weight), groups = self._lattice(words)
         best = np.full(len(text) + len(words), -np.inf)
         back = np.zeros(len(best), np.int64)
@@ -311,20 +337,22 @@ class Model:
             at[which] = back[here]
             which = which[at[which] > first[which]]
         if not steps:
-            return [[] for _ in words]
+            return np.zeros(0, np.int32), np.zeros(len(words), np.int64)
         rows = np.concatenate([w for w, _, _ in reversed(steps)])
         order = np.argsort(rows, kind="stable")
-        path = np.concatenate([p for _, p, _ in reversed(steps)])[order]
-        begin = np.concatenate([k for _, _, k in reversed(steps)])[order]
+        path = np.concatenate([p for _, p, _ in reversed(steps)])[order].astype(np.int32)
         rows = rows[order]
-        bounds = np.searchsorted(rows, np.arange(len(words) + 1)).tolist()
-        ids_ = path.tolist()
-        out = [ids_[i:j] for i, j in zip(bounds[:-1], bounds[1:])]
-        for w in np.unique(rows[path < 0]).tolist():
-            i, j = bounds[w], bounds[w + 1]
-            out[w] = [x for p, k in zip(ids_[i:j], begin[i:j].tolist())
-                      for x in ([p] if p >= 0 else self._fallback(text[k - w]))]
-        return out
+        size = np.bincount(rows, minlength=len(words))
+        lone = np.flatnonzero(path < 0)
+        if len(lone):            # characters without a piece
+            begin = np.concatenate([k for _, _, k in reversed(steps)])[order]
+            ids = [self._fallback(text[k]) for k in (begin[lone] - rows[lone]).tolist()]
+            times = np.ones(len(path), np.int64)
+            times[lone] = list(map(len, ids))
+            size = np.bincount(rows, times, len(words)).astype(np.int64)
+            path = np.repeat(path, times)
+            path[path < 0] = list(chain.from_iterable(ids))
+        return path, size
 
     def _ends(self, word: str, first: int, last: int) -> list[tuple[int, list[tuple[int, int, float]]]]:
         """(end, (start, piece or -1, score) of the pieces that end there), by end, for the
@@ -435,28 +463,47 @@ class Model:
         if len(self._number) > REMEMBERED or self._chars > REMEMBERED_CHARS:
             self._forget()
         number, known = self._number, len(self._number)
-        which, counts = [], []
-        for text in texts:
-            ws = self.words(text)
-            counts.append(len(ws))
-            which.extend([number.setdefault(w, len(number)) for w in ws])
+        use, counts = self._numbered(texts)
         if len(number) > known:
-            new = list(islice(number, known, None))
+            new = [MARKER + w for w in islice(number, known, None)]
             self._chars += sum(map(len, new))
-            segmented = [ids for i in range(0, len(new), BATCH_WORDS) for ids in self.segment(new[i:i + BATCH_WORDS])]
-            size = np.fromiter(map(len, segmented), np.int64, len(new))
+            parts = [self._segmented(new[i:i + BATCH_WORDS]) for i in range(0, len(new), BATCH_WORDS)]
+            size = np.concatenate([n for _, n in parts])
             self._first = np.concatenate([self._first, len(self._flat) + np.cumsum(size) - size])
             self._size = np.concatenate([self._size, size])
-            self._flat = np.concatenate([self._flat, np.fromiter(chain.from_iterable(segmented), np.int32, int(size.sum()))])
-        use = np.array(which, np.int64)
+            self._flat = np.concatenate([self._flat, *[ids for ids, _ in parts]])
         n = self._size[use]
         begin = np.cumsum(n) - n
         ids = self._flat[np.arange(int(n.sum())) + np.repeat(self._first[use] - begin, n)]
         word_end = np.concatenate([[0], np.cumsum(n)])
         return ids, word_end[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
 
+    def _numbered(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers of all words, words of each text).  Texts without markers in a row are
+        cut together, and each of their distinct words is looked up once."""
+        number = self._number
+        column = pa.array([t.encode("utf-8", "replace") for t in texts], pa.large_binary()).cast(pa.large_string())
+        odd = pc.or_(pc.or_(pc.match_substring(column, "  "), pc.match_substring(column, MARKER)),
+                     pc.or_(pc.starts_with(column, " "), pc.equal(column, "")))
+        plain = ~odd.to_numpy(zero_copy_only=False) & self.split
+        cut = pc.split_pattern(column.filter(pa.array(plain)), " ")
+        words = cut.flatten().dictionary_encode()
+        known = np.fromiter(map(number.__getitem__, words.dictionary.to_pylist()), np.int64, len(words.dictionary))
+        known = known[words.indices.to_numpy()]
+        counts = np.zeros(len(texts), np.int64)
+        counts[plain] = pc.list_value_length(cut).to_numpy()
+        if plain.all():
+            return known, counts
+        rest = [list(map(number.__getitem__, self._unmarked(texts[i]))) for i in np.flatnonzero(~plain).tolist()]
+        counts[~plain] = list(map(len, rest))
+        whose = np.repeat(plain, counts)
+        use = np.zeros(len(whose), np.int64)
+        use[whose] = known
+        use[~whose] = np.fromiter(chain.from_iterable(rest), np.int64, int((~whose).sum()))
+        return use, counts
+
     def _forget(self) -> None:
-        self._number: dict[str, int] = {}
+        self._number = _Numbers()
         self._chars = 0
         self._flat = np.zeros(0, np.int32)
         self._first = self._size = np.zeros(0, np.int64)
@@ -467,8 +514,19 @@ class Model:
         """Text of the pieces: markers become spaces, byte pieces bytes, and the
         space that encoding put in front goes.  Bytes that are no UTF-8 become
         replacement characters; ids out of range raise IndexError."""
-        text = b"".join(map(self.text.__getitem__, ids))
-        return (text[1:] if text[:1] == b" " else text).decode("utf-8", "replace")
+        return self._unpadded(b"".join(map(self.text.__getitem__, ids))).decode("utf-8", "replace")
+
+    @staticmethod
+    def _unpadded(text: bytes) -> bytes:
+        return text[1:] if text[:1] == b" " else text
+
+    def decode_all(self, ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+        """The bytes that ``decode`` reads as UTF-8, of each range of the ids."""
+        size = self._text_size[ids]
+        end = np.concatenate([[0], np.cumsum(size)])
+        raw = self._text_bytes[np.arange(end[-1]) + np.repeat(self._text_first[ids] - end[:-1], size)].tobytes()
+        at = end[bounds].tolist()
+        return [self._unpadded(raw[a:b]) for a, b in zip(at[:-1], at[1:])]
 
 
 def unigram_model(spark: SparkSession, docs: DataFrame, model_file: str, text_col: str = "text", rounds: int = ROUNDS) -> bytes:
@@ -575,7 +633,7 @@ def roundtrip(spark: SparkSession, docs: DataFrame, model: str | bytes, id_col:
         for batch in batches:
             for piece, texts in _pieces(batch):
                 ids, bounds = model.encode_all(texts)
-                same = [model.decode(ids[a:b].tolist()) == t for a, b, t in zip(bounds[:-1], bounds[1:], texts)]
+                same = [b == t.encode() or b.decode("utf-8", "replace") == t for b, t in zip(model.decode_all(ids, bounds), texts)]
                 count = np.concatenate([[0], np.cumsum(model.is_byte[ids])])
                 yield pa.RecordBatch.from_arrays(
                     [piece.column(0), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32())),

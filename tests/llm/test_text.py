@@ -386,3 +386,18 @@ def test_training_draws_from_whole_texts():
     assert pii._some(rng, [1, 2], 3) == [1, 2] and len(set(pii._some(rng, list(range(100)), 4))) == 4
     x, _ = pii.training_windows([text], most=64)
     assert (x != pii.training_windows([""], most=64)[0]).any()
+
+
+def test_words_cut_together_are_those_cut_apart(spark):
+    model = sentencepiece.Model(sentencepiece.write_model([("<unk>", 0.0, sentencepiece.UNKNOWN), (sentencepiece.MARKER, -2.0, 1), ("a", -1.0, 1), ("b", -1.5, 1), (sentencepiece.MARKER + "a", -1.2, 1)]))
+    texts = ["", "a b", " a", "a ", "a  b", "a▁b", " ", "ab" * 60 + " b", "xé a", "▁", "a b"]
+    ids, bounds = model.encode_all(texts)
+    apart = [[i for part in model.segment(model.words(t)) for i in part] for t in texts]
+    assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == apart
+    assert [raw.decode("utf-8", "replace") for raw in model.decode_all(ids, bounds)] == [model.decode(x) for x in apart]
+    counted = {r["word"]: r["n"] for r in sentencepiece.word_counts(spark.createDataFrame([(t,) for t in texts], "t string"), True).collect()}
+    expected = {}
+    for t in texts:
+        for w in model.words(t):
+            expected[w] = expected.get(w, 0) + 1
+    assert counted == expected
