@@ -52,32 +52,35 @@ def fit(texts: list[str], labels: list[int], rounds: int = 40, rate: float = 0.2
     sets = []
     for i, j in row_pieces(np.array([len(t) for t in texts]), BATCH_CHARS):
         sets.extend(gram_sets(texts[i:j]))
+    # N-grams of few texts say nothing about others.  The sets stay apart, and no array is
+    # as long as all of them: a set holds an n-gram once, so plain indexing counts it.
+    texts_of = np.zeros(1 << BITS, np.int32)
+    for s in sets:
+        texts_of[s] += 1
+    used = np.flatnonzero(texts_of >= LEAST_TEXTS)
+    number = np.full(1 << BITS, -1, np.int32)
+    number[used] = np.arange(len(used), dtype=np.int32)
+    for i, s in enumerate(sets):
+        s = number[s]
+        sets[i] = s[s >= 0]
     size = np.array([len(s) for s in sets], np.int64)
-    flat = np.concatenate(sets)
-    del sets
-    used, flat = np.unique(flat, return_inverse=True)
-    flat = flat.astype(np.int32)
-    # N-grams of few texts say nothing about others.
-    often = np.bincount(flat, minlength=len(used)) >= LEAST_TEXTS
-    whole = np.concatenate([[0], np.cumsum(often[flat])])
-    size = whole[np.cumsum(size)] - whole[np.cumsum(size) - size]
-    flat = (np.cumsum(often) - 1)[flat[often[flat]]].astype(np.int32)
-    used = used[often]
-    positive = np.repeat(y > 0, size)
-    p = 1.0 + np.bincount(flat[positive], minlength=len(used))
-    q = 1.0 + np.bincount(flat[~positive], minlength=len(used))
+    p, q = np.ones(len(used)), np.ones(len(used))
+    for s, label in zip(sets, y):
+        (p if label > 0 else q)[s] += 1.0
     ratio = np.log(p / p.sum()) - np.log(q / q.sum())
-    start = np.cumsum(size) - size
     scale = 1.0 / np.sqrt(np.maximum(size, 1)).mean()     # one constant: keeps first steps small
     v, bias = np.zeros(len(used)), float(np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5)))
     # Both classes weigh the same in the loss.
     weight = np.where(y > 0, 0.5 / max(1.0, y.sum()), 0.5 / max(1.0, len(y) - y.sum()))
     m, s, mb, sb = np.zeros(len(used)), np.zeros(len(used)), 0.0, 0.0
     for t in range(1, rounds + 1):
-        z = np.add.reduceat((v * ratio * scale)[flat], np.minimum(start, max(0, len(flat) - 1))) if len(flat) else np.zeros(len(y))
-        z = np.where(size > 0, z, 0.0) + bias
+        each = v * ratio * scale
+        z = np.array([each[s].sum() for s in sets]) + bias
         error = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y) * weight
-        grad = np.bincount(flat, weights=np.repeat(error, size), minlength=len(used)) * ratio * scale + penalty * v / len(used)
+        grad = np.zeros(len(used))
+        for g, e in zip(sets, error.tolist()):
+            grad[g] += e
+        grad = grad * ratio * scale + penalty * v / len(used)
         gb = error.sum()
         m, s = 0.9 * m + 0.1 * grad, 0.999 * s + 0.001 * grad * grad
         mb, sb = 0.9 * mb + 0.1 * gb, 0.999 * sb + 0.001 * gb * gb

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import struct
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -222,6 +223,18 @@ def test_no_labels_and_no_rows(spark):
     assert toxicity.classify(spark, docs.limit(0), labels).count() == 0
 
 
+def test_fit_needs_little_more_memory_than_the_sets():
+    rng = np.random.default_rng(5)
+    texts = ["".join(map(chr, row)) for row in rng.integers(97, 123, (1200, 3000)).tolist()]
+    grams = 12 * sum(map(len, toxicity.gram_sets(texts[:100])))
+    tracemalloc.start()
+    try:
+        toxicity.fit(texts, [i % 2 for i in range(1200)], rounds=2)
+        assert tracemalloc.get_traced_memory()[1] < 20 * grams
+    finally:
+        tracemalloc.stop()
+
+
 # -- decontamination -----------------------------------------------------------
 
 def edit_passage(item, text):
