@@ -8,11 +8,12 @@ downstream is one hash aggregation keyed by (file, ordinal).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.plans.partitioning import ensure_parallelism
+from tessera.plans.partitioning import even_parts
 
 
 def to_cells(df: DataFrame, id_cols: Sequence[str] = ("file_name", "row_no"),
@@ -22,20 +23,19 @@ def to_cells(df: DataFrame, id_cols: Sequence[str] = ("file_name", "row_no"),
 
     ``ordinal`` is the 1-based position of the column in ``value_cols`` (the
     header order), ``column`` its name and ``value`` the cell as text.  With
-    ``spread`` an input whose rows lie in few partitions is first spread over the
-    cluster (see ``ensure_parallelism``), hash-partitioned on the id columns,
-    which must identify a row.
+    ``spread`` an input whose rows lie in few partitions is read by groups of its
+    columns, or if these do not even it out hash-partitioned on the id columns, which
+    must identify a row (see ``even_parts``).
     """
     id_cols = list(id_cols)
     if value_cols is None:
         value_cols = [c for c in df.columns if c not in id_cols]
-    if spread:
-        df = ensure_parallelism(df, unique_cols=id_cols, width=len(value_cols))
-    cells = [
-        F.struct(F.lit(i).alias("ordinal"), F.col(f"`{c}`").cast("string").alias("value")).alias(c)
+    cells = {
+        c: F.struct(F.lit(i).alias("ordinal"), F.col(f"`{c}`").cast("string").alias("value")).alias(c)
         for i, c in enumerate(value_cols, start_ordinal)
-    ]
-    long = df.unpivot(id_cols, cells, "column", "cell")
+    }
+    df, groups = even_parts(df, id_cols, value_cols) if spread else (df, [list(value_cols)])
+    long = reduce(DataFrame.unionByName, [df.unpivot(id_cols, [cells[c] for c in g], "column", "cell") for g in groups])
     return long.select(*id_cols, F.col("cell.ordinal").alias("ordinal"), "column",
                        F.col("cell.value").alias("value"))
 

@@ -91,6 +91,24 @@ def test_one_row_group_of_many_splits_is_spread(spark, tmpdir_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_columns_of_one_row_group_are_read_apart_and_no_row_moves(spark, tmpdir_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from tessera.operators.cells import ordered_rows, to_cells
+    names, rows = [f"c{i}" for i in range(6)], 150_000
+    pq.write_table(pa.table({c: [f"{c} {j * 7919 % rows:09d}" for j in range(rows)] for c in names}), f"{tmpdir_path}/one.parquet",
+                   row_group_size=rows, compression="none", use_dictionary=False)
+    df = ordered_rows(spark.read.parquet(f"{tmpdir_path}/one.parquet")).withColumn("file_name", F.lit("t"))
+    cells = to_cells(df, ("file_name", "row_no"), names)
+    assert "Exchange" not in cells._jdf.queryExecution().executedPlan().toString()
+    sizes = [r["count"] for r in cells.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(sizes) == 6 * rows and max(sizes) * spark.sparkContext.defaultParallelism <= 2 * 6 * rows
+    got = {(r["column"], r["ordinal"]): (r["n"], r["rows"], r["last"]) for r in cells.groupBy("column", "ordinal").agg(
+        F.count("*").alias("n"), F.countDistinct("row_no").alias("rows"), F.max_by("value", "row_no").alias("last")).collect()}
+    assert got == {(c, i + 1): (rows, rows, f"{c} {(rows - 1) * 7919 % rows:09d}") for i, c in enumerate(names)}
+
+
 def test_even_files_are_not_shuffled_for_cells(spark, tmpdir_path):
     from tessera.operators.cells import ordered_rows, to_cells
     spark.range(0, 40_000, 1, 8).selectExpr("id", "cast(id as string) AS t").write.parquet(tmpdir_path + "/t")
