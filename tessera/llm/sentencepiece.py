@@ -14,7 +14,7 @@ import struct
 import sys
 from array import array
 from collections.abc import Iterator
-from itertools import chain, islice
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,10 +32,9 @@ ROUNDS = 4                   # EM rounds from equal scores
 PART = 1 << 20               # expected counts are summed as whole numbers of these parts, so in any order
 LONG_WORD = 48               # longer words are segmented one by one
 LONG_BLOCK = 1 << 14         # characters of a long word whose pieces are looked up together
-BATCH_CHARS = 1 << 21        # text segmented together
-BATCH_WORDS = 1 << 13        # words segmented together
-REMEMBERED = 400_000         # words whose segmentation a worker keeps,
-REMEMBERED_CHARS = 1 << 23   # and the characters of all of them
+BATCH_CHARS = 1 << 22        # text whose distinct words are segmented once
+BATCH_WORDS = 1 << 14        # words segmented together
+COUNTED = 1 << 20            # counts that a task holds before it adds up those of a word
 SHIFT = 3.0                  # about what a character costs: keeps products of probabilities in range
 LEAST = 1e-280               # products below are too close to the least number; logarithms take their place
 
@@ -151,35 +150,75 @@ class Trie:
             for c, child in kids.items():
                 place[child] = first[node] + c
                 check[place[child]] = s
-        self.base, self.check, self.value = base, check, out
-
-    def matches(self, symbols: np.ndarray, left: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For length 1, 2, ...: the positions where a piece of that length starts,
-        and its id.  ``left``: how many symbols a piece at the position may take."""
-        at = np.flatnonzero((symbols > 0) & (left > 0))
-        state = np.zeros(len(at), np.int64)
+        # A place to look at is within the arrays, whatever the state and the symbol.
+        self.base, self.value = base, out
+        self.check = np.concatenate([check, np.full(width, -1, np.int32)])
+
+    def matches(self, symbols: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For length 1, 2, ...: the positions where a piece of that length starts, and its
+        id.  The symbol 0 is in no piece; it must be the last one."""
+        at, state = np.flatnonzero(symbols), 0
         found, length = [], 0
         while len(at):
             nxt = self.base[state] + symbols[at + length]
-            ok = (nxt < len(self.check)) & (symbols[at + length] > 0)
-            nxt = np.where(ok, nxt, 0)
-            ok &= self.check[nxt] == state
-            at, state = at[ok], nxt[ok].astype(np.int64)
+            ok = np.flatnonzero(self.check[nxt] == state)
+            at, state = at[ok], nxt[ok]
             length += 1
             ids = self.value[state]
-            end = ids >= 0
+            end = np.flatnonzero(ids >= 0)
             found.append((at[end], ids[end]))
-            go = left[at] > length
-            at, state = at[go], state[go]
         return found
 
 
-class _Numbers(dict):
-    """Words by number, in the order in which they are first asked for."""
+def _unmarked(text: str, split: bool) -> list[str]:
+    """The words of ``Model.words`` without the marker that each begins with."""
+    if not text:
+        return []
+    if not split:
+        return [text.replace(" ", MARKER)]
+    parts = text.replace(MARKER, " ").split(" ")
+    if "" not in parts:
+        return parts
+    out, run = [], 0
+    for p in parts:          # an empty part is a marker that belongs to the next word
+        if p:
+            out.append(MARKER * run + p)
+            run = 0
+        else:
+            run += 1
+    if run:
+        out.append(MARKER * (run - 1))
+    return out
+
+
+def _strings(texts) -> pa.Array:
+    """Texts, or an Arrow column of them, as an Arrow column; null is empty."""
+    if isinstance(texts, pa.Array):
+        return pc.fill_null(texts.cast(pa.large_string()), "")
+    return pa.array([t.encode("utf-8", "replace") for t in texts], pa.large_binary()).cast(pa.large_string())
+
+
+def _joined(before: str, words: pa.Array, after: str = "") -> pa.Array:
+    """Each word with what goes before and after it."""
+    return pc.binary_join_element_wise(pa.scalar(before, pa.large_string()), words, pa.scalar(after, pa.large_string()), pa.scalar("", pa.large_string()))
 
-    def __missing__(self, word: str) -> int:
-        number = self[word] = len(self)
-        return number
+
+def _cut(column: pa.Array, split: bool) -> tuple[pa.Array, np.ndarray | None, np.ndarray]:
+    """(words without the marker that each begins with, their order if it is not that of
+    the texts, words of each text).  Texts without markers in a row are cut together."""
+    odd = pc.or_(pc.or_(pc.match_substring(column, "  "), pc.match_substring(column, MARKER)),
+                 pc.or_(pc.starts_with(column, " "), pc.equal(column, "")))
+    plain = ~odd.to_numpy(zero_copy_only=False) & split
+    cut = pc.split_pattern(column.filter(pa.array(plain)), " ")
+    counts = np.zeros(len(column), np.int64)
+    counts[plain] = pc.list_value_length(cut).to_numpy()
+    if plain.all():
+        return cut.flatten(), None, counts
+    rest = [_unmarked(t, split) for t in column.filter(pa.array(~plain)).to_pylist()]
+    counts[~plain] = list(map(len, rest))
+    words = pa.concat_arrays([cut.flatten(), pa.array(chain.from_iterable(rest), pa.large_string())])
+    whose = np.repeat(plain, counts)
+    return words, np.where(whose, np.cumsum(whose), int(whose.sum()) + np.cumsum(~whose)) - 1, counts
 
 
 class Model:
@@ -222,7 +261,8 @@ class Model:
         self.split = not any(MARKER in p.lstrip(MARKER) for p, _ in usable)
         self.is_byte = np.zeros(len(pieces), bool)
         self.is_byte[list(self.byte_ids.values())] = True
-        self._forget()
+        self._weight = np.append(self.score, self.unknown_score)      # piece -1 is none
+        self._size = np.append(np.fromiter(map(len, self.pieces), np.int64, len(pieces)), 1)
 
     # -- encoding ----------------------------------------------------------
 
@@ -231,127 +271,100 @@ class Model:
 
     def words(self, text: str) -> list[str]:
         """The marked text, cut before every marker that follows another character."""
-        return [MARKER + w for w in self._unmarked(text)]
-
-    def _unmarked(self, text: str) -> list[str]:
-        """The words without the marker that each begins with."""
-        if not text:
-            return []
-        if not self.split:
-            return [text.replace(" ", MARKER)]
-        parts = text.replace(MARKER, " ").split(" ")
-        if "" not in parts:
-            return parts
-        out, run = [], 0
-        for p in parts:          # an empty part is a marker that belongs to the next word
-            if p:
-                out.append(MARKER * run + p)
-                run = 0
-            else:
-                run += 1
-        if run:
-            out.append(MARKER * (run - 1))
-        return out
+        return [MARKER + w for w in _unmarked(text, self.split)]
 
     def segment(self, words: list[str]) -> list[list[int]]:
         """Viterbi segmentation of every word; equal scores go to the path whose
         last piece starts first."""
-        flat, size = self._segmented(words)
+        flat, size = self._segmented(_strings(words))
         ids, end = flat.tolist(), np.cumsum(size).tolist()
         return [ids[i:j] for i, j in zip([0, *end[:-1]], end)]
 
-    def _segmented(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _segmented(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words, ids of each word)."""
-        long = np.fromiter(map(len, words), np.int64, len(words)) > LONG_WORD
-        if not long.any():
-            return self._segment_many(words)
-        flat, size = self._segment_many([w for w in words if len(w) <= LONG_WORD])
-        ones = [self._segment_one(w) for w in words if len(w) > LONG_WORD]
-        sizes = np.zeros(len(words), np.int64)
-        sizes[~long], sizes[long] = size, list(map(len, ones))
-        out, whose = np.zeros(int(sizes.sum()), np.int32), np.repeat(long, sizes)
-        out[~whose], out[whose] = flat, list(chain.from_iterable(ones))
-        return out, sizes
-
-    def _lattice(self, words: list[str]):
-        """(text, length, start, node, edges, groups): the places of all words' pieces.
-
-        Edges are (first character, piece or -1, size, score); each group of them,
-        given by its bounds, has distinct starts and distinct ends, and they are in
-        the order of their ends within the words."""
-        length = np.array([len(w) for w in words], np.int64)
-        text = "".join(words)
-        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-        symbols = self.trie.symbol[codes].astype(np.int64)
-        start = np.cumsum(length) - length
-        offset = np.arange(len(codes)) - np.repeat(start, length)
-        left = np.repeat(length, length) - offset
-        # node of a position: its index plus its word's number (one more node than characters)
-        node = np.arange(len(codes)) + np.repeat(np.arange(len(words)), length)
-        found = self.trie.matches(symbols, left)
-        edges = [(at, ids, n + 1) for n, (at, ids) in enumerate(found) if len(at)]
-        if edges:
-            src = np.concatenate([a for a, _, _ in edges])
-            ids = np.concatenate([i for _, i, _ in edges]).astype(np.int64)
-            size = np.concatenate([np.full(len(a), n) for a, _, n in edges])
-        else:
-            src = ids = size = np.zeros(0, np.int64)
-        single = np.zeros(len(codes), bool)
-        single[src[size == 1]] = True
-        lone = np.flatnonzero(~single)          # no one-character piece: fallback edge
-        src, ids = np.concatenate([src, lone]), np.concatenate([ids, np.full(len(lone), -1)])
-        size = np.concatenate([size, np.ones(len(lone), np.int64)])
-        weight = np.where(ids >= 0, self.score[np.maximum(ids, 0)], self.unknown_score)
+        length = pc.utf8_length(words).to_numpy()
+        long = length > LONG_WORD
+        if long.any():
+            flat, size = self._segmented(words.filter(pa.array(~long)))
+            ones = list(map(self._segment_one, words.filter(pa.array(long)).to_pylist()))
+            sizes = np.zeros(len(words), np.int64)
+            sizes[~long], sizes[long] = size, list(map(len, ones))
+            out, whose = np.zeros(int(sizes.sum()), np.int32), np.repeat(long, sizes)
+            out[~whose], out[whose] = flat, list(chain.from_iterable(ones))
+            return out, sizes
+        parts = [self._segment_many(words.slice(i, BATCH_WORDS)) for i in range(0, len(words), BATCH_WORDS)]
+        return (np.concatenate([np.zeros(0, np.int32), *[ids for ids, _ in parts]]),
+                np.concatenate([np.zeros(0, np.int64), *[n for _, n in parts]]))
+
+    def _lattice(self, words: pa.Array):
+        """(text, length, start, edges, groups): the places of all words' pieces.
+
+        The text is that of all words, each with a space after it; a place in it is a
+        node, the space being a word's last one.  Edges are (from, to, piece or -1); each
+        group of them, given by its bounds, has distinct starts and distinct ends, and
+        they are in the order of their ends within the words."""
+        length = pc.utf8_length(words).to_numpy().astype(np.int64)
+        data, _ = utf8(_joined("", words, " "))
+        text = data.tobytes().decode("utf-8")
+        symbols = self.trie.symbol[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
+        start = np.cumsum(length + 1) - (length + 1)
+        symbols[start + length] = 0
+        found = self.trie.matches(symbols)
+        # Characters without a piece of their own have a fallback edge.
+        alone = np.ones(len(text), bool)
+        alone[start + length] = False
+        if found:
+            alone[found[0][0]] = False
+        lone = np.flatnonzero(alone)
+        src = np.concatenate([*[at for at, _ in found], lone])
+        ids = np.concatenate([*[i for _, i in found], np.full(len(lone), -1, np.int32)])
+        size = np.repeat([*range(1, len(found) + 1), 1], [*[len(at) for at, _ in found], len(lone)])
         # Edges by their end, and longest first among those of one end, so that
         # each group has distinct targets.
-        end = offset[src] + size
-        order = np.argsort((end * 64 - size).astype(np.int16), kind="stable")
-        src, ids, size, weight, end = src[order], ids[order], size[order], weight[order], end[order]
-        cut = np.flatnonzero(np.diff(end * 64 - size)) + 1
+        offset = np.arange(len(text), dtype=np.int16) - np.repeat(start, length + 1).astype(np.int16)
+        key = (offset[src] + size.astype(np.int16)) * np.int16(64) - size.astype(np.int16)
+        order = np.argsort(key, kind="stable")
+        src, ids, key = src[order], ids[order], key[order]
+        cut = np.flatnonzero(key[1:] != key[:-1]) + 1
         groups = [(i, j) for i, j in zip([0, *cut.tolist()], [*cut.tolist(), len(src)]) if i < j]
-        return text, length, start, node, (src, ids, size, weight), groups
-
-    def _segment_many(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if not words:
-            return np.zeros(0, np.int32), np.zeros(0, np.int64)
-        text, length, start, node, (src, ids, size, weight), groups = self._lattice(words)
-        best = np.full(len(text) + len(words), -np.inf)
-        back = np.zeros(len(best), np.int64)
-        piece = np.full(len(best), -1, np.int64)
-        best[start + np.arange(len(words))] = 0.0
+        return text, length, start, (src, src + size[order], ids), groups
+
+    def _segment_many(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        text, length, start, (src, dst, ids), groups = self._lattice(words)
+        weight, number = self._weight[ids], np.arange(len(src))
+        best = np.full(len(text), -np.inf)
+        edge = np.zeros(len(text), np.int64)
+        best[start] = 0.0
         for i, j in groups:
-            a = node[src[i:j]]
-            b = a + size[i:j]
-            total = best[a] + weight[i:j]
+            b = dst[i:j]
+            total = best[src[i:j]] + weight[i:j]
             better = total > best[b]
             b = b[better]
-            best[b], back[b], piece[b] = total[better], a[better], ids[i:j][better]
+            best[b], edge[b] = total[better], number[i:j][better]
         # Back pointers of all words at once, last pieces first.
-        first = start + np.arange(len(words))
-        at = first + length
+        at = start + length
         which = np.flatnonzero(length > 0)
         steps = []
         while len(which):
-            here = at[which]
-            steps.append((which, piece[here], back[here]))
-            at[which] = back[here]
-            which = which[at[which] > first[which]]
+            e = edge[at[which]]
+            steps.append((which, e))
+            at[which] = src[e]
+            which = which[at[which] > start[which]]
         if not steps:
             return np.zeros(0, np.int32), np.zeros(len(words), np.int64)
-        rows = np.concatenate([w for w, _, _ in reversed(steps)])
-        order = np.argsort(rows, kind="stable")
-        path = np.concatenate([p for _, p, _ in reversed(steps)])[order].astype(np.int32)
-        rows = rows[order]
+        rows = np.concatenate([w for w, _ in reversed(steps)])
+        order = np.argsort(rows.astype(np.int16), kind="stable")       # fewer than 2**15 words
+        rows, e = rows[order], np.concatenate([e for _, e in reversed(steps)])[order]
+        path = ids[e]
         size = np.bincount(rows, minlength=len(words))
         lone = np.flatnonzero(path < 0)
         if len(lone):            # characters without a piece
-            begin = np.concatenate([k for _, _, k in reversed(steps)])[order]
-            ids = [self._fallback(text[k]) for k in (begin[lone] - rows[lone]).tolist()]
+            fallback = [self._fallback(text[k]) for k in src[e[lone]].tolist()]
             times = np.ones(len(path), np.int64)
-            times[lone] = list(map(len, ids))
+            times[lone] = list(map(len, fallback))
             size = np.bincount(rows, times, len(words)).astype(np.int64)
             path = np.repeat(path, times)
-            path[path < 0] = list(chain.from_iterable(ids))
+            path[path < 0] = list(chain.from_iterable(fallback))
         return path, size
 
     def _ends(self, word: str, first: int, last: int) -> list[tuple[int, list[tuple[int, int, float]]]]:
@@ -360,7 +373,7 @@ class Model:
         begin = max(0, first - self.longest)
         codes = np.frombuffer(word[begin:last].encode("utf-32-le", "surrogatepass"), np.uint32)
         n = len(codes)
-        found = self.trie.matches(self.trie.symbol[codes].astype(np.int64), np.arange(n, 0, -1))
+        found = self.trie.matches(np.append(self.trie.symbol[codes], np.int32(0)))
         ending: list[list[tuple[int, int, float]]] = [[] for _ in range(n + 1)]
         single = np.zeros(n, bool)
         for k in range(len(found) - 1, -1, -1):
@@ -397,40 +410,44 @@ class Model:
         out.reverse()
         return out.tolist()
 
-    def expected(self, words: list[str], counts: list[int]) -> np.ndarray:
+    def expected(self, words, counts) -> np.ndarray:
         """For every piece, how often it is expected in the words, each ``counts``
         times, over all their segmentations by probability; in parts of ``PART``."""
         out = np.zeros(len(self.pieces), np.int64)
-        short = [i for i, w in enumerate(words) if 0 < len(w) <= LONG_WORD]
-        for i, w in enumerate(words):
-            if len(w) > LONG_WORD:
-                self._expect_one(w, counts[i], out)
-        if short:
-            times = np.array([counts[i] for i in short], np.int64)
-            _, length, start, node, (src, ids, size, weight), groups = self._lattice([words[i] for i in short])
-            number = np.arange(len(short))
-            # Products of probabilities, each times e**SHIFT a character: the shares are quotients.
-            prob = np.exp(weight + SHIFT * size)
-            ahead = np.zeros(int(length.sum()) + len(short))
-            behind = ahead.copy()
-            ahead[start + number] = behind[start + length + number] = 1.0
-            a = node[src]
-            b = a + size
-            for i, j in groups:
-                ahead[b[i:j]] += ahead[a[i:j]] * prob[i:j]
-            for i, j in reversed(groups):
-                behind[a[i:j]] += behind[b[i:j]] * prob[i:j]
-            total = behind[start + number]
-            lost = ~((total > LEAST) & (total < 1 / LEAST))
-            word = a - src
-            real = (ids >= 0) & ~lost[word]
-            a, b, word, ids = a[real], b[real], word[real], ids[real]
-            share = ahead[a] * prob[real] * (behind[b] / total[word])
-            np.add.at(out, ids, np.rint(share * PART).astype(np.int64) * times[word])
-            for i in np.flatnonzero(lost).tolist():
-                self._expect_one(words[short[i]], counts[short[i]], out)
+        words, counts = _strings(words), np.asarray(counts, np.int64)
+        length = pc.utf8_length(words).to_numpy()
+        for i in np.flatnonzero(length > LONG_WORD).tolist():
+            self._expect_one(words[i].as_py(), int(counts[i]), out)
+        short = (length > 0) & (length <= LONG_WORD)
+        words, counts = words.filter(pa.array(short)), counts[short]
+        # Products of probabilities, each times e**SHIFT a character: the shares are quotients.
+        prob_of = np.exp(self._weight + SHIFT * self._size)
+        for i in range(0, len(words), BATCH_WORDS):
+            self._expect_many(words.slice(i, BATCH_WORDS), counts[i:i + BATCH_WORDS], prob_of, out)
         return out
 
+    def _expect_many(self, words: pa.Array, times: np.ndarray, prob_of: np.ndarray, out: np.ndarray) -> None:
+        """The same for many short words, added to ``out``."""
+        text, length, start, (src, dst, ids), groups = self._lattice(words)
+        prob = prob_of[ids]
+        ahead = np.zeros(len(text))
+        behind = ahead.copy()
+        ahead[start] = behind[start + length] = 1.0
+        for i, j in groups:
+            ahead[dst[i:j]] += ahead[src[i:j]] * prob[i:j]
+        for i, j in reversed(groups):
+            behind[src[i:j]] += behind[dst[i:j]] * prob[i:j]
+        total = behind[start]
+        lost = ~((total > LEAST) & (total < 1 / LEAST))
+        whose = np.repeat(np.arange(len(words)), length + 1)
+        word = whose[src]
+        real = np.flatnonzero((ids >= 0) & ~lost[word])
+        a, b, word, ids = src[real], dst[real], word[real], ids[real]
+        share = ahead[a] * prob[real] * (behind[b] / total[word])
+        np.add.at(out, ids, np.rint(share * PART).astype(np.int64) * times[word])
+        for i in np.flatnonzero(lost).tolist():
+            self._expect_one(words[i].as_py(), int(times[i]), out)
+
     def _expect_one(self, word: str, count: int, out: np.ndarray) -> None:
         """The same for one word, by logarithms, added to ``out``; block by block, time and
         memory in proportion to its length."""
@@ -457,56 +474,22 @@ class Model:
                         share.append(math.exp(ahead[a] + t - ahead[n]))
             np.add.at(out, np.array(pieces, np.int64), np.rint(np.array(share, np.float64) * PART).astype(np.int64) * count)
 
-    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, offsets of the texts).  A word is segmented once as
-        long as it is among the ``REMEMBERED`` words kept from earlier texts."""
-        if len(self._number) > REMEMBERED or self._chars > REMEMBERED_CHARS:
-            self._forget()
-        number, known = self._number, len(self._number)
-        use, counts = self._numbered(texts)
-        if len(number) > known:
-            new = [MARKER + w for w in islice(number, known, None)]
-            self._chars += sum(map(len, new))
-            parts = [self._segmented(new[i:i + BATCH_WORDS]) for i in range(0, len(new), BATCH_WORDS)]
-            size = np.concatenate([n for _, n in parts])
-            self._first = np.concatenate([self._first, len(self._flat) + np.cumsum(size) - size])
-            self._size = np.concatenate([self._size, size])
-            self._flat = np.concatenate([self._flat, *[ids for ids, _ in parts]])
-        n = self._size[use]
-        begin = np.cumsum(n) - n
-        ids = self._flat[np.arange(int(n.sum())) + np.repeat(self._first[use] - begin, n)]
+    def encode_all(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, offsets of the texts).  Each of their distinct words is
+        segmented once."""
+        words, order, counts = _cut(_strings(texts), self.split)
+        words = words.dictionary_encode()
+        flat, size = self._segmented(_joined(MARKER, words.dictionary))
+        use = words.indices.to_numpy()
+        if order is not None:
+            use = use[order]
+        n = size[use]
         word_end = np.concatenate([[0], np.cumsum(n)])
-        return ids, word_end[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
-
-    def _numbered(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(numbers of all words, words of each text).  Texts without markers in a row are
-        cut together, and each of their distinct words is looked up once."""
-        number = self._number
-        column = pa.array([t.encode("utf-8", "replace") for t in texts], pa.large_binary()).cast(pa.large_string())
-        odd = pc.or_(pc.or_(pc.match_substring(column, "  "), pc.match_substring(column, MARKER)),
-                     pc.or_(pc.starts_with(column, " "), pc.equal(column, "")))
-        plain = ~odd.to_numpy(zero_copy_only=False) & self.split
-        cut = pc.split_pattern(column.filter(pa.array(plain)), " ")
-        words = cut.flatten().dictionary_encode()
-        known = np.fromiter(map(number.__getitem__, words.dictionary.to_pylist()), np.int64, len(words.dictionary))
-        known = known[words.indices.to_numpy()]
-        counts = np.zeros(len(texts), np.int64)
-        counts[plain] = pc.list_value_length(cut).to_numpy()
-        if plain.all():
-            return known, counts
-        rest = [list(map(number.__getitem__, self._unmarked(texts[i]))) for i in np.flatnonzero(~plain).tolist()]
-        counts[~plain] = list(map(len, rest))
-        whose = np.repeat(plain, counts)
-        use = np.zeros(len(whose), np.int64)
-        use[whose] = known
-        use[~whose] = np.fromiter(chain.from_iterable(rest), np.int64, int((~whose).sum()))
-        return use, counts
-
-    def _forget(self) -> None:
-        self._number = _Numbers()
-        self._chars = 0
-        self._flat = np.zeros(0, np.int32)
-        self._first = self._size = np.zeros(0, np.int64)
+        shift = (np.cumsum(size) - size)[use] - word_end[:-1]
+        at = np.repeat(shift, n)
+        at += np.arange(len(at))
+        ids = flat[at]
+        return ids, word_end[np.concatenate([[0], np.cumsum(counts)])]
 
     # -- decoding ----------------------------------------------------------
 
@@ -524,10 +507,19 @@ class Model:
         """The bytes that ``decode`` reads as UTF-8, of each range of the ids."""
         size = self._text_size[ids]
         end = np.concatenate([[0], np.cumsum(size)])
-        raw = self._text_bytes[np.arange(end[-1]) + np.repeat(self._text_first[ids] - end[:-1], size)].tobytes()
+        where = np.repeat(self._text_first[ids] - end[:-1], size)
+        where += np.arange(len(where))
+        raw = self._text_bytes[where].tobytes()
         at = end[bounds].tolist()
         return [self._unpadded(raw[a:b]) for a, b in zip(at[:-1], at[1:])]
 
+    def same(self, ids: np.ndarray, bounds: np.ndarray, column: pa.Array) -> list[bool]:
+        """Whether each range of the ids decodes to its text."""
+        data, offsets = utf8(column)
+        data, at = data.tobytes(), offsets.tolist()
+        return [back == data[a:b] or back.decode("utf-8", "replace") == data[a:b].decode("utf-8")
+                for back, a, b in zip(self.decode_all(ids, bounds), at[:-1], at[1:])]
+
 
 def unigram_model(spark: SparkSession, docs: DataFrame, model_file: str, text_col: str = "text", rounds: int = ROUNDS) -> bytes:
     """The file's model if it is a unigram one.  Otherwise a unigram model of its
@@ -561,10 +553,43 @@ def unigram_model(spark: SparkSession, docs: DataFrame, model_file: str, text_co
 def word_counts(texts: DataFrame, split: bool) -> DataFrame:
     """``texts(t)`` -> ``word, n``: how often each word of ``Model.words`` occurs.  Null and
     empty texts have none; words are counted before they are shuffled."""
-    marked = texts.where("t <> ''").select(F.concat(F.lit(" "), F.translate("t", MARKER, " ")).alias("t"))
+    texts = texts.where("t <> ''").select("t")
     if split:
-        marked = marked.select(F.explode(F.regexp_extract_all("t", F.lit(" +[^ ]*"), F.lit(0))).alias("t"))
-    return marked.groupBy("t").agg(F.count(F.lit(1)).alias("n")).select(F.translate("t", " ", MARKER).alias("word"), "n")
+        words = texts.mapInArrow(_counted, "word string, n long")
+    else:
+        words = texts.select(F.concat(F.lit(MARKER), F.translate("t", " ", MARKER)).alias("word"), F.lit(1).alias("n"))
+    return words.groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def _counted(batches):
+    """Each word of the texts of the batches with how often it occurs; a word may come
+    several times where there are nearly ``COUNTED`` distinct ones."""
+    words, counts, rows = [], [], 0
+
+    def added():
+        coded = pa.concat_arrays(words).dictionary_encode()
+        total = np.bincount(coded.indices.to_numpy(), np.concatenate(counts), len(coded.dictionary)).astype(np.int64)
+        return coded.dictionary, total
+
+    def handed(word, n):
+        return pa.RecordBatch.from_arrays([_joined(MARKER, word).cast(pa.string()), pa.array(n, pa.int64())], ["word", "n"])
+
+    for batch in batches:
+        for piece in _pieces(batch, 0):
+            found, _, _ = _cut(_strings(piece.column(0)), True)
+            word, n = pc.value_counts(found).flatten()
+            words.append(word)
+            counts.append(n.to_numpy())
+            rows += len(word)
+            if rows > COUNTED:
+                word, n = added()
+                if len(word) > COUNTED * 3 // 4:
+                    yield handed(word, n)
+                    words, counts, rows = [], [], 0
+                else:
+                    words, counts, rows = [word], [n], len(word)
+    if words:
+        yield handed(*added())
 
 
 def _expecting(shared):
@@ -572,7 +597,7 @@ def _expecting(shared):
         model = _model(*shared.value)
         total = np.zeros(len(model.pieces), np.int64)
         for batch in batches:
-            total += model.expected(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            total += model.expected(batch.column(0), batch.column(1).to_numpy())
         held = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array(total[held], pa.int64())], ["piece", "n"])
     return run
@@ -600,8 +625,8 @@ def encode(spark: SparkSession, docs: DataFrame, model: str | bytes, id_col: str
     def run(batches):
         model = _model(*shared.value)
         for batch in batches:
-            for piece, texts in _pieces(batch):
-                ids, bounds = model.encode_all(texts)
+            for piece in _pieces(batch):
+                ids, bounds = model.encode_all(piece.column(1))
                 yield pa.RecordBatch.from_arrays(
                     [piece.column(0), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))], ["id", "tokens"])
 
@@ -631,9 +656,9 @@ def roundtrip(spark: SparkSession, docs: DataFrame, model: str | bytes, id_col:
     def run(batches):
         model = _model(*shared.value)
         for batch in batches:
-            for piece, texts in _pieces(batch):
-                ids, bounds = model.encode_all(texts)
-                same = [b == t.encode() or b.decode("utf-8", "replace") == t for b, t in zip(model.decode_all(ids, bounds), texts)]
+            for piece in _pieces(batch):
+                ids, bounds = model.encode_all(piece.column(1))
+                same = model.same(ids, bounds, piece.column(1))
                 count = np.concatenate([[0], np.cumsum(model.is_byte[ids])])
                 yield pa.RecordBatch.from_arrays(
                     [piece.column(0), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32())),
@@ -672,9 +697,8 @@ def _shared(spark: SparkSession, data: bytes):
     return spark.sparkContext.broadcast((data, _model(data).trie))
 
 
-def _pieces(batch):
-    """Row ranges of a batch with about ``BATCH_CHARS`` of text, and their texts."""
-    _, offsets = utf8(batch.column(1))
+def _pieces(batch, column: int = 1):
+    """Row ranges of a batch with about ``BATCH_CHARS`` of text."""
+    _, offsets = utf8(batch.column(column))
     for i, j in row_pieces(np.diff(offsets), BATCH_CHARS):
-        piece = batch.slice(i, j - i)
-        yield piece, [t or "" for t in piece.column(1).to_pylist()]
+        yield batch.slice(i, j - i)

@@ -414,3 +414,20 @@ def test_words_cut_together_are_those_cut_apart(spark):
         for w in model.words(t):
             expected[w] = expected.get(w, 0) + 1
     assert counted == expected
+
+
+def test_words_are_counted_before_they_are_rows(spark, monkeypatch):
+    docs = spark.createDataFrame([("a b a",), ("b  c",)], "t string").coalesce(1)
+    plan = sentencepiece.word_counts(docs, True)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "MapInArrow" in plan
+    texts = ["a b a", "b  c", None, "", " ", "d e f g a", "a▁b"]
+    want = {"▁a": 4, "▁b": 3, "▁▁c": 1, "▁▁": 1, "▁d": 1, "▁e": 1, "▁f": 1, "▁g": 1}
+    batches = [pa.record_batch([pa.array(texts[i:i + 2])], names=["t"]) for i in range(0, len(texts), 2)]
+    for most in (1, 6, 1 << 20):
+        monkeypatch.setattr(sentencepiece, "COUNTED", most)
+        got, rows = {}, 0
+        for out in sentencepiece._counted(batches):
+            rows += len(out)
+            for word, n in zip(out["word"].to_pylist(), out["n"].to_pylist()):
+                got[word] = got.get(word, 0) + n
+        assert got == want and (most <= 6 or rows == len(want))
