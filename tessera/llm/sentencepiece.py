@@ -32,7 +32,7 @@ ROUNDS = 4                   # EM rounds from equal scores
 PART = 1 << 20               # expected counts are summed as whole numbers of these parts, so in any order
 LONG_WORD = 48               # longer words are segmented one by one
 LONG_BLOCK = 1 << 14         # characters of a long word whose pieces are looked up together
-BATCH_CHARS = 1 << 22        # text whose distinct words are segmented once
+BATCH_CHARS = 1 << 21        # text whose distinct words are segmented once
 BATCH_WORDS = 1 << 14        # words segmented together
 COUNTED = 1 << 20            # counts that a task holds before it adds up those of a word
 SHIFT = 3.0                  # about what a character costs: keeps products of probabilities in range
