@@ -17,6 +17,7 @@ from tessera.llm.common import ascii_lower, partitions, stored
 
 SAMPLES = 40
 GROUP = 2                    # samples of one row: the generated method stays small enough to be compiled
+SPREAD = 2                   # partitions of whole texts for each shuffle partition: their words take several times the texts' memory
 _SCALE = float(1 << 23)      # resolution of the logarithm that samples are compared by
 _SHIFT = 128.0
 _NONE = (1 << 63) - 1
@@ -121,25 +122,26 @@ def fingerprints(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", t
     copies = thin.groupBy("row", "id", "n").count()          # rows repeated as a whole
     order = stored(spark, with_next(spark, copies.select("row", "id", "n")), "next")
     n = partitions(spark)
-    # Every text once, by its row: joined with its own length and with what the document before it takes.
+    # Every text once, by its row: joined with what the document before it takes, and with the head it takes itself.
     taken = order.select(F.col("next").alias("row"), F.col("row").alias("taker"), F.floor(F.col("n") / 4).alias("quarter"))
-    one = base.select("row", "t").repartition(n, "row").dropDuplicates(["row"])
+    one = base.select("row", "t").repartition(SPREAD * n, "row").dropDuplicates(["row"])
     heads = (one.join(taken, "row").select(F.col("taker").alias("row"), F.expr("substr(t, 1, int(quarter))").alias("head")))
-    pair = (one.join(order.select("row", "n"), "row").join(heads, "row")
+    pair = (one.join(heads, "row").select("row", "t", "head", F.char_length("t").cast("long").alias("n"))
             .select("row", "n", "t", F.concat(F.expr("substr(t, 1, int(n - floor(n / 4)))"), "head").alias("e")))
     sides = pair.select("row", F.explode(F.array(
         F.struct(F.lit(1).alias("a"), F.lit(0).alias("b"), F.col("t").alias("x")),
         F.struct(F.lit(0).alias("a"), F.lit(1).alias("b"), F.col("e").alias("x")))).alias("s"))
-    terms = (sides.select("row", "s.a", "s.b", F.explode(words(F.col("s.x"))).alias("word"))
-             .select("row", "a", "b", F.xxhash64("word").alias("term"))
+    # A text without words has one null word of no weight, so every row has its samples.
+    weight = lambda c: F.when(F.isnull("word"), 0).otherwise(F.col(c))
+    terms = (sides.select("row", "s.a", "s.b", F.explode_outer(words(F.col("s.x"))).alias("word"))
+             .select("row", weight("a").alias("a"), weight("b").alias("b"), F.xxhash64("word").alias("term"))
              .groupBy("row", "term").agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
     signs = (signatures(terms, "row", ("a", "b")).groupBy("row")
              .agg(F.sort_array(F.collect_list(F.struct("part", "a_sig", "b_sig"))).alias("p"))
              .select("row", _hex(F.col("p.a_sig")).alias("fingerprint"), _hex(F.col("p.b_sig")).alias("edited_fingerprint")))
-    zero = F.lit("0" * 8 * SAMPLES)
-    facts = (pair.select("row", "n", F.sha2(F.encode("e", "UTF-8"), 256).alias("edited_sha256")).join(signs, "row", "left")
-             .select("row", "n", "edited_sha256", F.coalesce("fingerprint", zero).alias("fingerprint"),
-                     F.coalesce("edited_fingerprint", zero).alias("edited_fingerprint")))
+    # The samples stand left: a merge join has them drawn, and their memory given back, before it looks at the texts again.
+    facts = (signs.join(pair.select("row", "n", F.sha2(F.encode("e", "UTF-8"), 256).alias("edited_sha256")), "row")
+             .select("row", "n", "edited_sha256", "fingerprint", "edited_fingerprint"))
     facts = stored(spark, facts, "fingerprints")
     after = facts.select(F.col("row").alias("next"), F.col("fingerprint").alias("next_fingerprint"))
     out = (order.select("row", "id", "next").join(copies.select("row", "count"), "row").join(facts, "row").join(after, "next")

@@ -186,6 +186,24 @@ def test_collisions_estimate_generalised_jaccard(spark):
     assert abs(np.mean([np.mean(v) for v in got.values()]) - np.mean(list(want.values()))) < 0.03
 
 
+def test_samples_are_drawn_before_the_texts_are_held_again(spark, monkeypatch):
+    kept, stored, merge = {}, fingerprint.stored, "spark.sql.autoBroadcastJoinThreshold"
+    monkeypatch.setattr(fingerprint, "stored", lambda spark, df, name: kept.setdefault(name, df) and stored(spark, df, name))
+    before = spark.conf.get(merge)
+    spark.conf.set(merge, "-1")
+    try:
+        df = spark.createDataFrame([(1, "a b c d"), (2, ""), (3, "e f")], "doc_id long, text string")
+        got = {r.doc_id: r for r in fingerprint.fingerprints(spark, df).collect()}
+        plan = kept["fingerprints"]._jdf.queryExecution().simpleString()
+    finally:
+        spark.conf.set(merge, before)
+    assert got[2].fingerprint == got[2].edited_fingerprint == "0" * 8 * fingerprint.SAMPLES
+    joins = [x for x in plan.splitlines() if "SortMergeJoin" in x]
+    assert len(joins) == 5 and "Inner" in joins[0]       # the samples' own, and two for each look at the texts
+    assert plan.index("ObjectHashAggregate") < plan.index("sha2(")
+    assert f"{fingerprint.SPREAD * int(spark.conf.get('spark.sql.shuffle.partitions'))}), REPARTITION_BY_NUM" in plan
+
+
 def test_repeated_rows_null_ids_and_no_rows(spark):
     df = spark.createDataFrame([(1, "a b c d"), (1, "a b c d"), (None, "x y"), (2, "a b"), (2, "c")], "doc_id long, text string")
     got = fingerprint.fingerprints(spark, df).collect()
